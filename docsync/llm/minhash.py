@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql.types import BooleanType, DoubleType
 
 from docsync.llm.common import join_skewed, materialize, without
 from docsync.llm.components import connected_components
@@ -150,7 +151,7 @@ def regions_of(reps: DataFrame) -> DataFrame:
     return members.select("region", part.alias("part"), "size", "id", "sketch", "turned")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def estimated(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of equal signature bytes."""
     size = TREES * DEPTH
@@ -164,7 +165,8 @@ def neighbours(members: DataFrame, least: float) -> DataFrame:
     order = Window.partitionBy("region", "part").orderBy("turned", "id")
     after = [F.lead(F.struct("id", "sketch"), k).over(order) for k in range(1, SMALL)]
     near = F.array(after[0], *[F.when(F.col("size") <= SMALL, x) for x in after[1:]])
-    pairs = members.select("id", "sketch", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("other"))
+    pairs = members.select("id", "sketch", near.alias("near"))
+    pairs = pairs.select("id", "sketch", F.explode(F.filter("near", lambda x: x.isNotNull())).alias("other"))
     pairs = pairs.select(
         F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b"),
         F.when(F.col("id") < F.col("other.id"), F.struct(F.col("sketch").alias("s"), F.col("other.sketch").alias("t"))).otherwise(F.struct(F.col("other.sketch").alias("s"), F.col("sketch").alias("t"))).alias("p"),
@@ -224,7 +226,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame,
 def linked(percent: int) -> Column:
     """Whether two sets (columns x, y) have 100 * intersection >= percent * union."""
 
-    @pandas_udf("boolean")
+    @pandas_udf(BooleanType())
     def confirm(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(left, right, strict=True):
