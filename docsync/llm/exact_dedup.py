@@ -30,13 +30,14 @@ CAPACITY = 4096
 def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(cell, depth, bucket) for every occupied cell of ``max_depth`` leading key bits: the local
     depth is the first at which the cell's prefix holds no more than ``capacity`` of ``keys``
-    (one row per distinct key); the deepest level is never split further, its bucket chains."""
+    (one row per distinct key); the deepest level is never split further, its bucket chains. Prefixes number
+    less than ``2**(max_depth + 1)``, so those that fit are broadcast."""
     cells = keys.groupBy(F.shiftrightunsigned("key", 64 - max_depth).cast("int").alias("cell")).agg(F.count("*").alias("n"))
     depth = F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth")
     prefixes = cells.select("cell", "n", depth).withColumn("prefix", F.expr(f"shiftright(cell, {max_depth} - depth)"))
     loads = prefixes.groupBy("depth", "prefix").agg(F.sum("n").alias("load"))
     fits = loads.filter((F.col("load") <= capacity) | (F.col("depth") == max_depth)).select("depth", "prefix")
-    leaf = prefixes.join(fits, ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
+    leaf = prefixes.join(F.broadcast(fits), ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
     name = F.expr(f"shiftleft(1, depth) + shiftright(cell, {max_depth} - depth)")
     return leaf.select("cell", "depth", name.alias("bucket"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsync.llm import bpe, chat, exact_dedup, langid, minhash, mixing
+from docsync.llm import bpe, chat, exact_dedup, langid, minhash, mixing, ppm
 from docsync.llm.common import bucket_of
 
 
@@ -32,6 +32,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = bucket_of("doc_id", 7) == 2
+    found = ppm.score(docs, docs.filter(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -52,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_ppm": op4_ppm,
         "op5_bpe": op5_bpe,
         "op6_mixing": op6_mixing,
         "op9_minhash_forest": op9_minhash_forest,
