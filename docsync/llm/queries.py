@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsync.llm import bpe, chat, exact_dedup, langid, minhash, mixing, ppm
+from docsync.llm import bpe, chat, exact_dedup, html_extract, langid, minhash, mixing, ppm
 from docsync.llm.common import bucket_of
 
 
@@ -32,6 +32,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = bucket_of("doc_id", 7) == 2
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_html_extract": op3_html_extract,
         "op4_ppm": op4_ppm,
         "op5_bpe": op5_bpe,
         "op6_mixing": op6_mixing,
