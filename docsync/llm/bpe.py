@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 #: Fixed pattern of byte-level BPE: contractions, letters, numbers, other marks, white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words held at a time and text handled at a time by one task: these bound memory, not results.
-MAX_WORDS, CHUNK_CHARS = 200_000, 2_000_000
+MAX_WORDS, CHUNK_CHARS = 500_000, 2_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -42,10 +42,12 @@ def byte_letters() -> dict[int, str]:
 
 @dataclass
 class Vocabulary:
-    """ids of single bytes, merges as (left id, right id) -> (rank, merged id), bytes of each id, special tokens."""
+    """ids of single bytes, rank of each pair (left id << 20 | right id), (left, right, merged id) by rank, bytes
+    of each id, special tokens."""
 
     bytes_to_id: list[int]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    ranks: dict[int, int]
+    made: list[tuple[int, int, int]]
     pieces: dict[int, bytes]
     special: dict[str, int] = field(default_factory=dict)
 
@@ -56,13 +58,18 @@ class Vocabulary:
         ids, letters = file["model"]["vocab"], byte_letters()
         back = {c: b for b, c in letters.items()}
         special = {t["content"]: t["id"] for t in file.get("added_tokens", [])}
-        merges = {}
+        ranks, made, latest = {}, [], {}
         for rank, pair in enumerate(file["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            merges[ids[left], ids[right]] = (rank, ids[left + right])
+            made.append((ids[left], ids[right], ids[left + right]))
+            ranks[ids[left] << 20 | ids[right]] = rank
+            latest[ids[left + right]] = rank
+        # Taking ranks in ascending order over all words needs merges to follow those that make their parts.
+        if any(latest.get(part, -1) >= rank for rank, m in enumerate(made) for part in m[:2]):
+            raise ValueError("a merge comes before one that makes its parts")
         pieces = {i: bytes(back[c] for c in token) for token, i in ids.items() if token not in special}
         pieces |= {i: token.encode() for token, i in special.items()}
-        return cls([ids[letters[b]] for b in range(256)], merges, pieces, special)
+        return cls([ids[letters[b]] for b in range(256)], ranks, made, pieces, special)
 
 
 def merge_words(words: list[bytes], vocab: Vocabulary) -> list[list[int]]:
@@ -70,50 +77,59 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[list[int]]:
     symbol: list[int] = []
     after: list[int] = []
     starts = []
+    first = vocab.bytes_to_id
     for word in words:
         starts.append(len(symbol))
-        symbol += [vocab.bytes_to_id[b] for b in word]
+        symbol += [first[b] for b in word]
         after += range(len(after) + 1, len(after) + len(word))
         if word:
             after.append(-1)
-    before = [-1] * len(symbol)
+    before = [-1, *range(len(symbol) - 1)]
+    for i in starts:
+        if i < len(before):
+            before[i] = -1
+    ranks, made = vocab.ranks, vocab.made
+    places: dict[int, list[int]] = {}
+    active: list[int] = []
     for i, j in enumerate(after):
         if j >= 0:
-            before[j] = i
-    ranks, places, active = vocab.merges, {}, []
-
-    def note(i: int, j: int) -> None:
-        pair = symbol[i], symbol[j]
-        if pair in ranks:
-            if pair in places:
-                places[pair].append(i)
-            else:
-                places[pair] = [i]
-                heapq.heappush(active, (ranks[pair][0], pair))
-
-    for i, j in enumerate(after):
-        if j >= 0:
-            note(i, j)
+            rank = ranks.get(symbol[i] << 20 | symbol[j])
+            if rank is not None:
+                if rank in places:
+                    places[rank].append(i)
+                else:
+                    places[rank] = [i]
+                    active.append(rank)
+    heapq.heapify(active)
     while active:
-        rank, pair = heapq.heappop(active)
-        left, right = pair
-        merged = ranks[pair][1]
-        todo = sorted(places.pop(pair, ()))
-        for n, i in enumerate(todo):
-            if active and active[0][0] < rank:  # a merge has made a pair of lower rank: that comes first
-                places.setdefault(pair, []).extend(todo[n:])
-                heapq.heappush(active, (rank, pair))
-                break
+        rank = heapq.heappop(active)
+        left, right, merged = made[rank]
+        todo = places.pop(rank)
+        if left == right:
+            todo.sort()  # of overlapping pairs the leftmost comes first
+        for i in todo:
             j = after[i]
             if symbol[i] != left or j < 0 or symbol[j] != right:
                 continue  # an earlier merge has used one of the two
-            symbol[i], symbol[j], k = merged, -1, after[j]
+            symbol[i], symbol[j], k, h = merged, -1, after[j], before[i]
             after[i] = k
             if k >= 0:
                 before[k] = i
-                note(i, k)
-            if before[i] >= 0:
-                note(before[i], i)
+                new = ranks.get(merged << 20 | symbol[k])
+                if new is not None:
+                    if new in places:
+                        places[new].append(i)
+                    else:
+                        places[new] = [i]
+                        heapq.heappush(active, new)
+            if h >= 0:
+                new = ranks.get(symbol[h] << 20 | merged)
+                if new is not None:
+                    if new in places:
+                        places[new].append(h)
+                    else:
+                        places[new] = [h]
+                        heapq.heappush(active, new)
     out = []
     for word, i in zip(words, starts, strict=True):
         ids = []
