@@ -22,6 +22,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,35 +105,59 @@ def learn_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     return level.groupBy("lang").applyInPandas(add, "lang string, profile array<bigint>")
 
 
+class Predictor:
+    """Languages and unit prototypes; predicts batches of texts."""
+
+    def __init__(self, profiles: DataFrame, dims: int = DIMS):
+        rows = profiles.orderBy("lang").limit(MAX_LANGS + 1).collect()
+        if len(rows) > MAX_LANGS:
+            raise ValueError(f"more than {MAX_LANGS} languages")
+        self.dims, self.langs = dims, [r["lang"] for r in rows]
+        prototypes = np.array([r["profile"] for r in rows], np.float64).reshape(len(rows), dims)
+        norms = np.linalg.norm(prototypes, axis=1, keepdims=True)
+        self.prototypes = (prototypes / np.where(norms > 0, norms, 1)).astype(np.float32)
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language and score of each text."""
+        langs, scores = [], [np.zeros(0)]
+        for part in sliced(texts, CHUNK_CHARS):
+            lettered = np.array([bool(letter_table()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any()) for t in texts[part]])
+            if not self.langs:
+                langs += [UNKNOWN] * len(lettered)
+                scores.append(np.zeros(len(lettered)))
+                continue
+            grams, counts = gram_counts(texts[part])
+            found = counts @ bind(grams, self.dims).astype(np.float32)
+            norm = np.linalg.norm(found, axis=1)
+            cosine = (found @ self.prototypes.T) / np.where(norm > 0, norm, 1)[:, None]
+            best = cosine.argmax(axis=1)
+            langs += [self.langs[b] if k else UNKNOWN for b, k in zip(best, lettered, strict=True)]
+            scores.append(np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(float) * lettered)
+        return langs, np.concatenate(scores)
+
+
 def detect(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text", dims: int = DIMS) -> DataFrame:
-    """(id, lang_pred, score)."""
-    rows = profiles.orderBy("lang").limit(MAX_LANGS + 1).collect()
-    if len(rows) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    langs = [r["lang"] for r in rows]
-    prototypes = np.array([r["profile"] for r in rows], np.float64).reshape(len(rows), dims)
-    norms = np.linalg.norm(prototypes, axis=1, keepdims=True)
-    model = docs.sparkSession.sparkContext.broadcast((prototypes / np.where(norms > 0, norms, 1)).astype(np.float32))
+    """(id, lang_pred, score) per row."""
+    model = docs.sparkSession.sparkContext.broadcast(Predictor(profiles, dims))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = [t or "" for t in frame["text"]]
-            for part in sliced(texts, CHUNK_CHARS):
-                grams, counts = gram_counts(texts[part])
-                found = counts @ bind(grams, dims).astype(np.float32)
-                norm = np.linalg.norm(found, axis=1)
-                cosine = (found @ model.value.T) / np.where(norm > 0, norm, 1)[:, None]
-                lettered = np.array([bool(letter_table()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any()) for t in texts[part]])
-                best = cosine.argmax(axis=1) if langs else np.zeros(len(lettered), int)
-                known = lettered & bool(langs)
-                yield pd.DataFrame(
-                    {
-                        "id": frame["id"].iloc[part].array,
-                        "lang_pred": [langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)],
-                        "score": np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(float) * known if langs else np.zeros(len(best)),
-                    }
-                )
+            langs, scores = model.value.predict([t or "" for t in frame["text"]])
+            yield pd.DataFrame({"id": frame["id"].array, "lang_pred": langs, "score": scores})
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return given.mapInPandas(run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(docs: DataFrame, profiles: DataFrame, text_col: str = "text", dims: int = DIMS) -> DataFrame:
+    """``docs`` without the rows for which no language can be told (no letter at all), all columns kept. Only those go:
+    short or odd texts score low with every language and are still documents."""
+    model = docs.sparkSession.sparkContext.broadcast(Predictor(profiles, dims))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, _ = model.value.predict([t or "" for t in batch.column(text_col).to_pylist()])
+            yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
