@@ -157,7 +157,7 @@ class Codec:
     def encode(self, texts: Iterable[str]) -> list[list[tuple[str, int, bytes]]]:
         """For each text its words as (ids joined by commas, number of ids, bytes that the ids decode to)."""
         found = [self.words(t) for t in texts]
-        new = list({w for ws in found for w in ws} - self.known.keys())
+        new = list({w for ws in found for w in ws if w not in self.known})
         if len(self.known) + len(new) > MAX_WORDS:
             self.known.clear()
             new = list({w for ws in found for w in ws})

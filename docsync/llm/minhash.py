@@ -66,7 +66,7 @@ class Shingler:
 
     def word_hashes(self, tokens: list[bytes]) -> np.ndarray:
         known = self.known
-        new = set(tokens) - known.keys()
+        new = {w for w in tokens if w not in known}
         if len(known) + len(new) > 500_000:
             known.clear()
             new = set(tokens)
@@ -93,13 +93,15 @@ def permutations(trees: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return a, rng.integers(0, 2**63, trees * depth, dtype=np.uint64)
 
 
-def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 4096) -> np.ndarray:
+def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 256) -> np.ndarray:
     """The minimum of each permutation, 32 bits each; long sets are taken in blocks."""
     least = np.full(len(a), 2**32 - 1, np.uint32)
     with np.errstate(over="ignore"):
         for i in range(0, len(shingles), block):
-            part = shingles[i : i + block, None] * a + b
-            np.minimum(least, (part >> np.uint64(32)).astype(np.uint32).min(axis=0), out=least)
+            part = shingles[None, i : i + block] * a[:, None]
+            part += b[:, None]
+            part >>= np.uint64(32)
+            np.minimum(least, part.min(axis=1).astype(np.uint32), out=least)
     return least
 
 
