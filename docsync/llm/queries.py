@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsync.llm import ann, bpe, chat, exact_dedup, html_extract, langid, minhash, mixing, ppm
+from docsync.llm import ann, bpe, chat, exact_dedup, html_extract, langid, minhash, mixing, ppm, suffix_dedup
 from docsync.llm.common import bucket_of
 
 
@@ -51,6 +51,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ppm": op4_ppm,
         "op5_bpe": op5_bpe,
         "op6_mixing": op6_mixing,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_ann": op8_ann,
         "op9_minhash_forest": op9_minhash_forest,
         "op10_chat_format": op10_chat_format,
