@@ -31,7 +31,8 @@ def described(found: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The listing of a folder tree; contents are not read. Files whose names start with ``.`` or ``_`` are hidden to Spark."""
+    """The listing of a folder tree; contents are not read. Files whose names start with ``.`` or ``_`` are hidden to Spark, and
+    empty files are not listed by it (their chunks go as those of a removed file do)."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return described(found).select("source_path", "source_name", "suffix", "size", "mtime_ns", "file_signature")
 

@@ -1,0 +1,149 @@
+"""Chunkers: golden cases, and properties against plain Python."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+
+import pytest
+
+from docsync.operators import chunks
+
+PARAGRAPHS = "source_path string, paragraph_num int, page_num int, text string"
+NODES = "source_path string, node int, text string, paragraph_num int, page_num int"
+
+
+def paragraphs(spark, texts, path="/f"):
+    return spark.createDataFrame([(path, i + 1, i // 2 + 1, t) for i, t in enumerate(texts)], PARAGRAPHS)
+
+
+def out(df):
+    return [(r.chunk_index, r.text, r.paragraph_num, r.page_num) for r in df.orderBy("source_path", "chunk_index").collect()]
+
+
+def test_overlap_size():
+    assert [chunks.overlap_size(*x) for x in ((500, 0.15), (10, 0), (1, 0.15))] == [75, 1, 0]
+    for bad in ((0, 0.1), (10, 1), (10, -0.1)):
+        with pytest.raises(ValueError):
+            chunks.overlap_size(*bad)
+
+
+def model_windows(texts, size, overlap):
+    stream = [(t, i + 1, i // 2 + 1) for i, x in enumerate(texts) for t in re.findall(r"\s*\S+|\s+", x) + [" "]]
+    result, start = [], 0
+    while stream:
+        part = stream[start : start + size]
+        result.append((len(result), "".join(t for t, _, _ in part), part[0][1], part[0][2]))
+        if start + size >= len(stream):
+            break
+        start += size - overlap
+    return result
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_equal_model(spark, seed):
+    r = random.Random(seed)
+    texts = [" ".join(r.choice("abc") * r.randint(1, 3) for _ in range(r.randint(0, 12))) for _ in range(r.randint(1, 6))]
+    for size, overlap in ((4, 1), (1, 0), (5, 4), (50, 8)):
+        want = model_windows(texts, size, overlap)
+        df = paragraphs(spark, texts)
+        assert out(chunks.token_windows(df, size, overlap)) == want
+        assert out(chunks.token_windows_by_file(df, size, overlap)) == want
+
+
+def test_windows_of_nothing(spark):
+    assert out(chunks.token_windows(paragraphs(spark, []))) == []
+    assert out(chunks.token_windows(paragraphs(spark, [None]))) == []
+    assert [x[1] for x in out(chunks.token_windows(paragraphs(spark, [""])))] == [" "]
+
+
+def test_window_count(spark):
+    assert len(out(chunks.token_windows(paragraphs(spark, ["a " * 9 + "b"][:1]), 4, 1))) == len(model_windows(["a " * 9 + "b"], 4, 1))
+    assert len(out(chunks.token_windows(paragraphs(spark, ["a b c"]), 4, 1))) == 1
+
+
+def test_bpe_tokens_round_trip(spark):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
+    made = chunks.token_windows(paragraphs(spark, ["abé ab"]), 4, 0, chunks.bpe_tokens(ranks, r"\S+|\s+"))
+    assert [x[1] for x in out(chunks.decode_bpe(made))] == ["abé ", "ab "]
+
+
+@pytest.mark.parametrize("text, want", [("a. b! c?d e", ["a.", "b!", "c?d e"]), ("  ", []), ('x." y.', ['x." y.']), ("a.\n\nb", ["a.", "b"])])
+def test_sentences(spark, text, want):
+    assert [r.sentence for r in chunks.sentences(paragraphs(spark, [text])).orderBy("sent_idx").collect()] == want
+
+
+def fold(nodes):
+    """The repair as a fold over the nodes of one file."""
+    kept, buffer = [], ""
+    for i, text in nodes:
+        pieces = [s.strip() for s in re.split(r"(?<=[.!?])\s+", " ".join((buffer + " " + text).split())) if s.strip()]
+        buffer = ""
+        if pieces and pieces[-1][-1] not in ".!?":
+            buffer = pieces.pop()
+        if pieces:
+            kept.append([i, " ".join(pieces)])
+    if buffer:
+        if kept:
+            kept[-1][1] += " " + buffer
+        else:
+            kept.append([nodes[0][0], buffer])
+    return [tuple(x) for x in kept]
+
+
+def test_repair_golden(spark):
+    files = [["Head", "One. Two", "three."], ["A.", "b"], ["a", "b"], ["", " "], [" ", "x"]]
+    rows = [(f"/{i}", n, t, n + 1, 1) for i, f in enumerate(files) for n, t in enumerate(f)]
+    got = chunks.repair_sentences(spark.createDataFrame(rows, NODES)).orderBy("source_path", "node").collect()
+    assert [(r.source_path, r.node, r.text) for r in got] == [("/0", 1, "Head One."), ("/0", 2, "Two three."), ("/1", 0, "A. b"), ("/2", 0, "a b"), ("/4", 0, "x")]
+
+
+def test_repair_equals_fold(spark):
+    r = random.Random(3)
+    files = {f"/{i:03}": [(n, " ".join(r.choice(["a", "b.", "c!", "d?e", "."]) for _ in range(r.randint(0, 4)))) for n in range(r.randint(1, 6))] for i in range(200)}
+    rows = [(path, n, t, n + 1, 1) for path, f in files.items() for n, t in f]
+    got = {}
+    for x in chunks.repair_sentences(spark.createDataFrame(rows, NODES)).orderBy("source_path", "node").collect():
+        got.setdefault(x.source_path, []).append((x.node, x.text))
+    assert got == {path: fold(f) for path, f in files.items() if fold(f)}
+
+
+def test_semantic_cuts_at_the_percentile(spark):
+    text = "cat dog. cat dog. cat dog. sun moon. sun moon. sun moon. sun moon."
+    made = out(chunks.semantic_chunks(paragraphs(spark, [text, "one only."])))
+    assert len(made) >= 3 and made[-1][1:] == ("one only.", 2, 1)
+    assert " ".join(x[1] for x in made[:-1]) == text
+    breaks = chunks.semantic_breaks(paragraphs(spark, ["same. same. same."])).collect()
+    assert not any(b.cut for b in breaks)
+
+
+def test_a_model_embedding_sees_contexts(spark):
+    def load():
+        return lambda texts: [[float(t.count("a")), 1.0] for t in texts]
+
+    rows = chunks.semantic_breaks(paragraphs(spark, ["a a a. b. b. b."]), embed=chunks.model_embedding(load)).orderBy("sent_idx").collect()
+    first = 1 - (3 * 3 + 1) / (math.sqrt(10) * math.sqrt(10))
+    assert rows[0].distance == pytest.approx(first, abs=1e-9)
+
+
+def test_repair_off_keeps_nodes(spark):
+    made = out(chunks.semantic_chunks(paragraphs(spark, ["head", "tail."]), repair=False))
+    assert [x[1] for x in made] == ["head", "tail."]
+
+
+def test_choice_and_checks(spark):
+    df = paragraphs(spark, ["a b."])
+    assert out(chunks.chunk(df, " Simple "))[0][1] == "a b. "
+    assert out(chunks.chunk(df))[0][1] == "a b."
+    with pytest.raises(ValueError):
+        chunks.chunk(df, "other")
+    with pytest.raises(ValueError):
+        chunks.semantic_breaks(df, 101)
+    with pytest.raises(ValueError):
+        chunks.token_windows(df, 4, 4)
+
+
+def test_one_shuffle_before_the_semantic_windows(spark):
+    plan = chunks.semantic_breaks(paragraphs(spark, ["a. b."]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
