@@ -94,7 +94,7 @@ def learn_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
                 vectors = np.rint(total @ bind(grams, dims).astype(np.float64)).astype(np.int64)
                 for lang, v in zip(langs, vectors, strict=True):
                     sums[lang] = sums[lang] + v if lang in sums else v
-        yield pd.DataFrame({"lang": list(sums), "profile": [v.tolist() for v in sums.values()]})
+        yield pd.DataFrame({"lang": list(sums), "profile": [v.tolist() for v in sums.values()]}, dtype=object)
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": frame["lang"].iloc[:1], "profile": [np.sum(np.stack(frame["profile"].tolist()), axis=0).tolist()]})
