@@ -8,7 +8,7 @@
    regions all pairs, in larger ones the adjacent texts.
 4. Candidates are confirmed on the full sets, first each text's best one, then those that would still join
    two components. In regions with more than SMALL texts every remaining pair whose ends
-   are in different components is compared as well (in blocks, by signature first), so that no link between
+   are in different components is compared as well, in blocks that give out links only, so that no link between
    two components is lost to the neighbour rule. Links inside a component add nothing to it.
 
 A pair at the threshold of 0.85 shares a region in some tree but for 1 in 2,000,000 cases, and its
@@ -37,7 +37,7 @@ from docsync.llm.components import connected_components
 
 WIDTH, TREES, DEPTH, FIRST = 5, 20, 6, 4
 #: Regions up to SMALL texts are compared pair by pair; above CROWDED they are deepened.
-SMALL, CROWDED, BLOCK = 8, 4096, 1024
+SMALL, CROWDED, BLOCK = 8, 4096, 512
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -177,38 +177,60 @@ def neighbours(members: DataFrame, least: float) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("est").alias("est"))
 
 
-def between_components(members: DataFrame, labels: DataFrame, least: float) -> DataFrame:
-    """(a, b) for all pairs of one larger region whose ends are in different components and whose signatures
-    pass. The texts outside a region's largest component meet all its texts, block by block."""
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    if len(one) > len(two):
+        one, two = two, one
+    if len(one) * 100 < percent * len(two) or not len(one):
+        return False
+    place = np.minimum(np.searchsorted(two, one), len(two) - 1)
+    same = int((two[place] == one).sum())
+    return 100 * same >= percent * (len(one) + len(two) - same)
+
+
+def between_components(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (u, v) between texts of one larger region that are in different components. The texts outside the
+    region's largest component meet all its texts, block by block; a pair is looked at in the first region that it shares,
+    by signature and then on the full sets, and only links leave the task. Once two components are linked in a block, their
+    other pairs add nothing and are skipped."""
     wide = members.filter(F.col("size") > SMALL).select("region", "id", "sketch")
     named = wide.join(labels, wide["id"] == labels["node"], "left").select("region", "id", "sketch", F.coalesce("component", "id").alias("comp"))
     named = materialize(named, "wide")
     shares = named.groupBy("region", "comp").agg(F.count("*").alias("n"))
     layout = shares.groupBy("region").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all_n"))
     layout = layout.filter("most < all_n").select(
-        "region", "main", F.ceil(F.col("all_n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("all_n") - F.col("most")) / BLOCK).cast("int").alias("minor_blocks")
+        "region", "main", "all_n", F.ceil(F.col("all_n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("all_n") - F.col("most")) / BLOCK).cast("int").alias("minor_blocks")
     )
-    rows = named.join(layout, "region")
-    own, minor_own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("id"), F.col("minor_blocks")).cast("int")
+    rows = join_skewed(named, materialize(layout, "layout"), ["region"], "all_n", named.count(), F.col("id")).filter("main is not null")
+    rows = rows.join(reps.select("id", "regions"), "id").join(sets, "id")
+    rows = rows.withColumns({"own": F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), "own_minor": F.pmod(F.xxhash64("id"), F.col("minor_blocks")).cast("int")})
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    whole = rows.select("region", own.alias("block"), every("minor_blocks").alias("minor_block"), "id", "sketch", "comp", F.lit(False).alias("minor"))
-    minor = rows.filter("comp <> main").select("region", every("blocks").alias("block"), minor_own.alias("minor_block"), "id", "sketch", "comp", F.lit(True).alias("minor"))
+    carried = ["region", "id", "sketch", "comp", "regions", "shingles"]
+    is_minor = F.col("comp") != F.col("main")
+    whole = rows.select(*carried, F.col("own").alias("block"), every("minor_blocks").alias("minor_block"), F.lit(True).alias("here"), (is_minor & (F.col("own_minor") == F.col("minor_block"))).alias("minor"))
+    guests = rows.filter(is_minor & (F.col("blocks") > 1)).select(*carried, "own", every("blocks").alias("block"), F.col("own_minor").alias("minor_block"), F.lit(False).alias("here"), F.lit(True).alias("minor"))
+    guests = guests.filter("block <> own").drop("own")
+    least = least_estimate(percent)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, comp = frame["id"].to_numpy(), frame["comp"].to_numpy()
+        ids, comp, region = frame["id"].to_numpy(), frame["comp"].to_numpy().copy(), int(frame["region"].iloc[0])
         sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1)
-        minor = frame["minor"].to_numpy()
-        out = []
-        theirs = np.flatnonzero(~minor)
-        for i in np.flatnonzero(minor):
-            others = theirs[comp[theirs] != comp[i]]
-            good = others[(sketch[others] == sketch[i]).mean(axis=1) >= least]
-            out.append(np.stack([np.minimum(ids[good], ids[i]), np.maximum(ids[good], ids[i])], axis=1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    both = whole.unionByName(minor)
-    return both.groupBy("region", "block", "minor_block").applyInPandas(compare, "a long, b long").distinct()
+        shared = np.stack(frame["regions"].tolist())
+        sets_ = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
+        here, found = np.flatnonzero(frame["here"].to_numpy()), []
+        for i in np.flatnonzero(frame["minor"].to_numpy()):
+            others = here[(comp[here] != comp[i]) & (ids[here] != ids[i])]
+            estimate = (sketch[others] == sketch[i]).mean(axis=1)
+            others, estimate = others[estimate >= least], estimate[estimate >= least]
+            common = shared[others] == shared[i]
+            first = shared[i][common.argmax(axis=1)] == region if len(others) else np.zeros(0, bool)
+            for j in others[first][np.argsort(-estimate[first], kind="stable")]:
+                if comp[j] != comp[i] and similar(sets_[i], sets_[j], percent):
+                    found.append((ids[i], ids[j]))
+                    comp[comp == comp[j]] = comp[i]
+        return pd.DataFrame({"u": [int(u) for u, _ in found], "v": [int(v) for _, v in found]}, dtype="int64")
+
+    return whole.unionByName(guests).groupBy("region", "block", "minor_block").applyInPandas(compare, "u long, v long")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -230,17 +252,7 @@ def linked(percent: int) -> Column:
 
     @pandas_udf(BooleanType())
     def confirm(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right, strict=True):
-            one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if len(one) > len(two):
-                one, two = two, one
-            if len(one) * 100 < percent * len(two) or not len(one):
-                out.append(False)
-                continue
-            place = np.minimum(np.searchsorted(two, one), len(two) - 1)
-            same = int((two[place] == one).sum())
-            out.append(100 * same >= percent * (len(one) + len(two) - same))
+        out = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(left, right, strict=True)]
         return pd.Series(out, dtype=bool)
 
     return confirm("x", "y")
@@ -267,10 +279,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, id_c
     labels = connected_components(first)
     ends = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     open_pairs = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    tried = best.select("a", "b")
-    rest = open_pairs.unionByName(between_components(members, labels, least_estimate(percent))).distinct().join(tried, ["a", "b"], "left_anti")
-    second = materialize(confirmed(rest, sets, percent), "links")
+    second = materialize(confirmed(open_pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), sets, percent), "links")
     labels = materialize(connected_components(first.unionByName(second)), "labels")
+    third = materialize(between_components(members, labels, reps, sets, percent), "links")
+    labels = materialize(connected_components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(third)), "labels")
     groups = classes.join(labels, classes["rep"] == labels["node"], "left")
     groups = materialize(groups.select("cls", "n", F.coalesce("component", "rep").alias("component_id")), "groups")
     found = join_skewed(rows.select("id", "cls", "n_shingles"), groups, ["cls"], "n", rows.count(), F.col("id"))
