@@ -5,13 +5,15 @@ smallest fingerprint of its GRAM-byte pieces; equal windows have equal anchors a
 repeat if its anchor's fingerprint does, and only windows with one fingerprint have to be brought together.
 
 1. Every text gives the fingerprints of its anchors (one in about 75 bytes); those that occur twice are kept.
-2. A task turns its texts into a shard: for each kept anchor the bytes before and after it that its windows cover.
+2. A task turns its texts into a shard: for each kept anchor the bytes before and after it that its windows cover, one row
+   for each distinct context and task, so that a passage in a third of all texts reaches its owner once per task.
 3. The owner of a fingerprint merges the shards' suffix orders: all suffixes that start at the anchor begin in one block, and
    the interleave is refined block by block with the next bytes of those still together, settled ones being left alone;
    where a block splits, the common prefix of the neighbours is known. The same is done with the preceding bytes, read leftwards.
    A window that starts o bytes before the anchor repeats when it shares its block of common prefix LENGTH - o and its
    block of preceding o bytes with another: the repeated intervals come from the two orders, suffixes inside are never sorted.
-4. The repeated windows of a text are merged to the spans that are removed.
+4. The runs of repeated windows go back to the places of their contexts (hot ones by broadcast) and are merged to the spans that
+   are removed.
 
 Equal texts are one text with a count: when it is 2 or more, every byte of a text of LENGTH bytes or more is repeated. Windows are compared
 on their bytes; two fingerprints that collide only share a block until the first byte that differs.
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from docsync.llm.common import join_skewed, materialize
 
 LENGTH, GRAM = 200, 48
-#: Contexts that an owner task takes at a time, about.
-PART = 60_000
+#: Anchors for each part that an owner task takes at a time, and distinct contexts that a shard holds at a time.
+PART, HELD = 30_000, 200_000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -179,46 +181,57 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     shared = long.select("body", "t1", "t2", named).join(wanted.hint("shuffle_hash"), ["t1", "t2", "name"]).select("t1", "t2", "body", "fps")
     shared = materialize(shared, "shared")
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def places(part: pd.DataFrame) -> Iterator[tuple[int, int, int, int, int, int, bytes, bytes]]:
+        for t1, t2, body, fps in part[["t1", "t2", "body", "fps"]].itertuples(index=False):
+            raw = body.encode("utf-8", "surrogatepass")
+            fp, place, lo, hi = anchors(np.frombuffer(raw, np.uint8), length, gram)
+            fp = fp.view(np.int64)
+            for k in np.flatnonzero(np.isin(fp, fps)):
+                left, context = int(place[k] - lo[k]), raw[lo[k] : hi[k] + length]
+                digest = hashlib.blake2b(context, digest_size=16, salt=left.to_bytes(4, "little")).digest()
+                yield int(fp[k]), t1, t2, int(lo[k]), left, int(hi[k] - lo[k] + 1), digest, context
+
+    def shard(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The distinct contexts of a task, each with its number of occurrences."""
+        held: dict[bytes, list] = {}
+        columns = ["fp", "left", "windows", "digest", "context", "n"]
         for frame in frames:
-            sent: set[bytes] = set()
             for start in range(0, len(frame), 500):
-                rows = []
-                for t1, t2, body, fps in frame.iloc[start : start + 500][["t1", "t2", "body", "fps"]].itertuples(index=False):
-                    raw = body.encode("utf-8", "surrogatepass")
-                    fp, place, lo, hi = anchors(np.frombuffer(raw, np.uint8), length, gram)
-                    fp = fp.view(np.int64)
-                    for k in np.flatnonzero(np.isin(fp, fps)):
-                        left, context = int(place[k] - lo[k]), raw[lo[k] : hi[k] + length]
-                        digest = hashlib.blake2b(context, digest_size=16, salt=left.to_bytes(4, "little")).digest()
-                        rows.append((int(fp[k]), t1, t2, int(lo[k]), left, int(hi[k] - lo[k] + 1), digest, None if digest in sent else context))
-                        sent.add(digest)
-                yield pd.DataFrame(rows, columns=["fp", "t1", "t2", "lo", "left", "windows", "digest", "context"])
-
-    parts = max(1, total // PART)
-    contexts = shared.mapInPandas(cut, "fp long, t1 long, t2 long, lo long, left int, windows int, digest binary, context binary")
-    contexts = contexts.withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(parts)))
+                for fp, _, _, _, left, windows, digest, context in places(frame.iloc[start : start + 500]):
+                    if digest in held:
+                        held[digest][-1] += 1
+                    else:
+                        held[digest] = [fp, left, windows, digest, context, 1]
+                if len(held) > HELD:
+                    yield pd.DataFrame(list(held.values()), columns=columns)
+                    held.clear()
+        yield pd.DataFrame(list(held.values()), columns=columns)
+
+    def occurrences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for start in range(0, len(frame), 500):
+                rows = [(digest, t1, t2, lo) for _, t1, t2, lo, _, _, digest, _ in places(frame.iloc[start : start + 500])]
+                yield pd.DataFrame(rows, columns=["digest", "t1", "t2", "lo"])
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         code, _ = pd.factorize(frame["digest"])
-        order = np.lexsort((frame["context"].isna().to_numpy(), code))
-        first_of = order[np.concatenate(([True], code[order][1:] != code[order][:-1]))]
-        one = frame.iloc[first_of]  # in the order of the codes; the first of each carries the bytes
-        flags = repeated_windows(
-            one["fp"].to_numpy(), one["left"].to_numpy(np.int64), one["windows"].to_numpy(np.int64), one["context"].tolist(), np.bincount(code), length
-        )
-        flags &= np.arange(flags.shape[1]) < one["windows"].to_numpy()[:, None]
+        one = frame.iloc[np.unique(code, return_index=True)[1]]
+        times = np.bincount(code, weights=frame["n"]).astype(np.int64)
+        windows = one["windows"].to_numpy(np.int64)
+        flags = repeated_windows(one["fp"].to_numpy(), one["left"].to_numpy(np.int64), windows, one["context"].tolist(), times, length)
+        flags &= np.arange(flags.shape[1]) < windows[:, None]
         row, start, end = _runs(flags)
-        first, count = np.searchsorted(row, np.arange(len(one))), np.bincount(row, minlength=len(one))
-        times = count[code]
-        at = np.repeat(first[code], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        lo = np.repeat(frame["lo"].to_numpy(), times)
-        return pd.DataFrame(
-            {"t1": np.repeat(frame["t1"].to_numpy(), times), "t2": np.repeat(frame["t2"].to_numpy(), times), "first": lo + start[at], "last": lo + end[at] + length}
-        )
-
-    spans = contexts.groupBy("part").applyInPandas(merge, "t1 long, t2 long, first long, last long")
-    return shared.select("t1", "t2", "body"), materialize(spans, "spans")
+        return pd.DataFrame({"digest": one["digest"].to_numpy()[row], "n": times[row], "first": start, "last": end + length})
+
+    parts = max(1, total // PART)
+    contexts = shared.mapInPandas(shard, "fp long, left int, windows int, digest binary, context binary, n long")
+    contexts = contexts.withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(parts)))
+    runs = contexts.groupBy("part").applyInPandas(merge, "digest binary, n long, first int, last int")
+    runs = runs.groupBy("digest").agg(F.max("n").alias("n"), F.collect_list(F.struct("first", "last")).alias("runs"))
+    found = shared.mapInPandas(occurrences, "digest binary, t1 long, t2 long, lo long")
+    found = join_skewed(found, materialize(runs, "runs"), ["digest"], "n", total, F.xxhash64("t1", "lo")).filter("n is not null")
+    spans = found.select("t1", "t2", "lo", F.explode("runs").alias("r")).select("t1", "t2", (F.col("lo") + F.col("r.first")).alias("first"), (F.col("lo") + F.col("r.last")).alias("last"))
+    return shared.select("t1", "t2", "body"), spans
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
