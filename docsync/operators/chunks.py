@@ -129,13 +129,21 @@ def bag_of_words(dims: int = 32) -> Callable[[Column], Column]:
 
     def embed(text: Column) -> Column:
         words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: F.length(w) > 0)
-        slots = F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 4), 16, 10).cast("int"), F.lit(dims)))
+        slots = F.transform(words, lambda w: F.pmod(_hex4(F.md5(w.cast("binary"))), F.lit(dims)))
         return F.aggregate(F.array(F.named_struct(F.lit("slots"), slots)), F.array().cast("array<double>"), lambda _, x: _counts(x["slots"], dims))
 
     embed.additive = True
     return embed
 
 
+def _hex4(digest: Column) -> Column:
+    """The number that the first four hex digits write."""
+    value = F.lit(0)
+    for place in range(1, 5):
+        value = value * 16 + F.position(F.substring(digest, place, 1), F.lit("123456789abcdef"))
+    return value
+
+
 def _counts(slots: Column, dims: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: (F.size(slots) - F.size(F.array_remove(slots, d))).cast("double"))
 
@@ -172,15 +180,15 @@ def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callab
     embed = embed or bag_of_words()
     group = Window.partitionBy("source_path", "paragraph_num")
     order = group.orderBy("sent_idx")
-    rows = sentences(paragraphs)
+    rows = sentences(paragraphs).repartition("source_path")  # sentences are smaller than their vectors
     if getattr(embed, "additive", False):
         add = lambda x, y: F.when(y.isNull(), x).otherwise(F.zip_with(x, y, lambda p, q: p + q))
-        rows = rows.withColumn("own", embed(F.col("sentence"))).repartition("source_path")
+        rows = rows.withColumn("own", embed(F.col("sentence")))
         rows = rows.withColumns({"b": F.lag("own").over(order), "a": F.lead("own").over(order)})
         rows = rows.withColumn("vector", add(add(F.col("own"), F.col("b")), F.col("a"))).drop("own", "b", "a")
     else:
         context = F.concat_ws(" ", F.lag("sentence").over(order), F.col("sentence"), F.lead("sentence").over(order))
-        rows = rows.repartition("source_path").withColumn("context", context).withColumn("vector", embed(F.col("context")))
+        rows = rows.withColumn("context", context).withColumn("vector", embed(F.col("context")))
     rows = rows.withColumn("next_vector", F.lead("vector").over(order))
     rows = rows.withColumn("distance", F.when(F.col("next_vector").isNotNull(), cosine_distance(F.col("vector"), F.col("next_vector"))))
     rows = rows.withColumn("threshold", F.round(F.percentile("distance", F.lit(percentile / 100)).over(group), 9))
