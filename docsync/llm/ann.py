@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from docsync.llm.common import join_skewed, materialize
 
 SAMPLE, GROUP, PER_BUCKET = 2048, 8192, 64
-TABLES, REACH, WIDTH = 4, 0.5, 2.0
+TABLES, REACH, WIDTH = 4, 0.56, 2.0
 
 
 @dataclass
