@@ -55,18 +55,23 @@ def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
     return join_skewed(edges, least, ["u"], "w", n, F.col("v"))
 
 
+def settled(links: DataFrame) -> bool:
+    """Whether the links (u > v) are stars: every node hangs on one centre, and no centre hangs on another."""
+    hung = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    centre = links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    ends = hung.unionByName(centre).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v: long): component is the smallest node reachable."""
     links = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = materialize(contract_locally(links).distinct(), "links")
-    state = None
-    for _ in range(max_rounds):
+    rounds = 0
+    while not settled(links):
+        rounds += 1
+        if rounds > max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         links = materialize(star_round(links), "links")
-        now = links.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     whole = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return whole.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
