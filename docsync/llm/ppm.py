@@ -7,9 +7,10 @@ from all counts. Below the empty context every byte left has the same share. A t
 holds, so that ends are predicted too and the probabilities of all texts add up to at most one.
 
 Counting: each task sorts its own (order + 1)-grams, and the sums meet by gram; shorter contexts are sums of longer ones, so they
-come from the same table. The trie keeps a gram when it makes up at least ``share`` of all grams of its order: at most 1/share grams of
-an order can, at any corpus size, which is the proven bound of what is broadcast. Every byte of every text
-is counted and scored; a gram that is too rare to keep is predicted from its shorter contexts.
+come from the same table. Nothing is pruned: the trie is one written table of contexts per context length, with all followers (at most 256) in
+the context's row. The score of a byte depends on its (order + 1)-gram alone. Grams that make up at least ``share`` of all (at most 1/share can, at any
+corpus size, which is the proven bound of what is broadcast) are looked up in the tasks; the texts' other grams are joined
+with the tables by shuffle: counted ones with their scores, the rest down the context lengths, each distinct gram once.
 
 The unigram base counts all words exactly. Words that make up at least FREQUENT of all tokens (so at most 1/FREQUENT)
 are looked up in the tasks; the others are joined with the count table by shuffle.
@@ -103,7 +104,7 @@ class Level:
 
 
 class Trie:
-    """The pretrained model: one Level per context length, the longest last."""
+    """The model in one process, for counts that fit there: one Level per context length, the longest last. ``score`` does the same by joins."""
 
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
         """counts: for each context length from 0 the sorted grams and their counts."""
@@ -165,18 +166,60 @@ class Trie:
         return out
 
 
-def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, share: float = SHARE) -> Trie:
-    """The trie of all texts of ``docs``; only grams that make up ``share`` of their order reach the driver."""
-    longest = materialize(gram_counts(docs.select(F.col(text_col).alias("text")), order), "grams")
-    total = longest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts, table = [], longest
+def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> list[DataFrame]:
+    """The trie of all texts of ``docs``: for each context length from 0 a table (context, total, kinds, followers, mass, further)
+    with the meanings of ``Level``; followers maps each next byte to its count."""
+    table = materialize(gram_counts(docs.select(F.col(text_col).alias("text")), order), "grams")
+    made = []
     for k in range(order, -1, -1):
         if k < order:
             shorter = F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1))
             table = materialize(table.groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams")
-        kept = table.filter(F.col("n") >= F.lit(total * share)).toPandas().sort_values("gram")
-        counts.append((kept["gram"].to_numpy(np.int64).view(np.uint64), kept["n"].to_numpy(np.float64)))
-    return Trie(counts[::-1])
+        follower = F.struct(F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("byte"), "n")
+        entries = F.map_from_entries(F.collect_list(follower)).alias("followers")
+        made.append(table.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), entries))
+    levels = [materialize(made[-1].withColumns({"mass": F.lit(0.0), "further": F.lit(0.0)}), "contexts")]
+    for k in range(1, order + 1):
+        low = levels[-1].select(F.col("context").alias("shorter"), *[F.col(c).alias(f"low_{c}") for c in ("total", "kinds", "followers")])
+        low = made[order - k].join(low, F.col("context").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)) == F.col("shorter"))
+        again = F.aggregate(F.map_keys("followers"), F.lit(0).cast("long"), lambda found, byte: found + F.element_at("low_followers", byte))
+        left = F.col("low_kinds") - F.col("kinds")
+        mass = F.log10(F.col("low_total") - again + left)
+        masses = {"mass": F.when(left > 0, mass).otherwise(0.0), "further": F.when(left > 0, F.log10(left) - mass).otherwise(0.0)}
+        levels.append(materialize(low.withColumns(masses).select(*levels[0].columns), "contexts"))
+    return levels
+
+
+def counted_scores(longest: DataFrame) -> DataFrame:
+    """(gram, n, score) of every gram of the table of the longest contexts."""
+    each = longest.select("context", F.log10(F.col("total") + F.col("kinds")).alias("whole"), F.explode("followers").alias("byte", "n"))
+    return each.select(F.shiftleft("context", 8).bitwiseOR(F.col("byte").cast("long")).alias("gram"), "n", (F.log10("n") - F.col("whole")).alias("score"))
+
+
+def uncounted_scores(grams: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(gram, score) of distinct ``grams`` (gram), by one join per context length; what is found leaves. Contexts of up to one byte
+    (257 rows) are broadcast."""
+    nothing = F.lit(None).cast("double")
+    todo, done = grams.select("gram", F.lit(0.0).alias("score"), nothing.alias("above_mass"), nothing.alias("above_further")), None
+    for k in range(len(levels) - 1, -1, -1):
+        level = F.broadcast(levels[k]) if k < 2 else levels[k]
+        context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * k)) - 1))
+        n = F.element_at("followers", F.col("gram").bitwiseAND(F.lit(255)).cast("int"))
+        whole, fresh = F.log10(F.col("total") + F.col("kinds")), F.col("above_mass").isNull()
+        step = (
+            F.when(n.isNotNull(), F.log10(n) - F.coalesce("above_mass", whole))
+            .when(~fresh, F.col("above_further"))
+            .when(F.col("context").isNotNull(), F.log10("kinds") - whole)
+            .otherwise(0.0)
+        )
+        found = todo.join(level, context == F.col("context"), "left")
+        found = found.select("gram", (F.col("score") + step).alias("score"), F.col("mass").alias("above_mass"), F.col("further").alias("above_further"), n.isNotNull().alias("hit"))
+        found = materialize(found, "lookup")
+        hits, todo = found.filter("hit").select("gram", "score"), found.filter("not hit").drop("hit")
+        done = hits if done is None else done.unionByName(hits)
+    seen = levels[0].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    last = -math.log10(256 - seen) if seen < 256 else 0.0
+    return done.unionByName(todo.select("gram", (F.col("score") + F.lit(last)).alias("score")))
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -209,20 +252,34 @@ def score(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", text_c
     words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens, kinds = words + ends, kinds + (ends > 0)
     frequent = vocabulary.filter(F.col("c") >= F.lit(max(tokens * FREQUENT, 1.0))).toPandas()
-    trie = learn(learn_from, text_col, order, share)
+    levels = learn(learn_from, text_col, order)
+    counted = counted_scores(levels[order])
+    n_grams = levels[0].agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    is_usual = F.col("n") >= F.lit(float(n_grams * share))
+    usual_grams = counted.filter(is_usual).select("gram", "score").toPandas().sort_values("gram")
     logs = np.log10(frequent["c"].to_numpy(float) + 1) - math.log10(tokens + kinds + 1)
     known = spark.sparkContext.broadcast(dict(zip(map(bytes, frequent["token"]), logs.tolist(), strict=True)))
-    model = spark.sparkContext.broadcast(trie)
+    model = spark.sparkContext.broadcast((usual_grams["gram"].to_numpy(np.int64), usual_grams["score"].to_numpy(np.float64)))
     end = math.log10((ends + 1) / (tokens + kinds + 1))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, trie = known.value, model.value
+        table, (usual_grams, usual_scores) = known.value, model.value
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
             for part in sliced(texts, CHUNK_CHARS):
                 coded = [t.encode("utf-8", "surrogatepass") for t in texts[part]]
-                grams, sizes = grams_of(coded, trie.order)
-                totals = np.add.reduceat(trie.scores(grams), np.concatenate(([0], np.cumsum(sizes)[:-1])))
+                grams, sizes = grams_of(coded, order)
+                which, distinct = pd.factorize(grams.view(np.int64))
+                at = np.searchsorted(usual_grams, distinct)
+                hit = np.zeros(len(distinct), bool)
+                hit[at < len(usual_grams)] = usual_grams[at[at < len(usual_grams)]] == distinct[at < len(usual_grams)]
+                each = np.zeros(len(distinct))
+                each[hit] = usual_scores[at[hit]]
+                totals = np.add.reduceat(each[which], np.concatenate(([0], np.cumsum(sizes)[:-1])))
+                open_ = ~hit[which]
+                pairs, gram_times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[open_] * len(distinct) + which[open_], return_counts=True)
+                edges = np.searchsorted(pairs, np.arange(1, len(sizes)) * len(distinct))
+                rare_grams, gram_times = np.split(distinct[pairs % max(1, len(distinct))], edges), np.split(gram_times, edges)
                 n_tokens, n_known, base, rare, times = [], [], [], [], []
                 for text in coded:
                     seen = Counter(words_of(text))
@@ -233,21 +290,26 @@ def score(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", text_c
                     base.append(math.fsum([n * x for n, x in usual]) + end)
                     rare.append(list(others))
                     times.append(list(others.values()))
-                yield pd.DataFrame({"id": frame["id"].iloc[part].array, "n_tokens": n_tokens, "n_known": n_known, "base": base, "score": totals, "rare": rare, "times": times})
+                yield pd.DataFrame({"id": frame["id"].iloc[part].array, "n_tokens": n_tokens, "n_known": n_known, "base": base, "score": totals, "rare": rare, "times": times, "grams": rare_grams, "gram_times": gram_times})
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {id_type}, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<long>"
+    schema = f"id {id_type}, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<long>, grams array<long>, gram_times array<long>"
     scored = materialize(given.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     each = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("token"), F.col("w.times").alias("n"))
     each = each.join(vocabulary, "token", "left")
     part = F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - F.lit(math.log10(tokens + kinds + 1)))
     others = each.groupBy("row").agg(F.sum(part).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("more_known"))
-    whole = scored.select("id", "row", "n_tokens", "n_known", "base", "score").join(others, "row", "left")
+    pairs = scored.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.gram_times").alias("n"))
+    unusual = counted.filter(~is_usual).select("gram", "score")
+    uncounted = materialize(pairs.select("gram").distinct().join(unusual, "gram", "left_anti"), "uncounted")
+    each_gram = pairs.join(unusual.unionByName(uncounted_scores(uncounted, levels)), "gram")
+    by_row = each_gram.groupBy("row").agg(F.sum(F.col("n") * F.col("score")).alias("more_score"))
+    whole = scored.select("id", "row", "n_tokens", "n_known", "base", "score").join(others, "row", "left").join(by_row, "row", "left")
     return whole.select(
         F.col("id").alias(id_col),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )

@@ -247,6 +247,18 @@ def test_score_query(spark, corpus):
         assert got[i].score == pytest.approx(brute_ppm([x.encode() for x in train], ppm.ORDER, 1, t.encode()), abs=1e-6)
 
 
+@pytest.mark.parametrize(("share", "order"), [(2.0, 3), (0.02, 2)])
+def test_rare_grams_are_scored_from_their_full_contexts(spark, share, order):
+    texts = ["abcabcabcabd", "abcab xyz", "é日本", "", None, "aaaaaaaa"]
+    rows = [*enumerate(texts), (6, "abd zzz q"), (7, "\0\1"), (8, "abcabcabcabd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = [(t or "").encode() for t in texts]
+    got = {r.doc_id: r.score for r in ppm.score(docs, docs.filter("doc_id < 6"), order=order, share=share).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert got[i] == pytest.approx(brute_ppm(learned, order, 1, (t or "").encode()), abs=1e-9), i
+
+
 # 5 BPE
 
 
