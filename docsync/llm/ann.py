@@ -135,11 +135,15 @@ def _search(k: int):
                 if lo == hi:
                     continue
                 block = rows[lo:hi]
+                repeated = len(np.unique(ids[lo:hi])) < hi - lo
                 for i in by[start:end]:
                     gap = np.sqrt(((block - wants[i]) ** 2).sum(axis=1))
                     other = np.flatnonzero(ids[lo:hi] != names[i])
                     if len(other) > k:
-                        limit = np.partition(gap[other], k - 1)[k - 1]
+                        if repeated:  # the nearest row of each id
+                            other = other[np.lexsort((gap[other], ids[lo:hi][other]))]
+                            other = other[np.unique(ids[lo:hi][other], return_index=True)[1]]
+                        limit = np.partition(gap[other], min(k, len(other)) - 1)[min(k, len(other)) - 1]
                         other = other[gap[other] <= limit]
                         other = other[np.lexsort((ids[lo:hi][other], gap[other]))[:k]]
                     found.append((np.full(len(other), names[i]), ids[lo:hi][other], gap[other]))
