@@ -152,8 +152,11 @@ def detect(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_identified(docs: DataFrame, profiles: DataFrame, text_col: str = "text", dims: int = DIMS) -> DataFrame:
     """``docs`` without the rows for which no language can be told (no letter at all), all columns kept. Only those go:
-    short or odd texts score low with every language and are still documents."""
-    model = docs.sparkSession.sparkContext.broadcast(Predictor(profiles, dims))
+    short or odd texts score low with every language and are still documents. When nothing was labelled nothing can be told of any row, and all stay."""
+    predictor = Predictor(profiles, dims)
+    if not predictor.langs:
+        return docs
+    model = docs.sparkSession.sparkContext.broadcast(predictor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -103,6 +103,14 @@ def test_filter_keeps_all_columns_and_clean_rows(spark):
     assert kept.schema == odd.schema and {r.doc_id for r in kept.collect()} == {3, 4, 6, 7, 8, 9, 11}
 
 
+def test_filter_keeps_all_rows_when_nothing_is_labelled(spark):
+    bare = documents(spark, ODD).withColumn("lang", F.lit(None).cast("string"))
+    blank = bare.withColumn("lang", F.when(F.col("text").isNull(), "en"))
+    for docs in (bare, blank):
+        kept = langid.keep_identified(docs, langid.learn_profiles(docs))
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(len(ODD)))
+
+
 # 2 exact dedup
 
 
