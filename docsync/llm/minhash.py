@@ -291,6 +291,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, id_c
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, all columns kept."""
-    verdict = near_duplicates(docs, percent, id_col=id_col, text_col=text_col)
-    return without(docs, verdict.filter(~F.col("kept")), id_col)
+    """``docs`` with one document of each group of near-duplicates, all columns kept: the smallest id stays, null ids rank last.
+    Rows are judged by numbers that follow the ids and are written with the table, so rows that repeat an id or have none are judged one by one."""
+    order = F.col(id_col).asc_nulls_last(), F.xxhash64(text_col).asc()
+    ranked = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = materialize(ranked.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    verdict = near_duplicates(rows, percent, id_col="__row", text_col=text_col)
+    return without(rows, verdict.filter(~F.col("kept")), "__row").drop("__row")

@@ -151,6 +151,20 @@ def test_dropping_copies_keeps_columns(spark):
     assert kept.schema == odd.schema and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5, 6, 8, 9, 10, 11]
 
 
+TWICE = "doc_id long, text string, tag int"
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_copies, minhash.drop_near_copies])
+def test_dropping_copies_of_repeated_and_null_ids(spark, drop):
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(12)) for w in ("a", "b", "c", "d"))
+    rows = [(1, one, 0), (1, one, 1), (None, one, 2), (None, two, 3), (None, two, 4), (5, three, 5), (5, four, 6), (6, four, 7), (4, four, 8)]
+    kept = drop(spark.createDataFrame(rows, TWICE))
+    assert kept.columns == ["doc_id", "text", "tag"]
+    kept = kept.collect()
+    assert sorted(r.text for r in kept) == [one, two, three, four]
+    assert {r.text: r.doc_id for r in kept} == {one: 1, two: None, three: 5, four: 6 if drop is exact_dedup.drop_exact_copies else 4}
+
+
 # 3 HTML
 
 
