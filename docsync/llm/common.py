@@ -2,37 +2,75 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key that holds at least 1/HOT of all rows is "hot"; at most HOT keys can, so a table of
 #: hot keys has a proven bound and may be broadcast at any input size.
 HOT = 1024
+#: Bytes of an Arrow batch that goes to a Python worker, where the session leaves Spark's own default.
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder shared by driver and executors; set here only where the session names none."""
+    """The folder shared by driver and executors. One is made only where the session names none and all tasks run in the
+    driver's own process, as in tests; a cluster without one is an error, since its machines do not see each other's folders."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = f"/tmp/docsync-shared-{uuid.uuid4().hex}"
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="docsync-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends in
     files that survive a lost executor. The files go when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose batches for Python workers are from now on cut at BATCH_BYTES, so that long texts do not add up to
+    large batches. A size that the session has set itself is left as it is."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key).rstrip("bB") == str(64 << 20):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a Python worker, which gives freed memory back to the system when a task ends: workers are kept for the next stages."""
+
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def bucket_of(id_col: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id gives -1."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus, F.lit(-1))

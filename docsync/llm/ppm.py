@@ -6,86 +6,117 @@ D / (N + D), escapes to the context one byte shorter, where the followers alread
 from all counts. Below the empty context every byte left has the same share. A text is framed by 0xFF, which UTF-8 never
 holds, so that ends are predicted too and the probabilities of all texts add up to at most one.
 
-Counting: each task sorts its own (order + 1)-grams, and the sums meet by gram; shorter contexts are sums of longer ones, so they
-come from the same table. Nothing is pruned: the trie is one written table of contexts per context length, with all followers (at most 256) in
-the context's row. The score of a byte depends on its (order + 1)-gram alone. Grams that make up at least ``share`` of all (at most 1/share can, at any
-corpus size, which is the proven bound of what is broadcast) are looked up in the tasks; the texts' other grams are joined
-with the tables by shuffle: counted ones with their scores, the rest down the context lengths, each distinct gram once.
+The score of a byte depends on its (order + 1)-gram alone, and nothing is pruned or broadcast but the counts of STEM-grams (at most 256**STEM):
 
-The unigram base counts all words exactly. Words that make up at least FREQUENT of all tokens (so at most 1/FREQUENT)
-are looked up in the tasks; the others are joined with the count table by shuffle.
+1. Texts are cut into parts of about PART_BYTES. A part lists its distinct grams and words once, with their counts in the texts learned from, dealt
+   into cells: grams by the last STEM bytes of their context, so that a cell holds all contexts and shorter contexts of its grams, words by a hash.
+2. The owner of a cell merges the parts' lists as they stream by, builds the cell's trie and scores its distinct grams.
+3. The cell's scores meet the lists of the parts, and each part gets back the scores and counts of what it holds.
+4. Each part is scored with them.
+
+A task holds the distinct grams or words of one cell, or one part; cells grow in number with the square root of the input, the lists in proportion to it.
+The unigram base counts all words exactly in the same way.
 
 Defined results: a null text counts as empty and is scored as an end alone; with nothing to learn from every byte has probability 1/256 and
-every base token log10(1 / 1); rows repeating an id are scored apart; further columns are not read.
+every base token log10(1 / 1); a null in the choice of texts to learn from counts as no; rows repeating an id are scored apart; further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsync.llm.bpe import sliced
-from docsync.llm.common import materialize
+from docsync.llm.common import bounded_batches, materialize, tidy
+
+ORDER, STEM = 5, 2
+#: Bytes and texts of a part, and bytes handled at a time inside it.
+PART_BYTES, PART_TEXTS, SLICE = 24 << 20, 60_000, 1 << 22
+
+
+def packed(values: np.ndarray, delta: bool = False) -> bytes:
+    """An array as compressed bytes; sorted ones as differences."""
+    return zstandard.compress((np.diff(values, prepend=values.dtype.type(0)) if delta else values).tobytes(), 1)
+
+
+def unpacked(raw: bytes, dtype: type, delta: bool = False) -> np.ndarray:
+    values = np.frombuffer(zstandard.decompress(raw), dtype)
+    return np.cumsum(values, dtype=dtype) if delta else values
+
+
+def low(n_bytes: int) -> np.uint64:
+    """The mask of the last ``n_bytes`` bytes."""
+    return np.uint64((1 << (8 * n_bytes)) - 1)
+
+
+def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each key in a sorted table, -1 where it is not there."""
+    if not len(table):
+        return np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, at, -1)
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
+    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+
+
+class Merger:
+    """Adds up sorted lists of keys and counts, holding little more than the distinct keys."""
+
+    def __init__(self) -> None:
+        self.held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((keys, counts))
+        self.size += len(keys)
+        if self.size > len(self.held[0]) + 1_000_000:
+            self.total()
 
-ORDER, SHARE, FREQUENT = 5, 2.0**-23, 2.0**-18
-CHUNK_CHARS, MAX_WORDS = 4_000_000, 300_000
-FRAME = 0xFF
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        self.held = summed(np.concatenate([self.held[0], *[k for k, _ in self.waiting]]), np.concatenate([self.held[1], *[n for _, n in self.waiting]]))
+        self.waiting, self.size = [], 0
+        return self.held
 
 
-def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """One packed (order + 1)-gram per byte and end of each text, and the number of grams of each text."""
+def grams_of(texts: list[bytes], order: int, most: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """The (order + 1)-gram of every byte and end of the texts, in slices: grams, the text of each counted from the slice's first, and that first one."""
     frame = b"\xff" * order
-    whole = np.frombuffer(b"".join(frame + t + b"\xff" for t in texts), np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    n = len(whole) - order
-    packed = np.zeros(max(n, 0), np.uint64)
-    for j in range(order + 1):
-        packed <<= np.uint64(8)
-        packed |= whole[j : n + j]
-    ends = np.cumsum(sizes + order)
-    inside = np.ones(max(n, 0), bool)
-    for j in range(order):
-        at = ends[:-1] - j - 1
-        inside[at[at < n]] = False
-    return packed[inside], sizes
-
-
-def gram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """(gram bigint, n bigint) over all texts."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, waiting = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            grams = np.concatenate([held[0], *[g for g, _ in waiting]])
-            counts = np.concatenate([held[1], *[n for _, n in waiting]])
-            order_ = np.argsort(grams, kind="stable")
-            grams, counts = grams[order_], counts[order_]
-            first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.zeros(0, int)
-            return grams[first], np.add.reduceat(counts, first) if len(grams) else counts
-
-        for frame in frames:
-            texts = [(t or "") for t in frame["text"]]
-            for part in sliced(texts, CHUNK_CHARS):
-                grams, _ = grams_of([t.encode("utf-8", "surrogatepass") for t in texts[part]], order)
-                waiting.append(np.unique(grams, return_counts=True))
-                if sum(len(g) for g, _ in waiting) > len(held[0]) + 1_000_000:
-                    held = merged()
-                    waiting.clear()
-                    if len(held[0]) > 4_000_000:
-                        yield pd.DataFrame({"gram": held[0].view(np.int64), "n": held[1]})
-                        held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        held = merged()
-        yield pd.DataFrame({"gram": held[0].view(np.int64), "n": held[1]})
-
-    return docs.mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    whole = np.frombuffer(b"".join(part for t in texts for part in (frame, t, b"\xff")), np.uint8)
+    ends = np.cumsum(np.array([len(t) + 1 + order for t in texts], np.int64))
+    for a in range(0, len(whole) - order, most):
+        b = min(a + most, len(whole) - order)
+        grams = np.zeros(b - a, np.uint64)
+        for j in range(order + 1):
+            grams <<= np.uint64(8)
+            grams |= whole[a + j : b + j]
+        first, last = np.searchsorted(ends, a, side="right"), np.searchsorted(ends, b - 1, side="right")
+        edges = np.clip(np.concatenate(([a], ends[first : last + 1])), a, b)
+        inside = np.ones(b - a, bool)
+        gaps = (ends[first : last + 1, None] - 1 - np.arange(order)).ravel()  # grams that end in the frame of the next text
+        inside[gaps[(gaps >= a) & (gaps < b)] - a] = False
+        owner = np.repeat(np.arange(last - first + 1), np.diff(edges))
+        yield grams[inside], owner[inside], int(first)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words between ASCII white space, with A-Z in lower case."""
+    return text.lower().split()
 
 
 @dataclass
@@ -104,10 +135,10 @@ class Level:
 
 
 class Trie:
-    """The model in one process, for counts that fit there: one Level per context length, the longest last. ``score`` does the same by joins."""
+    """The contexts of one cell (or of all texts): one Level per context length, the longest last."""
 
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
-        """counts: for each context length from 0 the sorted grams and their counts."""
+        """counts: for each context length from 0 the sorted grams and their counts, with every shorter form of a longer gram."""
         self.order, self.levels = len(counts) - 1, []
         totals: list[tuple[np.ndarray, np.ndarray]] = []
         for k, (grams, n) in enumerate(counts):
@@ -118,9 +149,8 @@ class Trie:
             mass = further = np.zeros(len(contexts))
             if k:
                 below, (low_total, low_kinds) = counts[k - 1], totals[k - 1]
-                mask = np.uint64((1 << (8 * (k - 1))) - 1)
-                shorter = np.searchsorted(self.levels[k - 1].contexts, contexts & mask)
-                same = np.searchsorted(below[0], grams & np.uint64((1 << (8 * k)) - 1))
+                shorter = np.searchsorted(self.levels[k - 1].contexts, contexts & low(k - 1))
+                same = np.searchsorted(below[0], grams & low(k))
                 rest = low_total[shorter] - np.bincount(owner, weights=below[1][same], minlength=len(contexts))
                 left = low_kinds[shorter] - kinds
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -131,19 +161,16 @@ class Trie:
             self.levels.append(level)
         seen = len(self.levels[0].grams)
         self.last = -math.log10(256 - seen) if seen < 256 else 0.0
-        self.index: list[tuple[pd.Index, pd.Index]] | None = None
 
     def scores(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each gram after the bytes before it."""
-        if self.index is None:  # built once in each worker
-            self.index = [(pd.Index(x.grams), pd.Index(x.contexts)) for x in self.levels]
         out = np.zeros(len(grams))
         todo = np.arange(len(grams))
         above = np.full(len(grams), -1)  # the longer context that has escaped to this one
         for k in range(self.order, -1, -1):
-            level, (gram_index, context_index) = self.levels[k], self.index[k]
-            key = grams[todo] & np.uint64((1 << (8 * (k + 1))) - 1)
-            at = gram_index.get_indexer(key)
+            level = self.levels[k]
+            key = grams[todo] & low(k + 1)
+            at = find(level.grams, key)
             hit, fresh = at >= 0, above < 0
             now = hit & fresh
             out[todo[now]] += level.top[at[now]]
@@ -156,7 +183,7 @@ class Trie:
                 above[~fresh] = longer.shorter[above[~fresh]]
             miss = ~hit
             todo, above, key, fresh = todo[miss], above[miss], key[miss], fresh[miss]
-            found = context_index.get_indexer(key[fresh] >> np.uint64(8))
+            found = find(level.contexts, key[fresh] >> np.uint64(8))
             above[fresh] = found
             new = found >= 0
             out[todo[fresh][new]] += level.escape[found[new]]
@@ -166,150 +193,220 @@ class Trie:
         return out
 
 
-def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> list[DataFrame]:
-    """The trie of all texts of ``docs``: for each context length from 0 a table (context, total, kinds, followers, mass, further)
-    with the meanings of ``Level``; followers maps each next byte to its count."""
-    table = materialize(gram_counts(docs.select(F.col(text_col).alias("text")), order), "grams")
-    made = []
-    for k in range(order, -1, -1):
-        if k < order:
-            shorter = F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1))
-            table = materialize(table.groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams")
-        follower = F.struct(F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("byte"), "n")
-        entries = F.map_from_entries(F.collect_list(follower)).alias("followers")
-        made.append(table.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), entries))
-    levels = [materialize(made[-1].withColumns({"mass": F.lit(0.0), "further": F.lit(0.0)}), "contexts")]
-    for k in range(1, order + 1):
-        low = levels[-1].select(F.col("context").alias("shorter"), *[F.col(c).alias(f"low_{c}") for c in ("total", "kinds", "followers")])
-        low = made[order - k].join(low, F.col("context").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)) == F.col("shorter"))
-        again = F.aggregate(F.map_keys("followers"), F.lit(0).cast("long"), lambda found, byte: found + F.element_at("low_followers", byte))
-        left = F.col("low_kinds") - F.col("kinds")
-        mass = F.log10(F.col("low_total") - again + left)
-        masses = {"mass": F.when(left > 0, mass).otherwise(0.0), "further": F.when(left > 0, F.log10(left) - mass).otherwise(0.0)}
-        levels.append(materialize(low.withColumns(masses).select(*levels[0].columns), "contexts"))
-    return levels
-
-
-def counted_scores(longest: DataFrame) -> DataFrame:
-    """(gram, n, score) of every gram of the table of the longest contexts."""
-    each = longest.select("context", F.log10(F.col("total") + F.col("kinds")).alias("whole"), F.explode("followers").alias("byte", "n"))
-    return each.select(F.shiftleft("context", 8).bitwiseOR(F.col("byte").cast("long")).alias("gram"), "n", (F.log10("n") - F.col("whole")).alias("score"))
-
-
-def uncounted_scores(grams: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(gram, score) of distinct ``grams`` (gram), by one join per context length; what is found leaves. Contexts of up to one byte
-    (257 rows) are broadcast."""
-    nothing = F.lit(None).cast("double")
-    todo, done = grams.select("gram", F.lit(0.0).alias("score"), nothing.alias("above_mass"), nothing.alias("above_further")), None
-    for k in range(len(levels) - 1, -1, -1):
-        level = F.broadcast(levels[k]) if k < 2 else levels[k]
-        context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * k)) - 1))
-        n = F.element_at("followers", F.col("gram").bitwiseAND(F.lit(255)).cast("int"))
-        whole, fresh = F.log10(F.col("total") + F.col("kinds")), F.col("above_mass").isNull()
-        step = (
-            F.when(n.isNotNull(), F.log10(n) - F.coalesce("above_mass", whole))
-            .when(~fresh, F.col("above_further"))
-            .when(F.col("context").isNotNull(), F.log10("kinds") - whole)
-            .otherwise(0.0)
-        )
-        found = todo.join(level, context == F.col("context"), "left")
-        found = found.select("gram", (F.col("score") + step).alias("score"), F.col("mass").alias("above_mass"), F.col("further").alias("above_further"), n.isNotNull().alias("hit"))
-        found = materialize(found, "lookup")
-        hits, todo = found.filter("hit").select("gram", "score"), found.filter("not hit").drop("hit")
-        done = hits if done is None else done.unionByName(hits)
-    seen = levels[0].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
-    last = -math.log10(256 - seen) if seen < 256 else 0.0
-    return done.unionByName(todo.select("gram", (F.col("score") + F.lit(last)).alias("score")))
+def trie_of(grams: np.ndarray, counts: np.ndarray, order: int, stems: tuple[np.ndarray, np.ndarray]) -> Trie:
+    """The trie of the longest grams of a cell; ``stems`` are the STEM-grams of all texts, which make the short contexts."""
+    levels = [(grams, counts)]
+    for k in range(order - 1, STEM - 1, -1):
+        levels.append(summed(levels[-1][0] & low(k + 1), levels[-1][1]))
+    levels.append(stems)
+    for k in range(STEM - 2, -1, -1):
+        levels.append(summed(levels[-1][0] & low(k + 1), levels[-1][1]))
+    return Trie(levels[::-1])
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words between ASCII white space, with A-Z in lower case."""
-    return text.lower().split()
-
-
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(token binary, c bigint) over all texts, without ends."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[bytes] = Counter()
-        for frame in frames:
-            for text in frame["text"]:
-                if text:
-                    seen.update(words_of(text.encode("utf-8", "surrogatepass")))
-                    if len(seen) > MAX_WORDS:
-                        yield pd.DataFrame({"token": list(seen), "c": list(seen.values())})
-                        seen.clear()
-        yield pd.DataFrame({"token": list(seen), "c": list(seen.values())})
-
-    return docs.select(F.col(text_col).alias("text")).mapInPandas(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
-
-
-def score(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, share: float = SHARE) -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``, both models learned from ``learn_from``."""
-    spark, id_type = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
-    vocabulary = materialize(word_counts(learn_from, text_col), "words")
-    ends = learn_from.count()
-    words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+@dataclass
+class Part:
+    """Some texts that are counted and scored together."""
+
+    order: int
+    cells: int
+    most: int
+    ids: list = field(default_factory=list)
+    texts: list[bytes] = field(default_factory=list)
+    learn: list[bool] = field(default_factory=list)
+    words: Counter = field(default_factory=Counter)
+    others: set[bytes] = field(default_factory=set)
+    size: int = 0
+
+    def add(self, name, text: bytes, learn: bool) -> None:
+        self.ids.append(name), self.texts.append(text), self.learn.append(learn)
+        self.size += len(text) + self.order + 1
+        (self.words if learn else self.others).update(words_of(text))
+
+    def full(self) -> bool:
+        return self.size >= self.most or len(self.texts) >= PART_TEXTS
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct grams and their counts in the texts learned from."""
+        learn, both = np.array(self.learn, np.uint64), Merger()
+        for grams, owner, first in grams_of(self.texts, self.order):
+            flagged = np.sort((grams << np.uint64(1)) | learn[first + owner])
+            both.add(*_runs(flagged))
+        flagged, counts = both.total()
+        return summed(flagged >> np.uint64(1), counts * (flagged & np.uint64(1)).astype(np.int64))
+
+    def rows(self, number: int) -> Iterator[dict]:
+        """The part's texts as one row with cell -1, its lists of grams (cells from 0) and of words (from ``cells``)."""
+        grams, counts = self.grams()
+        stems, times = summed(grams & low(STEM), counts)
+        stems, times = stems[times > 0].astype(np.int64).tolist(), times[times > 0].tolist()
+        blank = {"part": number, "ids": None, "n_learned": None, "stems": None, "times": None}
+        sizes = np.array([len(t) for t in self.texts], np.int64)
+        yield blank | {"cell": -1, "keys": zstandard.compress(b"".join(self.texts), 3), "counts": packed(sizes), "ids": self.ids, "n_learned": sum(self.learn), "stems": stems, "times": times}
+        stem = (grams >> np.uint64(8)) & low(STEM)
+        cell = (stem * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(self.cells)
+        order = np.argsort(cell, kind="stable")
+        edges = np.searchsorted(cell[order], np.arange(self.cells + 1, dtype=np.uint64))
+        for c, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            if a < b:
+                at = order[a:b]
+                yield blank | {"cell": c, "keys": packed(grams[at], delta=True), "counts": packed(counts[at])}
+        dealt: list[list[bytes]] = [[] for _ in range(self.cells)]
+        for w in self.words.keys() | self.others:
+            dealt[zlib.crc32(w) % self.cells].append(w)
+        for c, words in enumerate(dealt):
+            if words:
+                times = np.array([self.words[w] for w in words], np.int64)
+                yield blank | {"cell": self.cells + c, "keys": zstandard.compress(b"\n".join(words), 1), "counts": packed(times)}
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of a sorted array and how often each occurs."""
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, int)
+    return values[first], np.diff(np.append(first, len(values)))
+
+
+def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema)
+
+
+LISTS = "part long, cell int, keys binary, counts binary"
+_LISTED = pa.schema([("part", pa.int64()), ("cell", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def cut_into_parts(docs: DataFrame, order: int, cells: int, part_bytes: int) -> DataFrame:
+    """One table of the parts' texts and lists, from ``docs`` (id, text, learn)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, schema = TaskContext.get().partitionId(), 0, None
+        part = Part(order, cells, part_bytes)
+        for batch in batches:
+            schema = schema or pa.schema([*_LISTED, ("ids", pa.list_(batch.schema.field("id").type)), ("n_learned", pa.int64()), ("stems", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+            for name, text, learn in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "learn")), strict=True):
+                part.add(name, (text or "").encode("utf-8", "surrogatepass"), learn)
+                if part.full():
+                    yield from (_batch([row], schema) for row in part.rows(task << 32 | made))
+                    part, made = Part(order, cells, part_bytes), made + 1
+        if part.texts:
+            yield from (_batch([row], schema) for row in part.rows(task << 32 | made))
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    return bounded_batches(docs).mapInArrow(tidy(run), f"{LISTS}, ids array<{id_type}>, n_learned long, stems array<long>, times array<long>")
+
+
+def learn_cells(lists: DataFrame, order: int, cells: int, stems: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(cell, keys, values, total, kinds) of every cell: its distinct grams and their scores, or its words and their counts."""
+    schema = pa.schema([("cell", pa.int32()), ("keys", pa.binary()), ("values", pa.binary()), ("total", pa.int64()), ("kinds", pa.int64())])
+
+    def learned(cell: int, merger: Merger, words: dict[bytes, int]) -> pa.RecordBatch:
+        if cell < cells:
+            grams, counts = merger.total()
+            seen = counts > 0
+            scores = trie_of(grams[seen], counts[seen], order, stems).scores(grams)
+            row = {"keys": packed(grams, delta=True), "values": packed(scores), "total": 0, "kinds": 0}
+        else:
+            counts = np.fromiter(words.values(), np.int64, len(words))
+            row = {"keys": zstandard.compress(b"\n".join(words), 1), "values": packed(counts), "total": int(counts.sum()), "kinds": len(words)}
+        return _batch([{"cell": cell, **row}], schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, merger, words = None, Merger(), {}
+        for batch in batches:
+            for cell, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("cell", "keys", "counts")), strict=True):
+                if cell != now:
+                    if now is not None:
+                        yield learned(now, merger, words)
+                    now, merger, words = cell, Merger(), {}
+                times = unpacked(counts, np.int64)
+                if cell < cells:
+                    merger.add(unpacked(keys, np.uint64, delta=True), times)
+                else:
+                    for w, n in zip(zstandard.decompress(keys).split(b"\n"), times.tolist(), strict=True):
+                        if n:
+                            words[w] = words.get(w, 0) + n
+        if now is not None:
+            yield learned(now, merger, words)
+
+    dealt = lists.select("cell", "keys", "counts").repartition("cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(tidy(run), "cell int, keys binary, values binary, total long, kinds long")
+
+
+def hand_back(lists: DataFrame, model: DataFrame, cells: int) -> DataFrame:
+    """The lists with the scores or counts of their grams and words: (part, cell, keys, counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = values = None
+        words: dict[bytes, int] = {}
+        for batch in batches:
+            for part, cell, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "cell", "keys", "counts")), strict=True):
+                if part is None and cell < cells:
+                    grams, values = unpacked(keys, np.uint64, delta=True), unpacked(counts, np.float64)
+                elif part is None:
+                    words = dict(zip(zstandard.decompress(keys).split(b"\n"), unpacked(counts, np.int64).tolist(), strict=False))
+                elif cell < cells:
+                    yield _batch([{"part": part, "cell": cell, "keys": keys, "counts": packed(values[np.searchsorted(grams, unpacked(keys, np.uint64, delta=True))])}], _LISTED)
+                else:
+                    times = np.array([words.get(w, 0) for w in zstandard.decompress(keys).split(b"\n")], np.int64)
+                    yield _batch([{"part": part, "cell": cell, "keys": keys, "counts": packed(times)}], _LISTED)
+
+    known = model.select(F.lit(None).cast("long").alias("part"), "cell", "keys", F.col("values").alias("counts"))
+    dealt = lists.select("part", "cell", "keys", "counts").unionByName(known).repartition("cell")
+    return dealt.sortWithinPartitions("cell", F.col("part").asc_nulls_first()).mapInArrow(tidy(run), LISTS)
+
+
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(id, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``, both models learned from the rows where ``learn`` holds."""
+    if not STEM <= order <= 5:
+        raise ValueError(f"order must be from {STEM} to 5")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    n_bytes = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cells = max(8, math.ceil(4 * math.sqrt(n_bytes / part_bytes)))
+    table = materialize(cut_into_parts(given, order, cells, part_bytes), "ppm-parts", compression="none")
+    texts, lists = table.filter("cell < 0"), table.filter("cell >= 0")
+    ends = texts.agg(F.coalesce(F.sum("n_learned"), F.lit(0))).first()[0]
+    each = texts.select(F.explode(F.arrays_zip("stems", "times")).alias("s")).groupBy(F.col("s.stems").alias("stem")).agg(F.sum("s.times").alias("n"))
+    found = sorted(each.collect())  # at most 256**STEM rows
+    stems = np.array([r[0] for r in found], np.uint64), np.array([r[1] for r in found], np.int64)
+    model = materialize(learn_cells(lists, order, cells, stems), "ppm-model", compression="none")
+    words, kinds = model.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     tokens, kinds = words + ends, kinds + (ends > 0)
-    frequent = vocabulary.filter(F.col("c") >= F.lit(max(tokens * FREQUENT, 1.0))).toPandas()
-    levels = learn(learn_from, text_col, order)
-    counted = counted_scores(levels[order])
-    n_grams = levels[0].agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    is_usual = F.col("n") >= F.lit(float(n_grams * share))
-    usual_grams = counted.filter(is_usual).select("gram", "score").toPandas().sort_values("gram")
-    logs = np.log10(frequent["c"].to_numpy(float) + 1) - math.log10(tokens + kinds + 1)
-    known = spark.sparkContext.broadcast(dict(zip(map(bytes, frequent["token"]), logs.tolist(), strict=True)))
-    model = spark.sparkContext.broadcast((usual_grams["gram"].to_numpy(np.int64), usual_grams["score"].to_numpy(np.float64)))
-    end = math.log10((ends + 1) / (tokens + kinds + 1))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, (usual_grams, usual_scores) = known.value, model.value
-        for frame in frames:
-            texts = [t or "" for t in frame["text"]]
-            for part in sliced(texts, CHUNK_CHARS):
-                coded = [t.encode("utf-8", "surrogatepass") for t in texts[part]]
-                grams, sizes = grams_of(coded, order)
-                which, distinct = pd.factorize(grams.view(np.int64))
-                at = np.searchsorted(usual_grams, distinct)
-                hit = np.zeros(len(distinct), bool)
-                hit[at < len(usual_grams)] = usual_grams[at[at < len(usual_grams)]] == distinct[at < len(usual_grams)]
-                each = np.zeros(len(distinct))
-                each[hit] = usual_scores[at[hit]]
-                totals = np.add.reduceat(each[which], np.concatenate(([0], np.cumsum(sizes)[:-1])))
-                open_ = ~hit[which]
-                pairs, gram_times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[open_] * len(distinct) + which[open_], return_counts=True)
-                edges = np.searchsorted(pairs, np.arange(1, len(sizes)) * len(distinct))
-                rare_grams, gram_times = np.split(distinct[pairs % max(1, len(distinct))], edges), np.split(gram_times, edges)
-                n_tokens, n_known, base, rare, times = [], [], [], [], []
-                for text in coded:
-                    seen = Counter(words_of(text))
-                    others = {w: n for w, n in seen.items() if w not in table}
-                    usual = [(n, table[w]) for w, n in seen.items() if w in table]
-                    n_tokens.append(seen.total() + 1)
-                    n_known.append(sum([n for n, _ in usual]) + (ends > 0))
-                    base.append(math.fsum([n * x for n, x in usual]) + end)
-                    rare.append(list(others))
-                    times.append(list(others.values()))
-                yield pd.DataFrame({"id": frame["id"].iloc[part].array, "n_tokens": n_tokens, "n_known": n_known, "base": base, "score": totals, "rare": rare, "times": times, "grams": rare_grams, "gram_times": gram_times})
-
-    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {id_type}, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<long>, grams array<long>, gram_times array<long>"
-    scored = materialize(given.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    each = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("token"), F.col("w.times").alias("n"))
-    each = each.join(vocabulary, "token", "left")
-    part = F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - F.lit(math.log10(tokens + kinds + 1)))
-    others = each.groupBy("row").agg(F.sum(part).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("more_known"))
-    pairs = scored.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.gram_times").alias("n"))
-    unusual = counted.filter(~is_usual).select("gram", "score")
-    uncounted = materialize(pairs.select("gram").distinct().join(unusual, "gram", "left_anti"), "uncounted")
-    each_gram = pairs.join(unusual.unionByName(uncounted_scores(uncounted, levels)), "gram")
-    by_row = each_gram.groupBy("row").agg(F.sum(F.col("n") * F.col("score")).alias("more_score"))
-    whole = scored.select("id", "row", "n_tokens", "n_known", "base", "score").join(others, "row", "left").join(by_row, "row", "left")
-    return whole.select(
-        F.col("id").alias(id_col),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
-    )
+    whole = math.log10(tokens + kinds + 1)
+    end = math.log10(ends + 1) - whole
+    named = ("id", "n_tokens", "n_known", "base_score", "score")
+
+    def finish(group: pa.Table) -> pa.Table:
+        rows = group.select(["cell", "keys", "counts"]).to_pylist()
+        grams = [(unpacked(r["keys"], np.uint64, delta=True), unpacked(r["counts"], np.float64)) for r in rows if 0 <= r["cell"] < cells]
+        keys, values = np.concatenate([g for g, _ in grams]), np.concatenate([v for _, v in grams])
+        by = np.argsort(keys)
+        keys, values = keys[by], values[by]
+        unknown, worth = -whole, {}
+        for r in rows:
+            if r["cell"] >= cells:
+                times = unpacked(r["counts"], np.int64)
+                logs = np.where(times > 0, np.log10(times + 1) - whole, unknown)
+                worth.update(zip(zstandard.decompress(r["keys"]).split(b"\n"), logs.tolist(), strict=True))
+        own = next(r for r in rows if r["cell"] < 0)
+        raw, edges = zstandard.decompress(own["keys"]), np.concatenate(([0], np.cumsum(unpacked(own["counts"], np.int64)))).tolist()
+        coded = [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        total = np.zeros(len(coded))
+        for slice_grams, owner, first in grams_of(coded, order):
+            both = np.sort((slice_grams << np.uint64(16)) | owner.astype(np.uint64))
+            distinct, times = _runs(both >> np.uint64(16))
+            each = np.repeat(values[np.searchsorted(keys, distinct)], times)
+            part = np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), weights=each)
+            total[first : first + len(part)] += part
+        n_tokens, n_known, base = [], [], []
+        for text in coded:
+            logs = [worth[w] for w in words_of(text)]
+            n_tokens.append(len(logs) + 1)
+            n_known.append(len(logs) - logs.count(unknown) + (ends > 0))
+            base.append(math.fsum(logs) + end)
+        ids = group.column("ids").combine_chunks().flatten()
+        return pa.table([ids, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(total)], list(named))
+
+    back = hand_back(lists, model, cells).withColumn("ids", F.lit(None).cast(f"array<{id_type}>"))
+    parts = texts.select("part", "cell", "keys", "counts", "ids").unionByName(back).groupBy("part")
+    scored = parts.applyInArrow(finish, f"id {id_type}, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -46,7 +46,7 @@ def test_query_equals_sql(spark, duck, name):
 EVERY = {
     "langid": lambda d: langid.detect(d, langid.learn_profiles(d)),
     "exact": exact_dedup.exact_dedup,
-    "ppm": lambda d: ppm.score(d, d),
+    "ppm": lambda d: ppm.score(d, F.lit(True)),
     "bpe": lambda d: bpe.bpe_digests(d, queries.tokenizer_path()),
     "mixing": mixing.mixing_plan,
     "suffix": suffix_dedup.remove_repeats,
@@ -227,24 +227,34 @@ def brute_ppm(texts, order, least, text):
     return total
 
 
+def framed_grams(texts, order, most=1 << 22):
+    """All grams of the texts; their owners are checked on the way."""
+    found, owners = [np.zeros(0, np.uint64)], []
+    for grams, owner, first in ppm.grams_of(texts, order, most):
+        found.append(grams)
+        owners += (owner + first).tolist()
+    assert owners == [i for i, t in enumerate(texts) for _ in range(len(t) + 1)]
+    return np.concatenate(found)
+
+
 @pytest.mark.parametrize("seed", range(60))
 def test_ppm_equals_brute_force(seed):
     r = random.Random(seed)
     word = lambda n: bytes(r.choice(b"abcd\xc3") for _ in range(r.randint(0, n)))
     texts, order, least = [word(12) for _ in range(r.randint(0, 6))], r.randint(0, 4), r.randint(1, 2)
-    grams, sizes = ppm.grams_of(texts, order)
-    assert len(grams) == sum(len(t) + 1 for t in texts) == sizes.sum()
+    grams = framed_grams(texts, order, r.choice([3, 7, 1000]))
+    assert len(grams) == sum(len(t) + 1 for t in texts)
     counts = []
     for k in range(order + 1):
         u, n = np.unique(grams & np.uint64((1 << (8 * (k + 1))) - 1), return_counts=True)
         counts.append((u[n >= least], n[n >= least].astype(float)))
     trie = ppm.Trie(counts)
     for text in (word(10), *texts[:1], b"zz"):
-        assert trie.scores(ppm.grams_of([text], order)[0]).sum() == pytest.approx(brute_ppm(texts, order, least, text), abs=1e-9)
+        assert trie.scores(framed_grams([text], order)).sum() == pytest.approx(brute_ppm(texts, order, least, text), abs=1e-9)
 
 
 def test_ppm_probabilities_add_up():
-    grams, _ = ppm.grams_of([b"abcab", b"ab"], 2)
+    grams = framed_grams([b"abcab", b"ab"], 2)
     counts = []
     for k in range(3):
         u, n = np.unique(grams & np.uint64((1 << (8 * (k + 1))) - 1), return_counts=True)
@@ -270,16 +280,29 @@ def test_score_query(spark, corpus):
         assert got[i].score == pytest.approx(brute_ppm([x.encode() for x in train], ppm.ORDER, 1, t.encode()), abs=1e-6)
 
 
-@pytest.mark.parametrize(("share", "order"), [(2.0, 3), (0.02, 2)])
-def test_rare_grams_are_scored_from_their_full_contexts(spark, share, order):
+@pytest.mark.parametrize(("part", "order"), [(1, 3), (40, 2), (1 << 20, 5)])
+def test_all_grams_are_scored_from_their_full_contexts(spark, part, order):
     texts = ["abcabcabcabd", "abcab xyz", "é日本", "", None, "aaaaaaaa"]
-    rows = [*enumerate(texts), (6, "abd zzz q"), (7, "\0\1"), (8, "abcabcabcabd")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = [*enumerate(texts), (6, "abd zzz q"), (7, "\0\1"), (8, "abcabcabcabd"), (None, "abd"), (9, "zz " * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     learned = [(t or "").encode() for t in texts]
-    got = {r.doc_id: r.score for r in ppm.score(docs, docs.filter("doc_id < 6"), order=order, share=share).collect()}
+    got = {r.doc_id: r for r in ppm.score(docs, F.col("doc_id") < 6, order=order, part_bytes=part).collect()}
     assert len(got) == len(rows)
+    counts = Counter(w for t in learned for w in t.lower().split())
+    n, v = sum(counts.values()) + len(texts), len(counts) + 1
     for i, t in rows:
-        assert got[i] == pytest.approx(brute_ppm(learned, order, 1, (t or "").encode()), abs=1e-9), i
+        raw = (t or "").encode()
+        assert got[i].score == pytest.approx(brute_ppm(learned, order, 1, raw), abs=1e-9), i
+        base = [math.log10((counts[w] + 1) / (n + v + 1)) for w in raw.lower().split()]
+        assert got[i].base_score == pytest.approx(math.fsum(base) + math.log10((len(texts) + 1) / (n + v + 1)), abs=1e-9)
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(base) + 1, 1 + sum(w in counts for w in raw.lower().split()), n)
+
+
+def test_scoring_with_nothing_to_learn_from(spark):
+    docs = documents(spark, ODD)
+    for r in ppm.score(docs, F.lit(None).cast("boolean")).collect():
+        assert r.score == pytest.approx(-math.log10(256) * (len((ODD[r.doc_id] or "").encode()) + 1))
+        assert (r.base_score, r.n_known, r.train_tokens) == (0.0, 0, 0)
 
 
 # 5 BPE
