@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsync.llm.common import join_skewed, materialize
+from docsync.llm.common import join_skewed, materialize, tidy
 
 
 def contract_locally(edges: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def contract_locally(edges: DataFrame) -> DataFrame:
             roots = np.array([root(v) for v in parent], np.int64)
             yield pd.DataFrame({"u": nodes, "v": roots})[nodes != roots]
 
-    return edges.mapInPandas(run, "u long, v long")
+    return edges.mapInPandas(tidy(run), "u long, v long")
 
 
 def star_round(edges: DataFrame) -> DataFrame:

@@ -3,15 +3,17 @@
 1. Texts with one token sequence form a class; only the class's smallest id goes on.
 2. Each text's shingle set is hashed to a signature of TREES x DEPTH minima. Tree t sees
    the signature rotated to its own start. A region of a tree holds the texts that agree on the first
-   FIRST values; crowded regions are deepened by further values.
+   values, as many as ``first_depth`` says; crowded regions are deepened by further values.
 3. In each tree's sorted order the neighbours with the longest common prefixes are candidates: in small
    regions all pairs, in larger ones the adjacent texts.
 4. Candidates are confirmed on the full sets, first each text's best one, then those that would still join
-   two components. In regions with more than SMALL texts every remaining pair whose ends
-   are in different components is compared as well, in blocks that give out links only, so that no link between
-   two components is lost to the neighbour rule. Links inside a component add nothing to it.
+   two components.
+5. In regions with more than SMALL texts the pairs that the neighbour rule leaves out are looked at as well, where their ends
+   are in different components: first on the signatures alone, each text shipped once per SKETCH_BLOCK texts of its region outside the
+   largest component, which leaves the texts that still have a candidate; then on the full sets of those, in blocks that give out links only.
+   Links inside a component add nothing to it.
 
-A pair at the threshold of 0.85 shares a region in some tree but for 1 in 2,000,000 cases, and its
+A pair at the threshold shares a region in some tree but for 1 in 1,000,000 cases, and its
 signature passes the first comparison (least_estimate) but for 1 in 1,000,000.
 
 Defined results: null and empty texts and texts without words have an empty set, link with nothing
@@ -32,12 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import BooleanType, DoubleType
 
-from docsync.llm.common import join_skewed, materialize, without
+from docsync.llm.common import bounded_batches, join_skewed, materialize, tidy, without
 from docsync.llm.components import connected_components
 
-WIDTH, TREES, DEPTH, FIRST = 5, 20, 6, 4
-#: Regions up to SMALL texts are compared pair by pair; above CROWDED they are deepened.
-SMALL, CROWDED, BLOCK = 8, 4096, 512
+WIDTH, TREES, DEPTH, MISSED = 5, 20, 6, 1e-6
+#: Regions up to SMALL texts are compared pair by pair; above CROWDED they are deepened. Texts that meet in a task by their signatures, and by their sets.
+SMALL, CROWDED, SKETCH_BLOCK, BLOCK = 8, 4096, 4096, 512
+#: Words whose hashes a task keeps.
+MAX_WORDS = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,6 +59,12 @@ def least_estimate(percent: int) -> float:
     return p - 5 * (p * (1 - p) / (TREES * DEPTH)) ** 0.5
 
 
+def first_depth(percent: int) -> int:
+    """The most values by which regions can be keyed so that a pair at the threshold shares none in at most MISSED of all cases."""
+    p = percent / 100
+    return max([d for d in range(1, DEPTH + 1) if (1 - p**d) ** TREES <= MISSED], default=1)
+
+
 class Shingler:
     """Tokens and shingle sets of texts; the hashes of words are kept, up to a bound."""
 
@@ -67,7 +77,7 @@ class Shingler:
     def word_hashes(self, tokens: list[bytes]) -> np.ndarray:
         known = self.known
         new = {w for w in tokens if w not in known}
-        if len(known) + len(new) > 500_000:
+        if len(known) + len(new) > MAX_WORDS:
             known.clear()
             new = set(tokens)
         for w in new:
@@ -105,7 +115,7 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 2
     return least
 
 
-def forest_rows(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
+def forest_rows(docs: DataFrame, id_col: str, text_col: str, width: int, first_values: int) -> DataFrame:
     """(id, cls, n_shingles, sketch, regions) per row: cls is a digest of the token sequence, sketch one byte per
     signature value, regions one 64-bit key per tree."""
     a, b = permutations(TREES, DEPTH)
@@ -126,29 +136,29 @@ def forest_rows(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH)
                     values = signature(found, a, b)
                     cls.append(hashlib.blake2b(b" ".join(tokens), digest_size=16).digest())
                     sketches.append((values & np.uint32(255)).astype(np.uint8).tobytes())
-                    first = values.reshape(TREES, DEPTH)[:, :FIRST].astype(np.uint64)
+                    first = values.reshape(TREES, DEPTH)[:, :first_values].astype(np.uint64)
                     key = np.arange(TREES, dtype=np.uint64)
                     with np.errstate(over="ignore"):
-                        for k in range(FIRST):
+                        for k in range(first_values):
                             key = mixed(key * _M + first[:, k])
                     regions.append(key.view(np.int64))
                 yield pd.DataFrame({"id": part["id"].array, "cls": cls, "n_shingles": n, "sketch": sketches, "regions": regions})
 
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return given.mapInPandas(run, "id long, cls binary, n_shingles long, sketch binary, regions array<bigint>")
+    return bounded_batches(given).mapInPandas(tidy(run), "id long, cls binary, n_shingles long, sketch binary, regions array<bigint>")
 
 
-def regions_of(reps: DataFrame) -> DataFrame:
+def regions_of(reps: DataFrame, first_values: int) -> DataFrame:
     """(region, part, size, id, sketch, turned): the members of all regions with two texts or more, with the sketch
     turned to the tree's start. A crowded region is deepened by the next values of that order, the more of them the
     larger it is, and dealt into parts of about CROWDED texts, other ones in every tree."""
     each = reps.select("id", F.posexplode("regions").alias("tree", "region"))
     sizes = materialize(each.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1"), "regions")
-    members = join_skewed(each, sizes, ["region"], "size", reps.count() * TREES, F.col("id")).filter("size is not null")
+    members = each.join(sizes, "region")  # an inner join: one hot region is split by adaptive execution
     turned = F.expr(f"concat(substring(sketch, tree * {DEPTH} + 1), substring(sketch, 1, tree * {DEPTH}))")
     members = members.join(reps.select("id", "sketch"), "id").withColumn("turned", turned)
     more = f"cast(1 + floor(log(16, size / {CROWDED})) as int)"
-    dealt = f"concat(hex(substring(turned, {FIRST + 1}, {more})), '/', pmod(xxhash64(id, tree), cast(ceil(size / {CROWDED}) as bigint)))"
+    dealt = f"concat(hex(substring(turned, {first_values + 1}, {more})), '/', pmod(xxhash64(id, tree), cast(ceil(size / {CROWDED}) as bigint)))"
     part = F.when(F.col("size") > CROWDED, F.expr(dealt)).otherwise(F.lit(""))
     return members.select("region", part.alias("part"), "size", "id", "sketch", "turned")
 
@@ -188,49 +198,69 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * same >= percent * (len(one) + len(two) - same)
 
 
-def between_components(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The links (u, v) between texts of one larger region that are in different components. The texts outside the
-    region's largest component meet all its texts, block by block; a pair is looked at in the first region that it shares,
-    by signature and then on the full sets, and only links leave the task. Once two components are linked in a block, their
-    other pairs add nothing and are skipped."""
-    wide = members.filter(F.col("size") > SMALL).select("region", "id", "sketch")
-    named = wide.join(labels, wide["id"] == labels["node"], "left").select("region", "id", "sketch", F.coalesce("component", "id").alias("comp"))
-    named = materialize(named, "wide")
+def dealt_in_blocks(named: DataFrame, carried: list[str], block: int) -> DataFrame:
+    """The members (region, id, comp, ...) of regions with several components, so dealt into pairs of blocks that every text outside its
+    region's largest component (``minor``) meets every other text of the region that is at home in a block (``here``)."""
     shares = named.groupBy("region", "comp").agg(F.count("*").alias("n"))
     layout = shares.groupBy("region").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all_n"))
     layout = layout.filter("most < all_n").select(
-        "region", "main", "all_n", F.ceil(F.col("all_n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("all_n") - F.col("most")) / BLOCK).cast("int").alias("minor_blocks")
+        "region", "main", F.ceil(F.col("all_n") / block).cast("int").alias("blocks"), F.ceil((F.col("all_n") - F.col("most")) / block).cast("int").alias("minor_blocks")
     )
-    rows = join_skewed(named, materialize(layout, "layout"), ["region"], "all_n", named.count(), F.col("id")).filter("main is not null")
-    rows = rows.join(reps.select("id", "regions"), "id").join(sets, "id")
+    rows = named.join(materialize(layout, "layout"), "region")
     rows = rows.withColumns({"own": F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), "own_minor": F.pmod(F.xxhash64("id"), F.col("minor_blocks")).cast("int")})
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    carried = ["region", "id", "sketch", "comp", "regions", "shingles"]
     is_minor = F.col("comp") != F.col("main")
     whole = rows.select(*carried, F.col("own").alias("block"), every("minor_blocks").alias("minor_block"), F.lit(True).alias("here"), (is_minor & (F.col("own_minor") == F.col("minor_block"))).alias("minor"))
     guests = rows.filter(is_minor & (F.col("blocks") > 1)).select(*carried, "own", every("blocks").alias("block"), F.col("own_minor").alias("minor_block"), F.lit(False).alias("here"), F.lit(True).alias("minor"))
-    guests = guests.filter("block <> own").drop("own")
+    return whole.unionByName(guests.filter("block <> own").drop("own"))
+
+
+def _met(frame: pd.DataFrame, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each minor text of a pair of blocks: its place, those of the texts here whose signatures are close enough and whose first common
+    region is this one, their estimates, and the components, which may be changed on the way."""
+    ids, comp, region = frame["id"].to_numpy(), frame["comp"].to_numpy().copy(), int(frame["region"].iloc[0])
+    sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1)
+    shared = np.stack(frame["regions"].tolist())
+    here = np.flatnonzero(frame["here"].to_numpy())
+    for i in np.flatnonzero(frame["minor"].to_numpy()):
+        others = here[(comp[here] != comp[i]) & (ids[here] != ids[i])]
+        estimate = (sketch[others] == sketch[i]).mean(axis=1)
+        others, estimate = others[estimate >= least], estimate[estimate >= least]
+        if len(others):
+            first = shared[i][(shared[others] == shared[i]).argmax(axis=1)] == region
+            others, estimate = others[first], estimate[first]
+        yield i, others, estimate, comp
+
+
+def between_components(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (u, v) between texts of one larger region that are in different components. Signatures are compared first, and only texts
+    with a candidate are compared by their sets. Once two components are linked in a block, their other pairs add nothing and are skipped."""
     least = least_estimate(percent)
+    wide = members.filter(F.col("size") > SMALL).select("region", "id", "sketch")
+    named = wide.join(labels, wide["id"] == labels["node"], "left").select("region", "id", "sketch", F.coalesce("component", "id").alias("comp"))
+    named = materialize(named.join(reps.select("id", "regions"), "id"), "wide")
+
+    def touched(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, found = frame["id"].to_numpy(), set()
+        for i, others, _, _ in _met(frame, least):
+            if len(others):
+                found.update(ids[others].tolist(), (int(ids[i]),))
+        return pd.DataFrame({"region": frame["region"].iloc[0], "id": np.array(sorted(found), np.int64)})
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, comp, region = frame["id"].to_numpy(), frame["comp"].to_numpy().copy(), int(frame["region"].iloc[0])
-        sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1)
-        shared = np.stack(frame["regions"].tolist())
+        ids, found = frame["id"].to_numpy(), []
         sets_ = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
-        here, found = np.flatnonzero(frame["here"].to_numpy()), []
-        for i in np.flatnonzero(frame["minor"].to_numpy()):
-            others = here[(comp[here] != comp[i]) & (ids[here] != ids[i])]
-            estimate = (sketch[others] == sketch[i]).mean(axis=1)
-            others, estimate = others[estimate >= least], estimate[estimate >= least]
-            common = shared[others] == shared[i]
-            first = shared[i][common.argmax(axis=1)] == region if len(others) else np.zeros(0, bool)
-            for j in others[first][np.argsort(-estimate[first], kind="stable")]:
+        for i, others, estimate, comp in _met(frame, least):
+            for j in others[np.argsort(-estimate, kind="stable")]:
                 if comp[j] != comp[i] and similar(sets_[i], sets_[j], percent):
                     found.append((ids[i], ids[j]))
                     comp[comp == comp[j]] = comp[i]
         return pd.DataFrame({"u": [int(u) for u, _ in found], "v": [int(v) for _, v in found]}, dtype="int64")
 
-    return whole.unionByName(guests).groupBy("region", "block", "minor_block").applyInPandas(compare, "u long, v long")
+    light = ["region", "id", "sketch", "comp", "regions"]
+    open_ = dealt_in_blocks(named, light, SKETCH_BLOCK).groupBy("region", "block", "minor_block").applyInPandas(touched, "region long, id long")
+    still = materialize(named.join(open_.distinct(), ["region", "id"]).join(sets, "id"), "open")
+    return dealt_in_blocks(still, [*light, "shingles"], BLOCK).groupBy("region", "block", "minor_block").applyInPandas(compare, "u long, v long")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -244,7 +274,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame,
                 yield pd.DataFrame({"id": part["id"].array, "shingles": [shingler.shingles(shingler.tokens(t)).tobytes() for t in part["text"]]})
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    return texts.join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInPandas(run, "id long, shingles binary")
+    return bounded_batches(texts).join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInPandas(tidy(run), "id long, shingles binary")
 
 
 def linked(percent: int) -> Column:
@@ -267,11 +297,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row."""
-    rows = materialize(forest_rows(docs, id_col, text_col, width), "forest")
+    first_values = first_depth(percent)
+    rows = materialize(forest_rows(docs, id_col, text_col, width, first_values), "forest")
     named = rows.filter("cls is not null and id is not null")
     classes = materialize(named.groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
     reps = named.select("id", "sketch", "regions").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    members = materialize(regions_of(reps), "members")
+    members = materialize(regions_of(reps, first_values), "members")
     pairs = materialize(neighbours(members, least_estimate(percent)), "pairs")
     sets = materialize(shingle_sets(docs, id_col, text_col, members.select("id").distinct(), width), "sets")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a"))

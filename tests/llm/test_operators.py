@@ -511,6 +511,7 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     if seed:
         monkeypatch.setattr(minhash, "CROWDED", 4)
         monkeypatch.setattr(minhash, "BLOCK", 5)
+        monkeypatch.setattr(minhash, "SKETCH_BLOCK", 7)
     texts = near_copies(seed)
     n, component = brute_components(texts, 85)
     got = {r.doc_id: r for r in minhash.near_duplicates(documents(spark, texts)).collect()}
@@ -519,6 +520,25 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_rows_of_a_region_of_strangers_grow_with_its_members(spark):
+    for n, most in ((1500, 1), (3000, 1), (6000, 3)):
+        named = spark.range(n).select(F.lit(7).cast("long").alias("region"), "id", F.col("id").alias("comp"))
+        assert minhash.dealt_in_blocks(named, ["region", "id", "comp"], minhash.SKETCH_BLOCK).count() <= most * n
+
+
+def test_every_pair_of_a_region_meets(spark):
+    named = spark.range(50).select(F.lit(7).cast("long").alias("region"), "id", F.when(F.col("id") < 20, 0).otherwise(F.col("id")).alias("comp"))
+    met = set()
+    for _, g in minhash.dealt_in_blocks(named, ["region", "id", "comp"], 6).toPandas().groupby(["block", "minor_block"]):
+        met |= {frozenset((a, b)) for a in g[g.minor]["id"] for b in g[g.here]["id"]}
+    assert all(frozenset((a, b)) in met for a in range(20, 50) for b in range(50) if a != b)
+
+
+@pytest.mark.parametrize(("percent", "depth"), [(85, 4), (80, 3), (50, 1), (10, 1), (99, 6)])
+def test_depth_of_regions_follows_the_threshold(percent, depth):
+    assert minhash.first_depth(percent) == depth
+
+
 def test_near_duplicates_of_the_corpus(spark, corpus):
     n, component = brute_components([t for _, t in corpus], 85)
     ids = [i for i, _ in corpus]
