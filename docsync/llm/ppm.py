@@ -40,7 +40,7 @@ from docsync.llm.common import bounded_batches, materialize, tidy
 
 ORDER, STEM = 5, 2
 #: Bytes and texts of a part, and bytes handled at a time inside it.
-PART_BYTES, PART_TEXTS, SLICE = 24 << 20, 60_000, 1 << 22
+PART_BYTES, PART_TEXTS, SLICE = 12 << 20, 60_000, 1 << 20
 
 
 def packed(values: np.ndarray, delta: bool = False) -> bytes:
@@ -388,6 +388,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                 logs = np.where(times > 0, np.log10(times + 1) - whole, unknown)
                 worth.update(zip(zstandard.decompress(r["keys"]).split(b"\n"), logs.tolist(), strict=True))
         own = next(r for r in rows if r["cell"] < 0)
+        grams = rows = None
         raw, edges = zstandard.decompress(own["keys"]), np.concatenate(([0], np.cumsum(unpacked(own["counts"], np.int64)))).tolist()
         coded = [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         total = np.zeros(len(coded))
