@@ -8,6 +8,9 @@ cosine with its profile. Bundles are integer sums, so they do not depend on orde
 
 Words are runs of letters, lower-cased; anything else separates them as one space.
 
+A batch's n-grams are counted in slices of SLICE letters as (text, n-gram, count), and bound and bundled BLOCK n-grams at a time, so that
+memory depends neither on the length of a text nor on how many letters or texts there are.
+
 Learning reads every labelled row: each task adds up one vector per language, the tasks' vectors
 are added in two levels. The prototypes (languages x dims, languages bounded by MAX_LANGS) go to all tasks.
 
@@ -18,7 +21,7 @@ text when nothing was labelled; the score is the cosine, at least 0; ties go to
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsync.llm.bpe import sliced
+from docsync.llm.common import bounded_batches, tidy
 
 DIMS, ORDER, SEED = 1024, 3, 20
 #: More labels than this are no language labels; the job stops instead of broadcasting them.
 MAX_LANGS = 4096
-CHUNK_CHARS = 800_000
+#: Characters and texts of a batch, letters counted at a time, n-grams bound at a time.
+CHUNK_CHARS, TEXTS, SLICE, BLOCK = 800_000, 256, 400_000, 2048
 UNKNOWN = "und"
 
 
@@ -41,41 +46,60 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-@cache
-def letter_vector(code: int, dims: int, place: int) -> np.ndarray:
-    """The letter's vector, rotated by its place in the n-gram."""
-    return np.roll(np.random.default_rng([SEED, code]).integers(0, 2, dims, dtype=np.int8) * 2 - 1, place)
+@lru_cache(maxsize=8192)
+def letter_vector(code: int, dims: int) -> np.ndarray:
+    """The fixed random vector of a letter."""
+    return np.random.default_rng([SEED, code]).integers(0, 2, dims, dtype=np.int8) * 2 - 1
+
+
+def batches_of(texts: list[str]) -> Iterator[slice]:
+    """Slices of at most TEXTS texts and about CHUNK_CHARS characters, a longer text alone."""
+    for part in sliced(texts, CHUNK_CHARS):
+        for start in range(part.start, part.stop, TEXTS):
+            yield slice(start, min(start + TEXTS, part.stop))
 
 
-def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams (one row of ORDER code points each) and a matrix of their counts, one row per text."""
+def gram_counts(texts: list[str], most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The n-grams of the texts, in slices: the distinct ones (one row of ORDER code points each), and of each text that has
+    one its number, the n-gram's row and the count, in order of rows."""
     whole = "".join("\0" + t.lower().replace("\0", " ") + " " for t in texts)
     codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
     first = codes == 0
-    letters = np.where(letter_table()[codes], codes, 32).astype(np.int64)
+    letters = np.where(letter_table()[codes], codes, np.uint32(32))
     gap = letters == 32
     kept = first | ~(gap & np.concatenate(([False], gap[:-1])))
-    letters, owner = letters[kept], (np.cumsum(first) - 1)[kept]
-    n = len(letters) - ORDER + 1
-    if n <= 0:
-        return np.zeros((0, ORDER), np.int64), np.zeros((len(texts), 0), np.float32)
-    packed = np.zeros(n, np.int64)
-    for p in range(ORDER):
-        packed = (packed << 21) | letters[p : p + n]
-    same = owner[:n] == owner[ORDER - 1 :]
-    gram, distinct = pd.factorize(packed[same])
-    counts = np.bincount(owner[:n][same] * len(distinct) + gram, minlength=len(texts) * len(distinct))
-    parts = [(distinct >> (21 * (ORDER - 1 - p))) & 0x1FFFFF for p in range(ORDER)]
-    return np.stack(parts, axis=1), counts.reshape(len(texts), len(distinct)).astype(np.float32)
+    letters, owner = letters[kept], (np.cumsum(first, dtype=np.int32) - 1)[kept]
+    most = most or SLICE
+    for a in range(0, len(letters) - ORDER + 1, most):
+        n = min(most, len(letters) - ORDER + 1 - a)
+        packed = np.zeros(n, np.int64)
+        for p in range(ORDER):
+            packed = (packed << 21) | letters[a + p : a + p + n]
+        same = owner[a : a + n] == owner[a + ORDER - 1 : a + ORDER - 1 + n]
+        gram, distinct = pd.factorize(packed[same])
+        pairs, times = np.unique(gram * len(texts) + owner[a : a + n][same], return_counts=True)
+        yield np.stack([(distinct >> (21 * (ORDER - 1 - p))) & 0x1FFFFF for p in range(ORDER)], axis=1), pairs % len(texts), pairs // len(texts), times
 
 
 def bind(grams: np.ndarray, dims: int) -> np.ndarray:
-    """The vectors of n-grams: the product of their letters' rotated vectors."""
+    """The vectors of n-grams: the product of their letters' vectors, each rotated by its place."""
     out = np.ones((len(grams), dims), np.int8)
     for p in range(ORDER):
         seen, which = np.unique(grams[:, p], return_inverse=True)
         if len(seen):
-            out *= np.stack([letter_vector(int(c), dims, ORDER - 1 - p) for c in seen])[which]
+            out *= np.roll(np.stack([letter_vector(int(c), dims) for c in seen]), ORDER - 1 - p, axis=1)[which]
+    return out
+
+
+def bundles(texts: list[str], group: np.ndarray, n_groups: int, dims: int, kind: type = np.float32) -> np.ndarray:
+    """The sums of the n-gram vectors of each group of texts; ``group`` has the group of each text."""
+    out = np.zeros((n_groups, dims), kind)
+    for grams, text, row, times in gram_counts(texts):
+        edges = np.searchsorted(row, np.arange(0, len(grams) + BLOCK, BLOCK))
+        for a, lo, hi in zip(range(0, len(grams), BLOCK), edges[:-1], edges[1:], strict=False):
+            counts = np.zeros((n_groups, min(BLOCK, len(grams) - a)), kind)
+            np.add.at(counts, (group[text[lo:hi]], row[lo:hi] - a), times[lo:hi])
+            out += counts @ bind(grams[a : a + BLOCK], dims).astype(kind)
     return out
 
 
@@ -86,12 +110,9 @@ def learn_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
         sums: dict[str, np.ndarray] = {}
         for frame in frames:
             texts = frame["text"].tolist()
-            for part in sliced(texts, CHUNK_CHARS):
-                grams, counts = gram_counts(texts[part])
+            for part in batches_of(texts):
                 which, langs = pd.factorize(frame["lang"].iloc[part])
-                total = np.zeros((len(langs), len(grams)))
-                np.add.at(total, which, counts)
-                vectors = np.rint(total @ bind(grams, dims).astype(np.float64)).astype(np.int64)
+                vectors = np.rint(bundles(texts[part], which, len(langs), dims, np.float64)).astype(np.int64)
                 for lang, v in zip(langs, vectors, strict=True):
                     sums[lang] = sums[lang] + v if lang in sums else v
         yield pd.DataFrame({"lang": list(sums), "profile": [v.tolist() for v in sums.values()]}, dtype=object)
@@ -100,7 +121,7 @@ def learn_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
         return pd.DataFrame({"lang": frame["lang"].iloc[:1], "profile": [np.sum(np.stack(frame["profile"].tolist()), axis=0).tolist()]})
 
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
-    partial = labelled.mapInPandas(bundle, "lang string, profile array<bigint>").withColumn("part", F.spark_partition_id() % 64)
+    partial = bounded_batches(labelled).mapInPandas(tidy(bundle), "lang string, profile array<bigint>").withColumn("part", F.spark_partition_id() % 64)
     level = partial.groupBy("lang", "part").applyInPandas(add, "lang string, profile array<bigint>")
     return level.groupBy("lang").applyInPandas(add, "lang string, profile array<bigint>")
 
@@ -120,14 +141,13 @@ class Predictor:
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         langs, scores = [], [np.zeros(0)]
-        for part in sliced(texts, CHUNK_CHARS):
+        for part in batches_of(texts):
             lettered = np.array([bool(letter_table()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any()) for t in texts[part]])
             if not self.langs:
                 langs += [UNKNOWN] * len(lettered)
                 scores.append(np.zeros(len(lettered)))
                 continue
-            grams, counts = gram_counts(texts[part])
-            found = counts @ bind(grams, self.dims).astype(np.float32)
+            found = bundles(texts[part], np.arange(len(lettered)), len(lettered), self.dims)
             norm = np.linalg.norm(found, axis=1)
             cosine = (found @ self.prototypes.T) / np.where(norm > 0, norm, 1)[:, None]
             best = cosine.argmax(axis=1)
@@ -147,7 +167,7 @@ def detect(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_co
             yield pd.DataFrame({"id": frame["id"].array, "lang_pred": langs, "score": scores})
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return given.mapInPandas(run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return bounded_batches(given).mapInPandas(tidy(run), f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def keep_identified(docs: DataFrame, profiles: DataFrame, text_col: str = "text", dims: int = DIMS) -> DataFrame:
@@ -163,4 +183,4 @@ def keep_identified(docs: DataFrame, profiles: DataFrame, text_col: str = "text"
             langs, _ = model.value.predict([t or "" for t in batch.column(text_col).to_pylist()])
             yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(tidy(run), docs.schema)

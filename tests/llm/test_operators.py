@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -82,14 +83,64 @@ def test_language_of_texts_without_letters(spark):
     assert {r.lang_pred for r in langid.detect(nothing, langid.learn_profiles(nothing)).collect()} == {"und"}
 
 
+def padded(text):
+    """A text's words of letters as the n-grams see them."""
+    return " " + " ".join([*"".join(c if c.isalpha() else " " for c in text.lower()).split(), ""])
+
+
+@pytest.mark.parametrize("most", [1, 4, None])
+def test_grams_are_counted(most):
+    texts, got = ["ab, AB", "", "ab"], Counter()
+    for grams, text, row, times in langid.gram_counts(texts, most):
+        assert sorted(row) == row.tolist()
+        got.update({(int(t), "".join(map(chr, grams[r]))): int(n) for t, r, n in zip(text, row, times, strict=True)})
+    want = Counter((i, p[k : k + 3]) for i, p in enumerate(map(padded, texts)) for k in range(len(p) - 2))
+    assert got == want
+
+
+@cache
+def rolled(code, dims, place):
+    return np.roll(langid.letter_vector(code, dims), place)
+
+
 def test_profiles_bundle_bound_letters():
-    grams, counts = langid.gram_counts(["ab, AB", ""])
-    text = " ab ab "
-    want = Counter(text[i : i + 3] for i in range(len(text) - 2))
-    got = {"".join(map(chr, g)): int(n) for g, n in zip(grams, counts[0], strict=True) if n}
-    assert {k.replace("\0", " "): v for k, v in got.items()} == dict(want)
     one = langid.bind(np.array([[97, 98, 99]]), 64)[0]
-    assert (one == langid.letter_vector(97, 64, 2) * langid.letter_vector(98, 64, 1) * langid.letter_vector(99, 64, 0)).all()
+    assert (one == rolled(97, 64, 2) * rolled(98, 64, 1) * rolled(99, 64, 0)).all()
+
+
+def test_prediction_equals_brute_force(spark, corpus, docs):
+    def bundle(text):
+        seen = padded(text)
+        vectors = {g: rolled(ord(g[0]), langid.DIMS, 2) * rolled(ord(g[1]), langid.DIMS, 1) * rolled(ord(g[2]), langid.DIMS, 0) for g in {seen[k : k + 3] for k in range(len(seen) - 2)}}
+        return sum((n * vectors[g].astype(np.int64) for g, n in Counter(seen[k : k + 3] for k in range(len(seen) - 2)).items()), np.zeros(langid.DIMS, np.int64))
+
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    own = {i: bundle(t) for i, t in corpus}
+    sums = {name: sum(own[i] for i in own if lang[i] == name and zlib.crc32(str(i).encode()) % 4 != 2) for name in set(lang.values()) - {None}}
+    names = sorted(sums)
+    unit = lambda v: v / max(1e-9, np.linalg.norm(v))
+    for r in queries.op1_language_id(spark, DATA).collect():
+        cosine = [float(unit(own[r.doc_id]) @ unit(sums[n])) for n in names]
+        if any(c.isalpha() for c in dict(corpus)[r.doc_id]):
+            assert r.lang_pred == names[int(np.argmax(cosine))] and r.score == pytest.approx(min(1, max(0, max(cosine))), abs=1e-4)
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
+def test_many_letters_take_bounded_memory():
+    import tracemalloc
+
+    r = random.Random(3)
+    text = "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(1_000_000))
+    short = ["".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(100)) for _ in range(500)]
+    tracemalloc.start()
+    try:
+        for texts in ([text], short):
+            found = langid.bundles(texts, np.arange(len(texts)), len(texts), 256)
+            assert found.shape == (len(texts), 256) and np.abs(found).sum(axis=1).min() > 0
+        assert tracemalloc.get_traced_memory()[1] < 300e6
+    finally:
+        tracemalloc.stop()
 
 
 def test_profiles_do_not_depend_on_partitions(docs):
