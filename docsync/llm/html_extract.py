@@ -4,13 +4,16 @@ A page is read once into blocks of text (what stands between two block-level tag
 block-level elements around them. A paragraph passes points for its length and its commas to
 its ancestors: all to the parent, half to the next, then a third of that per level. Element names and class or id names that
 speak for content or against it shift an element's points, and the share of its text that is in links discounts
-them. The best container is kept, with those siblings that score well or are plain paragraphs; inside them, blocks that
-are mostly links and elements that are never content are left out.
+them. The best container is kept, widened to the article around it or to an ancestor that holds clearly more
+running text, with those siblings that score well or hold running text; inside them, blocks that are mostly links and elements
+that are never content are left out.
 
-Elements that are never content: scripts, styles, forms, menus, headers and footers outside the article, asides, and those whose
-class, id or role names them as adverts, notices, sidebars, comments of readers and the like.
+Elements that are never content: scripts, styles, hidden elements, menus, headers and footers outside the article, asides, forms (unless the article
+is inside), and elements with a class or id that says so in full, such as ``sidebar``, ``post-comments`` or ``cookie-banner``. A class that only mentions such
+a thing (``has-sidebar``, ``comments-open``, ``tag-politics``) lowers the score, and leaves an element out when most of its text is links. An element that
+holds the article is never left out for its name, and a page of which nothing would remain is read without regard to names.
 
-Pages are independent: rows are handled in Arrow batches, nothing is shuffled. Each page is linear in its length.
+Pages are independent: rows are handled in Arrow batches, nothing is shuffled. Each page is linear in its length and depth.
 
 Defined results: null and empty pages and pages without text give an empty text of length 0; broken markup (unclosed or
 stray tags, unclosed comments) is read on, never an error; any length is read whole; further columns are not read.
@@ -20,13 +23,17 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsync.llm.common import bounded_batches, tidy
+
 # Names of HTML elements by their role.
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
@@ -36,72 +43,115 @@ PARAGRAPHS = set("p pre td blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption th".
 RAW = set("script style noscript template iframe textarea title svg canvas object xmp math noframes noembed".split())
 NEVER = set("nav aside form footer menu fieldset select dialog button search head datalist".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-KEEPERS = set("ul ol dl table tbody thead tfoot menu dir select".split())
+CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: Elements that end tags and implied ends of list items, cells and paragraphs do not reach out of.
+KEEPERS = set("ul ol dl table tbody thead tfoot menu dir select article main body".split())
+ENCLOSED = set("p li dt dd tr td th option".split())
 PRIOR = {"article": 30.0, "main": 20.0, "div": 5.0, "section": 3.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "ol": -3.0, "ul": -3.0, "dl": -3.0, "li": -3.0}
-LEAVE_OUT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adbox|adsense|banners?|sponsor(?:ed|s)?|promo(?:s|tion)?|breadcrumbs?|combx|comments?|commentlist|respond|replies|disqus|"
-    r"cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login|sidebars?|rail|menus?|nav(?:bar|igation)?|topbar|toolbar|header|masthead|"
-    r"footers?|foot|related|recommend(?:ed|ations)?|share|sharing|social|widgets?|pagination|pager|toc|skip(?:link)?|copyright|legal|disclaimer|tags?|search)(?=$|[\s_-]|\d)",
-    re.I,
+# Words of class and id names: those of elements that are never content, those that stand beside them, and those of the article.
+LEFT_WORDS = set(
+    "ad ads advert adverts advertisement advertisements advertising adbox adsense banner banners sponsor sponsors sponsored promo promos promotion breadcrumb breadcrumbs combx comment comments "
+    "commentlist respond replies disqus cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login sidebar sidebars rail menu menus nav navbar "
+    "navigation topbar toolbar header masthead footer footers foot related recommended recommendations share sharing social widget widgets pagination pager toc skip skiplink copyright legal disclaimer tags search".split()
 )
-KEEP_IN = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|hentry|main|page|post|story|text)(?=$|[\s_-]|\d)", re.I)
-LEFT_ROLES = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu|menubar|alertdialog)$", re.I)
-
-# Quoted values may hold angle brackets; the bounds keep broken markup linear (beyond them the tag ends at its next ">").
-TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]{0,100}+)((?>[^<>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+'){0,200}+)>|<(/?)([a-zA-Z][^\s/>]{0,100}+)([^<>]*+)>|<[!?/][^<>]*+>", re.S
+COMMENT_WORDS = set("comment comments commentlist respond replies disqus combx".split())
+BESIDE_WORDS = set(
+    "area article articles aside bar block blog body bottom box button buttons card col column container content cloud entry fixed form global group head icons inner item items left link links list message middle mobile "
+    "outer page panel post posts primary reader readers right secondary section site slot sticky story text the title top unit user users wrap wrapper center main row small large first last".split()
 )
-NAMED = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|itemprop|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/\"']|$)", re.I)
-
-
-@dataclass
+ARTICLE_WORDS = set("article body content entry hentry main page post story text".split())
+HEADING_WORDS = set("header head foot toc title".split())
+LEFT_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar alertdialog".split())
+
+COMMENT_END = re.compile(r"--!?>")
+#: A tag; a quoted value, which stands after an equals sign, may hold any character.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+BOGUS = re.compile(r"<[!?/][^>]*+>")
+NAMED = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|itemprop|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/\"']|$)", re.I)
+UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: Tags that do not end after which quotes are no longer looked at, and the running text from which a block counts as a paragraph of an article.
+BROKEN, RUNNING = 50, 80
+
+
+@dataclass(slots=True, eq=False)
 class Node:
-    """An element of the tree: its place, whether it is left out, its points, and how much text it holds."""
+    """An element of the tree: its place, whether it is left out and why it might be, its points, and how much text it holds."""
 
     name: str
     parent: Node | None
     out: bool = False
+    named: str = ""
     weight: float = 0.0
+    label: str = ""
+    article: Node | None = None
+    link_was: bool = False
     points: float = 0.0
     chars: int = 0
     linked: int = 0
-    label: str = ""
+    running: int = 0
+    holds: bool = False
     children: list[Node] = field(default_factory=list)
-    link_was: bool = False
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     node: Node
     text: str
     linked: int
 
 
-def _attributes(name: str, raw: str) -> tuple[str, bool, float]:
-    """The element's class and id, whether it is never content, and the points its name is worth."""
+@lru_cache(maxsize=4096)
+def judged(label: str) -> tuple[str, bool]:
+    """What the class and id names say: ``full`` for a name of something that is never content, ``comments`` for readers' comments, ``part`` for
+    one that mentions such a thing; and whether one speaks for the article."""
+    said, good = "", False
+    for token in label.split():
+        parts = [p.lower() for p in PARTS.findall(token)]
+        words = {p for p in parts if not p.isdigit()}
+        left = words & LEFT_WORDS
+        good = good or bool(words & ARTICLE_WORDS) and not left
+        if not left or left <= HEADING_WORDS and words & {"article", "entry", "post", "story"}:
+            continue
+        if words <= LEFT_WORDS | BESIDE_WORDS:
+            said = "comments" if words & COMMENT_WORDS else said if said == "comments" else "full"
+        else:
+            said = said or "part"
+    return said, good
+
+
+def _attributes(name: str, raw: str) -> tuple[str, str, bool, float]:
+    """The element's class and id, what they say, whether it is hidden or has the role of something else, and the points its name is worth."""
     label = role = ""
     hidden = False
-    for m in NAMED.finditer(raw):
-        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id"):
-            label = f"{label} {value}".strip()
-        elif key == "role":
-            role = value
-        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            hidden = True
-        elif key == "itemprop" and value.lower() == "articlebody":
-            label = f"{label} article".strip()
-    weight = PRIOR.get(name, 0.0) + (25.0 if KEEP_IN.search(label) else 0.0)
-    named = bool(LEAVE_OUT.search(label)) and name not in ("html", "body", "article", "main")
-    return label, hidden or named or bool(LEFT_ROLES.match(role)), weight
-
-
-def parse(page: str) -> tuple[Node, list[Block]]:
-    """The tree of block-level elements and the blocks of text in page order."""
-    root = Node("#page", None)
-    node, blocks, pieces = root, [], []
-    in_link, link_chars, at = False, 0, 0
+    if raw and not raw.isspace():
+        for m in NAMED.finditer(raw):
+            key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if key in ("class", "id"):
+                label = f"{label} {value}".strip()
+            elif key == "role":
+                role = value.lower()
+            elif key == "style":
+                hidden = hidden or bool(UNSHOWN.search(value))
+            elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+                hidden = True
+            elif key == "itemprop" and value.lower() == "articlebody":
+                label = f"{label} article".strip()
+    said, good = judged(label)
+    if name in ("html", "body", "article", "main"):
+        said = said if said == "comments" else ""
+    weight = PRIOR.get(name, 0.0) + (25.0 if good else 0.0) - (25.0 if said else 0.0)
+    return label, said, hidden or role in LEFT_ROLES, weight
+
+
+def parse(page: str) -> tuple[list[Node], list[Block]]:
+    """The block-level elements (parents before children, the page itself first) and the blocks of text in page order."""
+    node = Node("#page", None)
+    nodes, blocks, pieces = [node], [], []
+    open_, scopes = Counter(), [Counter()]  # open elements by name: of the page, and since each keeper
+    in_link, link_chars, at, broken = False, 0, 0, 0
+    last, size, tag = page.rfind(">"), len(page), TAG
 
     def flush() -> None:
         nonlocal link_chars
@@ -119,25 +169,47 @@ def parse(page: str) -> tuple[Node, list[Block]]:
             if in_link:
                 link_chars += len(html.unescape(raw).strip())
 
-    def close(upto: Node) -> None:
+    def close_to(names: tuple[str, ...]) -> None:
+        """Close the innermost open element of these names, and all inside it."""
         nonlocal node, in_link
-        in_link, node = upto.link_was, upto.parent
+        while True:
+            done = node
+            open_[done.name] -= 1
+            if done.name in KEEPERS:
+                scopes.pop()
+            else:
+                scopes[-1][done.name] -= 1
+            in_link, node = done.link_was, done.parent
+            if done.name in names:
+                return
 
-    size, find = len(page), TAG.search
     while at < size:
-        m = find(page, at)
-        if not m:
-            add(page[at:])
+        start = page.find("<", at)
+        if start < 0 or start > last:
+            add(page[at:].partition("<!--")[0])
             break
-        add(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        if not name:
+        add(page[at:start])
+        if page.startswith("<!--", start):
+            end = COMMENT_END.search(page, start + 4)
+            at = end.end() if end else size
+            continue
+        m = tag.match(page, start)
+        if not m:
+            skipped = BOGUS.match(page, start)
+            if skipped:
+                at = skipped.end()
+            else:
+                add("<")
+                at = start + 1
+                broken += page[start + 1 : start + 2].isalpha()
+                if broken > BROKEN:
+                    tag = PLAIN_TAG
             continue
-        ending, raw = bool(m[1] or m[4]), m[3] or m[6] or ""
+        at = m.end()
+        ending, name, raw = bool(m[1]), m[2].lower(), m[3]
         if name in RAW and not ending:
             if not raw.endswith("/") or name in ("script", "style", "textarea", "title"):
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                end = _end_of(name).search(page, at)
                 at = end.end() if end else size
             pieces.append(" ")
             continue
@@ -153,108 +225,123 @@ def parse(page: str) -> tuple[Node, list[Block]]:
         if name in VOID:
             continue
         if ending:
-            up = node
-            while up.parent is not None and up.name != name:
-                if name in ("p", "li", "td", "th", "dt", "dd") and up.name not in PARAGRAPHS and up.name not in ("div", "span", "section"):
-                    break  # a stray end tag does not close what is around it
-                up = up.parent
-            if up.parent is not None and up.name == name:
-                close(up)
+            if (scopes[-1] if name in ENCLOSED else open_)[name] > 0:
+                close_to((name,))
             continue
         if node.name == "p":
-            close(node)
-        ends = CLOSED_BY.get(name)
-        if ends:
-            up = node
-            while up.parent is not None and up.name not in ends and up.name not in KEEPERS:
-                up = up.parent
-            if up.name in ends:
-                close(up)
-        label, never, weight = _attributes(name, raw)
-        out = node.out or never or name in NEVER or name == "header" and not _inside_article(node)
-        child = Node(name, node, out, weight, label=label, link_was=in_link)
+            close_to(("p",))
+        ends = CLOSED_BY.get(name, ())
+        if any(scopes[-1][e] > 0 for e in ends):
+            close_to(ends)
+        label, said, never, weight = _attributes(name, raw)
+        inside = node.article
+        out = node.out or never or name in NEVER and name != "form" or name == "header" and inside is None
+        child = Node(name, node, out, "form" if name == "form" else said, weight, label, inside, in_link)
+        if name in ("article", "main") and (inside is None or name == "article"):
+            child.article = child
         node.children.append(child)
+        nodes.append(child)
         node = child
+        open_[name] += 1
+        if name in KEEPERS:
+            scopes.append(Counter())
+        else:
+            scopes[-1][name] += 1
     flush()
-    return root, blocks
+    return nodes, blocks
 
 
-def _inside_article(node: Node | None) -> bool:
-    while node is not None:
-        if node.name in ("article", "main"):
-            return True
-        node = node.parent
-    return False
+@lru_cache(maxsize=64)
+def _end_of(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I)
 
 
-def score(blocks: list[Block]) -> list[Node]:
-    """Pass every paragraph's points up the tree; the containers that got any, in page order."""
-    seen: dict[int, Node] = {}
+def weigh(nodes: list[Node], blocks: list[Block], names: int) -> list[Node]:
+    """Leave out what is never content, pass every paragraph's points up the tree, and add up texts; the containers with points, in page order.
+    ``names``: 2 to go by names, 1 to spare the largest of the elements that are named in full, 0 to take no notice of names."""
+    for x in nodes:
+        x.points, x.chars, x.linked, x.running = 0.0, 0, 0, 0
+    for b in blocks:
+        b.node.chars += len(b.text)
+        b.node.linked += b.linked
+    for x in reversed(nodes[1:]):
+        x.parent.chars += x.chars
+        x.parent.linked += x.linked
+        x.parent.holds = x.parent.holds or x.holds or x.name in ("article", "main") and not x.out and x.named != "comments"
+    whole = nodes[0].chars
+    if names == 1:
+        max((x for x in nodes if x.named == "full"), key=lambda x: x.chars, default=nodes[0]).named = ""
+    for x in nodes[1:]:
+        left = x.named == "comments" or not x.holds and (x.named == "full" or x.named == "part" and x.linked > 0.5 * x.chars or x.named == "form" and 2 * x.chars <= whole)
+        x.out = x.out or x.parent.out or names > 0 and left
+    seen = []
     for b in blocks:
         if b.node.out:
             continue
+        b.node.running += len(b.text) if len(b.text) >= RUNNING and b.linked <= 0.3 * len(b.text) else 0
         worth = min(1.0, len(b.text) / 25) + b.text.count(",") + min(len(b.text) / 100, 3.0)
         up = b.node.parent if b.node.name in PARAGRAPHS and b.node.parent is not None else b.node
         share, level = 1.0, 0
         while up is not None and level < 5:
+            if not up.points:
+                seen.append(up)
             up.points += worth * share
-            seen.setdefault(id(up), up)
             level += 1
             share = 0.5 if level == 1 else 1 / (3 * level)
             up = up.parent
-        up = b.node
-        while up is not None:
-            up.chars += len(b.text)
-            up.linked += b.linked
-            up = up.parent
-    return list(seen.values())
+    for x in reversed(nodes[1:]):
+        x.parent.running += x.running
+    return seen
 
 
 def rating(node: Node, named: bool = True) -> float:
     return (node.points + (node.weight if named else 0.0)) * (1 - node.linked / max(1, node.chars))
 
 
+def chosen_of(best: Node) -> set[Node]:
+    """The container to keep, the best one widened, and its siblings."""
+    if best.article is not None:
+        return {best.article}
+    up = best.parent
+    while up is not None and up.name not in ("body", "html", "#page"):  # parts of an article in containers of their own
+        if up.running >= 1.2 * max(best.running, 1):
+            best = up
+        up = up.parent
+    chosen = {best}
+    least = max(10.0, 0.2 * rating(best, named=False))
+    for other in best.parent.children if best.parent is not None else []:
+        if other is best or other.out or not other.chars:
+            continue
+        dense = other.linked / other.chars
+        if other.name in PARAGRAPHS:
+            good = other.chars > RUNNING and dense < 0.25 or dense == 0 and other.name == "p"
+        elif other.name in ("ul", "ol", "dl", "table"):
+            good = dense < 0.1 and other.named == ""
+        else:
+            good = dense < 0.5 and rating(other, named=False) >= least or dense < 0.25 and other.named == "" and other.running > 0
+        if good or other.name in ("h1", "h2"):
+            chosen.add(other)
+    return chosen
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line."""
     if not page:
         return ""
-    _, blocks = parse(page)
-    containers = score(blocks)
+    for names in (2, 1, 0):
+        nodes, blocks = parse(page)
+        containers = weigh(nodes, blocks, names)
+        if containers or not blocks:
+            break
     if not containers:
         return ""
-    best = max(containers, key=rating)
-    chosen = {id(best)}
-    if best.parent is not None:
-        least = max(10.0, 0.2 * rating(best, named=False))
-        for other in best.parent.children:
-            if other is best or other.out or not other.chars:
-                continue
-            dense = other.linked / other.chars
-            bonus = 0.2 * rating(best, named=False) if other.label and other.label == best.label else 0.0
-            if other.name in PARAGRAPHS:
-                good = other.chars > 80 and dense < 0.25 or dense == 0 and other.chars > 0 and other.name == "p"
-            else:
-                good = rating(other, named=False) + bonus >= least and dense < 0.5 and other.name not in ("ul", "ol", "dl")
-            if good or other.name in ("h1", "h2"):
-                chosen.add(id(other))
-    inside: dict[int, bool] = {}
-
-    def kept(node: Node | None) -> bool:
-        path = []
-        while node is not None and id(node) not in inside:
-            if id(node) in chosen:
-                inside[id(node)] = True
-                break
-            path.append(node)
-            node = node.parent
-        found = inside[id(node)] if node is not None else False
-        for x in path:
-            inside[id(x)] = found
-        return found
-
+    chosen, kept = chosen_of(max(containers, key=rating)), set()
+    for x in nodes:
+        if x in chosen or x.parent in kept:
+            kept.add(x)
     out = []
     for b in blocks:
-        if b.node.out or not kept(b.node):
+        if b.node.out or b.node not in kept:
             continue
         lists = b.node if b.node.name in ("ul", "ol", "dl", "table") else b.node.parent
         if b.linked > 0.5 * len(b.text) and (lists is None or lists.linked > 0.5 * max(1, lists.chars)):
@@ -275,5 +362,5 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                 yield pd.DataFrame({"id": part["id"].array, "url": part["url"].array, "text": texts, "n_chars": [len(t) for t in texts]})
 
     given = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    got = given.mapInPandas(run, f"id {id_type}, url {url_type}, text string, n_chars long")
+    got = bounded_batches(given).mapInPandas(tidy(run), f"id {id_type}, url {url_type}, text string, n_chars long")
     return got.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")

@@ -242,6 +242,70 @@ def test_pages_of_the_template(spark):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+WRAPPERS = [
+    "wrap no-sidebar", "single has-sidebar", "site comments-open", "content with-header", "entry share-enabled", "post hentry category-news tag-politics", "modal-open", "page", "",
+    "sidebar-layout", "menu-hidden", "header-fixed", "widget-free", "search-enabled page", "main-content", "ads-off", "cookie-accepted", "container", "is-newsletter", "layout-two-sidebars",
+]
+LEFT = [
+    '<div class="comments"><p>{}</p></div>', '<div id="sidebar"><p>{}</p></div>', '<div class="cookie-banner"><p>{}</p></div>', '<div class="ad"><p>{}</p></div>', '<aside><p>{}</p></aside>',
+    '<form><p>{}</p></form>', '<footer><p>{}</p></footer>', '<ul class="nav-menu"><li>{}</li></ul>', '<div class="related-posts"><p>{}</p></div>', '<section id="respond"><p>{}</p></section>',
+    '<div style="display: none"><p>{}</p></div>', '<div role="navigation"><p>{}</p></div>', '<section class="post-comments"><article class="comment"><p>{}</p></article></section>',
+]
+SAID = "Some words, that stand beside the article, and are long, and have many commas, as notices may."
+
+
+def an_article(n):
+    return ["Head"] + [f"Paragraph {i}, with some words, that run on for a while, as articles do, and more." for i in range(n)]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<main><article>{}</article></main>", "<div><div>{}</div></div>"])
+def test_wrappers_do_not_hide_the_article(wrapper, inner):
+    lines = an_article(4)
+    body = f"<h1>{lines[0]}</h1>" + "".join(f"<p>{x}</p>" for x in lines[1:])
+    for beside in LEFT:
+        page = f'<html><body><header><a href="/">Home</a></header><div class="{wrapper}">{inner.format(body)}</div>{beside.format(SAID)}</body></html>'
+        assert html_extract.main_text(page) == "\n".join(lines), beside
+
+
+@pytest.mark.parametrize("beside", LEFT)
+def test_what_stands_inside_the_article_is_left_out(beside):
+    lines = an_article(6)
+    body = "".join(f"<p>{x}</p>" for x in lines[1:4]) + beside.format(SAID) + "".join(f"<p>{x}</p>" for x in lines[4:])
+    assert html_extract.main_text(f"<body><div class=content><h1>Head</h1>{body}</div></body>") == "\n".join(lines)
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+@pytest.mark.parametrize("part", ["<section>{}</section>", "<div><div>{}</div></div>", "<div>{}</div>"])
+def test_uneven_parts_of_an_article_stay_together(around, part):
+    lines = an_article(30)[1:]
+    closing = "One closing paragraph, which is short beside the others, but has eighty letters and more."
+    pieces = [lines[:2], lines[2:26], lines[26:], [closing]]
+    body = "".join(part.format("".join(f"<p>{x}</p>" for x in piece)) for piece in pieces) + "<ul><li>a point</li><li>another</li></ul>"
+    page = f"<body><nav><a href=x>Menu</a></nav>{around.format(body)}<footer>Foot</footer></body>"
+    assert html_extract.main_text(page) == "\n".join([*lines, closing, "a point", "another"])
+
+
+def test_values_and_broken_tags_of_any_length():
+    value = "data:image/svg+xml," + "<svg a='>'>" * 1000
+    assert html_extract.main_text(f'<p>One, two.</p><img src="{value}"><p>Three.</p>') == "One, two.\nThree."
+    assert html_extract.main_text(f"<p {'a ' * 5000}>x") == "x"
+    assert html_extract.main_text("a < b <!-- c") == "a < b"
+    assert html_extract.main_text("<form><main><p>Inside, a form.</p></main></form>") == "Inside, a form."
+    assert html_extract.main_text("<div class=sidebar><p>Only this.</p></div>") == "Only this."
+
+
+def test_long_and_deep_pages_are_read_in_linear_time():
+    import time
+
+    n = 100_000
+    pages = ["<div>x" * n, "<div>x" * (n // 2) + "</p></section>" * (n // 2), "<ul><li><ul>" + "<div>" * n + "</li>" * n, '<a x="' * n, '<a "' * n + "<p>x" * n, "<header>" * n + "x", "<p>x" * n]
+    for page in pages:
+        began = time.process_time()
+        html_extract.main_text(page)
+        assert time.process_time() - began < 4, page[:20]
+
+
 def test_html_tables_of_odd_rows(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", ""), (3, "u", "<div>" * 5000 + "x"), (3, "u", "<a \"" * 3000)], "page_id long, url string, html string")
     assert sorted(r.n_chars for r in html_extract.extract_main_text(df).collect())[:2] == [0, 0]
@@ -611,8 +675,9 @@ def test_connected_components(spark):
         a, b = root(u), root(v)
         parent[max(a, b)] = min(a, b)
     df = spark.createDataFrame(edges, "u long, v long").repartition(5)
-    got = {x.node: x.component for x in connected_components(df).collect()}
-    assert got == {x: root(x) for u, v in edges if u != v for x in (u, v)}
+    for local in (100_000, 40):
+        got = {x.node: x.component for x in connected_components(df, local=local).collect()}
+        assert got == {x: root(x) for u, v in edges if u != v for x in (u, v)}
     assert connected_components(df.filter("u < 0")).count() == 0
 
 
