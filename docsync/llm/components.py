@@ -1,7 +1,8 @@
-"""Connected components by star contraction, in rounds of DataFrame joins."""
+"""Connected components: union-find inside partitions of bounded size, and star contraction in rounds of DataFrame joins between them."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,28 +13,31 @@ from pyspark.sql import functions as F
 from docsync.llm.common import join_skewed, materialize, tidy
 
 
+#: Links that a task takes at a time.
+LOCAL = 100_000
+
+
 def contract_locally(edges: DataFrame) -> DataFrame:
-    """The links of each partition replaced by links to the smallest node of their group there (union-find per
-    Arrow batch, so memory is bounded)."""
+    """The links of each partition replaced by links to the smallest node of their group there. Memory follows the size of a partition."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parent: dict[int, int] = {}
+        parent: dict[int, int] = {}
 
-            def root(v: int, parent=parent) -> int:
-                top = v
-                while parent.setdefault(top, top) != top:
-                    top = parent[top]
-                while parent[v] != top:
-                    parent[v], v = top, parent[v]
-                return top
+        def root(v: int) -> int:
+            top = v
+            while parent.setdefault(top, top) != top:
+                top = parent[top]
+            while parent[v] != top:
+                parent[v], v = top, parent[v]
+            return top
 
+        for frame in frames:
             for u, v in zip(frame["u"].tolist(), frame["v"].tolist(), strict=True):
                 a, b = root(u), root(v)
                 parent[max(a, b)] = min(a, b)
-            nodes = np.array(list(parent), np.int64)
-            roots = np.array([root(v) for v in parent], np.int64)
-            yield pd.DataFrame({"u": nodes, "v": roots})[nodes != roots]
+        nodes = np.array(list(parent), np.int64)
+        roots = np.array([root(v) for v in parent], np.int64)
+        yield pd.DataFrame({"u": nodes, "v": roots})[nodes != roots]
 
     return edges.mapInPandas(tidy(run), "u long, v long")
 
@@ -63,15 +67,15 @@ def settled(links: DataFrame) -> bool:
     return ends.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of ``edges`` (u, v: long): component is the smallest node reachable."""
-    links = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    links = materialize(contract_locally(links).distinct(), "links")
-    rounds = 0
-    while not settled(links):
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+def connected_components(edges: DataFrame, max_rounds: int = 60, local: int = LOCAL) -> DataFrame:
+    """(node, component) for every node of ``edges`` (u, v: long): component is the smallest node reachable. Each round contracts the links in partitions
+    of ``local``; when more than one is left and the links are not stars yet, a round of joins passes the smallest nodes on."""
+    links = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    for _ in range(max_rounds):
+        parts = max(1, math.ceil(links.count() / local))
+        links = materialize(contract_locally(links.repartition(parts)).distinct(), "links")
+        if parts == 1 or settled(links):
+            whole = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return whole.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         links = materialize(star_round(links), "links")
-    whole = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return whole.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
