@@ -2,10 +2,14 @@
 
 Paragraphs come as (source_path, paragraph_num, page_num, text); chunks go out as
 (source_path, chunk_index, text, paragraph_num, page_num).
+
+Places that count over a whole file (of tokens, nodes, sentences) are found in two levels: inside splits of SPLIT paragraphs, then from the
+sums of the splits, so that no task puts more than a split of a file in order, however long the file is.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -15,9 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsync.functions import text as T
+from docsync.functions.tables import written
 
 TOKEN = f"{T.WS}*[^{T.WS_RANGES}]+|{T.WS}+"
 SENTENCE_END = "[.!?]$"
+SPLIT = 10_000
+
+#: Models that this process has loaded, by the digest of the function that loads them and its settings.
+_MODELS: dict[str, object] = {}
 
 
 def overlap_size(chunk_size: int, overlap_ratio: float) -> int:
@@ -39,74 +48,112 @@ def regex_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({TOKEN})"), F.lit(1))
 
 
-def tokens_of(paragraphs: DataFrame, tokens: Callable[[Column], Column] = regex_tokens) -> DataFrame:
-    """(source_path, paragraph_num, page_num, tokens): each paragraph's tokens and those of one space."""
-    return paragraphs.select("source_path", "paragraph_num", "page_num", F.concat(tokens(F.col("text")), tokens(F.lit(" "))).alias("tokens"))
+regex_tokens.count = lambda text: F.regexp_count(text, F.lit(TOKEN))
+
+
+def sums_before(rows: DataFrame, value: Column, by: str, order: list[str], name: str, split: int = SPLIT) -> DataFrame:
+    """(source_path, *order, name, <name>_total) for rows that are unique by these: the sum of ``value`` over the rows of the file that come
+    before in ``order``, and over all its rows. ``by`` is the first number of the order; rows are summed in splits of ``split`` of these."""
+    light = rows.select("source_path", *order, F.floor(F.col(by) / split).alias("__split"), value.cast("long").alias("__value"))
+    within = Window.partitionBy("source_path", "__split").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = light.withColumn("__inside", F.coalesce(F.sum("__value").over(within), F.lit(0)))
+    sums = light.groupBy("source_path", "__split").agg(F.sum("__value").alias("__sum"))
+    earlier = Window.partitionBy("source_path").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("__sum").over(Window.partitionBy("source_path"))
+    offsets = sums.select("source_path", "__split", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"), total.alias(f"{name}_total"))
+    found = placed.join(offsets, ["source_path", "__split"])
+    return found.select("source_path", *order, (F.col("__inside") + F.col("__before")).alias(name), f"{name}_total")
 
 
 def token_windows(paragraphs: DataFrame, chunk_size: int = 500, overlap: int = 75, tokens: Callable[[Column], Column] = regex_tokens) -> DataFrame:
     """Windows of ``chunk_size`` tokens, each starting ``chunk_size - overlap`` after the one before, over a file's whole
-    token stream. A window is put together from the slices that paragraphs have in it, so no row ever
-    holds a file's stream: a paragraph's place is a running sum of sizes, and only slices are shuffled."""
+    token stream: each paragraph's tokens and those of one space. A window is put together from the slices that paragraphs have in it, so no row ever
+    holds a file's stream. Only counts of tokens go into the paragraphs' places; a tokenizer with a ``count`` is counted by it."""
     _check(chunk_size, overlap)
     step = chunk_size - overlap
-    each = tokens_of(paragraphs, tokens)
-    order = Window.partitionBy("source_path").orderBy("paragraph_num")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    sized = each.withColumn("n", F.size("tokens")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    totals = sized.withColumn("total", F.sum("n").over(Window.partitionBy("source_path"))).filter("n > 0")
-    last = F.greatest(F.lit(0), F.ceil((F.col("total") - chunk_size) / step)).cast("long")
+    count = getattr(tokens, "count", None) or (lambda text: F.size(tokens(text)))
+    rows = paragraphs.select("source_path", "paragraph_num", "page_num", "text").filter("text is not null")
+    places = sums_before(rows, count(F.col("text")) + count(F.lit(" ")), "paragraph_num", ["paragraph_num"], "start")
+    each = rows.withColumn("tokens", F.concat(tokens(F.col("text")), tokens(F.lit(" ")))).withColumn("n", F.size("tokens"))
+    placed = each.join(places, ["source_path", "paragraph_num"])
+    last = F.greatest(F.lit(0), F.ceil((F.col("start_total") - chunk_size) / step)).cast("long")
     first_k = F.greatest(F.lit(0), F.floor((F.col("start") - chunk_size) / step) + 1)
     last_k = F.least(last, F.floor((F.col("start") + F.col("n") - 1) / step))
-    spread = totals.filter(first_k <= last_k).select("source_path", "paragraph_num", "page_num", "tokens", "start", "n", F.explode(F.sequence(first_k, last_k)).alias("k"))
+    spread = placed.filter((F.col("n") > 0) & (first_k <= last_k)).select("source_path", "paragraph_num", "page_num", "tokens", "start", "n", F.explode(F.sequence(first_k, last_k)).alias("k"))
     begin = F.greatest(F.col("k") * step - F.col("start"), F.lit(0))
     end = F.least(F.col("k") * step + chunk_size - F.col("start"), F.col("n").cast("long"))
     piece = F.array_join(F.slice("tokens", (begin + 1).cast("int"), (end - begin).cast("int")), "")
     parts = spread.filter(begin < end).select("source_path", "k", F.struct("paragraph_num", "page_num", piece.alias("text")).alias("part"))
     whole = parts.groupBy("source_path", "k").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return whole.select(
+    made = whole.select(
         "source_path",
         F.col("k").cast("int").alias("chunk_index"),
         F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
         F.col("parts")[0]["paragraph_num"].alias("paragraph_num"),
         F.col("parts")[0]["page_num"].alias("page_num"),
     )
+    decode = getattr(tokens, "decode", None)
+    return decode(made) if decode else made
 
 
-def token_windows_by_file(paragraphs: DataFrame, chunk_size: int = 500, overlap: int = 75, tokens: Callable[[Column], Column] = regex_tokens) -> DataFrame:
-    """The same windows for files that are known to be small: one array per file, one shuffle in all."""
-    _check(chunk_size, overlap)
-    step = chunk_size - overlap
-    part = F.struct("paragraph_num", "page_num", "tokens")
-    files = tokens_of(paragraphs, tokens).groupBy("source_path").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-    stream = F.flatten(F.transform("parts", lambda p: F.transform(p["tokens"], lambda t: F.struct(t.alias("t"), p["paragraph_num"].alias("paragraph_num"), p["page_num"].alias("page_num")))))
-    rows = files.select("source_path", stream.alias("stream")).filter(F.size("stream") > 0)
-    last = F.greatest(F.lit(0), F.ceil((F.size("stream") - chunk_size) / step)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("stream", k * step + 1, F.lit(chunk_size)))
-    windows = rows.select("source_path", F.posexplode(cut).alias("chunk_index", "w"))
-    return windows.select(
-        "source_path", "chunk_index", F.array_join(F.transform("w", lambda x: x["t"]), "").alias("text"), F.col("w")[0]["paragraph_num"].alias("paragraph_num"), F.col("w")[0]["page_num"].alias("page_num")
-    )
+def cached_model(key: str, load: Callable[[], object]) -> object:
+    """What ``load()`` gives, loaded once in each process for each key."""
+    if key not in _MODELS:
+        _MODELS[key] = load()
+    return _MODELS[key]
 
 
-def bpe_tokens(ranks: dict[bytes, int], pattern: str) -> Callable[[Column], Column]:
-    """A tokenizer for the windows from a rank file's vocabulary: every token as its bytes in Latin letters, so that tokens join."""
+def _key(load: Callable) -> str:
+    from pyspark import cloudpickle
+
+    return hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
+
+
+def coder_tokens(load: Callable[[], object]) -> Callable[[Column], Column]:
+    """A tokenizer for the windows from a byte-level coder (``encode_ordinary_batch``, ``decode_single_token_bytes``) that ``load()`` makes in
+    each worker process: every token as its bytes in Latin letters, so that tokens join; finished windows are decoded."""
     from pyspark.sql.functions import pandas_udf
 
+    key = _key(load)
+
     @pandas_udf("array<string>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import tiktoken
+        from docsync.operators.chunks import cached_model
 
-        coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        coder = cached_model(key, load)
         for texts in batches:
             coded = coder.encode_ordinary_batch([t or "" for t in texts])
             yield pd.Series([[coder.decode_single_token_bytes(i).decode("latin-1") for i in ids] for ids in coded])
 
-    return encode
+    tokens = lambda text: encode(text)
+    tokens.decode = decode_bpe
+    return tokens
+
+
+def bpe_tokens(ranks: dict[bytes, int], pattern: str) -> Callable[[Column], Column]:
+    """A tokenizer for the windows from a rank file's vocabulary."""
+
+    def load() -> object:
+        import tiktoken
+
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return coder_tokens(load)
+
+
+def encoding_tokens(name: str = "cl100k_base") -> Callable[[Column], Column]:
+    """A tokenizer for the windows by the name of a public encoding, whose ranks must be at hand on all machines."""
+
+    def load() -> object:
+        import tiktoken
+
+        return tiktoken.get_encoding(name)
+
+    return coder_tokens(load)
 
 
 def decode_bpe(chunks: DataFrame) -> DataFrame:
-    """Chunks made with ``bpe_tokens`` as text; a character that a window cuts becomes U+FFFD."""
+    """Chunks made of tokens in Latin letters as text; a character that a window cuts becomes U+FFFD."""
     return chunks.withColumn("text", F.make_valid_utf8(F.encode("text", "ISO-8859-1").cast("string")))
 
 
@@ -115,7 +162,7 @@ def decode_bpe(chunks: DataFrame) -> DataFrame:
 
 def sentence_list(text: Column) -> Column:
     """The sentences of a text: split after ``.``, ``!`` or ``?`` and white space."""
-    return F.filter(F.transform(F.split(T.collapse(text), r"(?<=[.!?]) +"), T.strip), lambda s: F.length(s) > 0)
+    return F.filter(F.split(T.collapse(text), r"(?<=[.!?]) +"), lambda s: F.length(s) > 0)
 
 
 def sentences(paragraphs: DataFrame) -> DataFrame:
@@ -124,37 +171,39 @@ def sentences(paragraphs: DataFrame) -> DataFrame:
 
 
 def bag_of_words(dims: int = 32) -> Callable[[Column], Column]:
-    """The default embedding, in column functions: words counted in ``dims`` slots by the first 4 hex digits of their md5.
-    It is additive: a context's vector is the sum of its sentences'."""
-
-    def embed(text: Column) -> Column:
-        words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: F.length(w) > 0)
-        slots = F.transform(words, lambda w: F.pmod(_hex4(F.md5(w.cast("binary"))), F.lit(dims)))
-        return F.aggregate(F.array(F.named_struct(F.lit("slots"), slots)), F.array().cast("array<double>"), lambda _, x: _counts(x["slots"], dims))
+    """The default embedding, in column functions: words counted in ``dims`` slots by the first 4 hex digits of their md5. Its ``code``
+    writes a letter for each word's slot, and codes of texts joined are the code of the joined texts; ``vector`` counts the letters."""
+    letters = [chr(0x100 + d) for d in range(dims)]
 
-    embed.additive = True
-    return embed
+    def slot(word: Column) -> Column:
+        return F.pmod(F.conv(F.substring(F.md5(word.cast("binary")), 1, 4), 16, 10).cast("int"), F.lit(dims))
 
+    def code(text: Column) -> Column:
+        words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: F.length(w) > 0)
+        return F.array_join(F.transform(words, lambda w: F.substr(F.lit("".join(letters)), slot(w) + 1, F.lit(1))), "")
 
-def _hex4(digest: Column) -> Column:
-    """The number that the first four hex digits write."""
-    value = F.lit(0)
-    for place in range(1, 5):
-        value = value * 16 + F.position(F.substring(digest, place, 1), F.lit("123456789abcdef"))
-    return value
+    def vector(coded: Column) -> Column:
+        return F.array(*[(F.length(coded) - F.length(F.replace(coded, F.lit(x), F.lit("")))).cast("double") for x in letters])
 
+    def embed(text: Column) -> Column:
+        return vector(code(text))
 
-def _counts(slots: Column, dims: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: (F.size(slots) - F.size(F.array_remove(slots, d))).cast("double"))
+    embed.code, embed.vector, embed.dims = code, vector, dims
+    return embed
 
 
 def model_embedding(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Callable[[Column], Column]:
-    """An embedding by a model that each Python worker loads once: ``load()`` gives a function from texts to vectors."""
+    """An embedding by a model that each Python worker process loads once: ``load()`` gives a function from texts to vectors. Functions that
+    load with other settings are other models."""
     from pyspark.sql.functions import pandas_udf
 
+    key = _key(load)
+
     @pandas_udf("array<double>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
+        from docsync.operators.chunks import cached_model
+
+        model = cached_model(key, load)
         for texts in batches:
             yield pd.Series([np.asarray(v, float).tolist() for v in model(texts.fillna("").tolist())])
 
@@ -165,66 +214,76 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cosine; 1 where either is zero; rounded to 9 digits so that equal contexts compare equal."""
-    dot = _sum(F.zip_with(a, b, lambda x, y: x * y))
-    norms = F.sqrt(_sum(F.transform(a, lambda x: x * x))) * F.sqrt(_sum(F.transform(b, lambda x: x * x)))
-    return F.round(1 - F.when(norms > 0, dot / norms).otherwise(F.lit(0.0)), 9) + F.lit(0.0)
+def cosine_distance(a: Column, b: Column, dims: int | None = None) -> Column:
+    """1 - cosine; 1 where either is zero; rounded to 9 digits so that equal contexts compare equal. With ``dims`` known the sums are
+    written out, so that they are compiled."""
+    if dims:
+        inner = lambda x, y: sum((F.get(x, F.lit(d)) * F.get(y, F.lit(d)) for d in range(1, dims)), F.get(x, F.lit(0)) * F.get(y, F.lit(0)))
+    else:
+        inner = lambda x, y: _sum(F.zip_with(x, y, lambda p, q: p * q))
+    norms = F.sqrt(inner(a, a)) * F.sqrt(inner(b, b))
+    return F.round(1 - F.when(norms > 0, inner(a, b) / norms).otherwise(F.lit(0.0)), 9) + F.lit(0.0)
 
 
 def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callable[[Column], Column] | None = None) -> DataFrame:
     """Sentences with the distance of their context (one neighbour each side) to the next one's, and whether a chunk ends
-    after them: where the distance exceeds the percentile of the paragraph's distances."""
+    after them: where the distance exceeds the percentile of the paragraph's distances. A paragraph is the unit; files meet in no task."""
     if not 0 <= percentile <= 100:
         raise ValueError("percentile must be from 0 to 100")
     embed = embed or bag_of_words()
     group = Window.partitionBy("source_path", "paragraph_num")
     order = group.orderBy("sent_idx")
-    rows = sentences(paragraphs).repartition("source_path")  # sentences are smaller than their vectors
-    if getattr(embed, "additive", False):
-        add = lambda x, y: F.when(y.isNull(), x).otherwise(F.zip_with(x, y, lambda p, q: p + q))
-        rows = rows.withColumn("own", embed(F.col("sentence")))
-        rows = rows.withColumns({"b": F.lag("own").over(order), "a": F.lead("own").over(order)})
-        rows = rows.withColumn("vector", add(add(F.col("own"), F.col("b")), F.col("a"))).drop("own", "b", "a")
+    rows = sentences(paragraphs)
+    around = lambda c: F.concat_ws(" ", F.lag(c).over(order), F.col(c), F.lead(c).over(order))
+    if hasattr(embed, "code"):
+        rows = rows.withColumn("code", embed.code(F.col("sentence"))).withColumn("context", around("code"))
+        rows = rows.withColumn("vector", embed.vector(F.col("context")))
     else:
-        context = F.concat_ws(" ", F.lag("sentence").over(order), F.col("sentence"), F.lead("sentence").over(order))
-        rows = rows.withColumn("context", context).withColumn("vector", embed(F.col("context")))
+        rows = rows.withColumn("context", around("sentence")).withColumn("vector", embed(F.col("context")))
     rows = rows.withColumn("next_vector", F.lead("vector").over(order))
-    rows = rows.withColumn("distance", F.when(F.col("next_vector").isNotNull(), cosine_distance(F.col("vector"), F.col("next_vector"))))
+    distance = cosine_distance(F.col("vector"), F.col("next_vector"), getattr(embed, "dims", None))
+    rows = rows.withColumn("distance", F.when(F.col("next_vector").isNotNull(), distance))
     rows = rows.withColumn("threshold", F.round(F.percentile("distance", F.lit(percentile / 100)).over(group), 9))
     cut = F.coalesce(F.col("distance") > F.col("threshold"), F.lit(False))
     return rows.select("source_path", "paragraph_num", "page_num", "sent_idx", "sentence", "distance", cut.alias("cut"))
 
 
 def semantic_nodes(breaks: DataFrame) -> DataFrame:
-    """(source_path, node, text, paragraph_num, page_num): the sentences between cuts, joined by spaces; ``node`` counts over the file."""
+    """(source_path, node, text, paragraph_num, page_num): the sentences between cuts, joined by spaces; ``node`` counts over the file. The
+    texts are written once, so that embeddings are not computed again for the numbers."""
     before = Window.partitionBy("source_path", "paragraph_num").orderBy("sent_idx").rowsBetween(Window.unboundedPreceding, -1)
     part = breaks.withColumn("part", F.coalesce(F.sum(F.col("cut").cast("int")).over(before), F.lit(0)))
     joined = part.groupBy("source_path", "paragraph_num", "part").agg(
         F.first("page_num").alias("page_num"), F.array_sort(F.collect_list(F.struct("sent_idx", "sentence"))).alias("s")
     )
-    node = F.row_number().over(Window.partitionBy("source_path").orderBy("paragraph_num", "part")) - 1
-    return joined.select("source_path", node.alias("node"), F.array_join(F.transform("s", lambda x: x["sentence"]), " ").alias("text"), "paragraph_num", "page_num")
+    texts = written(joined.select("source_path", "paragraph_num", "part", "page_num", F.array_join(F.transform("s", lambda x: x["sentence"]), " ").alias("text")), "nodes")
+    counts = texts.groupBy("source_path", "paragraph_num").agg(F.count("*").alias("n"))
+    placed = texts.join(sums_before(counts, F.col("n"), "paragraph_num", ["paragraph_num"], "first_node"), ["source_path", "paragraph_num"])
+    return placed.select("source_path", (F.col("first_node") + F.col("part")).cast("int").alias("node"), "text", "paragraph_num", "page_num")
 
 
 def repair_sentences(nodes: DataFrame) -> DataFrame:
     """Nodes (source_path, node, text, paragraph_num, page_num) with every sentence whole: what a node leaves unended goes to
     the front of the next; a rest at the end of the file goes to the last node that keeps a sentence, or to the first
-    node when there is none. Nodes left empty vanish. Windows replace a fold: pieces are numbered by the sentence ends
+    node when there is none. Nodes left empty vanish. Running sums replace a fold: pieces are numbered by the sentence ends
     before them, and a sentence belongs to the node in which it ends."""
-    file = Window.partitionBy("source_path")
-    first = nodes.withColumn("first_node", F.min("node").over(file))
-    pieces = first.select("source_path", "node", "first_node", F.posexplode(sentence_list(F.col("text"))).alias("i", "piece"))
+    listed = nodes.select("source_path", "node", sentence_list(F.col("text")).alias("pieces"))
+    ends = F.size(F.filter("pieces", lambda s: s.rlike(SENTENCE_END)))
+    before = sums_before(listed, ends, "node", ["node"], "ends")
+    pieces = listed.select("source_path", "node", F.posexplode("pieces").alias("i", "piece"))
     pieces = pieces.withColumn("ended", F.col("piece").rlike(SENTENCE_END).cast("int"))
-    order = file.orderBy("node", "i")
-    pieces = pieces.withColumn("sentence", F.coalesce(F.sum("ended").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = Window.partitionBy("source_path", "node").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("inside", F.coalesce(F.sum("ended").over(inside), F.lit(0))).join(before, ["source_path", "node"])
+    pieces = pieces.withColumn("sentence", F.col("ends") + F.col("inside"))
     whole = pieces.groupBy("source_path", "sentence").agg(
-        F.array_sort(F.collect_list(F.struct("node", "i", "piece"))).alias("p"), F.max("node").alias("end_node"), F.max("ended").alias("ended"), F.min("first_node").alias("first_node")
+        F.array_sort(F.collect_list(F.struct("node", "i", "piece"))).alias("p"), F.max("node").alias("end_node"), F.max("ended").alias("ended")
     )
-    last = F.max(F.when(F.col("ended") == 1, F.col("end_node"))).over(file)
-    home = F.when(F.col("ended") == 1, F.col("end_node")).otherwise(F.coalesce(last, F.col("first_node")))
-    whole = whole.select("source_path", "sentence", home.alias("node"), F.array_join(F.transform("p", lambda x: x["piece"]), " ").alias("text"))
-    texts = whole.groupBy("source_path", "node").agg(F.array_sort(F.collect_list(F.struct("sentence", "text"))).alias("s"))
+    edges = nodes.groupBy("source_path").agg(F.min("node").alias("first_node"))
+    last = whole.filter("ended = 1").groupBy("source_path").agg(F.max("end_node").alias("last_node"))
+    rest = whole.filter("ended = 0").join(last, "source_path", "left").join(edges, "source_path")
+    columns = lambda node: ["source_path", "sentence", node.alias("node"), F.array_join(F.transform("p", lambda x: x["piece"]), " ").alias("text")]
+    homes = whole.filter("ended = 1").select(*columns(F.col("end_node"))).unionByName(rest.select(*columns(F.coalesce("last_node", "first_node"))))
+    texts = homes.groupBy("source_path", "node").agg(F.array_sort(F.collect_list(F.struct("sentence", "text"))).alias("s"))
     texts = texts.select("source_path", "node", F.array_join(F.transform("s", lambda x: x["text"]), " ").alias("text"))
     return texts.join(nodes.drop("text"), ["source_path", "node"])
 
@@ -233,9 +292,9 @@ def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool
     """Semantic chunks, by default with repaired sentence ends; stripped, empty ones dropped, numbered over the file."""
     nodes = semantic_nodes(semantic_breaks(paragraphs, percentile, embed))
     nodes = repair_sentences(nodes) if repair else nodes
-    kept = nodes.withColumn("text", T.strip(F.col("text"))).filter(F.length("text") > 0)
-    index = F.row_number().over(Window.partitionBy("source_path").orderBy("node")) - 1
-    return kept.select("source_path", index.alias("chunk_index"), "text", "paragraph_num", "page_num")
+    kept = written(nodes.withColumn("text", T.strip(F.col("text"))).filter(F.length("text") > 0), "chunks")
+    places = sums_before(kept, F.lit(1), "node", ["node"], "chunk_index").drop("chunk_index_total")
+    return kept.join(places, ["source_path", "node"]).select("source_path", F.col("chunk_index").cast("int").alias("chunk_index"), "text", "paragraph_num", "page_num")
 
 
 def chunk(paragraphs: DataFrame, chunker: str = "semantic", chunk_size: int = 500, overlap_ratio: float = 0.15, percentile: float = 70, repair: bool = True, **plugins) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docsync.functions.tables import dealt_out
 from docsync.operators import sync
 from docsync.sources.files import name_of, suffix_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt_out(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def doc_path(suffix: Column | str = ".md") -> Column:

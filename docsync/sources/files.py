@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsync.functions import text as T
 from docsync.operators.sync import signature
 
+# The suffixes that are kept in step.
 SUFFIXES = (".docx", ".doc", ".pdf", ".md", ".html", ".htm", ".msg", ".log")
 TEXT_SUFFIXES = (".md", ".html", ".htm", ".log")
 SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+#: Paths named in one read.
+AT_ONCE = 10_000
 
 
 def name_of(path: Column) -> Column:
@@ -22,11 +28,15 @@ def suffix_of(path: Column) -> Column:
     return F.lower(F.regexp_extract(name_of(path), r"^.+(\.[^./]+)$", 1))
 
 
+def key_of(path: Column) -> Column:
+    """The path by which a file is known: without the scheme for local files."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def described(found: DataFrame) -> DataFrame:
-    """(source_path, source_name, suffix, size, mtime_ns, file_signature) of ``binaryFile`` rows with a supported suffix."""
-    path = F.regexp_replace("path", "^file:/+", "/")
+    """(path, source_path, source_name, suffix, size, mtime_ns, file_signature) of ``binaryFile`` rows with a supported suffix."""
     mtime = F.unix_micros("modificationTime") * 1000
-    rows = found.withColumns({"source_path": path, "source_name": name_of(path), "suffix": suffix_of(path), "size": F.col("length"), "mtime_ns": mtime})
+    rows = found.withColumns({"source_path": key_of(F.col("path")), "source_name": name_of(F.col("path")), "suffix": suffix_of(F.col("path")), "size": F.col("length"), "mtime_ns": mtime})
     return rows.withColumn("file_signature", signature(F.col("size"), F.col("mtime_ns"))).filter(F.col("suffix").isin(*SUFFIXES))
 
 
@@ -34,20 +44,36 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """The listing of a folder tree; contents are not read. Files whose names start with ``.`` or ``_`` are hidden to Spark, and
     empty files are not listed by it (their chunks go as those of a removed file do)."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return described(found).select("source_path", "source_name", "suffix", "size", "mtime_ns", "file_signature")
+    return described(found).select("path", "source_path", "source_name", "suffix", "size", "mtime_ns", "file_signature")
 
 
-def read_texts(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> DataFrame:
-    """Listing rows with ``raw`` text of the text formats; with ``wanted`` (source_path) only of those files."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    rows = described(found).filter(F.col("suffix").isin(*TEXT_SUFFIXES))
-    if wanted is not None:
-        rows = rows.join(wanted.select("source_path"), "source_path", "left_semi")
-    return rows.select("source_path", "source_name", "suffix", "file_signature", T.utf8(F.col("content")).alias("raw"))
+def _plain(paths: list[str]) -> list[str]:
+    """Paths whose special characters stand for themselves."""
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+
+
+def in_batches(wanted: DataFrame, at_once: int = AT_ONCE) -> Iterator[list[str]]:
+    """The paths of ``wanted`` (path), as many at a time as one read names. Only paths pass the driver, a partition at a time."""
+    batch: list[str] = []
+    for row in wanted.select("path").toLocalIterator():
+        batch.append(row[0])
+        if len(batch) == at_once:
+            yield batch
+            batch = []
+    if batch:
+        yield batch
+
+
+def read_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source_path, suffix, raw) of the named files of a text format: invalid bytes become U+FFFD, line ends ``\\n``. Other files are not opened."""
+    found = spark.read.format("binaryFile").load(_plain(paths))
+    return described(found).filter(F.col("suffix").isin(*TEXT_SUFFIXES)).select("source_path", "suffix", T.utf8(F.col("content")).alias("raw"))
 
 
-def read_log_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(source_path, split_no, line_no, line) of logs of any size, read by line in splits."""
-    rows = spark.read.option("recursiveFileLookup", "true").text(folder)
-    meta = rows.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("source_path"), F.col("_metadata.file_block_start").alias("split_no"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
-    return meta.filter(suffix_of(F.col("source_path")) == ".log")
+def read_log_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source_path, split_no, line_no, line) of the named files, read by line in splits, so that they can be of any size. A byte order
+    mark at the start of a file is left out."""
+    rows = spark.read.text(_plain(paths))
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    line = F.make_valid_utf8("value")
+    return rows.select(key_of(path).alias("source_path"), F.col("_metadata.file_block_start").alias("split_no"), F.monotonically_increasing_id().alias("line_no"), line.alias("line"))

@@ -47,9 +47,7 @@ def test_windows_equal_model(spark, seed):
     texts = [" ".join(r.choice("abc") * r.randint(1, 3) for _ in range(r.randint(0, 12))) for _ in range(r.randint(1, 6))]
     for size, overlap in ((4, 1), (1, 0), (5, 4), (50, 8)):
         want = model_windows(texts, size, overlap)
-        df = paragraphs(spark, texts)
-        assert out(chunks.token_windows(df, size, overlap)) == want
-        assert out(chunks.token_windows_by_file(df, size, overlap)) == want
+        assert out(chunks.token_windows(paragraphs(spark, texts), size, overlap)) == want
 
 
 def test_windows_of_nothing(spark):
@@ -66,7 +64,9 @@ def test_window_count(spark):
 def test_bpe_tokens_round_trip(spark):
     ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
     made = chunks.token_windows(paragraphs(spark, ["abé ab"]), 4, 0, chunks.bpe_tokens(ranks, r"\S+|\s+"))
-    assert [x[1] for x in out(chunks.decode_bpe(made))] == ["abé ", "ab "]
+    assert [x[1] for x in out(made)] == ["abé ", "ab "]
+    chosen = chunks.chunk(paragraphs(spark, ["日本é"]), "simple", chunk_size=3, overlap_ratio=0.4, tokens=chunks.bpe_tokens(ranks, r"\S+|\s+"))
+    assert out(chosen)[0][1] == "日"  # the job's own way of chunking decodes as well
 
 
 @pytest.mark.parametrize("text, want", [("a. b! c?d e", ["a.", "b!", "c?d e"]), ("  ", []), ('x." y.', ['x." y.']), ("a.\n\nb", ["a.", "b"])])
@@ -144,6 +144,54 @@ def test_choice_and_checks(spark):
         chunks.token_windows(df, 4, 4)
 
 
+def test_splits_of_a_file_add_up(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "SPLIT", 3)
+    monkeypatch.setattr(chunks.sums_before, "__defaults__", (3,))
+    r = random.Random(5)
+    texts = [" ".join(r.choice(["a", "b.", "c! d", "e?"]) for _ in range(r.randint(0, 5))) for _ in range(40)]
+    df = paragraphs(spark, texts)
+    assert out(chunks.token_windows(df, 7, 2)) == model_windows(texts, 7, 2)
+    nodes = [(i, t) for i, t in enumerate(texts)]
+    got = chunks.repair_sentences(spark.createDataFrame([("/f", i, t, i + 1, 1) for i, t in nodes], NODES)).orderBy("node").collect()
+    assert [(x.node, x.text) for x in got] == fold(nodes)
+    made = out(chunks.semantic_chunks(df))
+    assert [x[0] for x in made] == list(range(len(made)))
+    assert " ".join(x[1] for x in made) == " ".join(" ".join(texts).split())
+
+
+def test_no_task_puts_more_than_a_split_of_a_long_file_in_order(spark):
+    from pyspark.sql import functions as F
+
+    lines = spark.range(1_000_000).select(F.lit("/log").alias("source_path"), (F.col("id") + 1).cast("int").alias("paragraph_num"))
+    sums = chunks.sums_before(lines, F.lit(2), "paragraph_num", ["paragraph_num"], "start")
+    rows = sums.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert rows < 1_000_000
+    assert sums.agg(F.min(F.col("start") == 2 * (F.col("paragraph_num") - 1)), F.min("start_total"), F.max("start_total")).first()[:] == (True, 2_000_000, 2_000_000)
+    windows = [n for n in sums._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in n and "__value" in n]
+    assert windows and all("__split" in n for n in windows)
+
+
+def test_models_are_loaded_once_in_a_process(tmp_path):
+    from docsync.operators.chunks import _key, cached_model
+
+    made = []
+    load = lambda: made.append(1) or len(made)
+    assert [cached_model(_key(load), load) for _ in range(3)] == [1, 1, 1]
+    with_setting = lambda n: lambda: n
+    assert _key(with_setting(1)) != _key(with_setting(2))
+
+
+def test_encodings_go_by_name(spark, monkeypatch):
+    def load():
+        import tiktoken
+
+        return tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+
+    made = chunks.token_windows(paragraphs(spark, ["ab c"]), 2, 0, chunks.coder_tokens(load))
+    assert [x[1] for x in out(made)] == ["ab", " c", " "]
+    assert hasattr(chunks.encoding_tokens("cl100k_base"), "decode")
+
+
 def test_one_shuffle_before_the_semantic_windows(spark):
     plan = chunks.semantic_breaks(paragraphs(spark, ["a. b."]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
