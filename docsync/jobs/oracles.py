@@ -39,11 +39,20 @@ def exploded(source: str, array: str, text: str = "t", keep: str = "") -> str:
     return f"SELECT source_path, {keep} pos, {text} AS text FROM (SELECT source_path, {keep} unnest(arr) AS t, generate_subscripts(arr, 1) - 1 AS pos FROM (SELECT *, {array} AS arr FROM {source}))"
 
 
-MD_FILES = f"""(SELECT {path(MD)} AS source_path, CASE WHEN doc_id % 2 = 0 THEN '---' || {N} || 'lang: ' || coalesce(lang, '') || {N} || '---' || {N} ELSE '' END
+def md_files(suffix: str) -> str:
+    return f"""(SELECT {path(suffix)} AS source_path, CASE WHEN doc_id % 2 = 0 THEN '---' || {N} || 'lang: ' || coalesce(lang, '') || {N} || '---' || {N} ELSE '' END
   || replace(text, {N}, {N} || {N}) AS raw FROM documents)"""
+
+
 CLOSE = f"instr(substr(raw, 5), {N} || '---' || {N})"
 NO_FRONT = f"CASE WHEN starts_with(raw, '---' || {N}) AND {CLOSE} > 0 THEN substr(raw, {CLOSE} + 9) ELSE raw END"
-MD_PARAGRAPHS = numbered(exploded(MD_FILES, f"string_split_regex({strip(NO_FRONT)}, {BLANK})", collapse("t")))
+
+
+def md_paragraphs(suffix: str) -> str:
+    return numbered(exploded(md_files(suffix), f"string_split_regex({strip(NO_FRONT)}, {BLANK})", collapse("t")))
+
+
+MD_PARAGRAPHS = md_paragraphs(MD)
 
 STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 VALUE = "floor(value * 100)::BIGINT"
@@ -66,15 +75,16 @@ counted AS (SELECT source_path, page, row_number() OVER (PARTITION BY source_pat
 SELECT source_path, paragraph_num, page::BIGINT AS page_num, text FROM counted WHERE length(text) > 0
 """
 
+_WITH_BLANKS = f"flatten(list_transform({LINES}, lambda x, i: CASE WHEN i % 5 = 0 THEN [x, ' '] ELSE [x] END))"
 DOCX_PARAGRAPHS = f"""
-WITH paras AS (SELECT source_path, pos + 1 AS n, CASE WHEN (pos + 1) % 6 = 0 THEN ' ' ELSE text END AS text FROM ({exploded(f"(SELECT *, {path(chr(39) + '.docx' + chr(39))} AS source_path FROM documents)", LINES)})),
+WITH paras AS (SELECT source_path, pos + 1 AS n, text FROM ({exploded(f"(SELECT *, {path(chr(39) + '.docx' + chr(39))} AS source_path FROM documents)", _WITH_BLANKS)})),
 counted AS (SELECT source_path, n AS paragraph_num, 1 + sum(CASE WHEN n % 9 = 0 THEN 1 ELSE 0 END) OVER w
   + sum(CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END) OVER w - CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END AS page_num, {strip("text")} AS text
   FROM paras WINDOW w AS (PARTITION BY source_path ORDER BY n))
 SELECT source_path, paragraph_num::BIGINT AS paragraph_num, page_num::BIGINT AS page_num, text FROM counted WHERE length(text) > 0
 """
 
-PDF_PAGES = f"""(SELECT source_path, p AS page_num, CASE WHEN p % 4 = 0 THEN ' ' || {N} ELSE array_to_string(lines[p * 5 - 4 : p * 5], {N} || {N}) END AS raw_text
+PDF_PAGES = f"""(SELECT source_path, p + (p - 1) // 3 AS page_num, array_to_string(lines[p * 5 - 4 : p * 5], {N} || {N}) AS raw_text
   FROM (SELECT {path("'.pdf'")} AS source_path, {LINES} AS lines, unnest(range(1, ceil(len({LINES}) / 5.0)::BIGINT + 1)) AS p FROM documents))"""
 PDF_PARAGRAPHS = numbered(exploded(PDF_PAGES, f"string_split_regex({strip('raw_text')}, {BLANK})", collapse("t"), keep="page_num,"), "page_num, pos", "page_num")
 
@@ -82,7 +92,7 @@ _VISIBLE = lambda x: rf"regexp_replace({x}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{
 MAILS = f"""(SELECT '/mail/' || conv_id || '-' || turn || '.msg' AS source_path, 'Talk ' || conv_id AS subject, {strip("coalesce(role, '')")} AS sender, 'team' AS "to",
   CASE WHEN turn % 2 = 0 THEN 'cc' || turn ELSE '' END AS cc, '' AS bcc, '2026-01-0' || (turn % 9 + 1) AS date,
   CASE WHEN turn % 3 = 0 THEN ['a.txt', 'b' || turn] ELSE []::VARCHAR[] END AS attachments,
-  CASE WHEN conv_id % 10 = 0 THEN 'Hello' || {N} || 'World ' || conv_id ELSE {strip(f"replace(replace(coalesce(text, ''), '. ', '.' || chr(8203) || chr(173) || ' '), {N}, {N} || {N})")} END AS body
+  CASE WHEN conv_id % 10 = 0 THEN array_to_string(list_filter(list_transform(string_split(coalesce(text, ''), {N}), lambda x: {strip("x")}), lambda x: x <> ''), {N}) ELSE {strip(f"replace(replace(coalesce(text, ''), '. ', '.' || chr(8203) || chr(173) || ' '), {N}, {N} || {N})")} END AS body
   FROM conversations)"""
 _HEAD = f"""concat_ws({N}, 'Subject: ' || subject, CASE WHEN sender <> '' THEN 'From: ' || sender END, 'To: ' || "to", CASE WHEN cc <> '' THEN 'Cc: ' || cc END, 'Date: ' || date,
   CASE WHEN len(attachments) > 0 THEN 'Attachments: ' || array_to_string(attachments, ', ') END)"""
@@ -92,7 +102,29 @@ MSG_PARAGRAPHS = numbered(
 MSG_METADATA = f"""SELECT source_path, subject AS mail_subject, sender AS mail_sender, "to" AS mail_to, cc AS mail_cc, bcc AS mail_bcc, date AS mail_date,
   array_to_string(attachments, '; ') AS mail_attachments FROM {MAILS}"""
 
-HTML_TITLES = f"""SELECT '/pages/' || page_id || '.html' AS source_path, {collapse("replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&')")} AS title FROM pages"""
+# Elements stay open until an end tag of their name, so that a paragraph ends where fewer of them are open than at its start, or with the article.
+_PLAIN = {"&quot;": chr(34), "&lt;": "<", "&gt;": ">", "&copy;": "©", "&middot;": "·"}
+_UNESCAPED = "t"
+for _name, _char in _PLAIN.items():
+    _UNESCAPED = f"replace({_UNESCAPED}, '{_name}', '{_char}')"
+_UNESCAPED = f"regexp_replace({_UNESCAPED}, '&amp;?', '&', 'g')"
+HTML_PARAGRAPHS = rf"""
+WITH tokens AS (SELECT page_id, unnest(arr) AS t, generate_subscripts(arr, 1) AS pos FROM (
+  SELECT page_id, regexp_extract_all(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>|<[^>]*>|[^<]+') AS arr FROM pages)),
+marked AS (SELECT *, CASE WHEN t LIKE '<%' THEN lower(regexp_extract(t, '^</?([a-zA-Z0-9]+)', 1)) ELSE '' END AS name, t LIKE '</%' AS ending FROM tokens),
+inside AS (SELECT *, max(CASE WHEN name = 'article' AND ending THEN pos END) OVER p AS stop FROM marked
+  WINDOW p AS (PARTITION BY page_id) QUALIFY pos > min(CASE WHEN name = 'article' THEN pos END) OVER p AND pos <= stop),
+deep AS (SELECT *, sum(CASE WHEN ending THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos) AS depth FROM inside WHERE name IN ('h1', 'p')),
+blocks AS (SELECT o.page_id, o.pos, o.name, min(coalesce(c.pos, o.stop)) AS last FROM deep o LEFT JOIN deep c ON c.page_id = o.page_id AND c.name = o.name AND c.pos > o.pos AND c.depth < o.depth
+  WHERE NOT o.ending GROUP BY ALL),
+texts AS (SELECT page_id, pos, {strip(_UNESCAPED)} AS text FROM marked WHERE name = '' AND length({strip("t")}) > 0),
+filled AS (SELECT b.page_id, b.pos, b.name, {collapse("string_agg(x.text, ' ' ORDER BY x.pos)")} AS block FROM blocks b JOIN texts x ON x.page_id = b.page_id AND x.pos > b.pos AND x.pos < b.last GROUP BY ALL),
+headed AS (SELECT *, last_value(CASE WHEN name = 'h1' THEN block END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos) AS section FROM filled WHERE length(block) > 0),
+titles AS (SELECT page_id, {collapse(_UNESCAPED)} AS title FROM (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages))
+SELECT '/pages/' || page_id || '.html' AS source_path, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS paragraph_num, 1::BIGINT AS page_num,
+  concat_ws(' ', CASE WHEN title <> '' THEN 'Title: ' || title || '.' END, CASE WHEN section <> '' THEN 'Section: ' || section || '.' END, block) AS text FROM headed JOIN titles USING (page_id)
+"""
+HTML_TITLES = f"""SELECT '/pages/' || page_id || '.html' AS source_path, {collapse(_UNESCAPED)} AS title FROM (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages)"""
 
 HEADING_BLOCKS = f"""(SELECT source_path, pos, text AS block_text, CASE WHEN pos % 3 = 0 THEN 1 + (doc_id + pos) % 6 END AS level,
   CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END AS title FROM ({exploded(f"(SELECT *, {path(chr(39) + '.html' + chr(39))} AS source_path FROM documents)", LINES, keep="doc_id, source,")}))"""
@@ -135,8 +167,8 @@ LISTING = f"(SELECT {path(SUFFIX)} AS source_path, doc_id || {SUFFIX} AS source_
 COLLECTION = f"""(SELECT CASE WHEN doc_id % 100 = 15 THEN NULL WHEN doc_id % 100 = 16 THEN '' ELSE doc_id || '-' || i END AS chunk_id,
   CASE WHEN doc_id % 100 = 5 THEN NULL WHEN doc_id % 100 = 6 THEN '' ELSE {path(STORED_SUFFIX)} END AS source_path,
   CASE WHEN doc_id % 10 = 2 THEN '1:1' WHEN doc_id % 10 = 3 AND i = 0 THEN NULL WHEN doc_id % 10 = 4 AND i = doc_id % 4 THEN '2:2' ELSE {SIGNATURE} END AS file_signature,
-  i::BIGINT AS chunk_index, substr(text, 1, 20) AS text, 1::BIGINT AS paragraph_num, 1::BIGINT AS page_num, doc_id || {STORED_SUFFIX} AS source_name
-  FROM (SELECT *, unnest(range(0, doc_id % 4 + 1)) AS i FROM documents WHERE doc_id % 10 <> 1))"""
+  i::BIGINT AS chunk_index, array_to_string({LINES}[i * each + 1 : (i + 1) * each], {N}) AS text, 1::BIGINT AS paragraph_num, 1::BIGINT AS page_num, doc_id || {STORED_SUFFIX} AS source_name
+  FROM (SELECT *, ceil(len({LINES}) / (doc_id % 4 + 1.0))::BIGINT AS each, unnest(range(0, doc_id % 4 + 1)) AS i FROM documents WHERE doc_id % 10 <> 1))"""
 STORED = f"""(SELECT source_path, count(*) AS old_chunks, count(DISTINCT coalesce(file_signature, '?')) AS sigs, min(coalesce(file_signature, '?')) AS sig
   FROM {COLLECTION} WHERE chunk_id <> '' AND source_path <> '' GROUP BY source_path)"""
 PLAN = f"""SELECT coalesce(f.source_path, s.source_path) AS source_path, CASE WHEN f.source_path IS NULL THEN 'removed' WHEN s.source_path IS NULL THEN 'new'
@@ -151,8 +183,8 @@ SELECT {CHUNK_ID} AS chunk_id, source_path, file_signature, chunk_index, text, p
 APPLY = f"""
 WITH plan AS ({PLAN}), before AS (SELECT * FROM {COLLECTION}),
 kept AS (SELECT * FROM before WHERE coalesce(chunk_id, '') = '' OR coalesce(source_path, '') = '' OR source_path NOT IN (SELECT source_path FROM plan WHERE action IN ('removed', 'changed'))),
-fresh AS (SELECT {CHUNK_ID} AS chunk_id, source_path, file_signature, chunk_index, text, 1::BIGINT AS paragraph_num, 1::BIGINT AS page_num, source_name
-  FROM (SELECT {path(STORED_SUFFIX)} AS source_path, 0::BIGINT AS chunk_index, substr(text, 1, 40) AS text FROM documents) JOIN {LISTING} USING (source_path)
+windows AS ({token_windows(md_paragraphs(STORED_SUFFIX), 500, 75)}),
+fresh AS (SELECT {CHUNK_ID} AS chunk_id, source_path, file_signature, chunk_index, text, paragraph_num, page_num, source_name FROM windows JOIN {LISTING} USING (source_path)
   WHERE source_path IN (SELECT source_path FROM plan WHERE action IN ('new', 'changed')))
 SELECT chunk_id, source_path, file_signature, chunk_index, text, paragraph_num, page_num, source_name FROM kept UNION ALL BY NAME SELECT * FROM fresh
 """
@@ -161,6 +193,20 @@ SELECT (SELECT count(*) FROM {LISTING}) AS local_files, (SELECT count(*) FROM {C
   count(*) FILTER (WHERE action = 'removed') AS removed_paths, count(*) FILTER (WHERE action IN ('new', 'changed')) AS added_or_updated_files,
   coalesce(sum(old_chunks) FILTER (WHERE action IN ('removed', 'changed')), 0)::BIGINT AS deleted_chunks FROM ({PLAN})
 """
+SUFFIXES = [".docx", ".doc", ".pdf", ".md", ".html", ".htm", ".msg", ".log", ".txt"]
+ANY_SUFFIX = f"{SUFFIXES}[doc_id % 9 + 1]"
+ROUTES = """CASE suffix WHEN '.md' THEN 'markdown' WHEN '.log' THEN 'log' WHEN '.html' THEN 'html' WHEN '.htm' THEN 'html' WHEN '.pdf' THEN 'paged' WHEN '.doc' THEN 'word_text'
+  WHEN '.docx' THEN 'word_paragraphs' WHEN '.msg' THEN 'messages' END"""
+ROUTED = f"""SELECT *, {ROUTES} AS route FROM (SELECT {path(f"CASE WHEN doc_id % 4 = 0 THEN upper({ANY_SUFFIX}) ELSE {ANY_SUFFIX} END")} AS source_path, {ANY_SUFFIX} AS suffix FROM documents) WHERE suffix <> '.txt'"""
+DISTINCT_FILES = f"""SELECT source_path, max(file_signature) AS file_signature FROM (SELECT source_path, file_signature FROM {LISTING}
+  UNION ALL SELECT source_path, '9' || file_signature FROM {LISTING} WHERE split_part(file_signature, ':', 1)::BIGINT % 3 = 0) GROUP BY source_path"""
+NORMALISED = f"SELECT chunk_id, source_path, chunk_index, 0::BIGINT AS n_attrs FROM {COLLECTION} WHERE chunk_id <> ''"
+_KEY = "regexp_extract(source_path, '([0-9]+)[.]', 1)::BIGINT"
+PASS = f"""SELECT 'log' AS kind, {_KEY} AS key, chunk_index, text, paragraph_num, page_num FROM ({token_windows(LOG_PARAGRAPHS, 500, 75)})
+  UNION ALL SELECT 'htm', {_KEY}, chunk_index, text, paragraph_num, page_num FROM ({token_windows(HTML_PARAGRAPHS, 500, 75)})"""
+PASS_RUNS = f"""WITH files AS (SELECT (SELECT count(DISTINCT user_id) FROM events) + (SELECT count(*) FROM pages) AS n), made AS (SELECT count(*) AS c FROM ({PASS}))
+  SELECT n AS local_files, 0::BIGINT AS remote_docs, 0::BIGINT AS removed_paths, n AS added_or_updated_files, 0::BIGINT AS deleted_chunks, c AS added_chunks, 1::BIGINT AS version, NULL::VARCHAR AS error FROM files, made
+  UNION ALL SELECT n, c, 0, 0, 0, 0, 1, NULL FROM files, made"""
 SMALL_CHUNKS = token_windows(LINE_PARAGRAPHS, 5, 1)
 
 _SLOT = "(('0x' || substr(md5(w), 1, 4))::BIGINT % 32)"
@@ -212,6 +258,7 @@ def oracle_sql() -> dict[str, str]:
         "pdf_paragraphs": PDF_PARAGRAPHS,
         "msg_paragraphs": MSG_PARAGRAPHS,
         "msg_metadata": MSG_METADATA,
+        "html_paragraphs": HTML_PARAGRAPHS,
         "html_titles": HTML_TITLES,
         "heading_path": HEADING_PATH,
         "sentences": SENTENCES,
@@ -227,6 +274,17 @@ def oracle_sql() -> dict[str, str]:
         "sync_changed": f"SELECT source_path, old_chunks, file_signature FROM ({PLAN}) WHERE action = 'changed'",
         "sync_apply": APPLY,
         "sync_summary": SUMMARY,
+        "sync_pass": PASS,
+        "sync_pass_runs": PASS_RUNS,
+        "distinct_files": DISTINCT_FILES,
+        "normalised_rows": NORMALISED,
+        "routed_files": ROUTED,
+        "html_chunks": token_windows(HTML_PARAGRAPHS, 60, 9),
+        "log_chunks": token_windows(LOG_PARAGRAPHS, 60, 9),
+        "pdf_chunks": token_windows(PDF_PARAGRAPHS, 60, 9),
+        "docx_chunks": token_windows(DOCX_PARAGRAPHS, 60, 9),
+        "doc_chunks": token_windows(DOC_PARAGRAPHS, 60, 9),
+        "msg_chunks": token_windows(MSG_PARAGRAPHS, 60, 9),
         "ingest_batches": f"SELECT source_path, count(*) AS n_chunks, ceil(count(*) / 200.0)::BIGINT AS n_batches FROM ({SMALL_CHUNKS}) GROUP BY source_path",
         "chunk_batches": f"SELECT source_path, chunk_index // 200 + 1 AS batch, count(*) AS n_chunks, min(chunk_index) AS first_chunk FROM ({SMALL_CHUNKS}) GROUP BY 1, 2",
     }

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsync.functions.tables import shared_dir
+from docsync.jobs.sync_folder import routed, sync_folder
 from docsync.operators import chunks, html, mail, paragraphs, sync
 from docsync.sources import adapters as A
+from docsync.sources.collection import Collection
 
 SIZE, OVERLAP = 50, 8
 
@@ -122,9 +126,73 @@ def sync_changed(spark, sf_dir):
 
 
 def sync_apply(spark, sf_dir):
+    """The plan applied with the chunks of the new and changed files' whole texts."""
     docs = _docs(spark, sf_dir)
     files, before = A.listing(docs), A.collection(docs)
-    return sync.apply(before, sync.plan(files, before), A.first_chunks(docs, files)).drop("attrs")
+    plan = sync.plan(files, before)
+    todo = plan.filter(F.col("action").isin("new", "changed")).select("source_path")
+    texts = A.md_files(docs, A.stored_suffix()).join(todo, "source_path", "left_semi")
+    fresh = sync.with_metadata(chunks.chunk(paragraphs.markdown(texts), "simple"), files)
+    return sync.apply(before, plan, fresh).drop("attrs")
+
+
+def sync_pass(spark, sf_dir):
+    """Two passes over a folder of files written from ``events`` and ``pages``: what the collection holds after them."""
+    folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/pass-{uuid.uuid4().hex}"
+    for _ in range(2):
+        sync_folder(spark, folder, f"{place}/collection", f"{place}/work", chunker="simple")
+    rows = Collection(spark, f"{place}/collection").read()
+    key = F.regexp_extract("source_path", r"/(logs/user|pages/page_id)=(\d+)/", 2).cast("long")
+    return rows.select(F.regexp_extract("source_path", r"\.([a-z]+)$", 1).alias("kind"), key.alias("key"), "chunk_index", "text", "paragraph_num", "page_num")
+
+
+def sync_pass_runs(spark, sf_dir):
+    """The summaries of two passes over such a folder: the second has nothing to do."""
+    folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/pass-{uuid.uuid4().hex}"
+    for _ in range(2):
+        sync_folder(spark, folder, f"{place}/collection", f"{place}/work", chunker="simple")
+    return Collection(spark, f"{place}/collection").runs().drop("finished_at")
+
+
+def distinct_files(spark, sf_dir):
+    return sync.distinct_files(A.listed_twice(_docs(spark, sf_dir)))
+
+
+def normalised_rows(spark, sf_dir):
+    rows = sync.normalised(A.collection(_docs(spark, sf_dir)))
+    return rows.select("chunk_id", "source_path", "chunk_index", F.size("attrs").alias("n_attrs"))
+
+
+def routed_files(spark, sf_dir):
+    return routed(A.any_files(_docs(spark, sf_dir)))
+
+
+def _simple(found: DataFrame) -> DataFrame:
+    return chunks.chunk(found, " Simple ", chunk_size=60, overlap_ratio=0.15)
+
+
+def html_chunks(spark, sf_dir):
+    return _simple(html_paragraphs(spark, sf_dir))
+
+
+def log_chunks(spark, sf_dir):
+    return _simple(log_paragraphs(spark, sf_dir))
+
+
+def pdf_chunks(spark, sf_dir):
+    return _simple(pdf_paragraphs(spark, sf_dir))
+
+
+def docx_chunks(spark, sf_dir):
+    return _simple(docx_paragraphs(spark, sf_dir))
+
+
+def doc_chunks(spark, sf_dir):
+    return _simple(doc_paragraphs(spark, sf_dir))
+
+
+def msg_chunks(spark, sf_dir):
+    return _simple(msg_paragraphs(spark, sf_dir))
 
 
 def sync_summary(spark, sf_dir):
@@ -147,7 +215,8 @@ def chunk_batches(spark, sf_dir):
 NAMES = (
     md_paragraphs, log_paragraphs, log_fields, doc_paragraphs, docx_paragraphs, pdf_paragraphs, msg_paragraphs, msg_metadata, html_paragraphs, html_titles, heading_path,
     sentences, token_chunks, md_token_chunks, semantic_breaks, semantic_chunks, repair_boundaries, file_signatures, sync_plan, sync_removed, sync_new, sync_changed, sync_apply,
-    sync_summary, ingest_batches, chunk_batches,
+    sync_summary, ingest_batches, chunk_batches, sync_pass, sync_pass_runs, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
+    doc_chunks, msg_chunks,
 )
 
 

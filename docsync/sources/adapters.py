@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docsync.functions.tables import dealt_out
+from docsync.functions.tables import dealt_out, shared_dir
 from docsync.operators import sync
-from docsync.sources.files import name_of, suffix_of
+from docsync.sources.files import SUFFIXES, name_of, suffix_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +25,14 @@ def _lines() -> Column:
     return F.split("text", "\n")
 
 
-def md_files(docs: DataFrame) -> DataFrame:
+def stored_suffix() -> Column:
+    return F.when(F.col("doc_id") % 50 == 9, ".MD").otherwise(".md")
+
+
+def md_files(docs: DataFrame, suffix: Column | str = ".md") -> DataFrame:
     """Documents as Markdown: blank lines between their lines, front matter on even ids."""
     front = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("---\nlang: "), F.coalesce("lang", F.lit("")), F.lit("\n---\n"))).otherwise(F.lit(""))
-    return docs.select(doc_path().alias("source_path"), F.concat(front, F.regexp_replace("text", "\n", "\n\n")).alias("raw"))
+    return docs.select(doc_path(suffix).alias("source_path"), F.concat(front, F.regexp_replace("text", "\n", "\n\n")).alias("raw"))
 
 
 def event_line() -> Column:
@@ -55,18 +61,19 @@ def word_text(docs: DataFrame) -> DataFrame:
 
 
 def word_paragraphs(docs: DataFrame) -> DataFrame:
-    """Documents as Word paragraphs, one per line, with breaks; every sixth is blank."""
-    rows = docs.select(doc_path(".docx").alias("source_path"), F.posexplode(_lines()).alias("i", "line"))
+    """Documents as Word paragraphs, one per line, with breaks; a blank one follows every fifth line."""
+    lines = F.flatten(F.transform(_lines(), lambda x, i: F.when(i % 5 == 4, F.array(x, F.lit(" "))).otherwise(F.array(x))))
+    rows = docs.select(doc_path(".docx").alias("source_path"), F.posexplode(lines).alias("i", "text"))
     n = F.col("i") + 1
-    return rows.select("source_path", n.alias("para_idx"), F.when(n % 6 == 0, " ").otherwise(F.col("line")).alias("text"), (n % 9 == 0).alias("break_before"), F.when(n % 5 == 0, 1).otherwise(0).alias("breaks_inside"))
+    return rows.select("source_path", n.alias("para_idx"), "text", (n % 9 == 0).alias("break_before"), F.when(n % 5 == 0, 1).otherwise(0).alias("breaks_inside"))
 
 
 def pages_text(docs: DataFrame) -> DataFrame:
-    """Documents as paged text: five lines a page, every fourth page blank."""
+    """Documents as paged text: five lines a page, a blank page after every third."""
     rows = docs.select(doc_path(".pdf").alias("source_path"), _lines().alias("lines"))
-    page = lambda p: F.when(p % 4 == 3, " \n").otherwise(F.array_join(F.slice("lines", p * 5 + 1, 5), "\n\n"))
-    pages = F.transform(F.sequence(F.lit(0), F.ceil(F.size("lines") / 5).cast("int") - 1), page)
-    return rows.select("source_path", F.posexplode(pages).alias("p", "raw_text")).select("source_path", (F.col("p") + 1).alias("page_num"), "raw_text")
+    page = lambda p: F.array_join(F.slice("lines", p * 5 + 1, 5), "\n\n")
+    pages = F.transform(F.sequence(F.lit(0), F.ceil(F.size("lines") / 5).cast("int") - 1), lambda p: F.when(p % 3 == 2, F.array(page(p), F.lit(" \n"))).otherwise(F.array(page(p))))
+    return rows.select("source_path", F.posexplode(F.flatten(pages)).alias("p", "raw_text")).select("source_path", (F.col("p") + 1).alias("page_num"), "raw_text")
 
 
 def messages(conversations: DataFrame) -> DataFrame:
@@ -74,6 +81,8 @@ def messages(conversations: DataFrame) -> DataFrame:
     odd, third = F.col("turn") % 2 == 1, F.col("turn") % 3 == 0
     body = F.regexp_replace(F.regexp_replace("text", r"\. ", ".​­ "), "\n", "\n\n")
     html_only = F.col("conv_id") % 10 == 0
+    escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = F.concat(F.lit("<div><p>"), F.replace(escaped, F.lit("\n"), F.lit("</p><p>")), F.lit("</p><style>p{margin:0}</style></div>"))
     return conversations.select(
         F.concat(F.lit("/mail/"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"), F.lit(".msg")).alias("source_path"),
         F.concat(F.lit(" Talk "), F.col("conv_id").cast("string")).alias("subject"),
@@ -84,7 +93,7 @@ def messages(conversations: DataFrame) -> DataFrame:
         F.concat(F.lit("2026-01-0"), (F.col("turn") % 9 + 1).cast("string")).alias("date"),
         F.when(third, F.array(F.lit("a.txt "), F.lit(" "), F.concat(F.lit("b"), F.col("turn").cast("string")))).alias("attachments"),
         F.when(html_only, "  ").otherwise(body).alias("body"),
-        F.when(html_only, F.concat(F.lit("<div><p>Hello</p><style>x</style><p>World "), F.col("conv_id").cast("string"), F.lit("</p></div>"))).alias("html_body"),
+        F.when(html_only, page).alias("html_body"),
     )
 
 
@@ -122,23 +131,49 @@ def listing(docs: DataFrame) -> DataFrame:
 
 
 def collection(docs: DataFrame) -> DataFrame:
-    """Documents as the stored collection before a pass: some new, some changed in each of three ways, some out of scope."""
-    suffix = F.when(F.col("doc_id") % 50 == 9, ".MD").otherwise(".md")
+    """Documents as the stored collection before a pass, their lines in one to four chunks: some new, some changed in each of three ways, some out of scope."""
     current = sync.signature(F.col("n_chars"), (F.lit(1700000000) + F.col("doc_id")) * F.lit(1000000000))
-    r = F.col("doc_id") % 10
-    rows = docs.filter(r != 1).select("doc_id", "text", doc_path(suffix).alias("path"), current.alias("current"), F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("i"))
+    r, n = F.col("doc_id") % 10, (F.col("doc_id") % 4 + 1).cast("int")
+    each = F.ceil(F.size(_lines()) / n).cast("int")
+    rows = docs.filter(r != 1).select("doc_id", "text", each.alias("each"), doc_path(stored_suffix()).alias("path"), current.alias("current"), F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
     r, h = F.col("doc_id") % 10, F.col("doc_id") % 100
     sig = F.when(r == 2, "1:1").when((r == 3) & (F.col("i") == 0), F.lit(None)).when((r == 4) & (F.col("i") == F.col("doc_id") % 4), "2:2").otherwise(F.col("current"))
     path = F.when(h == 5, F.lit(None)).when(h == 6, "").otherwise(F.col("path"))
     chunk_id = F.when(h == 15, F.lit(None)).when(h == 16, "").otherwise(F.concat_ws("-", F.col("doc_id").cast("string"), F.col("i").cast("string")))
+    text = F.array_join(F.slice(_lines(), F.col("i") * F.col("each") + 1, F.col("each")), "\n")
     return rows.select(
-        chunk_id.alias("chunk_id"), path.alias("source_path"), sig.alias("file_signature"), F.col("i").alias("chunk_index"), F.substring("text", 1, 20).alias("text"),
-        F.lit(1).alias("paragraph_num"), F.lit(1).alias("page_num"), name_of(F.col("path")).alias("source_name"), F.create_map().cast("map<string,string>").alias("attrs"),
+        chunk_id.alias("chunk_id"), path.alias("source_path"), sig.alias("file_signature"), F.col("i").alias("chunk_index"), text.alias("text"),
+        F.lit(1).alias("paragraph_num"), F.lit(1).alias("page_num"), name_of(F.col("path")).alias("source_name"), F.when(h != 25, F.create_map().cast("map<string,string>")).alias("attrs"),
     )
 
 
-def first_chunks(docs: DataFrame, files: DataFrame) -> DataFrame:
-    """A chunk of each listed file: its text's first 40 characters."""
-    suffix = F.when(F.col("doc_id") % 50 == 9, ".MD").otherwise(".md")
-    rows = docs.select(doc_path(suffix).alias("source_path"), F.lit(0).alias("chunk_index"), F.substring("text", 1, 40).alias("text"), F.lit(1).alias("paragraph_num"), F.lit(1).alias("page_num"))
-    return sync.with_metadata(rows, files)
+def any_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of all supported suffixes and one other, with upper-case names among them: (source_path, suffix)."""
+    names = F.array(*[F.lit(x) for x in (*SUFFIXES, ".txt")])
+    suffix = F.element_at(names, (F.col("doc_id") % (len(SUFFIXES) + 1) + 1).cast("int"))
+    path = doc_path(F.when(F.col("doc_id") % 4 == 0, F.upper(suffix)).otherwise(suffix))
+    return docs.select(path.alias("source_path")).withColumn("suffix", suffix_of(F.col("source_path")))
+
+
+def listed_twice(docs: DataFrame) -> DataFrame:
+    """The listing with every third file listed again with another signature."""
+    rows = listing(docs).select("source_path", "file_signature", "size")
+    again = rows.filter("size % 3 = 0").withColumn("file_signature", F.concat(F.lit("9"), "file_signature"))
+    return rows.unionByName(again).drop("size")
+
+
+def write_lines(lines: DataFrame, folder: str, key: str, order: list[str], extension: str) -> None:
+    """Write (key, line, *order) as one file of lines for each value of ``key``, in ``order``, with the three letters of ``extension`` as suffix. Texts are written as they are."""
+    plain = {"sep": "\x01", "quote": "", "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "extension": extension}
+    rows = lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line")
+    rows.write.mode("append").partitionBy(key).options(**plain).csv(folder)
+
+
+def folder_of_files(spark: SparkSession, sf_dir: str) -> str:
+    """A new folder in the shared one, with a log file for each user of ``events`` and an HTML file for each of ``pages``."""
+    folder = f"{shared_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    logs = log_lines(table(spark, sf_dir, "events")).withColumn("user", F.regexp_extract("source_path", r"(\d+)\.log$", 1))
+    write_lines(logs, f"{folder}/logs", "user", ["split_no", "line_no"], "log")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.posexplode(F.split("html", "\n")).alias("n", "line"))
+    write_lines(pages, f"{folder}/pages", "page_id", ["n"], "htm")
+    return folder

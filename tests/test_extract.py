@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,9 +137,33 @@ def test_html_headings(spark):
     assert texts_of(df) == ["Title: T. Section: A. A", "Title: T. Section: A > B. B", "Title: T. Section: A > B. x", "Title: T. Section: C. C", "Title: T. Section: C. y", "z"]
 
 
-def test_one_bad_page_is_set_aside(spark, monkeypatch):
-    df = html.html_blocks(files(spark, page("<p>a</p>")), "raw")
-    assert df.filter("error is not null").count() == 0
+def test_one_bad_page_is_set_aside(spark):
+    def parse(text):
+        if "bad" in text:
+            raise RuntimeError("cannot be read")
+        return html.parse_blocks(text)
+
+    df = html.html_blocks(files(spark, page("<p>a</p>"), page("<p>bad</p>"), page("<p>c</p>")), "raw", parse)
+    assert [(r.source_path, r.error) for r in df.filter("error is not null").collect()] == [("/f1", "RuntimeError: cannot be read")]
+    assert texts_of(html.html_paragraphs(df.filter("error is null"))) == ["a", "c"]
+
+
+def test_a_number_that_no_parser_takes_is_an_error_of_its_page(spark):
+    df = html.html_blocks(files(spark, page("<p>a</p>"), page("<p>&#" + "9" * 5000 + ";</p>")), "raw")
+    assert [r.source_path for r in df.filter("error is not null").collect()] == ["/f1"]
+
+
+@pytest.mark.parametrize("text", ["<div>x" * 30000, "<div>x</b>" * 30000, "<title>" * 30000, "<p>a</p>" * 30000, "<main><li>" * 20000])
+def test_deep_pages_are_read_in_linear_time(text):
+    began = time.perf_counter()
+    html.BlockParser().feed(text)
+    assert time.perf_counter() - began < 10
+
+
+def test_strip_is_linear(spark):
+    began = time.perf_counter()
+    got = spark.createDataFrame([("x" + " " * 1_000_000 + "y ",)], "t string").select(F.length(T.strip(F.col("t"))).alias("n")).first().n
+    assert got == 1_000_002 and time.perf_counter() - began < 10
 
 
 def test_utf8(spark):
@@ -151,7 +177,7 @@ def test_no_shuffle_before_chunks(spark):
 
 
 def test_listing(spark, tmp_path):
-    from docsync.sources.files import list_files, read_texts
+    from docsync.sources.files import in_batches, list_files, read_texts
 
     (tmp_path / "sub").mkdir()
     for name, body in (("a b.md", "x"), ("sub/c.HTML", "<p>y"), ("d.txt", "no"), (".md", "hidden"), ("e.log", "l\xff")):
@@ -162,5 +188,25 @@ def test_listing(spark, tmp_path):
     assert {r.source_path for r in found.collect()} == {str(tmp_path / n) for n in ("a b.md", "sub/c.HTML", "e.log")}
     scan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()[-1]
     assert "Relation" in scan
-    wanted = found.filter("suffix = '.log'").select("source_path")
-    assert [r.raw for r in read_texts(spark, str(tmp_path), wanted).collect()] == ["l�"]
+    assert [list(in_batches(found.orderBy("path"), 2))[0][0].endswith("a b.md"), len(list(in_batches(found, 2)))] == [True, 2]
+    paths = {r.source_name: r.path for r in found.collect()}
+    assert [r.raw for r in read_texts(spark, [paths["e.log"]]).collect()] == ["l�"]
+    assert sorted(r.suffix for r in read_texts(spark, [paths["a b.md"], paths["c.HTML"]]).collect()) == [".html", ".md"]
+
+
+def test_log_files_by_line_equal_whole_files(spark, tmp_path):
+    from docsync.sources.files import list_files, read_log_lines, read_texts
+
+    body = "\n".join(f"2026-01-01 {i} | [INFO] |  m {i} é" if i % 3 else " " for i in range(5000))
+    for name in ("a b+c%20.log", "{x}[y].log", "d.log"):
+        (tmp_path / name).write_bytes(("\r\n" if name == "d.log" else "\n").join(body.split("\n")).encode() + b"\xff")
+    listed = {r.source_name: r.path for r in list_files(spark, str(tmp_path)).collect()}
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20000")  # many splits a file
+    try:
+        split = rows(paragraphs.log_lines(read_log_lines(spark, list(listed.values()))), "source_path", "paragraph_num", "text")
+    finally:
+        spark.conf.set(key, before)
+    whole = rows(paragraphs.log(read_texts(spark, list(listed.values()))), "source_path", "paragraph_num", "text")
+    assert split == whole and len(split) == 3 * 3333

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from docsync.jobs.sync_folder import sync_folder
 from docsync.operators import sync
-from docsync.sources.collection import Collection, send_batches
+from docsync.sources.collection import Collection, buckets_for, send_batches
 from docsync.streaming.incremental import append_new_files, reconcile_on_timer
 
 STORED = "chunk_id string, source_path string, file_signature string"
@@ -59,6 +61,93 @@ def test_passes_over_a_folder(spark, tmp_path):
     assert whole(root) == whole(fresh)
 
 
+def test_decoded_formats_converge_and_lose_nothing(spark, tmp_path):
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    os.makedirs(folder)
+    for name in ("a.md", "p.pdf", "q.pdf", "w.doc", "x.docx", "m.msg", "h.htm", "l.log", "blank.md"):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(" " if name == "blank.md" else f"t | [I] | {name}.")
+    texts = {
+        ".pdf": spark.createDataFrame([(f"{folder}/p.pdf", 1, "one.\n\ntwo.")], "source_path string, page_num int, raw_text string"),
+        ".doc": spark.createDataFrame([(f"{folder}/w.doc", "A\rB")], "source_path string, raw_text string"),
+        ".docx": spark.createDataFrame([(f"{folder}/x.docx", 1, "X", False, 0)], "source_path string, para_idx int, text string, break_before boolean, breaks_inside int"),
+        ".msg": spark.createDataFrame(
+            [(f"{folder}/m.msg", "S", "F", None, None, None, None, ["a"], "hi", None)],
+            "source_path string, subject string, sender string, to string, cc string, bcc string, date string, attachments array<string>, body string, html_body string",
+        ),
+    }
+    stored = lambda: {r.source_name: r.text for r in Collection(spark, root).read().collect()}
+    run = sync_folder(spark, folder, root, work, texts, chunker="simple")
+    first = stored()
+    assert first["p.pdf"] == "one. two. " and first["w.doc"] == "A B " and first["x.docx"] == "X " and first["m.msg"].startswith("Subject: S From: F Attachments: a hi")
+    assert set(first) == {"a.md", "p.pdf", "w.doc", "x.docx", "m.msg", "h.htm", "l.log"} - {"h.htm"} and run["version"] == 1  # a page without paragraphs has no chunks
+    mail = Collection(spark, root).read().filter("source_name = 'm.msg'").first().attrs
+    assert mail["subject"] == "S" and mail["attachments"] == "a"
+
+    again = sync_folder(spark, folder, root, work, texts, chunker="simple")
+    assert (again["version"], again["added_chunks"], again["deleted_chunks"]) == (1, 0, 0) and stored() == first
+
+    with open(f"{folder}/p.pdf", "w") as f:
+        f.write("changed on disk, not decoded yet")
+    waits = sync_folder(spark, folder, root, work, {k: v for k, v in texts.items() if k != ".pdf"}, chunker="simple")
+    assert (waits["version"], waits["deleted_chunks"]) == (1, 0) and stored() == first
+    texts[".pdf"] = spark.createDataFrame([(f"{folder}/p.pdf", 1, "three.")], "source_path string, page_num int, raw_text string")
+    assert sync_folder(spark, folder, root, work, texts, chunker="simple")["version"] == 2
+    assert stored() == first | {"p.pdf": "three. "}
+    with pytest.raises(ValueError):
+        sync_folder(spark, folder, root, work, {".txt": texts[".doc"]})
+
+
+def test_only_changed_files_are_opened(spark, tmp_path, monkeypatch):
+    from docsync.jobs import sync_folder as job
+
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    os.makedirs(folder)
+    for name in ("a.md", "b.md", "c.html", "d.log", "e.log"):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(f"<p>{name}.")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    opened = []
+    for name in ("read_texts", "read_log_lines"):
+        monkeypatch.setattr(job, name, lambda session, paths, read=getattr(job, name): opened.extend(paths) or read(session, paths))
+    for name in ("b.md", "e.log"):
+        with open(f"{folder}/{name}", "a") as f:
+            f.write(" more.")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    assert sorted(os.path.basename(p) for p in opened) == ["b.md", "e.log"]
+
+
+def test_runs_are_recorded_and_a_failed_one_changes_nothing(spark, tmp_path, monkeypatch):
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    os.makedirs(folder)
+    with open(f"{folder}/a.md", "w") as f:
+        f.write("One.")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    with open(f"{folder}/a.md", "w") as f:
+        f.write("Another one.")
+    monkeypatch.setattr(Collection, "_replace", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sync_folder(spark, folder, root, work, chunker="simple")
+    monkeypatch.undo()
+    store = Collection(spark, root)
+    assert [(r.added_chunks, r.version, (r.error or "")[:17]) for r in store.runs().orderBy("finished_at").collect()] == [(1, 1, ""), (None, None, "ZeroDivisionError")]
+    assert [r.text for r in store.read().collect()] == ["One. "]
+
+
+def test_resize_and_clean(spark, tmp_path):
+    store = Collection(spark, str(tmp_path / "c"), buckets=4)
+    store.create()
+    files = spark.createDataFrame([(f"/{i}", str(i), "1") for i in range(40)], "source_path string, source_name string, file_signature string")
+    chunk = spark.createDataFrame([(f"/{i}", 0, f"t{i}", 1, 1) for i in range(40)], "source_path string, chunk_index int, text string, paragraph_num int, page_num int")
+    store.write(sync.plan(files, store.read()), sync.with_metadata(chunk, files))
+    rows = sorted(map(str, store.read().collect()))
+    assert store.resize(16) == 2 and store.manifest()["n_buckets"] == 16 and sorted(map(str, store.read().collect())) == rows
+    assert store.clean() == []  # the version before may still have readers
+    store.resize(8)
+    assert len(store.clean()) == 1 and sorted(map(str, store.read().collect())) == rows
+    assert buckets_for(1 << 50) == 1 << 21
+
+
 def test_empty_collection(spark, tmp_path):
     store = Collection(spark, str(tmp_path / "c"))
     store.create()
@@ -91,7 +180,8 @@ def test_batches(spark, tmp_path):
         with open(f"{out}/{batch[0]['source_path'][1:]}-{batch[0]['chunk_index']}", "w") as f:
             f.write(str(len(batch)))
 
-    send_batches(rows.coalesce(1), send)
+    assert send_batches(rows.coalesce(1), send) == 402
+    assert send_batches(rows.limit(0), send) == 0
     assert sorted(int(open(f"{out}/{n}").read()) for n in os.listdir(out)) == [2, 200, 200]
 
 
