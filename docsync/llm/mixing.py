@@ -3,12 +3,16 @@
 Sizes are added up per source; targets come from weights by filling: every source gets
 ``level * weight`` but no more than ``cap`` times its size, and the level is the one at which the
 targets add up to ``budget`` times all sizes (the fixed point of resharing the excess by weight).
-A document is then taken floor(rate) times, plus once more when a number in [0, 1) that depends
-only on the seed and its id is below the rate's fraction.
+A document is then taken floor(rate) times, plus once more when its draw, a number of DRAW_BITS bits that depends
+only on the seed and its id, is below the rate's fraction.
+
+Draws of few documents can miss the target by far. So each source turns its draws by one of TURNS equal steps round the range
+of draws, the one that brings the words taken nearest to its target: each document is drawn with the same probability under
+every turn, and the best turn follows from sums over TURNS bins of draws, added up before the shuffle.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in
 order; sources without words get target 0; a table without words takes nothing; rows that
-repeat an id are drawn alike; a null id is drawn as the empty id.
+repeat an id are drawn alike; a null id is drawn as the empty id; of turns that come equally near the first one is used.
 """
 
 from __future__ import annotations
@@ -22,16 +26,20 @@ from docsync.llm.common import join_skewed, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
+DRAW_BITS, TURN_BITS = 52, 6
+TURNS = 1 << TURN_BITS
+#: Draws in one bin.
+STEP = 1 << (DRAW_BITS - TURN_BITS)
 
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def unit_number(id_col: Column, seed: str) -> Column:
-    """A number in [0, 1) from the first 52 bits of md5(seed:id)."""
+def draw(id_col: Column, seed: str) -> Column:
+    """A number of DRAW_BITS bits: the first ones of md5(seed:id)."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))).cast("binary"))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+    return F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, budget: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -53,6 +61,51 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, budget: f
     return filled.withColumn("final", final).select("source", "source_size", "n_docs", target.alias("target"))
 
 
+def turned(draws: DataFrame, targets: DataFrame) -> tuple[DataFrame, int]:
+    """``targets`` (source, source_size, n_docs, target) with ``rate`` and ``turn``, the best turn, from ``draws`` (source, size, draw); the number of rows."""
+    rated = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
+    rated = rated.withColumn("below", (F.col("rate") - F.floor("rate")) * F.lit(float(1 << DRAW_BITS)))  # draws below it give the further copy
+    rated = materialize(rated, "mix-rates")
+    n_rows = rated.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+    each = by_source(draws.select("source", "size", "draw"), rated.select("source", "n_docs", "below"), n_rows, F.col("draw"))
+    bin_, rest = F.shiftright("draw", DRAW_BITS - TURN_BITS).cast("int"), F.col("below") - F.floor(F.col("below") / STEP) * F.lit(STEP)
+    part = F.when(F.col("draw").bitwiseAND(F.lit(STEP - 1)) < rest, F.col("size")).otherwise(F.lit(0))
+    bins = each.groupBy("source", bin_.alias("bin")).agg(F.sum("size").alias("whole"), F.sum(part).alias("part"))
+    listed = bins.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("whole", "part").alias("sums")))).alias("bins"))
+    found = rated.join(listed.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named")), "left").drop("named")
+    size_of = lambda b, kind: F.coalesce(F.element_at("bins", F.pmod(b, F.lit(TURNS)).cast("int"))[kind], F.lit(0))
+    full = F.floor(F.col("below") / STEP).cast("int")
+    inside = lambda t: F.aggregate(F.filter(F.sequence(F.lit(0), F.lit(TURNS - 1)), lambda j: j < full), F.lit(0).cast("long"), lambda acc, j: acc + size_of(t + j, "whole"))
+    taken = lambda t: F.floor("rate") * F.col("source_size") + inside(t) + size_of(t + full, "part")
+    off = F.transform(F.sequence(F.lit(0), F.lit(TURNS - 1)), lambda t: F.struct(F.abs(taken(t) - F.col("target")).alias("off"), t.alias("turn")))
+    found = found.select("source", "source_size", "n_docs", "target", "rate", "below", F.array_min(off)["turn"].alias("turn"))
+    return materialize(found, "mix-turns"), n_rows
+
+
+def by_source(rows: DataFrame, table: DataFrame, n_rows: int, spread: Column) -> DataFrame:
+    """``rows`` with the columns of ``table`` (source, n_docs, ...), null being a source too."""
+    named = [F.coalesce(F.col("source"), F.lit("")).alias("__name"), F.col("source").isNull().alias("__unnamed")]
+    rest = [c for c in table.columns if c != "source"]
+    return join_skewed(rows.select("*", *named), table.select(*named, *rest), ["__name", "__unnamed"], "n_docs", n_rows, spread).drop("__name", "__unnamed")
+
+
+def copies_of(row_draw: Column) -> Column:
+    """How often a row is taken, from its draw and its source's rate, bound and turn."""
+    place = F.pmod(row_draw - F.col("turn") * F.lit(STEP), F.lit(1 << DRAW_BITS))
+    return F.floor("rate") + (place < F.col("below")).cast("long")
+
+
+def _sized(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(id, source, size, draw) of every row, written once: texts are read and counted in one pass."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), draw(F.col(id_col), seed).alias("draw"))
+    return materialize(rows, "mix-sizes")
+
+
+def _rates(sized: DataFrame, weights: Sequence[int], budget: float, cap: float) -> tuple[DataFrame, int]:
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    return turned(sized, source_targets(totals, weights, budget, cap))
+
+
 def mixing_plan(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -62,29 +115,27 @@ def mixing_plan(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, size, source_size, target, copies, taken) per row, followed by the columns in ``keep`` as
-    a struct ``row`` when any are asked for."""
-    extra = [F.struct(*[F.col(c) for c in keep]).alias("row")] if keep else []
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), *extra)
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    targets = materialize(source_targets(materialize(totals, "mix-totals"), weights, budget, cap), "mix-targets")
-    n_rows = targets.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
-    named = [F.coalesce(F.col("source"), F.lit("")).alias("name"), F.col("source").isNull().alias("unnamed")]
-    mixed = join_skewed(
-        sized.select("*", *named), targets.select(*named, "source_size", "n_docs", "target"), ["name", "unnamed"], "n_docs", n_rows, F.col("id")
-    )
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    drawn = F.floor(rate) + (unit_number(F.col("id"), seed) < rate - F.floor(rate)).cast("long")
-    out = mixed.withColumn("copies", drawn)
-    return out.select(
-        F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), *(["row"] if keep else [])
-    )
-
-
-def mix(docs: DataFrame, **params) -> DataFrame:
+    """(id, size, source_size, target, copies, taken) per row."""
+    sized = _sized(docs, seed, id_col, text_col, source_col)
+    rates, n_rows = _rates(sized, weights, budget, cap)
+    out = by_source(sized, rates, n_rows, F.col("id")).withColumn("copies", copies_of(F.col("draw")))
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    budget: float = 1.5,
+    cap: float = 2.0,
+    seed: str = "mix",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
     """The mixed table: every row of ``docs`` as often as it is drawn, with its own columns."""
-    plan = mixing_plan(docs, keep=docs.columns, **params).filter(F.col("copies") > 0)
-    copies = plan.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    rates, n_rows = _rates(_sized(docs, seed, id_col, text_col, source_col), weights, budget, cap)
+    rows = docs.select(F.col(source_col).alias("source"), draw(F.col(id_col), seed).alias("draw"), F.struct(*docs.columns).alias("row"))
+    drawn = by_source(rows, rates, n_rows, F.col("draw")).select("row", copies_of(F.col("draw")).alias("copies")).filter("copies > 0")
+    copies = drawn.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     return copies.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -106,13 +106,19 @@ WITH sized AS (
          least(room, coalesce((max(level) FILTER (WHERE level * weight <= room) OVER ()) * weight, room)) AS target
   FROM levels
 ), rated AS (
-  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+  SELECT source, source_size, target, rate, (rate - floor(rate)) * 4503599627370496.0::DOUBLE AS below FROM (
+    SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM targets)
+), drawn AS (
+  SELECT doc_id, source, size, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS draw FROM sized
+), tried AS (
+  SELECT r.source, t, floor(any_value(rate)) * any_value(source_size) + sum(CASE WHEN (draw - t * 70368744177664 + 4503599627370496) % 4503599627370496 < below THEN size ELSE 0 END) AS words, any_value(target) AS target
+  FROM drawn d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source CROSS JOIN (SELECT unnest(range(0, 64)) AS t) GROUP BY r.source, t
+), best AS (
+  SELECT source, arg_min(t, struct_pack(o := abs(words - target), t := t)) AS turn FROM tried GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
-       size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
-FROM rated
+       size * (floor(rate)::BIGINT + CASE WHEN (draw - turn * 70368744177664 + 4503599627370496) % 4503599627370496 < below THEN 1 ELSE 0 END) AS taken
+FROM drawn JOIN rated ON drawn.source IS NOT DISTINCT FROM rated.source JOIN best ON drawn.source IS NOT DISTINCT FROM best.source
 """
 
 OP10_SQL = r"""
