@@ -196,6 +196,26 @@ def test_directory_splits_only_overfull_buckets(spark):
     assert all(n > 100 for b, n in pairs.items() if (b << 1) in load and (b << 1 | 1) in load)
 
 
+def test_the_directory_routes_buckets_to_owners(spark):
+    texts = spark.createDataFrame([(i, f"text {min(i, 900)}") for i in range(1200)], "id long, body string").withColumn("key", F.xxhash64("body"))
+    keys = texts.groupBy("key").agg(F.count("*").alias("n"))
+    cells = exact_dedup.directory(keys, 50, 10)
+    index = exact_dedup.build_index(texts, keys, cells, 10)
+    rows = index.withColumn("task", F.spark_partition_id()).collect()
+    tasks, bounds = defaultdict(set), defaultdict(list)
+    for r in rows:
+        tasks[r.bucket].add(r.task)
+        bounds[r.bucket].append(r.key & (2**64 - 1))
+    assert all(len(t) == 1 for t in tasks.values()) and len(tasks) > 10  # a bucket has one owner
+    assert all(len(k) <= 50 for k in bounds.values())
+    ranges = sorted((min(k), max(k)) for k in bounds.values())
+    assert all(a[1] < b[0] for a, b in zip(ranges[:-1], ranges[1:], strict=True))  # and holds a range of keys
+    assert {r.group_size for r in rows} == {1, 300} and max(r.keep_id for r in rows) == 1199
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(bucket#\d+, \d+\), REPARTITION", plan)) == 1
+    assert [exact_dedup.depth_for(n, 100) for n in (0, 50, 1000, 10**12)] == [3, 3, 7, exact_dedup.MAX_DEPTH]
+
+
 def test_dropping_copies_keeps_columns(spark):
     odd = documents(spark, ODD)
     kept = exact_dedup.drop_exact_copies(odd)
@@ -491,8 +511,32 @@ def test_mix_repeats_rows(spark, docs):
     mixed = Counter(r.doc_id for r in mixing.mix(docs).collect())
     assert mixed == {i: r.copies for i, r in plan.items() if r.copies}
     assert all(r.taken <= 2 * r.size for r in plan.values()) and mixing.mix(docs).schema == docs.schema
-    total, target = sum(r.taken for r in plan.values()), 1.5 * sum(r.size for r in plan.values())
-    assert abs(total - target) < 0.2 * target
+
+
+def by_source(docs):
+    """(words taken, target) of each source, and its largest document."""
+    source = {r.doc_id: r.source for r in docs.collect()}
+    taken, target, largest = Counter(), {}, Counter()
+    for r in mixing.mixing_plan(docs).collect():
+        s = source[r.doc_id]
+        taken[s] += r.taken
+        target[s], largest[s] = r.target, max(largest[s], r.size)
+    return {s: (taken[s], target[s], largest[s]) for s in target}
+
+
+def test_every_source_comes_near_its_target(spark, docs):
+    for taken, target, largest in by_source(docs).values():
+        assert abs(taken - target) <= max(0.02 * target, largest)
+    even = documents(spark, ["a b c d e f"] * 150)
+    for taken, target, _ in by_source(even).values():
+        assert abs(taken - target) <= 2 * 6
+
+
+def test_draws_of_other_turns_are_as_likely(spark):
+    one = spark.range(20000).select(F.lit("a").alias("source"), F.lit(1).cast("long").alias("size"), mixing.draw(F.col("id"), "s").alias("draw"))
+    rate = spark.createDataFrame([("a", 20000, 20000, 1.3, 0.3 * 2**52, t) for t in (0, 1, 40, 63)], "source string, source_size long, n_docs long, rate double, below double, turn int")
+    got = one.join(rate, "source").groupBy("turn").agg(F.avg(mixing.copies_of(F.col("draw"))).alias("mean")).collect()
+    assert all(abs(r["mean"] - 1.3) < 0.02 for r in got)
 
 
 # 7 repeated strings
