@@ -10,7 +10,8 @@ tables are compared with the original vectors in double precision, and each quer
 Width, m and s are fitted on at most SAMPLE rows (those with the smallest hash of their id); every row is indexed.
 Buckets are dealt to groups of about GROUP rows; a bucket with more is cut into slices that each meet all of
 its probes, so a vector that a third of the rows share is searched in blocks. Only the best k of each group leave
-a task. Queries that find fewer than k are compared with all rows, in blocks.
+a task. A query's keys travel without its vector, which joins them once for each group that they lead to. Queries that find fewer than k
+are compared with all rows, in blocks.
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite components or have another length than
 most of the sample take no part; a null id takes no part; equal distances go by the smaller id; equal vectors have distance 0; rows that
@@ -64,7 +65,7 @@ def fit(sample: np.ndarray, n_rows: int, k: int = 10, tables: int = TABLES, seed
     dims = sample.shape[1]
     gaps = np.sqrt(np.maximum(((sample[:256, None] - sample[None]) ** 2).sum(-1), 0)) if len(sample) else np.ones((1, 1))
     gaps.sort(axis=1)
-    near = gaps[:, min(k, gaps.shape[1] - 1)]
+    near = gaps[:, min(max(1, round(k * len(sample) / max(1, n_rows))), gaps.shape[1] - 1)]  # the sample is thinner than the table
     step = float(np.median(near[near > 0])) if (near > 0).any() else 1.0
     width = WIDTH * step
     slots = np.floor(sample @ rng.standard_normal((dims, 32)) / width + rng.uniform(0, 1, 32))
@@ -124,7 +125,9 @@ def _search(k: int):
         found = []
         if len(base) and len(asked):
             rows, ids, keys = _stack(base["vector"]), base["id"].to_numpy(), base["key"].to_numpy()
-            wants, names, visits = _stack(asked["vector"]), asked["query"].to_numpy(), asked["key"].to_numpy()
+            each = asked["keys"].map(len).to_numpy()
+            wants, names, visits = _stack(asked["vector"]), asked["query"].to_numpy(), np.concatenate(asked["keys"].tolist())
+            who = np.repeat(np.arange(len(asked)), each)
             order = np.argsort(keys, kind="stable")
             rows, ids, keys = rows[order], ids[order], keys[order]
             by = np.argsort(visits, kind="stable")
@@ -136,7 +139,7 @@ def _search(k: int):
                     continue
                 block = rows[lo:hi]
                 repeated = len(np.unique(ids[lo:hi])) < hi - lo
-                for i in by[start:end]:
+                for i in who[by[start:end]]:
                     gap = np.sqrt(((block - wants[i]) ** 2).sum(axis=1))
                     other = np.flatnonzero(ids[lo:hi] != names[i])
                     if len(other) > k:
@@ -184,8 +187,7 @@ def nearest(vectors: DataFrame, query: Column, k: int = 10, id_col: str = "vec_i
             for name, vector in zip(frame["id"], frame["vector"], strict=True):
                 point = np.asarray(vector, np.float64)[None]
                 for t in range(tables):
-                    keys = grid.value.keys(probes(grid.value.places(point, t)[0], grid.value, reach), t)
-                    yield pd.DataFrame({"key": keys, "query": name, "vector": [vector] * len(keys)})
+                    yield pd.DataFrame({"key": grid.value.keys(probes(grid.value.places(point, t)[0], grid.value, reach), t), "query": name})
 
     base = materialize(given.select("id", "vector").mapInPandas(hashed, f"key long, id long, vector {kind}"), "buckets")
     total = n_rows * tables
@@ -195,9 +197,10 @@ def nearest(vectors: DataFrame, query: Column, k: int = 10, id_col: str = "vec_i
     slices = F.coalesce(F.ceil(F.col("n") / GROUP), F.lit(1)).cast("long")
     rows = join_skewed(base, crowded, ["key"], "n", total, F.col("id")).select("key", "id", "vector", part, F.pmod(F.xxhash64("id"), slices).alias("slice"))
     questions = given.filter("asked").select("id", "vector")
-    visits = questions.mapInPandas(visiting, f"key long, query long, vector {kind}")
-    visits = join_skewed(visits, crowded, ["key"], "n", total, F.col("query"))
-    visits = visits.select("key", "query", "vector", part, F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)).alias("slice"))
+    visits = join_skewed(questions.mapInPandas(visiting, "key long, query long"), crowded, ["key"], "n", total, F.col("query"))
+    visits = visits.select("key", "query", part, F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)).alias("slice"))
+    visits = visits.groupBy("part", "slice", "query").agg(F.collect_set("key").alias("keys"))  # a query's vector goes to a group once
+    visits = visits.join(questions.select(F.col("id").alias("query"), "vector").distinct(), "query").select("part", "slice", "query", "keys", "vector")
     result = "query long, id long, score double"
     found = rows.groupBy("part", "slice").cogroup(visits.groupBy("part", "slice")).applyInPandas(_search(k), result)
     found = materialize(_best(found, k), "found")
@@ -207,6 +210,7 @@ def nearest(vectors: DataFrame, query: Column, k: int = 10, id_col: str = "vec_i
         blocks = max(1, math.ceil(n_rows / GROUP))
         whole = given.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("key"), "id", "vector")
         again = short.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("key"), F.col("id").alias("query"), "vector")
+        again = again.withColumn("keys", F.array("key"))
         more = whole.groupBy("key").cogroup(again.groupBy("key")).applyInPandas(_search(k), result)
         rest = found.join(short.select(F.col("id").alias("query")), "query", "left_anti")
         found = rest.unionByName(_best(more, k))

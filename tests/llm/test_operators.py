@@ -603,13 +603,21 @@ def test_repeated_ids_push_out_no_neighbours():
     points = r.standard_normal((40, 4))
     gaps = np.sqrt(((points - points[0]) ** 2).sum(axis=1))
     want = [i for i in np.lexsort((np.arange(40), gaps)) if i][:10]
-    asked = pd.DataFrame({"key": [1], "query": [0], "vector": [points[0].tolist()]})
+    asked = pd.DataFrame({"keys": [[1]], "query": [0], "vector": [points[0].tolist()]})
     for times in ([2] * 40, [1] * 40, [12 if i == want[0] else 1 for i in range(40)]):
         ids = np.repeat(np.arange(40), times)
         base = pd.DataFrame({"key": 1, "id": ids, "vector": points[ids].tolist()})
         assert ann._search(10)(base, asked)["id"].tolist() == want
 
 
+def test_repeated_queries_give_one_answer(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.standard_normal((60, 5)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, ann.nearest(df, F.col("vec_id") % 20 == 0, reach=1.1).collect()))
+    assert sorted(map(tuple, ann.nearest(df.unionByName(df), F.col("vec_id") % 20 == 0, reach=1.1).collect())) == want
+
+
 def test_nearest_of_odd_vectors(spark):
     odd = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [1.0, None]), (6, []), (7, [1.0, 2.0, 3.0]), (8, [0.0, 1.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(odd, "vec_id long, embedding array<float>")
