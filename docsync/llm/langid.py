@@ -38,6 +38,8 @@ MAX_LANGS = 4096
 #: Characters and texts of a batch, letters counted at a time, n-grams bound at a time.
 CHUNK_CHARS, TEXTS, SLICE, BLOCK = 800_000, 256, 400_000, 2048
 UNKNOWN = "und"
+#: The filter rejects a text of at least ENOUGH letters whose best cosine is below CHANCE standard deviations of unrelated vectors.
+ENOUGH, CHANCE = 50, 3.0
 
 
 @cache
@@ -140,9 +142,14 @@ class Predictor:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
-        langs, scores = [], [np.zeros(0)]
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and number of letters of each text."""
+        langs, scores, letters = [], [np.zeros(0)], [np.zeros(0, np.int64)]
         for part in batches_of(texts):
-            lettered = np.array([bool(letter_table()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any()) for t in texts[part]])
+            letters.append(np.array([letter_table()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].sum() for t in texts[part]], np.int64))
+            lettered = letters[-1] > 0
             if not self.langs:
                 langs += [UNKNOWN] * len(lettered)
                 scores.append(np.zeros(len(lettered)))
@@ -153,7 +160,13 @@ class Predictor:
             best = cosine.argmax(axis=1)
             langs += [self.langs[b] if k else UNKNOWN for b, k in zip(best, lettered, strict=True)]
             scores.append(np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(float) * lettered)
-        return langs, np.concatenate(scores)
+        return langs, np.concatenate(scores), np.concatenate(letters)
+
+    def rejected(self, texts: list[str]) -> np.ndarray:
+        """Which texts are in no language that was learned: those without any letter, and those with ENOUGH letters whose best cosine
+        is within CHANCE standard deviations of what unrelated vectors have by chance (a deviation is 1 / sqrt(dims))."""
+        _, scores, letters = self.judge(texts)
+        return (letters == 0) | (letters >= ENOUGH) & (scores < CHANCE / self.dims**0.5)
 
 
 def detect(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text", dims: int = DIMS) -> DataFrame:
@@ -171,8 +184,8 @@ def detect(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_identified(docs: DataFrame, profiles: DataFrame, text_col: str = "text", dims: int = DIMS) -> DataFrame:
-    """``docs`` without the rows for which no language can be told (no letter at all), all columns kept. Only those go:
-    short or odd texts score low with every language and are still documents. When nothing was labelled nothing can be told of any row, and all stay."""
+    """``docs`` without the rows that are in none of the languages learned (``Predictor.rejected``), all columns kept. Texts with few letters
+    score low with every language and stay, being documents still. When nothing was labelled nothing can be told of any row, and all stay."""
     predictor = Predictor(profiles, dims)
     if not predictor.langs:
         return docs
@@ -180,7 +193,7 @@ def keep_identified(docs: DataFrame, profiles: DataFrame, text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, _ = model.value.predict([t or "" for t in batch.column(text_col).to_pylist()])
-            yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+            gone = model.value.rejected([t or "" for t in batch.column(text_col).to_pylist()])
+            yield batch.filter(pa.array(~gone, pa.bool_()))
 
     return bounded_batches(docs).mapInArrow(tidy(run), docs.schema)

@@ -154,6 +154,16 @@ def test_filter_keeps_all_columns_and_clean_rows(spark):
     assert kept.schema == odd.schema and {r.doc_id for r in kept.collect()} == {3, 4, 6, 7, 8, 9, 11}
 
 
+def test_filter_rejects_by_the_profiles(spark, docs):
+    words = " ".join(chr(0x4E00 + i * 7 % 5000) * 3 for i in range(60))
+    odd = [(-1, words, None), (-2, words[:40], None), (-3, "1 2 3 ... !!", None), (-4, " ".join("bcdfgh"[i % 6] * 3 for i in range(100)), None), (-5, "A.", "en")]
+    both = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in langid.keep_identified(both, langid.learn_profiles(docs)).collect()}
+    assert {i for i, _, _ in odd} - kept == {-1, -3, -4}  # foreign letters and gibberish go, few letters stay
+    lettered = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)}
+    assert lettered <= kept
+
+
 def test_filter_keeps_all_rows_when_nothing_is_labelled(spark):
     bare = documents(spark, ODD).withColumn("lang", F.lit(None).cast("string"))
     blank = bare.withColumn("lang", F.when(F.col("text").isNull(), "en"))
