@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from docsync.functions import text as T
 from docsync.functions.tables import written
 
-TOKEN = f"{T.WS}*[^{T.WS_RANGES}]+|{T.WS}+"
-SENTENCE_END = "[.!?]$"
+TOKEN = f"{T.WS}*+{T.NOT_WS}++|{T.WS}++"
+SENTENCE_ENDS = (".", "!", "?")
 SPLIT = 10_000
 
 #: Models that this process has loaded, by the digest of the function that loads them and its settings.
@@ -73,7 +73,8 @@ def token_windows(paragraphs: DataFrame, chunk_size: int = 500, overlap: int = 7
     step = chunk_size - overlap
     count = getattr(tokens, "count", None) or (lambda text: F.size(tokens(text)))
     rows = paragraphs.select("source_path", "paragraph_num", "page_num", "text").filter("text is not null")
-    places = sums_before(rows, count(F.col("text")) + count(F.lit(" ")), "paragraph_num", ["paragraph_num"], "start")
+    counts = written(rows.select("source_path", "paragraph_num", (count(F.col("text")) + count(F.lit(" "))).alias("n")), "counts")
+    places = sums_before(counts, F.col("n"), "paragraph_num", ["paragraph_num"], "start")
     each = rows.withColumn("tokens", F.concat(tokens(F.col("text")), tokens(F.lit(" ")))).withColumn("n", F.size("tokens"))
     placed = each.join(places, ["source_path", "paragraph_num"])
     last = F.greatest(F.lit(0), F.ceil((F.col("start_total") - chunk_size) / step)).cast("long")
@@ -188,7 +189,7 @@ def bag_of_words(dims: int = 32) -> Callable[[Column], Column]:
     def embed(text: Column) -> Column:
         return vector(code(text))
 
-    embed.code, embed.vector, embed.dims = code, vector, dims
+    embed.code, embed.vector = code, vector
     return embed
 
 
@@ -210,19 +211,13 @@ def model_embedding(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Ca
     return embed
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+def inner(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def cosine_distance(a: Column, b: Column, dims: int | None = None) -> Column:
-    """1 - cosine; 1 where either is zero; rounded to 9 digits so that equal contexts compare equal. With ``dims`` known the sums are
-    written out, so that they are compiled."""
-    if dims:
-        inner = lambda x, y: sum((F.get(x, F.lit(d)) * F.get(y, F.lit(d)) for d in range(1, dims)), F.get(x, F.lit(0)) * F.get(y, F.lit(0)))
-    else:
-        inner = lambda x, y: _sum(F.zip_with(x, y, lambda p, q: p * q))
-    norms = F.sqrt(inner(a, a)) * F.sqrt(inner(b, b))
-    return F.round(1 - F.when(norms > 0, inner(a, b) / norms).otherwise(F.lit(0.0)), 9) + F.lit(0.0)
+def cosine_distance(product: Column, norms: Column) -> Column:
+    """1 - cosine from an inner product and the product of the norms; 1 where either is zero; rounded to 9 digits so that equal contexts compare equal."""
+    return F.round(1 - F.when(norms > 0, product / norms).otherwise(F.lit(0.0)), 9) + F.lit(0.0)
 
 
 def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -240,8 +235,9 @@ def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callab
         rows = rows.withColumn("vector", embed.vector(F.col("context")))
     else:
         rows = rows.withColumn("context", around("sentence")).withColumn("vector", embed(F.col("context")))
-    rows = rows.withColumn("next_vector", F.lead("vector").over(order))
-    distance = cosine_distance(F.col("vector"), F.col("next_vector"), getattr(embed, "dims", None))
+    rows = rows.withColumn("norm", F.sqrt(inner(F.col("vector"), F.col("vector"))))
+    rows = rows.withColumns({"next_vector": F.lead("vector").over(order), "next_norm": F.lead("norm").over(order)})
+    distance = cosine_distance(inner(F.col("vector"), F.col("next_vector")), F.col("norm") * F.col("next_norm"))
     rows = rows.withColumn("distance", F.when(F.col("next_vector").isNotNull(), distance))
     rows = rows.withColumn("threshold", F.round(F.percentile("distance", F.lit(percentile / 100)).over(group), 9))
     cut = F.coalesce(F.col("distance") > F.col("threshold"), F.lit(False))
@@ -265,27 +261,26 @@ def semantic_nodes(breaks: DataFrame) -> DataFrame:
 def repair_sentences(nodes: DataFrame) -> DataFrame:
     """Nodes (source_path, node, text, paragraph_num, page_num) with every sentence whole: what a node leaves unended goes to
     the front of the next; a rest at the end of the file goes to the last node that keeps a sentence, or to the first
-    node when there is none. Nodes left empty vanish. Running sums replace a fold: pieces are numbered by the sentence ends
-    before them, and a sentence belongs to the node in which it ends."""
-    listed = nodes.select("source_path", "node", sentence_list(F.col("text")).alias("pieces"))
-    ends = F.size(F.filter("pieces", lambda s: s.rlike(SENTENCE_END)))
-    before = sums_before(listed, ends, "node", ["node"], "ends")
-    pieces = listed.select("source_path", "node", F.posexplode("pieces").alias("i", "piece"))
-    pieces = pieces.withColumn("ended", F.col("piece").rlike(SENTENCE_END).cast("int"))
-    inside = Window.partitionBy("source_path", "node").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("inside", F.coalesce(F.sum("ended").over(inside), F.lit(0))).join(before, ["source_path", "node"])
-    pieces = pieces.withColumn("sentence", F.col("ends") + F.col("inside"))
-    whole = pieces.groupBy("source_path", "sentence").agg(
-        F.array_sort(F.collect_list(F.struct("node", "i", "piece"))).alias("p"), F.max("node").alias("end_node"), F.max("ended").alias("ended")
-    )
-    edges = nodes.groupBy("source_path").agg(F.min("node").alias("first_node"))
-    last = whole.filter("ended = 1").groupBy("source_path").agg(F.max("end_node").alias("last_node"))
-    rest = whole.filter("ended = 0").join(last, "source_path", "left").join(edges, "source_path")
-    columns = lambda node: ["source_path", "sentence", node.alias("node"), F.array_join(F.transform("p", lambda x: x["piece"]), " ").alias("text")]
-    homes = whole.filter("ended = 1").select(*columns(F.col("end_node"))).unionByName(rest.select(*columns(F.coalesce("last_node", "first_node"))))
-    texts = homes.groupBy("source_path", "node").agg(F.array_sort(F.collect_list(F.struct("sentence", "text"))).alias("s"))
-    texts = texts.select("source_path", "node", F.array_join(F.transform("s", lambda x: x["text"]), " ").alias("text"))
-    return texts.join(nodes.drop("text"), ["source_path", "node"])
+    node when there is none. Nodes left empty vanish. No fold is needed: only a node's last piece can be unended, and it goes to the next node
+    that ends a sentence, which a running count of such nodes tells."""
+    pieces = F.col("pieces")
+    ended = F.coalesce(F.substring(F.element_at(pieces, -1), -1, 1).isin(*SENTENCE_ENDS), F.lit(False))
+    listed = nodes.select("source_path", "node", "paragraph_num", "page_num", sentence_list(F.col("text")).alias("pieces")).filter(F.size("pieces") > 0)
+    n_whole = F.size("pieces") - F.when(ended, 0).otherwise(1)
+    cut = listed.select("source_path", "node", "paragraph_num", "page_num", F.array_join(F.slice(pieces, F.lit(1), n_whole), " ").alias("whole"), F.when(~ended, F.element_at(pieces, -1)).alias("tail"))
+    cut = written(cut.withColumn("ends", F.length("whole") > 0), "cut")
+    places = sums_before(cut.select("source_path", "node", "ends"), F.col("ends").cast("int"), "node", ["node"], "place")
+    placed = cut.join(places, ["source_path", "node"])
+    tails = placed.filter("tail is not null").select("source_path", (F.col("place") + F.col("ends").cast("long")).alias("place"), F.struct("node", "tail").alias("t"), "place_total")
+    carried = tails.groupBy("source_path", "place").agg(F.array_sort(F.collect_list("t")).alias("t"), F.max("place_total").alias("total"))
+    carried = carried.select("source_path", "place", "total", F.array_join(F.transform("t", lambda x: x["tail"]), " ").alias("carried"))
+    rest = carried.filter("place = total").select("source_path", F.greatest(F.col("total") - 1, F.lit(0)).alias("place"), "total", F.col("carried").alias("rest"))
+    homes = placed.filter("ends").join(carried.drop("total"), ["source_path", "place"], "left").join(rest.filter("total > 0").drop("total"), ["source_path", "place"], "left")
+    columns = ["source_path", "node", "text", "paragraph_num", "page_num"]
+    homes = homes.withColumn("text", F.concat_ws(" ", "carried", "whole", "rest")).select(columns)
+    alone = rest.filter("total = 0").select("source_path", F.col("rest").alias("text"))  # files in which no sentence ends
+    first = nodes.groupBy("source_path").agg(F.min(F.struct("node", "paragraph_num", "page_num")).alias("f"))
+    return homes.unionByName(alone.join(first, "source_path").select("source_path", "f.*", "text").select(columns))
 
 
 def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool = True, embed: Callable[[Column], Column] | None = None) -> DataFrame:
