@@ -10,8 +10,9 @@ The score of a byte depends on its (order + 1)-gram alone, and nothing is pruned
 
 1. Texts are cut into parts of about PART_BYTES. A part lists its distinct grams and words once, with their counts in the texts learned from, dealt
    into cells: grams by the last STEM bytes of their context, so that a cell holds all contexts and shorter contexts of its grams, words by a hash.
-2. The owner of a cell merges the parts' lists as they stream by, builds the cell's trie and scores its distinct grams.
-3. The cell's scores meet the lists of the parts, and each part gets back the scores and counts of what it holds.
+2. The owner of a cell merges the parts' lists as they stream by, builds the cell's trie and scores its distinct grams. Lists of more than LOT_PARTS
+   parts are added up in a tree, LOT_PARTS at a time, so that no task reads those of a common stem from all parts.
+3. The cell's scores meet the lists of the parts, LOT_PARTS parts in a task, and each part gets back the scores and counts of what it holds.
 4. Each part is scored with them.
 
 A task holds the distinct grams or words of one cell, or one part; cells grow in number with the square root of the input, the lists in proportion to it.
@@ -41,6 +42,8 @@ from docsync.llm.common import bounded_batches, materialize, tidy
 ORDER, STEM = 5, 2
 #: Bytes and texts of a part, and bytes handled at a time inside it.
 PART_BYTES, PART_TEXTS, SLICE = 12 << 20, 60_000, 1 << 20
+#: Parts whose lists of one cell meet in a task.
+LOT_PARTS = 256
 
 
 def packed(values: np.ndarray, delta: bool = False) -> bytes:
@@ -294,45 +297,67 @@ def cut_into_parts(docs: DataFrame, order: int, cells: int, part_bytes: int) ->
     return bounded_batches(docs).mapInArrow(tidy(run), f"{LISTS}, ids array<{id_type}>, n_learned long, stems array<long>, times array<long>")
 
 
+def merged(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[tuple[int, int, Merger, dict[bytes, int]]]:
+    """The lists, which come in order of (cell, lot), added up: cell, lot, and its grams, or its words that were learned from."""
+    now, merger, words = None, Merger(), {}
+    for batch in batches:
+        for cell, lot, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("cell", "lot", "keys", "counts")), strict=True):
+            if (cell, lot) != now:
+                if now is not None:
+                    yield *now, merger, words
+                now, merger, words = (cell, lot), Merger(), {}
+            times = unpacked(counts, np.int64)
+            if cell < cells:
+                merger.add(unpacked(keys, np.uint64, delta=True), times)
+            else:
+                for w, n in zip(zstandard.decompress(keys).split(b"\n"), times.tolist(), strict=True):
+                    if n:
+                        words[w] = words.get(w, 0) + n
+    if now is not None:
+        yield *now, merger, words
+
+
+def in_lots(lists: DataFrame, lots: int) -> DataFrame:
+    """The lists with the lot of their part, in tasks by (cell, lot) and in that order."""
+    dealt = lists.withColumn("lot", F.pmod(F.xxhash64("part"), F.lit(lots)))
+    return dealt.repartition("cell", "lot").sortWithinPartitions("cell", "lot", F.col("part").asc_nulls_first())
+
+
+def add_up(lists: DataFrame, cells: int, lots: int) -> DataFrame:
+    """One list for each cell and lot of parts, in the form of the parts' lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, lot, merger, words in merged(batches, cells):
+            if cell < cells:
+                grams, counts = merger.total()
+                yield _batch([{"part": lot, "cell": cell, "keys": packed(grams, delta=True), "counts": packed(counts)}], _LISTED)
+            elif words:
+                yield _batch([{"part": lot, "cell": cell, "keys": zstandard.compress(b"\n".join(words), 1), "counts": packed(np.fromiter(words.values(), np.int64, len(words)))}], _LISTED)
+
+    return in_lots(lists.select("part", "cell", "keys", "counts"), lots).mapInArrow(tidy(run), LISTS)
+
+
 def learn_cells(lists: DataFrame, order: int, cells: int, stems: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(cell, keys, values, total, kinds) of every cell: its distinct grams and their scores, or its words and their counts."""
     schema = pa.schema([("cell", pa.int32()), ("keys", pa.binary()), ("values", pa.binary()), ("total", pa.int64()), ("kinds", pa.int64())])
 
-    def learned(cell: int, merger: Merger, words: dict[bytes, int]) -> pa.RecordBatch:
-        if cell < cells:
-            grams, counts = merger.total()
-            seen = counts > 0
-            scores = trie_of(grams[seen], counts[seen], order, stems).scores(grams)
-            row = {"keys": packed(grams, delta=True), "values": packed(scores), "total": 0, "kinds": 0}
-        else:
-            counts = np.fromiter(words.values(), np.int64, len(words))
-            row = {"keys": zstandard.compress(b"\n".join(words), 1), "values": packed(counts), "total": int(counts.sum()), "kinds": len(words)}
-        return _batch([{"cell": cell, **row}], schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, merger, words = None, Merger(), {}
-        for batch in batches:
-            for cell, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("cell", "keys", "counts")), strict=True):
-                if cell != now:
-                    if now is not None:
-                        yield learned(now, merger, words)
-                    now, merger, words = cell, Merger(), {}
-                times = unpacked(counts, np.int64)
-                if cell < cells:
-                    merger.add(unpacked(keys, np.uint64, delta=True), times)
-                else:
-                    for w, n in zip(zstandard.decompress(keys).split(b"\n"), times.tolist(), strict=True):
-                        if n:
-                            words[w] = words.get(w, 0) + n
-        if now is not None:
-            yield learned(now, merger, words)
+        for cell, _, merger, words in merged(batches, cells):
+            if cell < cells:
+                grams, counts = merger.total()
+                seen = counts > 0
+                scores = trie_of(grams[seen], counts[seen], order, stems).scores(grams)
+                row = {"keys": packed(grams, delta=True), "values": packed(scores), "total": 0, "kinds": 0}
+            else:
+                counts = np.fromiter(words.values(), np.int64, len(words))
+                row = {"keys": zstandard.compress(b"\n".join(words), 1), "values": packed(counts), "total": int(counts.sum()), "kinds": len(words)}
+            yield _batch([{"cell": cell, **row}], schema)
 
-    dealt = lists.select("cell", "keys", "counts").repartition("cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(tidy(run), "cell int, keys binary, values binary, total long, kinds long")
+    return in_lots(lists.select("part", "cell", "keys", "counts"), 1).mapInArrow(tidy(run), "cell int, keys binary, values binary, total long, kinds long")
 
 
-def hand_back(lists: DataFrame, model: DataFrame, cells: int) -> DataFrame:
-    """The lists with the scores or counts of their grams and words: (part, cell, keys, counts)."""
+def hand_back(lists: DataFrame, model: DataFrame, cells: int, lots: int) -> DataFrame:
+    """The lists with the scores or counts of their grams and words: (part, cell, keys, counts). A cell's scores go to each of its lots of parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = values = None
@@ -349,26 +374,34 @@ def hand_back(lists: DataFrame, model: DataFrame, cells: int) -> DataFrame:
                     times = np.array([words.get(w, 0) for w in zstandard.decompress(keys).split(b"\n")], np.int64)
                     yield _batch([{"part": part, "cell": cell, "keys": keys, "counts": packed(times)}], _LISTED)
 
-    known = model.select(F.lit(None).cast("long").alias("part"), "cell", "keys", F.col("values").alias("counts"))
-    dealt = lists.select("part", "cell", "keys", "counts").unionByName(known).repartition("cell")
-    return dealt.sortWithinPartitions("cell", F.col("part").asc_nulls_first()).mapInArrow(tidy(run), LISTS)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long"))).alias("lot")
+    known = model.select(F.lit(None).cast("long").alias("part"), "cell", "keys", F.col("values").alias("counts"), every)
+    own = lists.select("part", "cell", "keys", "counts", F.pmod(F.xxhash64("part"), F.lit(lots)).alias("lot"))
+    dealt = own.unionByName(known).repartition("cell", "lot").sortWithinPartitions("cell", "lot", F.col("part").asc_nulls_first())
+    return dealt.mapInArrow(tidy(run), LISTS)
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, part_bytes: int = PART_BYTES) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, part_bytes: int = PART_BYTES, lot_parts: int = LOT_PARTS) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``, both models learned from the rows where ``learn`` holds."""
     if not STEM <= order <= 5:
         raise ValueError(f"order must be from {STEM} to 5")
+    if lot_parts < 2:
+        raise ValueError("lot_parts must be at least 2")
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     n_bytes = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = max(8, math.ceil(4 * math.sqrt(n_bytes / part_bytes)))
     table = materialize(cut_into_parts(given, order, cells, part_bytes), "ppm-parts", compression="none")
     texts, lists = table.filter("cell < 0"), table.filter("cell >= 0")
-    ends = texts.agg(F.coalesce(F.sum("n_learned"), F.lit(0))).first()[0]
+    ends, n_parts = texts.agg(F.coalesce(F.sum("n_learned"), F.lit(0)), F.count("*")).first()
     each = texts.select(F.explode(F.arrays_zip("stems", "times")).alias("s")).groupBy(F.col("s.stems").alias("stem")).agg(F.sum("s.times").alias("n"))
     found = sorted(each.collect())  # at most 256**STEM rows
     stems = np.array([r[0] for r in found], np.uint64), np.array([r[1] for r in found], np.int64)
-    model = materialize(learn_cells(lists, order, cells, stems), "ppm-model", compression="none")
+    lots = max(1, math.ceil(n_parts / lot_parts))
+    learned, left = lists, lots
+    while left > 1:  # so many lists of a cell are added up at a time
+        learned, left = materialize(add_up(learned, cells, left), "ppm-lists", compression="none"), math.ceil(left / lot_parts)
+    model = materialize(learn_cells(learned, order, cells, stems), "ppm-model", compression="none")
     words, kinds = model.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     tokens, kinds = words + ends, kinds + (ends > 0)
     whole = math.log10(tokens + kinds + 1)
@@ -407,7 +440,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         ids = group.column("ids").combine_chunks().flatten()
         return pa.table([ids, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(total)], list(named))
 
-    back = hand_back(lists, model, cells).withColumn("ids", F.lit(None).cast(f"array<{id_type}>"))
+    back = hand_back(lists, model, cells, lots).withColumn("ids", F.lit(None).cast(f"array<{id_type}>"))
     parts = texts.select("part", "cell", "keys", "counts", "ids").unionByName(back).groupBy("part")
     scored = parts.applyInArrow(finish, f"id {id_type}, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

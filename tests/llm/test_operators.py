@@ -425,13 +425,13 @@ def test_score_query(spark, corpus):
         assert got[i].score == pytest.approx(brute_ppm([x.encode() for x in train], ppm.ORDER, 1, t.encode()), abs=1e-6)
 
 
-@pytest.mark.parametrize(("part", "order"), [(1, 3), (40, 2), (1 << 20, 5)])
-def test_all_grams_are_scored_from_their_full_contexts(spark, part, order):
+@pytest.mark.parametrize(("part", "order", "lot"), [(1, 3, 2), (40, 2, 3), (1, 5, 256), (1 << 20, 5, 256)])
+def test_all_grams_are_scored_from_their_full_contexts(spark, part, order, lot):
     texts = ["abcabcabcabd", "abcab xyz", "é日本", "", None, "aaaaaaaa"]
     rows = [*enumerate(texts), (6, "abd zzz q"), (7, "\0\1"), (8, "abcabcabcabd"), (None, "abd"), (9, "zz " * 30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     learned = [(t or "").encode() for t in texts]
-    got = {r.doc_id: r for r in ppm.score(docs, F.col("doc_id") < 6, order=order, part_bytes=part).collect()}
+    got = {r.doc_id: r for r in ppm.score(docs, F.col("doc_id") < 6, order=order, part_bytes=part, lot_parts=lot).collect()}
     assert len(got) == len(rows)
     counts = Counter(w for t in learned for w in t.lower().split())
     n, v = sum(counts.values()) + len(texts), len(counts) + 1
