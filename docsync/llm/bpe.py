@@ -32,8 +32,8 @@ from docsync.llm.common import bounded_batches, tidy
 
 #: Fixed pattern of byte-level BPE: contractions, letters, numbers, other marks, white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words held at a time and text handled at a time by one task: these bound memory, not results.
-MAX_WORDS, CHUNK_CHARS = 150_000, 2_000_000
+#: Words held (about) and text handled at a time by one task: these bound memory, not results.
+MAX_WORDS, CHUNK_CHARS = 240_000, 1_500_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -137,7 +137,7 @@ class Codec:
     """Encodes and decodes texts, keeping the ids of words already merged."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab, self.known, self.pattern, self.first_ranks = vocab, {}, regex.compile(PATTERN), vocab.first_ranks()
+        self.vocab, self.known, self.old, self.pattern, self.first_ranks = vocab, {}, {}, regex.compile(PATTERN), vocab.first_ranks()
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(vocab.special, key=len, reverse=True)) + ")") if vocab.special else None
 
     def words(self, text: str) -> list[str]:
@@ -158,16 +158,20 @@ class Codec:
 
     def _encode(self, texts: Iterable[str]) -> list[list[tuple[str, int, bytes]]]:
         found = [self.words(t) for t in texts]
-        new = list({w for ws in found for w in ws if w not in self.known})
-        if len(self.known) + len(new) > MAX_WORDS:
-            self.known.clear()
-            new = list({w for ws in found for w in ws})
+        if len(self.known) > MAX_WORDS // 2:  # words that come back before the next such turn are kept, the others forgotten
+            self.old, self.known = self.known, {}
+        known, old, new = self.known, self.old, []
+        for w in {w for ws in found for w in ws}:
+            if w not in known:
+                if w in old:
+                    known[w] = old[w]
+                else:
+                    new.append(w)
         plain = [w for w in new if w not in self.vocab.special]
         coded = dict(zip(plain, merge_words([w.encode() for w in plain], self.vocab, self.first_ranks), strict=True))
         for w in new:
             ids = coded[w] if w in coded else [self.vocab.special[w]]
-            self.known[w] = (",".join(map(str, ids)), len(ids), b"".join(self.vocab.pieces[i] for i in ids))
-        known = self.known
+            known[w] = (",".join(map(str, ids)), len(ids), b"".join(self.vocab.pieces[i] for i in ids))
         return [[known[w] for w in ws] for ws in found]
 
 
