@@ -269,6 +269,7 @@ def oracle_sql() -> dict[str, str]:
         "repair_boundaries": REPAIR,
         "file_signatures": f"SELECT * FROM {LISTING}",
         "sync_plan": PLAN,
+        "sync_plan_in_order": f"SELECT * FROM ({PLAN}) ORDER BY action <> 'removed', source_path",
         "sync_removed": f"SELECT source_path, old_chunks FROM ({PLAN}) WHERE action = 'removed'",
         "sync_new": f"SELECT source_path, file_signature FROM ({PLAN}) WHERE action = 'new'",
         "sync_changed": f"SELECT source_path, old_chunks, file_signature FROM ({PLAN}) WHERE action = 'changed'",

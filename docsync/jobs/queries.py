@@ -110,6 +110,10 @@ def sync_plan(spark, sf_dir):
     return sync.plan(A.listing(docs), A.collection(docs))
 
 
+def sync_plan_in_order(spark, sf_dir):
+    return sync.in_order(sync_plan(spark, sf_dir))
+
+
 def sync_removed(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     return sync.removed(A.listing(docs), A.collection(docs))
@@ -214,7 +218,7 @@ def chunk_batches(spark, sf_dir):
 
 NAMES = (
     md_paragraphs, log_paragraphs, log_fields, doc_paragraphs, docx_paragraphs, pdf_paragraphs, msg_paragraphs, msg_metadata, html_paragraphs, html_titles, heading_path,
-    sentences, token_chunks, md_token_chunks, semantic_breaks, semantic_chunks, repair_boundaries, file_signatures, sync_plan, sync_removed, sync_new, sync_changed, sync_apply,
+    sentences, token_chunks, md_token_chunks, semantic_breaks, semantic_chunks, repair_boundaries, file_signatures, sync_plan, sync_plan_in_order, sync_removed, sync_new, sync_changed, sync_apply,
     sync_summary, ingest_batches, chunk_batches, sync_pass, sync_pass_runs, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
     doc_chunks, msg_chunks,
 )

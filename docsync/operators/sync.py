@@ -52,6 +52,11 @@ def plan(files: DataFrame, collection: DataFrame) -> DataFrame:
     return both.select("source_path", action.alias("action"), F.coalesce("old_chunks", F.lit(0)).cast("long").alias("old_chunks"), "file_signature")
 
 
+def in_order(sync_plan: DataFrame) -> DataFrame:
+    """The plan as it is shown: removed paths first, then the others, by path."""
+    return sync_plan.orderBy(F.col("action") != "removed", "source_path")
+
+
 def removed(files: DataFrame, collection: DataFrame) -> DataFrame:
     """(source_path, old_chunks) of stored paths that are no longer listed."""
     return stored_files(collection).join(files, "source_path", "left_anti").select("source_path", "old_chunks")

@@ -22,6 +22,7 @@ def test_plan(spark):
     )
     got = {r.source_path: (r.action, r.old_chunks) for r in sync.plan(files, stored).collect()}
     assert got == {"/same": ("unchanged", 2), "/new": ("new", 0), "/gone": ("removed", 1), "/sig": ("changed", 1), "/null": ("changed", 2), "/mixed": ("changed", 2), "/empty_id": ("new", 0)}
+    assert [r.source_path for r in sync.in_order(sync.plan(files, stored)).collect()] == ["/gone", *sorted(set(got) - {"/gone"})]
     kept = sync.kept(stored, sync.plan(files, stored)).collect()
     assert sorted(str(r.chunk_id) for r in kept) == ["", "1", "10", "2", "9", "None"]
 
