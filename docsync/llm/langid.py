@@ -48,7 +48,7 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-@lru_cache(maxsize=8192)
+@lru_cache(maxsize=32768)
 def letter_vector(code: int, dims: int) -> np.ndarray:
     """The fixed random vector of a letter."""
     return np.random.default_rng([SEED, code]).integers(0, 2, dims, dtype=np.int8) * 2 - 1
