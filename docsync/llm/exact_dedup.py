@@ -105,7 +105,7 @@ def exact_dedup(
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row per distinct text, all columns kept: of equal texts the largest id stays, of equal ids the
     largest of the row numbers that are written with the table. Rows go by their number, so a text goes only for its own copies."""
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-rows", compression="zstd")
     picks = rows.select(F.struct(id_col, "__row").alias("pick"), F.col(text_col).alias("text"))
     verdict = exact_dedup(picks, "pick", "text")
     return without(rows, verdict.filter(~F.col("kept")).select("pick.__row"), "__row").drop("__row")

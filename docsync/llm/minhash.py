@@ -326,6 +326,6 @@ def drop_near_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     Rows are judged by numbers that follow the ids and are written with the table, so rows that repeat an id or have none are judged one by one."""
     order = F.col(id_col).asc_nulls_last(), F.xxhash64(text_col).asc()
     ranked = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = materialize(ranked.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    rows = materialize(ranked.withColumn("__row", F.monotonically_increasing_id()), "near-rows", compression="zstd")
     verdict = near_duplicates(rows, percent, id_col="__row", text_col=text_col)
     return without(rows, verdict.filter(~F.col("kept")), "__row").drop("__row")
