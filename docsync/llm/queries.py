@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsync.llm import ann, bpe, chat, exact_dedup, html_extract, langid, minhash, mixing, ppm, suffix_dedup
+from docsync.llm import ann, bpe, chat, exact_dedup, fim, html_extract, langid, minhash, mixing, packing, periodic, ppm, suffix_dedup
 from docsync.llm.common import bucket_of
 
 
@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,34 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.maximal_conversations(table(spark, sf_dir, "conversations")).select("conv_id", "n_turns", "n_copies", "rendered")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in documents of which one in ten has been made to repeat a group of its words from some word on."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, made = F.floor(h / 10), h % 10 == 0
+    n = F.when(made, F.regexp_count("text", F.lit(periodic.WORD))).cast("long")
+    start = F.when(n > 0, g % n)
+    period = 1 + F.floor((n - start) / (3 + g % 8))
+    # only the texts to be changed go through the function
+    changed = periodic.cycled(F.when(n > 0, F.col("text")), start, period)
+    rows = docs.withColumn("text", F.coalesce(changed, "text"))
+    found = periodic.detect(rows.select("doc_id", "text")).withColumn("best", periodic.longest_run(F.col("runs")))
+    length, by = F.col("best.length"), F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"), by.alias("period"),
+        F.floor(length * 1000 / by).cast("long").alias("exponent_milli"), F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents")).withColumn("restored", fim.restored(F.col("form"), F.col("output")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), keep_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -79,6 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ann": op8_ann,
         "op9_minhash_forest": op9_minhash_forest,
         "op10_chat_format": op10_chat_format,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_packing": op13_packing,
     }
 
 
@@ -121,6 +152,27 @@ SELECT doc_id, size, source_size, target,
 FROM drawn JOIN rated ON drawn.source IS NOT DISTINCT FROM rated.source JOIN best ON drawn.source IS NOT DISTINCT FROM best.source
 """
 
+OP12_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS body, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+  FROM documents
+), placed AS (
+  SELECT doc_id, body, tokens, len(tokens) AS n, ('0x' || digest[1:8])::BIGINT % (len(tokens) + 1) AS one, ('0x' || digest[9:16])::BIGINT % (len(tokens) + 1) AS other,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR ('0x' || digest[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || digest[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), cut AS (
+  SELECT doc_id, body, n, form, array_to_string(tokens[1:least(one, other)], '') AS p, array_to_string(tokens[least(one, other) + 1:greatest(one, other)], '') AS m,
+         array_to_string(tokens[greatest(one, other) + 1:], '') AS s
+  FROM placed
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE body END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM cut
+"""
+
 OP10_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k
@@ -139,4 +191,4 @@ SELECT conv_id, n_turns, n_copies, rendered FROM copies ANTI JOIN prefixes ON co
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op6_mixing": OP6_SQL, "op10_chat_format": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op6_mixing": OP6_SQL, "op10_chat_format": OP10_SQL, "op12_fill_in_middle": OP12_SQL}
