@@ -137,19 +137,29 @@ WITH sized AS (
          least(room, coalesce((max(level) FILTER (WHERE level * weight <= room) OVER ()) * weight, room)) AS target
   FROM levels
 ), rated AS (
-  SELECT source, source_size, target, rate, (rate - floor(rate)) * 4503599627370496.0::DOUBLE AS below FROM (
+  SELECT source, source_size, target, rate FROM (
     SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM targets)
 ), drawn AS (
-  SELECT doc_id, source, size, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS draw FROM sized
-), tried AS (
-  SELECT r.source, t, floor(any_value(rate)) * any_value(source_size) + sum(CASE WHEN (draw - t * 70368744177664 + 4503599627370496) % 4503599627370496 < below THEN size ELSE 0 END) AS words, any_value(target) AS target
-  FROM drawn d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source CROSS JOIN (SELECT unnest(range(0, 64)) AS t) GROUP BY r.source, t
-), best AS (
-  SELECT source, arg_min(t, struct_pack(o := abs(words - target), t := t)) AS turn FROM tried GROUP BY source
+  SELECT doc_id, source, size, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS draw,
+         length(bin(size)) * 16 + list_reduce([0] || list_transform(string_split(rpad(substr(bin(size), 1, 4), 4, '0'), ''), lambda x: x::INT), lambda a, x: 2 * a + x) AS class
+  FROM sized
+), counted AS (
+  SELECT source, class, draw >> 40 AS bin, count(*)::BIGINT AS n FROM drawn GROUP BY 1, 2, 3
+), binned AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY source, class ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+         coalesce(sum(n) OVER (PARTITION BY source ORDER BY class RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)::BIGINT AS upto,
+         (sum(n) OVER (PARTITION BY source, class))::BIGINT AS of_class
+  FROM counted
+), wanting AS (
+  SELECT b.*, floor((rate - floor(rate)) * upto + start)::BIGINT - floor((rate - floor(rate)) * (upto - of_class) + start)::BIGINT AS wanted
+  FROM binned b JOIN (
+    SELECT source, rate, ('0x' || substr(md5('mix:start:' || coalesce('=' || source, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS start FROM rated
+  ) r ON b.source IS NOT DISTINCT FROM r.source
+), bounds AS (
+  SELECT source, class, bin * 1099511627776 + ceil((wanted - before) * 1099511627776.0::DOUBLE / n)::BIGINT AS bound FROM wanting WHERE before < wanted AND wanted <= before + n
 )
-SELECT doc_id, size, source_size, target,
-       size * (floor(rate)::BIGINT + CASE WHEN (draw - turn * 70368744177664 + 4503599627370496) % 4503599627370496 < below THEN 1 ELSE 0 END) AS taken
-FROM drawn JOIN rated ON drawn.source IS NOT DISTINCT FROM rated.source JOIN best ON drawn.source IS NOT DISTINCT FROM best.source
+SELECT doc_id, size, source_size, target, size * (floor(rate)::BIGINT + CASE WHEN draw < coalesce(bound, 0) THEN 1 ELSE 0 END) AS taken
+FROM drawn d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source LEFT JOIN bounds b ON d.source IS NOT DISTINCT FROM b.source AND d.class = b.class
 """
 
 OP12_SQL = r"""
