@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,11 +25,35 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: The paths that ``written`` has made inside ``temporary``.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` inside go at its end, not only with the application, as a long-running one needs."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: it is computed once, and lineage ends in
-    files that survive a lost executor. The files go when the application ends."""
-    spark = df.sparkSession
+    files that survive a lost executor. The files go when the application ends, or with the ``temporary`` part of it."""
+    spark, made = df.sparkSession, _MADE.get()
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if made is not None:
+        made.append(path)
     df.write.option("compression", compression).parquet(path)
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
@@ -36,3 +64,24 @@ def dealt_out(df: DataFrame) -> DataFrame:
     """``df`` over all cores of the session where its files have fewer splits than that, as small tables do; larger ones are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.toJavaRDD().getNumPartitions() < cores else df
+
+
+class Counts:
+    """Aggregates taken while rows are written."""
+
+    def __init__(self):
+        self.seen: list[tuple[Observation, DataFrame, list[Column]]] = []
+
+    def on(self, df: DataFrame, *aggregates: Column) -> DataFrame:
+        self.seen.append((Observation(), df, list(aggregates)))
+        return df.observe(self.seen[-1][0], *aggregates)
+
+    def get(self) -> dict:
+        """All of them; where the optimizer has left out an observed part, as it does with empty ones, its rows are counted."""
+        found: dict = {}
+        for seen, df, aggregates in self.seen:
+            try:
+                found |= seen.get
+            except Py4JJavaError:
+                found |= df.agg(*aggregates).first().asDict()
+        return found

@@ -207,6 +207,10 @@ PASS = f"""SELECT 'log' AS kind, {_KEY} AS key, chunk_index, text, paragraph_num
 PASS_RUNS = f"""WITH files AS (SELECT (SELECT count(DISTINCT user_id) FROM events) + (SELECT count(*) FROM pages) AS n), made AS (SELECT count(*) AS c FROM ({PASS}))
   SELECT n AS local_files, 0::BIGINT AS remote_docs, 0::BIGINT AS removed_paths, n AS added_or_updated_files, 0::BIGINT AS deleted_chunks, c AS added_chunks, 1::BIGINT AS version, NULL::VARCHAR AS error FROM files, made
   UNION ALL SELECT n, c, 0, 0, 0, 0, 1, NULL FROM files, made"""
+_FILES = "SELECT DISTINCT 'log' AS kind, user_id AS key FROM events UNION ALL SELECT 'htm', page_id FROM pages"
+WALKED = f"SELECT kind, key, count(*) AS n_files, count(*) AS n_signed FROM ({_FILES}) GROUP BY kind, key"
+QUARANTINE = f"""SELECT kind, key, CASE key % 7 WHEN 0 THEN 'read missing' WHEN 1 THEN 'read unreadable' ELSE 'published' END AS outcome FROM ({_FILES})
+  WHERE key % 7 < 2 OR (kind, key) IN (SELECT kind, key FROM ({PASS}))"""
 SMALL_CHUNKS = token_windows(LINE_PARAGRAPHS, 5, 1)
 
 _SLOT = "(('0x' || substr(md5(w), 1, 4))::BIGINT % 32)"
@@ -277,6 +281,8 @@ def oracle_sql() -> dict[str, str]:
         "sync_summary": SUMMARY,
         "sync_pass": PASS,
         "sync_pass_runs": PASS_RUNS,
+        "sync_quarantine": QUARANTINE,
+        "walked_files": WALKED,
         "distinct_files": DISTINCT_FILES,
         "normalised_rows": NORMALISED,
         "routed_files": ROUTED,

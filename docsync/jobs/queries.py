@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +14,7 @@ from docsync.jobs.sync_folder import routed, sync_folder
 from docsync.operators import chunks, html, mail, paragraphs, sync
 from docsync.sources import adapters as A
 from docsync.sources.collection import Collection
+from docsync.sources.files import open_path, walk
 
 SIZE, OVERLAP = 50, 8
 
@@ -158,6 +160,36 @@ def sync_pass_runs(spark, sf_dir):
     return Collection(spark, f"{place}/collection").runs().drop("finished_at")
 
 
+def walked_files(spark, sf_dir):
+    """A walk over such a folder: the files of its tree, and how many have a usable signature."""
+    folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/walk-{uuid.uuid4().hex}"
+    found, _ = walk(spark, folder, place)
+    kind = F.substring("suffix", 2, 10).alias("kind")
+    key = F.regexp_extract("source_path", r"/(logs/user|pages/page_id)=(\d+)/", 2).cast("long").alias("key")
+    return found.groupBy(kind, key).agg(F.count("*").alias("n_files"), F.count_if(F.col("file_signature").rlike(r"^\d+:\d+$")).alias("n_signed"))
+
+
+def _failing(path: str):
+    """Opens files but those of some users and pages, as a live folder may give them."""
+    key = int(re.search(r"/(?:logs/user|pages/page_id)=(\d+)/", path)[1])
+    if key % 7 == 0:
+        raise FileNotFoundError(path)
+    if key % 7 == 1:
+        raise PermissionError(path)
+    return open_path(path)
+
+
+def sync_quarantine(spark, sf_dir):
+    """What becomes of the files of such a folder in a pass to which some of them are missing or unreadable: published or the reason."""
+    folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/pass-{uuid.uuid4().hex}"
+    sync_folder(spark, folder, f"{place}/collection", f"{place}/work", opener=_failing, chunker="simple")
+    store = Collection(spark, f"{place}/collection")
+    published = store.index().select("source_path", F.lit("published").alias("outcome"))
+    bad = store.quarantine().select("source_path", F.concat_ws(" ", "stage", F.element_at(F.split("error", ":"), 1)).alias("outcome"))
+    key = F.regexp_extract("source_path", r"/(logs/user|pages/page_id)=(\d+)/", 2).cast("long").alias("key")
+    return published.unionByName(bad).select(F.regexp_extract("source_path", r"\.([a-z]+)$", 1).alias("kind"), key, "outcome")
+
+
 def distinct_files(spark, sf_dir):
     return sync.distinct_files(A.listed_twice(_docs(spark, sf_dir)))
 
@@ -219,7 +251,7 @@ def chunk_batches(spark, sf_dir):
 NAMES = (
     md_paragraphs, log_paragraphs, log_fields, doc_paragraphs, docx_paragraphs, pdf_paragraphs, msg_paragraphs, msg_metadata, html_paragraphs, html_titles, heading_path,
     sentences, token_chunks, md_token_chunks, semantic_breaks, semantic_chunks, repair_boundaries, file_signatures, sync_plan, sync_plan_in_order, sync_removed, sync_new, sync_changed, sync_apply,
-    sync_summary, ingest_batches, chunk_batches, sync_pass, sync_pass_runs, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
+    sync_summary, ingest_batches, chunk_batches, sync_pass, sync_pass_runs, sync_quarantine, walked_files, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
     doc_chunks, msg_chunks,
 )
 

@@ -65,15 +65,24 @@ def sums_before(rows: DataFrame, value: Column, by: str, order: list[str], name:
     return found.select("source_path", *order, (F.col("__inside") + F.col("__before")).alias(name), f"{name}_total")
 
 
-def token_windows(paragraphs: DataFrame, chunk_size: int = 500, overlap: int = 75, tokens: Callable[[Column], Column] = regex_tokens) -> DataFrame:
+#: Takes the (source_path, error) of files that a chunker could not take.
+Failed = Callable[[DataFrame], None]
+
+
+def token_windows(paragraphs: DataFrame, chunk_size: int = 500, overlap: int = 75, tokens: Callable[[Column], Column] = regex_tokens, failed: Failed | None = None) -> DataFrame:
     """Windows of ``chunk_size`` tokens, each starting ``chunk_size - overlap`` after the one before, over a file's whole
     token stream: each paragraph's tokens and those of one space. A window is put together from the slices that paragraphs have in it, so no row ever
-    holds a file's stream. Only counts of tokens go into the paragraphs' places; a tokenizer with a ``count`` is counted by it."""
+    holds a file's stream. Only counts of tokens go into the paragraphs' places; a tokenizer with a ``count`` is counted by it. Files of which the tokenizer
+    gave no tokens (null) for a text go to ``failed``; their chunks lack that text."""
     _check(chunk_size, overlap)
     step = chunk_size - overlap
     count = getattr(tokens, "count", None) or (lambda text: F.size(tokens(text)))
     rows = paragraphs.select("source_path", "paragraph_num", "page_num", "text").filter("text is not null")
-    counts = written(rows.select("source_path", "paragraph_num", (count(F.col("text")) + count(F.lit(" "))).alias("n")), "counts")
+    counted = count(F.col("text"))
+    has_tokens = counted >= 0 if hasattr(tokens, "count") else counted.isNotNull() & (counted >= 0)
+    counts = written(rows.select("source_path", "paragraph_num", F.when(has_tokens, counted + count(F.lit(" "))).alias("n")), "counts")
+    _report(failed, counts.filter("n is null"), "the tokenizer gave no tokens for paragraph ")
+    counts = counts.filter("n is not null")
     places = sums_before(counts, F.col("n"), "paragraph_num", ["paragraph_num"], "start")
     each = rows.withColumn("tokens", F.concat(tokens(F.col("text")), tokens(F.lit(" ")))).withColumn("n", F.size("tokens"))
     placed = each.join(places, ["source_path", "paragraph_num"])
@@ -97,6 +106,12 @@ def token_windows(paragraphs: DataFrame, chunk_size: int = 500, overlap: int = 7
     return decode(made) if decode else made
 
 
+def _report(failed: Failed | None, rows: DataFrame, message: str) -> None:
+    """Hand the files of ``rows`` (source_path, paragraph_num) to ``failed``."""
+    if failed is not None:
+        failed(rows.groupBy("source_path").agg(F.concat(F.lit(message), F.min("paragraph_num").cast("string")).alias("error")))
+
+
 def cached_model(key: str, load: Callable[[], object]) -> object:
     """What ``load()`` gives, loaded once in each process for each key."""
     if key not in _MODELS:
@@ -110,21 +125,31 @@ def _key(load: Callable) -> str:
     return hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
 
 
+def each_alone(texts: list[str], run: Callable[[list[str]], list]) -> list:
+    """``run(texts)``; where a batch fails its texts are run one by one, and those that fail give None."""
+    try:
+        return list(run(texts))
+    except Exception:  # noqa: BLE001  whatever a plug-in raises for a text concerns this text's file
+        if len(texts) < 2:
+            return [None] * len(texts)
+        return [x for t in texts for x in each_alone([t], run)]
+
+
 def coder_tokens(load: Callable[[], object]) -> Callable[[Column], Column]:
     """A tokenizer for the windows from a byte-level coder (``encode_ordinary_batch``, ``decode_single_token_bytes``) that ``load()`` makes in
-    each worker process: every token as its bytes in Latin letters, so that tokens join; finished windows are decoded."""
+    each worker process: every token as its bytes in Latin letters, so that tokens join; finished windows are decoded. A text that can't be encoded gives null."""
     from pyspark.sql.functions import pandas_udf
 
     key = _key(load)
 
     @pandas_udf("array<string>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from docsync.operators.chunks import cached_model
+        from docsync.operators.chunks import cached_model, each_alone
 
         coder = cached_model(key, load)
         for texts in batches:
-            coded = coder.encode_ordinary_batch([t or "" for t in texts])
-            yield pd.Series([[coder.decode_single_token_bytes(i).decode("latin-1") for i in ids] for ids in coded])
+            coded = each_alone([t or "" for t in texts], coder.encode_ordinary_batch)
+            yield pd.Series([ids if ids is None else [coder.decode_single_token_bytes(i).decode("latin-1") for i in ids] for ids in coded], dtype=object)
 
     tokens = lambda text: encode(text)
     tokens.decode = decode_bpe
@@ -195,18 +220,19 @@ def bag_of_words(dims: int = 32) -> Callable[[Column], Column]:
 
 def model_embedding(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Callable[[Column], Column]:
     """An embedding by a model that each Python worker process loads once: ``load()`` gives a function from texts to vectors. Functions that
-    load with other settings are other models."""
+    load with other settings are other models. A text that the model fails on gives null."""
     from pyspark.sql.functions import pandas_udf
 
     key = _key(load)
 
     @pandas_udf("array<double>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from docsync.operators.chunks import cached_model
+        from docsync.operators.chunks import cached_model, each_alone
 
         model = cached_model(key, load)
         for texts in batches:
-            yield pd.Series([np.asarray(v, float).tolist() for v in model(texts.fillna("").tolist())])
+            vectors = each_alone(texts.fillna("").tolist(), model)
+            yield pd.Series([v if v is None else np.asarray(v, float).tolist() for v in vectors], dtype=object)
 
     return embed
 
@@ -220,9 +246,10 @@ def cosine_distance(product: Column, norms: Column) -> Column:
     return F.round(1 - F.when(norms > 0, product / norms).otherwise(F.lit(0.0)), 9) + F.lit(0.0)
 
 
-def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callable[[Column], Column] | None = None) -> DataFrame:
+def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callable[[Column], Column] | None = None, with_failed: bool = False) -> DataFrame:
     """Sentences with the distance of their context (one neighbour each side) to the next one's, and whether a chunk ends
-    after them: where the distance exceeds the percentile of the paragraph's distances. A paragraph is the unit; files meet in no task."""
+    after them: where the distance exceeds the percentile of the paragraph's distances. A paragraph is the unit; files meet in no task.
+    ``with_failed`` adds whether there is no vector for the context."""
     if not 0 <= percentile <= 100:
         raise ValueError("percentile must be from 0 to 100")
     embed = embed or bag_of_words()
@@ -241,18 +268,21 @@ def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callab
     rows = rows.withColumn("distance", F.when(F.col("next_vector").isNotNull(), distance))
     rows = rows.withColumn("threshold", F.round(F.percentile("distance", F.lit(percentile / 100)).over(group), 9))
     cut = F.coalesce(F.col("distance") > F.col("threshold"), F.lit(False))
-    return rows.select("source_path", "paragraph_num", "page_num", "sent_idx", "sentence", "distance", cut.alias("cut"))
+    columns = ["source_path", "paragraph_num", "page_num", "sent_idx", "sentence", "distance", cut.alias("cut")]
+    return rows.select(*columns) if not with_failed else rows.select(*columns, F.col("vector").isNull().alias("failed"))
 
 
-def semantic_nodes(breaks: DataFrame) -> DataFrame:
+def semantic_nodes(breaks: DataFrame, failed: Failed | None = None) -> DataFrame:
     """(source_path, node, text, paragraph_num, page_num): the sentences between cuts, joined by spaces; ``node`` counts over the file. The
-    texts are written once, so that embeddings are not computed again for the numbers."""
+    texts are written once, so that embeddings are not computed again for the numbers. Files with a sentence marked ``failed`` go to ``failed``."""
     before = Window.partitionBy("source_path", "paragraph_num").orderBy("sent_idx").rowsBetween(Window.unboundedPreceding, -1)
     part = breaks.withColumn("part", F.coalesce(F.sum(F.col("cut").cast("int")).over(before), F.lit(0)))
+    bad = F.max("failed") if "failed" in breaks.columns else F.lit(False)
     joined = part.groupBy("source_path", "paragraph_num", "part").agg(
-        F.first("page_num").alias("page_num"), F.array_sort(F.collect_list(F.struct("sent_idx", "sentence"))).alias("s")
+        F.first("page_num").alias("page_num"), F.array_sort(F.collect_list(F.struct("sent_idx", "sentence"))).alias("s"), bad.alias("failed")
     )
-    texts = written(joined.select("source_path", "paragraph_num", "part", "page_num", F.array_join(F.transform("s", lambda x: x["sentence"]), " ").alias("text")), "nodes")
+    texts = written(joined.select("source_path", "paragraph_num", "part", "page_num", F.array_join(F.transform("s", lambda x: x["sentence"]), " ").alias("text"), "failed"), "nodes")
+    _report(failed, texts.filter("failed"), "the embedding failed in paragraph ")
     counts = texts.groupBy("source_path", "paragraph_num").agg(F.count("*").alias("n"))
     placed = texts.join(sums_before(counts, F.col("n"), "paragraph_num", ["paragraph_num"], "first_node"), ["source_path", "paragraph_num"])
     return placed.select("source_path", (F.col("first_node") + F.col("part")).cast("int").alias("node"), "text", "paragraph_num", "page_num")
@@ -283,9 +313,9 @@ def repair_sentences(nodes: DataFrame) -> DataFrame:
     return homes.unionByName(alone.join(first, "source_path").select("source_path", "f.*", "text").select(columns))
 
 
-def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool = True, embed: Callable[[Column], Column] | None = None) -> DataFrame:
+def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool = True, embed: Callable[[Column], Column] | None = None, failed: Failed | None = None) -> DataFrame:
     """Semantic chunks, by default with repaired sentence ends; stripped, empty ones dropped, numbered over the file."""
-    nodes = semantic_nodes(semantic_breaks(paragraphs, percentile, embed))
+    nodes = semantic_nodes(semantic_breaks(paragraphs, percentile, embed, failed is not None), failed)
     nodes = repair_sentences(nodes) if repair else nodes
     kept = written(nodes.withColumn("text", T.strip(F.col("text"))).filter(F.length("text") > 0), "chunks")
     places = sums_before(kept, F.lit(1), "node", ["node"], "chunk_index").drop("chunk_index_total")
@@ -293,7 +323,7 @@ def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool
 
 
 def chunk(paragraphs: DataFrame, chunker: str = "semantic", chunk_size: int = 500, overlap_ratio: float = 0.15, percentile: float = 70, repair: bool = True, **plugins) -> DataFrame:
-    """Chunks by the named chunker."""
+    """Chunks by the named chunker; ``failed``, if given, takes the files that its plug-in fails on."""
     name = chunker.strip().lower()
     if name == "simple":
         return token_windows(paragraphs, chunk_size, overlap_size(chunk_size, overlap_ratio), **plugins)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docsync.functions import text as T
 
+# Fixed value: the form of a log line.
 LOG_LINE = rf"(?d)^(.+?){T.WS}*\|{T.WS}*\[(.+?)\]{T.WS}*\|{T.WS}*(.+)$"
 
 
@@ -70,11 +71,13 @@ def log_fields(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
 def paged(pages: DataFrame) -> DataFrame:
     """Blank-line blocks of paged text (source_path, page_num, raw_text); numbers run on over the pages.
-    A page's own paragraphs are numbered in its row, only the pages' counts meet in the window."""
+    A page's own paragraphs are numbered in its row, only the pages' counts meet in the window; a page is one row."""
     blocks = F.filter(T.blank_line_blocks(T.strip(T.newlines(F.col("raw_text")))), lambda t: F.length(t) > 0)
     each = pages.select("source_path", "page_num", blocks.alias("blocks"))
     earlier = Window.partitionBy("source_path").orderBy("page_num").rowsBetween(Window.unboundedPreceding, -1)
-    placed = each.withColumn("offset", F.coalesce(F.sum(F.size("blocks")).over(earlier), F.lit(0)))
+    counts = each.groupBy("source_path", "page_num").agg(F.sum(F.size("blocks")).alias("n"))
+    offsets = counts.select("source_path", "page_num", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    placed = each.join(offsets, ["source_path", "page_num"])
     rows = placed.select("source_path", "page_num", "offset", F.posexplode("blocks").alias("i", "text"))
     number = (F.col("offset") + F.col("i") + 1).cast("int")
     return rows.select("source_path", number.alias("paragraph_num"), F.col("page_num").cast("int").alias("page_num"), "text")

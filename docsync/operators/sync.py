@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BATCH = 200
@@ -43,7 +43,12 @@ def distinct_files(files: DataFrame) -> DataFrame:
 
 def plan(files: DataFrame, collection: DataFrame) -> DataFrame:
     """(source_path, action, old_chunks, file_signature) for every path on either side: removed, new, changed or unchanged."""
-    local, stored = distinct_files(files), stored_files(collection)
+    return plan_stored(files, stored_files(collection))
+
+
+def plan_stored(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same from what ``stored_files`` gives, as a collection keeps it beside its chunks."""
+    local = distinct_files(files)
     both = local.join(stored, "source_path", "full_outer")
     same = F.col("lowest").eqNullSafe(F.col("highest")) & F.col("lowest").eqNullSafe(F.col("file_signature"))
     action = (
@@ -101,22 +106,26 @@ def apply(collection: DataFrame, sync_plan: DataFrame, fresh: DataFrame) -> Data
     return kept(collection, sync_plan).unionByName(fresh.join(todo, "source_path", "left_semi"))
 
 
-def summary(files: DataFrame, collection: DataFrame, sync_plan: DataFrame) -> DataFrame:
-    """One row: files listed, usable chunks before the pass, removed paths, new or changed files, chunks to delete."""
-    counts = sync_plan.agg(
+def plan_counts() -> list[Column]:
+    """What a plan will do, as aggregates: removed paths, new or changed files, chunks to delete."""
+    return [
         F.count_if(F.col("action") == "removed").alias("removed_paths"),
         F.count_if(F.col("action").isin("new", "changed")).alias("added_or_updated_files"),
         F.coalesce(F.sum(F.when(F.col("action").isin("removed", "changed"), F.col("old_chunks"))), F.lit(0)).alias("deleted_chunks"),
-    )
+    ]
+
+
+def summary(files: DataFrame, collection: DataFrame, sync_plan: DataFrame) -> DataFrame:
+    """One row: files listed, usable chunks before the pass, removed paths, new or changed files, chunks to delete."""
+    counts = sync_plan.agg(*plan_counts())
     local = files.agg(F.count("*").alias("local_files"))
     remote = collection.filter(usable("chunk_id")).agg(F.count("*").alias("remote_docs"))
     return local.join(remote).join(counts).select("local_files", "remote_docs", "removed_paths", "added_or_updated_files", "deleted_chunks")
 
 
 def batch_numbers(chunks: DataFrame, size: int = BATCH) -> DataFrame:
-    """Chunks with ``batch``, the number of their write batch inside the file."""
-    order = Window.partitionBy("source_path").orderBy("chunk_index")
-    return chunks.withColumn("batch", (F.floor((F.row_number().over(order) - 1) / size) + 1).cast("long"))
+    """Chunks with ``batch``, the number of their write batch inside the file; ``chunk_index`` counts a file's chunks from 0."""
+    return chunks.withColumn("batch", (F.floor(F.col("chunk_index") / size) + 1).cast("long"))
 
 
 def ingest_batches(chunks: DataFrame, size: int = BATCH) -> DataFrame:

@@ -176,37 +176,142 @@ def test_no_shuffle_before_chunks(spark):
     assert "Exchange" not in plan
 
 
-def test_listing(spark, tmp_path):
-    from docsync.sources.files import in_batches, list_files, read_texts
-
-    (tmp_path / "sub").mkdir()
-    for name, body in (("a b.md", "x"), ("sub/c.HTML", "<p>y"), ("d.txt", "no"), (".md", "hidden"), ("e.log", "l\xff")):
-        (tmp_path / name).write_bytes(body.encode("latin-1"))
-    found = list_files(spark, str(tmp_path))
-    assert "content" not in found.columns
-    assert sorted((r.source_name, r.suffix, r.size) for r in found.collect()) == [("a b.md", ".md", 1), ("c.HTML", ".html", 4), ("e.log", ".log", 2)]
-    assert {r.source_path for r in found.collect()} == {str(tmp_path / n) for n in ("a b.md", "sub/c.HTML", "e.log")}
-    scan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()[-1]
-    assert "Relation" in scan
-    assert [list(in_batches(found.orderBy("path"), 2))[0][0].endswith("a b.md"), len(list(in_batches(found, 2)))] == [True, 2]
-    paths = {r.source_name: r.path for r in found.collect()}
-    assert [r.raw for r in read_texts(spark, [paths["e.log"]]).collect()] == ["l�"]
-    assert sorted(r.suffix for r in read_texts(spark, [paths["a b.md"], paths["c.HTML"]]).collect()) == [".html", ".md"]
-
-
-def test_log_files_by_line_equal_whole_files(spark, tmp_path):
-    from docsync.sources.files import list_files, read_log_lines, read_texts
-
-    body = "\n".join(f"2026-01-01 {i} | [INFO] |  m {i} é" if i % 3 else " " for i in range(5000))
-    for name in ("a b+c%20.log", "{x}[y].log", "d.log"):
-        (tmp_path / name).write_bytes(("\r\n" if name == "d.log" else "\n").join(body.split("\n")).encode() + b"\xff")
-    listed = {r.source_name: r.path for r in list_files(spark, str(tmp_path)).collect()}
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "20000")  # many splits a file
-    try:
-        split = rows(paragraphs.log_lines(read_log_lines(spark, list(listed.values()))), "source_path", "paragraph_num", "text")
-    finally:
-        spark.conf.set(key, before)
-    whole = rows(paragraphs.log(read_texts(spark, list(listed.values()))), "source_path", "paragraph_num", "text")
-    assert split == whole and len(split) == 3 * 3333
+def listed(spark, folder, place):
+    from docsync.sources import files as sources
+
+    found, errors = sources.walk(spark, str(folder), str(place))
+    assert errors.count() == 0
+    return found
+
+
+def test_listing_equals_a_recursive_walk(spark, tmp_path):
+    import os
+    import pathlib
+
+    from docsync.sources.files import SUFFIXES
+
+    root = tmp_path / "in"
+    deep = root
+    for k in range(12):
+        deep = deep / f"level {k}"
+        deep.mkdir(parents=True)
+        (deep / f"{k}.md").write_text("x" * k)
+    for name in ("a b.md", "c.HTML", "d.txt", ".md", "._hidden.log", "_under.md", ".dir/e.log", "_dir/f.msg", "g%20{x}[y]*.md", "\u00e9.doc"):
+        (root / name).parent.mkdir(exist_ok=True)
+        (root / name).write_bytes(b"" if "hidden" in name else b"l\xff")
+    (root / "empty").mkdir()
+    for i in range(300):
+        (root / f"wide{i % 30}").mkdir(exist_ok=True)
+        (root / f"wide{i % 30}" / f"{i}.log").write_text("l")
+    os.symlink(root / "a b.md", root / "link.md")
+    os.symlink(root, root / "_dir" / "loop")  # links to directories are not followed
+    os.symlink(root / "nowhere", root / "broken.md")
+    want = {}
+    for p in pathlib.Path(root).rglob("*"):
+        if p.is_file() and p.suffix.lower() in SUFFIXES:
+            s = p.stat()
+            want.setdefault(str(p.resolve()), []).append((s.st_size, s.st_mtime_ns, f"{s.st_size}:{s.st_mtime_ns}"))
+    got = {}
+    for r in listed(spark, root, tmp_path / "place").collect():
+        got.setdefault(r.source_path, []).append((r.size, r.mtime_ns, r.file_signature))
+    assert got == want and len(got[str(root / "a b.md")]) == 2 and got[str(root / "._hidden.log")][0][0] == 0
+    assert listed(spark, f"file://{root}", tmp_path / "again").count() == sum(map(len, want.values()))
+
+
+def test_a_folder_that_is_not_there_is_an_error(spark, tmp_path):
+    from docsync.sources import files as sources
+
+    with pytest.raises(FileNotFoundError):
+        sources.walk(spark, str(tmp_path / "none"), str(tmp_path / "place"))
+
+
+def test_paths_below_directories(spark):
+    from docsync.sources import files as sources
+
+    paths = spark.createDataFrame([("/a/b/c.md",), ("/a/bc/d.md",), ("/e.md",)], "source_path string")
+    bad = spark.createDataFrame([("/a/b", "x"), ("/f", "x")], "path string, error string")
+    assert [r[0] for r in sources.under(paths, bad).collect()] == ["/a/b/c.md"]
+    assert sources.under(paths, bad.withColumn("path", F.lit("/a"))).count() == 2
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 10_000])
+def test_lines_of_ranges_equal_lines_of_the_file(size):
+    import io
+    import random
+    import re
+
+    from docsync.sources.files import log_range
+
+    for seed in range(40):
+        r = random.Random(seed)
+        data = b"".join(r.choice([b"a", b"bc", b"\n", b"\r", b"\r\n", b"\xc3\xa9", b" "]) for _ in range(r.randrange(60)))
+        got = [x for first in range(0, len(data), size) for x in log_range(io.BytesIO(data + b"added later\n"), first, size, len(data), 1000)]
+        want = re.split(b"\r\n|\n|\r", data)
+        assert [x for x in got if x] == [x for x in want if x], data
+    assert list(log_range(io.BytesIO(b"\xef\xbb\xbfa\nb"), 0, 6, 6, 1000)) == [b"a", b"b"]
+
+
+def test_log_files_by_range_equal_whole_files(spark, tmp_path):
+    from docsync.sources import files as sources
+
+    body = "\n".join(f"2026-01-01 {i} | [INFO] |  m {i} \u00e9" if i % 3 else " " for i in range(5000))
+    (tmp_path / "in").mkdir()
+    for name in ("a b+c%20.log", "{x}[y].log", "d.log", "empty.log"):
+        (tmp_path / "in" / name).write_bytes(b"" if name == "empty.log" else ("\r\n" if name == "d.log" else "\n").join(body.split("\n")).encode() + b"\xff")
+    found = listed(spark, tmp_path / "in", tmp_path / "place")
+    contents = sources.read_files(found, str(tmp_path / "read"), range_bytes=20_000)
+    assert contents.filter("outcome = 'ok'").count() > 20 and sources.failed_files(contents).count() == 0
+    split = rows(paragraphs.log_lines(sources.log_lines(contents)), "source_path", "paragraph_num", "text")
+    raw = spark.read.text([str(tmp_path / "in")], wholetext=True)
+    whole = paragraphs.log(raw.select(sources.key_of(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("source_path"), F.make_valid_utf8("value").alias("raw")))
+    assert split == rows(whole, "source_path", "paragraph_num", "text") and len(split) == 3 * 3333
+
+
+def test_reads_are_one_job_of_even_tasks(spark, tmp_path):
+    from docsync.sources import files as sources
+
+    (tmp_path / "in").mkdir()
+    for i in range(3000):
+        (tmp_path / "in" / f"{i}.md").write_bytes(b"x" * (i % 1500))
+    (tmp_path / "in" / "long.log").write_bytes(b"l\n" * 2_000_000)
+    files = listed(spark, tmp_path / "in", tmp_path / "place")
+    planned = sources.ranges(files, 200_000).withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    planned.write.parquet(str(tmp_path / "planned"))
+    planned = spark.read.parquet(str(tmp_path / "planned"))
+    total, n = planned.agg(F.sum("n_bytes"), F.count("*")).first()
+    dealt, bins = sources.packed(planned, total, n, 4, 1_000_000)
+    each = [r.b for r in dealt.groupBy("bin").agg(F.sum(F.col("n_bytes") + sources.OPEN_BYTES).alias("b")).collect()]
+    assert len(each) == bins and max(each) <= 2 * sum(each) / len(each) and dealt.count() == n
+    plan = dealt.repartitionById(bins, F.col("bin"))
+    assert plan.groupBy(F.spark_partition_id().alias("p"), "bin").count().count() == bins  # a task reads one bin
+
+    spark.sparkContext.setJobGroup("reads", "")
+    contents = sources.read_files(files, str(tmp_path / "read"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("reads")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) <= 8  # planning, sums, reading: however many files there are
+    assert contents.filter("outcome = 'ok'").count() == 3001 and contents.filter("line_no is not null").count() == 2_000_000
+
+
+def test_outcomes_of_files(spark, tmp_path):
+    from docsync.sources import files as sources
+
+    names = ("good.md", "gone.md", "locked.md", "huge.md", "huge.log", "wide.log")
+    for name in names:
+        (tmp_path / name).write_text("first\nsecond")
+    (tmp_path / "wide.log").write_text("x" * 5000)
+    found = [(str(tmp_path / n), str(tmp_path / n), n[n.index(".") :], 3 << 30 if n == "huge.md" else (tmp_path / n).stat().st_size) for n in names]
+    (tmp_path / "gone.md").unlink()
+
+    def opener(path):
+        if path.endswith("locked.md"):
+            raise PermissionError(path)
+        return open(path, "rb")
+
+    files = spark.createDataFrame(found, "path string, source_path string, suffix string, size long")
+    contents = sources.read_files(files, str(tmp_path / "read"), opener, largest=1000)
+    bad = {r.source_path.rsplit("/", 1)[1]: r.error.split(":")[0] for r in sources.failed_files(contents).collect()}
+    assert bad == {"gone.md": "missing", "locked.md": "unreadable", "huge.md": "too large", "wide.log": "too large"}
+    assert [r.raw for r in sources.texts(contents).collect()] == ["first\nsecond"]
+    assert sorted(r.line for r in sources.log_lines(contents).collect()) == ["first", "second"]
+    assert sources.read_files(files.limit(0), str(tmp_path / "none")).count() == 0

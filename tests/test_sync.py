@@ -8,7 +8,7 @@ import pytest
 
 from docsync.jobs.sync_folder import sync_folder
 from docsync.operators import sync
-from docsync.sources.collection import Collection, buckets_for, send_batches
+from docsync.sources.collection import Collection, Conflict, buckets_for, send_batches
 from docsync.streaming.incremental import append_new_files, reconcile_on_timer
 
 STORED = "chunk_id string, source_path string, file_signature string"
@@ -99,23 +99,203 @@ def test_decoded_formats_converge_and_lose_nothing(spark, tmp_path):
         sync_folder(spark, folder, root, work, {".txt": texts[".doc"]})
 
 
-def test_only_changed_files_are_opened(spark, tmp_path, monkeypatch):
-    from docsync.jobs import sync_folder as job
-
-    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
-    os.makedirs(folder)
+def test_only_changed_files_are_opened(spark, tmp_path):
+    folder, root, work, seen = (str(tmp_path / n) for n in ("in", "collection", "work", "seen"))
+    os.makedirs(folder), os.makedirs(seen)
     for name in ("a.md", "b.md", "c.html", "d.log", "e.log"):
         with open(f"{folder}/{name}", "w") as f:
             f.write(f"<p>{name}.")
+
+    def opener(path):
+        open(f"{seen}/{os.path.basename(path)}", "a").write("x")
+        return open(path, "rb")
+
     sync_folder(spark, folder, root, work, chunker="simple")
-    opened = []
-    for name in ("read_texts", "read_log_lines"):
-        monkeypatch.setattr(job, name, lambda session, paths, read=getattr(job, name): opened.extend(paths) or read(session, paths))
     for name in ("b.md", "e.log"):
         with open(f"{folder}/{name}", "a") as f:
             f.write(" more.")
+    sync_folder(spark, folder, root, work, opener=opener, chunker="simple")
+    assert {n: open(f"{seen}/{n}").read() for n in os.listdir(seen)} == {"b.md": "x", "e.log": "x"}
+
+
+def put(folder, **files):
+    os.makedirs(folder, exist_ok=True)
+    for name, text in files.items():
+        with open(f"{folder}/{name.replace('_', '.')}", "w") as f:
+            f.write(text)
+
+
+def test_a_pass_survives_its_files(spark, tmp_path):
+    """A vanished, an unreadable, a too large and an unparsable file, and a directory that can't be listed, beside a good one."""
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    put(folder, good_md="Good.", gone_md="Old.", locked_log="Old.", huge_md="Old.", left_md="Stays.")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    put(folder, good_md="Better text.", gone_md="New text.", locked_log="New text.", fresh_html="<p>Fresh.")
+    with open(f"{folder}/huge.md", "r+b") as f:
+        f.truncate(3 << 30)  # a sparse file: 3 GB that take no disk
+
+    def opener(path):
+        if path.endswith("gone.md"):
+            os.remove(path)  # between listing and reading
+        if path.endswith("locked.log"):
+            raise PermissionError(path)
+        return open(path, "rb")
+
+    run = sync_folder(spark, folder, root, work, opener=opener, chunker="simple")
+    store = Collection(spark, root)
+    stored = lambda: {r.source_name: r.text for r in store.read().collect()}
+    assert stored() == {"good.md": "Better text. ", "fresh.html": "Fresh. ", "gone.md": "Old. ", "locked.log": "Old. ", "huge.md": "Old. ", "left.md": "Stays. "}
+    assert (run["added_or_updated_files"], run["added_chunks"], run["version"]) == (2, 2, 2)
+    bad = {(os.path.basename(r.source_path), r.stage, r.error.split(":")[0], r.version) for r in store.quarantine().collect()}
+    assert bad == {("gone.md", "read", "missing", 2), ("locked.log", "read", "unreadable", 2), ("huge.md", "read", "too large", 2)}
+    assert os.listdir(work) == []  # nothing is left of a pass
+
+    again = sync_folder(spark, folder, root, work, opener=opener, chunker="simple")  # the vanished one is now gone, the others still fail
+    assert (again["removed_paths"], again["added_chunks"], again["version"]) == (1, 0, 3) and "gone.md" not in stored()
+    assert sync_folder(spark, folder, root, work, opener=opener, chunker="simple")["version"] == 3
+    os.remove(f"{folder}/huge.md")
+    done = sync_folder(spark, folder, root, work, chunker="simple")
+    assert done["version"] == 4 and stored() == {"good.md": "Better text. ", "fresh.html": "Fresh. ", "locked.log": "New text. ", "left.md": "Stays. "}
+
+
+def test_files_below_an_unlisted_directory_are_not_gone(spark, tmp_path, monkeypatch):
+    from docsync.sources import files as sources
+
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    put(folder, a_md="A.")
+    put(f"{folder}/sub", b_md="B.")
+    put(f"{folder}/sub/deep", c_md="C.")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    walk = sources.walk
+
+    def half(session, place, where):  # as if "sub" gave an error
+        found, _ = walk(session, place, where)
+        return found.filter("source_path not like '%/sub/%'"), session.createDataFrame([(f"{folder}/sub", "PermissionError")], "path string, error string")
+
+    monkeypatch.setattr(sources, "walk", half)
+    os.remove(f"{folder}/a.md")
+    run = sync_folder(spark, folder, root, work, chunker="simple")
+    assert run["removed_paths"] == 1 and {r.source_name for r in Collection(spark, root).read().collect()} == {"b.md", "c.md"}
+    assert [(r.source_path, r.stage) for r in Collection(spark, root).quarantine().collect()] == [(f"{folder}/sub", "list")]
+    monkeypatch.undo()
     sync_folder(spark, folder, root, work, chunker="simple")
-    assert sorted(os.path.basename(p) for p in opened) == ["b.md", "e.log"]
+    assert {r.source_name for r in Collection(spark, root).read().collect()} == {"b.md", "c.md"}
+
+
+def test_errors_of_plug_ins_concern_their_files(spark, tmp_path):
+    from docsync.operators import chunks
+
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    put(folder, good_md="One good sentence. Another one here. A third.", bad_md="One. The poison is here. Three.", log_log="fine")
+
+    def load():
+        def vectors(texts):
+            if any("poison" in t for t in texts):
+                raise ValueError("poison")
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return vectors
+
+    class Coder:
+        def encode_ordinary_batch(self, texts):
+            if any("poison" in t for t in texts):
+                raise ValueError("poison")
+            return [list(t.encode()) for t in texts]
+
+        def decode_single_token_bytes(self, i):
+            return bytes([i])
+
+    for n, settings in enumerate(({"chunker": "semantic", "embed": chunks.model_embedding(load)}, {"chunker": "simple", "tokens": chunks.coder_tokens(Coder)})):
+        sync_folder(spark, folder, f"{root}{n}", work, **settings)
+        store = Collection(spark, f"{root}{n}")
+        assert {r.source_name for r in store.read().collect()} == {"good.md", "log.log"}
+        assert [(os.path.basename(r.source_path), r.stage) for r in store.quarantine().collect()] == [("bad.md", "chunk")]
+
+
+def one_chunk(spark, path, text="t"):
+    files = spark.createDataFrame([(path, path[1:], "1")], "source_path string, source_name string, file_signature string")
+    chunk = spark.createDataFrame([(path, 0, text, 1, 1)], "source_path string, chunk_index int, text string, paragraph_num int, page_num int")
+    return files, sync.with_metadata(chunk, files)
+
+
+def test_of_two_writers_one_has_to_start_again(spark, tmp_path):
+    first, second = Collection(spark, str(tmp_path / "c")), Collection(spark, str(tmp_path / "c"))
+    first.create()
+    base = second.manifest()
+    for store, path in ((first, "/a"), (second, "/b")):
+        files, fresh = one_chunk(spark, path)
+        plan = sync.plan(files, store.read(manifest=base))
+        if store is first:
+            assert store.write(plan, fresh, base) == 1
+        else:
+            with pytest.raises(Conflict):
+                store.write(plan, fresh, base)
+            second.manifest = lambda: base  # even if it had not seen the other's manifest, the name is taken
+            second._latest = lambda: 0
+            with pytest.raises(Conflict):
+                store.write(plan, fresh, base)
+            plan = sync.plan(files, first.read()).filter("action = 'new'")
+            assert first.write(plan, fresh) == 2
+    assert sorted(r.source_path for r in first.read().collect()) == ["/a", "/b"]
+    assert not [n for n in os.listdir(tmp_path / "c") if n.startswith("_temporary")]
+
+
+def test_an_overtaken_pass_starts_again(spark, tmp_path, monkeypatch):
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    put(folder, a_md="A.")
+    write, calls = Collection.write, []
+
+    def overtaken(self, plan, fresh, base=None):
+        calls.append(base["version"])
+        if len(calls) == 1:
+            files, other = one_chunk(spark, "/elsewhere")
+            write(self, sync.plan(files, self.read()), other, base)
+        return write(self, plan, fresh, base)
+
+    monkeypatch.setattr(Collection, "write", overtaken)
+    run = sync_folder(spark, folder, root, work, chunker="simple")
+    assert calls == [0, 1] and run["version"] == 2 and run["removed_paths"] == 1  # the other writer's file is not in this folder
+    assert [r.source_name for r in Collection(spark, root).read().collect()] == ["a.md"]
+
+
+def test_index_equals_the_chunks_and_a_pass_reads_no_chunks(spark, tmp_path):
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    put(folder, a_md="A. " * 900, b_md="B.", c_log="C.")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    put(folder, b_md="Other text.")
+    os.remove(f"{folder}/c.log")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    store = Collection(spark, root)
+    rows = lambda df: sorted(map(tuple, df.select("source_path", "old_chunks", "lowest", "highest").collect()))
+    assert rows(store.index()) == rows(sync.stored_files(store.read())) and store.index().count() == 2
+    for path in (tmp_path / "collection").glob("v*/chunks/bucket=*/*.parquet"):
+        path.unlink()  # a pass with nothing to do does not look at them
+    run = sync_folder(spark, folder, root, work, chunker="simple")
+    assert (run["version"], run["remote_docs"], run["added_or_updated_files"]) == (2, store.index().agg({"old_chunks": "sum"}).first()[0], 0)
+
+
+def test_rows_out_of_reach_are_counted_and_kept(spark, tmp_path):
+    store = Collection(spark, str(tmp_path / "c"), buckets=2)
+    store.create()
+    foreign = spark.createDataFrame([("1", None, "s", 0, "x", 1, 1, "n", {}), ("2", "", None, 0, "y", 1, 1, "n", {}), ("", "/p", "s", 0, "z", 1, 1, "n", {})], sync.COLLECTION)
+    store.write(spark.createDataFrame([], "source_path string, action string, old_chunks long, file_signature string"), foreign)
+    assert store.read().count() == 3 and [(r.source_path, r.old_chunks) for r in store.index().collect()] == [(None, 2)]
+    assert store.resize(3) == 2 and store.read().count() == 3
+
+
+def test_buckets_are_fitted(spark, tmp_path, monkeypatch):
+    from docsync.sources import collection
+
+    store = Collection(spark, str(tmp_path / "c"), buckets=1)
+    store.create()
+    for i in range(3):
+        files, fresh = one_chunk(spark, f"/{i}", "word " * 500)
+        store.write(sync.plan(files, store.read()).filter("action = 'new'"), fresh)
+    assert store.n_bytes() > 0
+    monkeypatch.setattr(collection, "BUCKETS", 1)
+    monkeypatch.setattr(collection, "BUCKET_BYTES", store.n_bytes() // 5)
+    assert store.fit() == 4 and store.manifest()["n_buckets"] >= 5 and store.read().count() == 3
+    assert store.fit() is None
 
 
 def test_runs_are_recorded_and_a_failed_one_changes_nothing(spark, tmp_path, monkeypatch):
@@ -160,13 +340,13 @@ def test_a_pass_that_dies_leaves_the_old_version(spark, tmp_path):
     root = str(tmp_path / "c")
     store = Collection(spark, root)
     store.create()
-    files = spark.createDataFrame([("/a", "a", "1")], "source_path string, source_name string, file_signature string")
-    chunk = spark.createDataFrame([("/a", 0, "t", 1, 1)], "source_path string, chunk_index int, text string, paragraph_num int, page_num int")
-    plan = sync.plan(files, store.read())
-    store.write(plan, sync.with_metadata(chunk, files))
-    os.makedirs(f"{root}/v2-broken/bucket=1")
-    store._fs.rename(store._path(f"{root}/_manifest.json"), store._path(f"{root}/_manifest-before.json"))  # died between the two moves of a publication
-    assert [r.text for r in store.read().collect()] == ["t"]
+    files, fresh = one_chunk(spark, "/a")
+    store.write(sync.plan(files, store.read()), fresh)
+    os.makedirs(f"{root}/v2-broken/chunks/bucket=1")
+    with open(f"{root}/_temporary-x", "w") as f:  # died before its manifest had a name
+        f.write("{")
+    assert [r.text for r in store.read().collect()] == ["t"] and store.manifest()["version"] == 1
+    assert store.clean() == ["v2-broken"]
 
 
 def test_batches(spark, tmp_path):
