@@ -5,8 +5,8 @@ block-level elements around them. A paragraph passes points for its length and i
 its ancestors: all to the parent, half to the next, then a third of that per level. Element names and class or id names that
 speak for content or against it shift an element's points, and the share of its text that is in links discounts
 them. The best container is kept, widened to the article around it or to an ancestor that holds clearly more
-running text, with those siblings that score well or hold running text; inside them, blocks that are mostly links and elements
-that are never content are left out.
+running text, with those siblings that score well or hold running text; articles beside the best one that hold running text are parts of the same story. Inside them, elements
+that are never content are left out, and outside an article element also blocks that are mostly links.
 
 Elements that are never content: scripts, styles, hidden elements, menus, headers and footers outside the article, asides, forms (unless the article
 is inside), and elements with a class or id that says so in full, such as ``sidebar``, ``post-comments`` or ``cookie-banner``. A class that only mentions such
@@ -51,7 +51,7 @@ PRIOR = {"article": 30.0, "main": 20.0, "div": 5.0, "section": 3.0, "pre": 3.0,
 # Words of class and id names: those of elements that are never content, those that stand beside them, and those of the article.
 LEFT_WORDS = set(
     "ad ads advert adverts advertisement advertisements advertising adbox adsense banner banners sponsor sponsors sponsored promo promos promotion breadcrumb breadcrumbs combx comment comments "
-    "commentlist respond replies disqus cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login sidebar sidebars rail menu menus nav navbar "
+    "commentlist respond replies disqus cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login side sidebar sidebars rail menu menus nav navbar "
     "navigation topbar toolbar header masthead footer footers foot related recommended recommendations share sharing social widget widgets pagination pager toc skip skiplink copyright legal disclaimer tags search".split()
 )
 COMMENT_WORDS = set("comment comments commentlist respond replies disqus combx".split())
@@ -301,7 +301,9 @@ def rating(node: Node, named: bool = True) -> float:
 def chosen_of(best: Node) -> set[Node]:
     """The container to keep, the best one widened, and its siblings."""
     if best.article is not None:
-        return {best.article}
+        whole = best.article  # a story may be split into articles beside each other
+        beside = whole.parent.children if whole.name == "article" and whole.parent is not None else []
+        return {whole} | {x for x in beside if x.name == "article" and not x.out and x.running > 0 and x.linked <= 0.3 * x.chars}
     up = best.parent
     while up is not None and up.name not in ("body", "html", "#page"):  # parts of an article in containers of their own
         if up.running >= 1.2 * max(best.running, 1):
@@ -343,7 +345,11 @@ def main_text(page: str | None) -> str:
     for b in blocks:
         if b.node.out or b.node not in kept:
             continue
-        lists = b.node if b.node.name in ("ul", "ol", "dl", "table") else b.node.parent
+        inside = b.node.article
+        if inside is not None and inside.name == "article" and 2 * inside.linked <= inside.chars:  # in an article a list of links is content, unless its names say otherwise
+            out.append(b.text)
+            continue
+        lists = b.node if b.node.name in ("ul", "ol", "dl", "table", "article") else b.node.parent
         if b.linked > 0.5 * len(b.text) and (lists is None or lists.linked > 0.5 * max(1, lists.chars)):
             continue
         out.append(b.text)

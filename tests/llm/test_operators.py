@@ -15,8 +15,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from docsync.llm import ann, bpe, chat, exact_dedup, html_extract, langid, minhash, mixing, ppm, queries, suffix_dedup
+from docsync.llm import ann, bpe, chat, exact_dedup, fim, html_extract, langid, minhash, mixing, packing, periodic, ppm, queries, suffix_dedup
 from docsync.llm.components import connected_components
+from docsync.llm.word_ids import TokenIds
 from tests.conftest import DATA, same_rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key long, bucket string, part int"
@@ -52,6 +53,8 @@ EVERY = {
     "mixing": mixing.mixing_plan,
     "suffix": suffix_dedup.remove_repeats,
     "minhash": minhash.near_duplicates,
+    "periodic": periodic.detect,
+    "fim": fim.fill_in_middle,
 }
 
 
@@ -316,6 +319,24 @@ def test_uneven_parts_of_an_article_stay_together(around, part):
     assert html_extract.main_text(page) == "\n".join([*lines, closing, "a point", "another"])
 
 
+@pytest.mark.parametrize("n", [2, 20])
+@pytest.mark.parametrize("around", ["<main>{}</main>", "<div>{}</div>", "<main><div>{}</div></main>"])
+def test_a_story_of_several_articles_stays_whole(n, around):
+    parts = [f"Part {i}, with some words, that run on for a while, as articles do, and more of them." for i in range(n)]
+    body = "".join(f"<article><h2>Head {i}</h2><p>{x}</p></article>" for i, x in enumerate(parts))
+    beside = '<aside><article><p>Another story, that is told elsewhere, and is long enough to count as running text.</p></article></aside>'
+    cards = '<article><a href=x>A card that is only a link to some other story of the same site, and that is long</a></article>'
+    page = f"<body><nav><a href=x>Menu</a></nav>{around.format(body + cards)}{beside}</body>"
+    assert html_extract.main_text(page) == "\n".join(x for i, text in enumerate(parts) for x in (f"Head {i}", text))
+
+
+def test_links_in_an_article_are_content():
+    lines = an_article(4)
+    body = f"<h1>{lines[0]}</h1>" + "".join(f"<p>{x}</p>" for x in lines[1:]) + "<h2>Sources</h2><ul><li><a href=a>First source</a></li><li><a href=b>Second source</a></li></ul>"
+    page = f"<body><article>{body}<ul class=share-links><li><a href=x>Share</a></li></ul></article><div class=col-side><p>{SAID}</p></div></body>"
+    assert html_extract.main_text(page) == "\n".join([*lines, "Sources", "First source", "Second source"])
+
+
 def test_values_and_broken_tags_of_any_length():
     value = "data:image/svg+xml," + "<svg a='>'>" * 1000
     assert html_extract.main_text(f'<p>One, two.</p><img src="{value}"><p>Three.</p>') == "One, two.\nThree."
@@ -542,11 +563,36 @@ def test_every_source_comes_near_its_target(spark, docs):
         assert abs(taken - target) <= 2 * 6
 
 
-def test_draws_of_other_turns_are_as_likely(spark):
-    one = spark.range(20000).select(F.lit("a").alias("source"), F.lit(1).cast("long").alias("size"), mixing.draw(F.col("id"), "s").alias("draw"))
-    rate = spark.createDataFrame([("a", 20000, 20000, 1.3, 0.3 * 2**52, t) for t in (0, 1, 40, 63)], "source string, source_size long, n_docs long, rate double, below double, turn int")
-    got = one.join(rate, "source").groupBy("turn").agg(F.avg(mixing.copies_of(F.col("draw"))).alias("mean")).collect()
-    assert all(abs(r["mean"] - 1.3) < 0.02 for r in got)
+def test_every_document_is_as_likely_as_its_source_asks(spark):
+    """400 sources of the same sizes, other ids: as many draws of one table. The largest document holds most words."""
+    sizes = [1000, 20, 20, 20, 20, 20, 20, 3, 3, 1]
+    rows = [(f"{s}-{j}", "w " * n, f"s{s:03}") for s in range(400) for j, n in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    for budget, f in ((1.3, 0.3), (1.7, 0.7)):
+        got = Counter()
+        for r in mixing.mixing_plan(table, weights=(1,), budget=budget).collect():
+            assert r.copies in (1, 2)
+            got[int(r.doc_id.split("-")[1])] += r.copies - 1
+        deviation = (400 * f * (1 - f)) ** 0.5
+        assert all(abs(got[j] - 400 * f) < 4 * deviation for j in range(len(sizes))), got
+    single = spark.createDataFrame([(i, "w", f"s{i:03}") for i in range(400)], "doc_id long, text string, source string")
+    taken = sum(r.copies - 1 for r in mixing.mixing_plan(single, weights=(1,), budget=1.3).collect())
+    assert abs(taken - 120) < 4 * (400 * 0.21) ** 0.5  # sources of one document too
+
+
+def test_counts_of_a_source_are_exact(spark):
+    """With equal sizes a source takes its share of documents to within one, however few it has; large classes to within a bin's draws."""
+    rows = [(i, "a b", f"s{i % 40:02}" if i < 400 else "zz") for i in range(20_400)]
+    plan = mixing.mixing_plan(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1,), budget=1.3)
+    each = plan.groupBy(F.col("source_size"), F.when(F.col("doc_id") < 400, F.col("doc_id") % 40)).agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert all(abs(r.taken - r.target) <= (2 if r.target < 100 else 30) for r in each)
+
+
+def test_classes_of_sizes(spark):
+    sizes = [*range(70), 127, 128, 1 << 20, (1 << 40) + 5]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in sizes], "n long").select(mixing.size_class(F.col("n"))).collect()]
+    want = [len(bin(n)[2:]) * 16 + int(bin(n)[2:6].ljust(4, "0"), 2) for n in sizes]
+    assert got == want == sorted(want)
 
 
 # 7 repeated strings
@@ -764,3 +810,255 @@ def test_native_operators_run_no_python(spark):
     for df in (queries.op2_exact_dedup(spark, DATA), queries.op10_chat_format(spark, DATA), queries.op6_mixing(spark, DATA)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# 11 periodic runs
+
+
+def brute_runs(words, least=6, times=4):
+    """(start, length, period) of all runs, by comparing every period."""
+    n, found = len(words), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, times * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((a, b - a, q) for (a, b), q in found.items())
+
+
+def periodic_text(r, n):
+    words = []
+    while len(words) < n:
+        group = [r.choice(["a", "b", "c", "dé", "日", "e."][: r.choice([1, 2, 3, 6])]) for _ in range(r.randrange(1, 9))]
+        words += (group * r.randrange(1, 9))[: r.randrange(1, 60)]
+    return words[:n]
+
+
+@pytest.mark.parametrize("least, times", [(6, 4), (2, 2), (9, 3), (1, 5)])
+def test_runs_equal_brute_force(least, times):
+    for seed in range(150):
+        r = random.Random(seed)
+        texts = [[ord(w[0]) for w in periodic_text(r, r.choice([0, 1, 5, 6, 20, 90]))] for _ in range(r.randrange(1, 6))]
+        offsets = np.cumsum([0, *map(len, texts)])
+        rows = periodic.find_runs(np.array([x for t in texts for x in t], np.int32), offsets, least, times)
+        for i, t in enumerate(texts):
+            own = [(int(a - offsets[i]), int(b - a), int(q)) for a, b, q in rows if offsets[i] <= a < offsets[i + 1]]
+            assert own == brute_runs(t, least, times), (seed, t)
+
+
+def test_masking_keeps_every_run():
+    assert periodic.minimum_overlap(6, 4) == 5 and periodic.minimum_overlap(2, 2) == 1
+    for seed in range(50):
+        words = np.array([ord(w[0]) for w in periodic_text(random.Random(seed), 80)])
+        kept = periodic.survivors(words, np.array([0, len(words)]), 5)
+        assert all(kept[a : a + n].all() for a, n, _ in brute_runs(words.tolist()))
+    assert not periodic.survivors(np.arange(100), np.array([0, 100]), 5).any()
+
+
+def test_runs_survive_hashes_that_deceive(monkeypatch):
+    monkeypatch.setattr(periodic.Prefixes, "equal", lambda self, at, length, q: np.ones(len(at), bool))
+    for seed in range(30):
+        words = np.array([ord(w[0]) for w in periodic_text(random.Random(seed), 60)])
+        rows = periodic.find_runs(words, np.array([0, len(words)]), 6, 4)
+        assert [(a, b - a, q) for a, b, q in rows.tolist()] == brute_runs(words.tolist())
+
+
+def test_a_long_text_is_cut_in_pieces(monkeypatch):
+    text = " ".join(f"w{i % 7}" for i in range(5000)).encode() + b" tail\x0b\x0cend"
+    whole = periodic.Words()
+    want = whole.joined(whole.of(text))
+    monkeypatch.setattr(periodic, "PIECE_BYTES", 10)
+    monkeypatch.setattr(periodic, "PAIRS", 5)
+    pieces = periodic.Words()
+    assert pieces.joined(pieces.of(text)) == want == b" ".join(text.split())
+    values = pieces.of(text)
+    assert periodic.find_runs(values, np.array([0, len(values)]), 6, 4).tolist() == [[0, 5000, 7]]
+
+
+def test_a_text_of_one_word_is_fast():
+    values = np.zeros(400_000, np.int32)
+    assert periodic.find_runs(values, np.array([0, len(values)]), 6, 4).tolist() == [[0, 400_000, 1]]
+
+
+def test_periodic_query_equals_brute_force(spark, corpus):
+    got = {r.doc_id: r for r in queries.op11_periodic_runs(spark, DATA).collect()}
+    assert set(got) == {i for i, _ in corpus}
+    some = 0
+    for i, text in corpus:
+        words, h = text.encode().split(), zlib.crc32(str(i).encode())
+        n, g = len(words), h // 10
+        if n > 1500:
+            continue
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[j] if j < a else words[a + (j - a) % p] for j in range(n)]
+        runs = brute_runs(words)
+        some += len(runs)
+        gone = {j for a, length, q in runs for j in range(a + q, a + length)}
+        best = None
+        for x in runs:
+            best = x if best is None or x[1] * best[2] > best[1] * x[2] else best
+        listed = "".join(f"{a},{length},{q}\n" for a, length, q in runs)
+        kept = b" ".join(w for j, w in enumerate(words) if j not in gone)
+        want = (len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2], hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+        r = got[i]
+        assert (r.n_runs, r.start, r.length, r.period, r.exponent_milli, r.runs_sha256, r.collapsed_sha256) == want
+    assert some > 5
+
+
+def test_periodic_detect_on_odd_texts(spark):
+    got = {r.doc_id: r for r in periodic.detect(documents(spark, [*ODD, "a b " * 3 + "a c", "x y " * 4])).collect()}
+    assert (got[0].n_words, got[0].runs, got[0].collapsed) == (0, [], "") and got[7].collapsed == "x" and got[7].runs == [(0, 3000, 1)]
+    assert got[12].runs == [] and got[12].collapsed == "a b a b a b a c" and got[13].runs == [(0, 8, 2)] and got[13].collapsed == "x y"
+    tie = spark.createDataFrame([([(0, 8, 2), (20, 12, 3), (40, 4, 1)],), ([],)], "runs array<struct<start:bigint,length:bigint,period:bigint>>")
+    assert [r[0] and tuple(r[0]) for r in tie.select(periodic.longest_run(F.col("runs"))).collect()] == [(0, 8, 2), None]
+
+
+# 12 fill in the middle
+
+FIM_TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 4096])
+def test_cuts_equal_tokens(chunk, monkeypatch):
+    monkeypatch.setattr(fim, "BLOCK", 11)
+    for seed in range(60):
+        r = random.Random(seed)
+        texts = ["".join(r.choice(["a", "é", " ", "\n", "日", "\x1f", "\xa0"]) for _ in range(r.choice([0, 1, 3, 30]))) for _ in range(r.randrange(1, 8))]
+        offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+        draws = np.array([[r.randrange(2**32), r.randrange(2**32)] for _ in texts])
+        n, places = fim.cut_places(np.frombuffer("".join(texts).encode(), np.uint8), offsets, draws, chunk)
+        for i, t in enumerate(texts):
+            tokens = FIM_TOKEN.findall(t)
+            assert n[i] == len(tokens)
+            assert [places[i, c] for c in (0, 1)] == [len("".join(tokens[: draws[i, c] % (len(tokens) + 1)])) for c in (0, 1)]
+
+
+def test_fill_in_middle_is_exact_and_restored(spark):
+    texts = [*ODD, "<P> marked", "a <S", "< P>", "<", *[f"w{i} " * (i % 13) + " \n" * (i % 2) for i in range(200)]]
+    df = documents(spark, texts)
+    made = fim.fill_in_middle(df, rate=90, spm=50)
+    forms = Counter()
+    for r in made.withColumn("back", fim.restored(F.col("form"), F.col("output"))).collect():
+        text = texts[r.doc_id] or ""
+        tokens = FIM_TOKEN.findall(text)
+        digest = hashlib.sha256(f"42:{r.doc_id}".encode()).hexdigest()
+        h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+        one, other = sorted((h[0] % (len(tokens) + 1), h[1] % (len(tokens) + 1)))
+        p, m, s = ("".join(x) for x in (tokens[:one], tokens[one:other], tokens[other:]))
+        form = "plain" if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90 else "spm" if h[3] % 100 < 50 else "psm"
+        output = {"plain": text, "psm": f"<P>{p}<S>{s}<M>{m}", "spm": f"<S>{s}<P>{p}<M>{m}"}[form]
+        lengths = (None, None) if form == "plain" else (len(p), len(m))
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.back) == (len(tokens), form, *lengths, output, text)
+        forms[form] += 1
+    assert min(forms.values()) > 10
+    nameless = df.withColumn("doc_id", F.lit(None).cast("long"))
+    assert {r.form for r in fim.fill_in_middle(nameless).collect()} <= {"plain", "spm", "psm"} and fim.fill_in_middle(df.filter("doc_id < 0")).count() == 0
+
+
+# 13 packing
+
+
+@pytest.fixture(scope="module")
+def word_tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json"))
+
+
+def library_ids(tokenizer, text):
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+ALPHABET = [*"abcXYZ'sSdt.,!<|>0123 \n\t", "İ", "ı", "ß", "É", "é", "e\u0301", "\u0301", "Σ", "ς", "Ж", "й", "²", "½", "\x1f", "\x85", "\xa0", "\xad", "<|endoftext|>", "<|STARTOFTEXT|>", "日本", "'ll", "'RE", "ǅ", "ϔ", "😀", "\0", "x" * 70, "%" * 30]
+
+
+def test_word_ids_equal_the_library(word_tokenizer, monkeypatch):
+    from docsync.llm import word_ids
+
+    known = TokenIds(queries.tokenizer_path("word_bpe_49k.json"))
+    assert known.by_word
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 400)
+    for seed in range(400):
+        r = random.Random(seed)
+        texts = ["".join(r.choice(ALPHABET) for _ in range(r.choice([0, 1, 3, 12, 60]))) for _ in range(4)]
+        assert known.of([t.encode() for t in texts]) == [library_ids(word_tokenizer, t) for t in texts], texts
+    other = TokenIds(queries.tokenizer_path())
+    assert not other.by_word and other.of([b"Some text"]) == [np.array(bpe_library().encode("Some text").ids, "<u4").tobytes()]
+
+
+def bpe_library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+def check_packing(rows, ids, size):
+    """Pieces are whole, sequences gapless and at most ``size``; returns how many places are padded."""
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    assert set(pieces) == set(ids)
+    for i, want in ids.items():
+        at = 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(want) // 4 and r.ids_crc32 == zlib.crc32(want[4 * at : 4 * (at + r.length)])
+            at += r.length
+        assert at == len(want) // 4
+    padded = 0
+    for part in sequences.values():
+        at = 0
+        for r in sorted(part, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= size
+        padded += 0 if at & (at - 1) == 0 else size - at
+    return padded
+
+
+def test_packing_query_holds_every_id_once(spark, corpus, word_tokenizer):
+    ids = {i: library_ids(word_tokenizer, t) + b"\2\0\0\0" for i, t in corpus}
+    assert check_packing(queries.op13_packing(spark, DATA).collect(), ids, 4096) == 0
+
+
+@pytest.mark.parametrize("windows, merged", [(1, 2), (3, 2), (16, 64)])
+def test_leftovers_are_merged_in_rounds(spark, word_tokenizer, monkeypatch, windows, merged):
+    monkeypatch.setattr(packing, "MERGED", merged)
+    texts = [*ODD, *[f"word{i} " * (i % 40) for i in range(300)]]
+    df = documents(spark, texts).repartition(7)
+    rows = packing.pack(df, queries.tokenizer_path("word_bpe_49k.json"), size=64, open_windows=windows).collect()
+    ids = {i: library_ids(word_tokenizer, t or "") + b"\2\0\0\0" for i, t in enumerate(texts)}
+    assert check_packing(rows, ids, 64) == 0
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    short = sum(1 for i in ids.values() if len(i) // 4 <= 64)
+    whole = sum(1 for r in rows if r.length == r.doc_tokens)
+    assert whole > 0.5 * short  # most documents that fit in a sequence are not cut
+
+
+def test_packer_prefers_the_best_fit_and_emits_the_fullest():
+    packer = packing.Packer(8, 2)
+    add = lambda doc, n: list(packer.add(doc, 0, bytes(4 * n), n))
+    assert add("a", 5) == [] and add("b", 6) == [] and add("c", 2) == [[("b", 0, bytes(24), 6), ("c", 0, bytes(8), 2)]]  # 2 fit the window of 6 best
+    assert add("d", 4) == [] and packer.used == [5, 4]
+    out = add("e", 6)  # fits in neither: the fullest is topped up with its first 3, the rest goes where it fits
+    assert [(p[0], p[1], len(p[2]) // 4) for p in out[0]] == [("a", 0, 5), ("e", 0, 3)] and packer.used == [7]
+    assert [sum(len(p[2]) // 4 for p in w) for w in packing.Packer(8, 2).last()] == []
+    assert [sum(len(p[2]) // 4 for p in w) for w in packer.last()] == [4, 2, 1]
+    assert [len(w) for w in packing.Packer(8, 2).add("long", 0, bytes(4 * 19), 19)] == [1, 1]
+
+
+def test_packing_odd_tables(spark):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    df = documents(spark, ODD)
+    nameless = df.withColumn("doc_id", F.when(F.col("doc_id") > 6, F.col("doc_id")))
+    rows = packing.pack(nameless.unionByName(nameless), path, keep_ids=False).collect()
+    assert sum(r.length for r in rows if r.doc_id is None) > 0 and "ids" not in rows[0].asDict()
+    assert packing.pack(df.filter("doc_id < 0"), path).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(df, path, size=100)

@@ -56,4 +56,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     assert "pipeline" in entry.queries() and set(queries.queries()) <= set(entry.queries())
-    assert sum(n.startswith("op") and n[2].isdigit() for n in entry.queries()) == 10
+    assert sum(n.startswith("op") and n[2].isdigit() for n in entry.queries()) == 13
