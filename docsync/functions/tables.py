@@ -76,12 +76,12 @@ class Counts:
         self.seen.append((Observation(), df, list(aggregates)))
         return df.observe(self.seen[-1][0], *aggregates)
 
-    def get(self) -> dict:
-        """All of them; where the optimizer has left out an observed part, as it does with empty ones, its rows are counted."""
+    def get(self, rows: DataFrame | None = None) -> dict:
+        """All of them; where the optimizer has left out an observed part, as it does with empty ones, its rows are counted, or ``rows``, what was written of them."""
         found: dict = {}
         for seen, df, aggregates in self.seen:
             try:
                 found |= seen.get
             except Py4JJavaError:
-                found |= df.agg(*aggregates).first().asDict()
+                found |= (df if rows is None else rows).agg(*aggregates).first().asDict()
         return found

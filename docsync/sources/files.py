@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from docsync.functions import text as T
 from docsync.functions.tables import Counts
 from docsync.operators.sync import signature
+from docsync.sources import docx
 
 # The suffixes that are kept in step.
 SUFFIXES = (".docx", ".doc", ".pdf", ".md", ".html", ".htm", ".msg", ".log")
 TEXT_SUFFIXES = (".md", ".html", ".htm", ".log")
 SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 ENTRIES = "kind string, path string, source_path string, size long, mtime_ns long, error string"
-CONTENTS = "source_path string, suffix string, first_byte long, line_no long, content binary, outcome string, error string"
+CONTENTS = "source_path string, suffix string, first_byte long, line_no long, content binary, break_before boolean, breaks_inside long, outcome string, error string"
+#: Files that are read as rows of text, which may be of any size.
+BY_ROW = (".log", ".docx")
 #: Tasks that list one level; bytes that a task reads; bytes of a log read at a time by one task; bytes that count for opening a file.
 LIST_TASKS, TASK_BYTES, RANGE_BYTES, OPEN_BYTES = 2_000, 128 << 20, 32 << 20, 64 << 10
 #: Bytes of the largest file that is held as a whole, and of a log's longest line; rows and bytes of an output batch.
@@ -66,7 +69,7 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     """Rows of a schema; whole numbers stay whole beside nulls."""
     fields = [c.split() for c in schema.split(", ")]
     columns = zip(*rows, strict=True) if rows else [()] * len(fields)
-    return pd.DataFrame({name: pd.array(list(x), "Int64" if kind == "long" else object) for (name, kind), x in zip(fields, columns, strict=True)})
+    return pd.DataFrame({name: pd.array(list(x), {"long": "Int64", "boolean": "boolean"}.get(kind, object)) for (name, kind), x in zip(fields, columns, strict=True)})
 
 
 # Listing
@@ -225,25 +228,29 @@ def reader(opener: Callable[[str], BinaryIO] = open_path, largest: int = LARGEST
             for path, key, suffix, size, first, n_bytes in zip(*[frame[c] for c in ("path", "source_path", "suffix", "size", "first_byte", "n_bytes")], strict=True):
                 outcome, error, content = "ok", None, None
                 try:
-                    if suffix != ".log" and size > largest:
+                    if suffix not in BY_ROW and size > largest:
                         raise TooLarge(f"{size} bytes, more than {largest}")
                     with opener(path) as file:
                         if suffix == ".log":
-                            for number, line in enumerate(log_range(file, first, n_bytes, size, largest)):
-                                rows.append((key, suffix, first, number, line, None, None))
-                                held += len(line)
-                                if len(rows) >= ROWS or held >= BATCH_BYTES:
-                                    yield _frame(rows, CONTENTS)
-                                    rows, held = [], 0
+                            found = ((n, line, None, None) for n, line in enumerate(log_range(file, first, n_bytes, size, largest)))
+                        elif suffix == ".docx":
+                            found = ((n, text.encode("utf-8", "replace"), before, inside) for n, text, before, inside in docx.paragraphs(file))
                         else:
+                            found = ()
                             content = file.read(size)
+                        for row in found:
+                            rows.append((key, suffix, first, *row, None, None))
+                            held += len(row[1])
+                            if len(rows) >= ROWS or held >= BATCH_BYTES:
+                                yield _frame(rows, CONTENTS)
+                                rows, held = [], 0
                 except FileNotFoundError as e:
                     outcome, error = "missing", str(e)
                 except TooLarge as e:
                     outcome, error = "too large", str(e)
                 except Exception as e:  # noqa: BLE001  whatever a store raises for a file concerns this file
                     outcome, error = "unreadable", f"{type(e).__name__}: {e}"
-                rows.append((key, suffix, first, None, content, outcome, error))
+                rows.append((key, suffix, first, None, content, None, None, outcome, error))
                 held += len(content or b"")
                 if len(rows) >= ROWS or held >= BATCH_BYTES:
                     yield _frame(rows, CONTENTS)
@@ -255,7 +262,7 @@ def reader(opener: Callable[[str], BinaryIO] = open_path, largest: int = LARGEST
 
 def read_files(todo: DataFrame, place: str, opener: Callable[[str], BinaryIO] = open_path, range_bytes: int = RANGE_BYTES, task_bytes: int = TASK_BYTES, largest: int = LARGEST) -> DataFrame:
     """Read the files ``todo`` (path, source_path, suffix, size; one row per source_path), each once, in one job whose tasks get equal shares of bytes, and return
-    CONTENTS rows written below ``place``: a whole file in the row with its outcome, a log's lines in rows of their own without one."""
+    CONTENTS rows written below ``place``: a whole file in the row with its outcome, lines of logs and paragraphs of .docx files in rows of their own without one."""
     spark = todo.sparkSession
     counts = Counts()
     planned = ranges(todo, range_bytes).withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
@@ -276,10 +283,16 @@ def failed_files(contents: DataFrame) -> DataFrame:
 
 def texts(contents: DataFrame) -> DataFrame:
     """(source_path, suffix, raw) of files read whole: invalid bytes become U+FFFD, line ends ``\\n``."""
-    return contents.filter("outcome = 'ok' and suffix <> '.log'").select("source_path", "suffix", T.utf8(F.col("content")).alias("raw"))
+    return contents.filter(F.col("outcome").eqNullSafe("ok") & ~F.col("suffix").isin(*BY_ROW)).select("source_path", "suffix", T.utf8(F.col("content")).alias("raw"))
 
 
 def log_lines(contents: DataFrame) -> DataFrame:
     """(source_path, split_no, line_no, line) of logs."""
     line = F.make_valid_utf8(F.col("content").cast("string"))
-    return contents.filter("line_no is not null").select("source_path", F.col("first_byte").alias("split_no"), "line_no", line.alias("line"))
+    return contents.filter("line_no is not null and suffix = '.log'").select("source_path", F.col("first_byte").alias("split_no"), "line_no", line.alias("line"))
+
+
+def word_paragraphs(contents: DataFrame) -> DataFrame:
+    """(source_path, para_idx, text, break_before, breaks_inside) of .docx files."""
+    rows = contents.filter("line_no is not null and suffix = '.docx'")
+    return rows.select("source_path", F.col("line_no").cast("int").alias("para_idx"), F.col("content").cast("string").alias("text"), "break_before", F.col("breaks_inside").cast("int").alias("breaks_inside"))

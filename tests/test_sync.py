@@ -8,7 +8,8 @@ import pytest
 
 from docsync.jobs.sync_folder import sync_folder
 from docsync.operators import sync
-from docsync.sources.collection import Collection, Conflict, buckets_for, send_batches
+from docsync.sources import outside
+from docsync.sources.collection import Collection, Conflict, buckets_for
 from docsync.streaming.incremental import append_new_files, reconcile_on_timer
 
 STORED = "chunk_id string, source_path string, file_signature string"
@@ -295,6 +296,7 @@ def test_buckets_are_fitted(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(collection, "BUCKETS", 1)
     monkeypatch.setattr(collection, "BUCKET_BYTES", store.n_bytes() // 5)
     assert store.fit() == 4 and store.manifest()["n_buckets"] >= 5 and store.read().count() == 3
+    monkeypatch.setattr(collection, "BUCKET_BYTES", 1 << 20)
     assert store.fit() is None
 
 
@@ -349,21 +351,66 @@ def test_a_pass_that_dies_leaves_the_old_version(spark, tmp_path):
     assert store.clean() == ["v2-broken"]
 
 
-def test_batches(spark, tmp_path):
+def test_batches(spark):
     rows = spark.createDataFrame([("/a", i, "t") for i in range(401)] + [("/b", 0, "t")], "source_path string, chunk_index int, text string")
     assert {(r.source_path, r.n_chunks, r.n_batches) for r in sync.ingest_batches(rows).collect()} == {("/a", 401, 3), ("/b", 1, 1)}
     got = {(r.chunk_index, r.batch) for r in sync.batch_numbers(rows).filter("source_path = '/a'").collect()}
     assert {(0, 1), (199, 1), (200, 2), (400, 3)} <= got
-    out = str(tmp_path)
 
-    def send(batch):
-        assert len(batch) <= 200
-        with open(f"{out}/{batch[0]['source_path'][1:]}-{batch[0]['chunk_index']}", "w") as f:
-            f.write(str(len(batch)))
 
-    assert send_batches(rows.coalesce(1), send) == 402
-    assert send_batches(rows.limit(0), send) == 0
-    assert sorted(int(open(f"{out}/{n}").read()) for n in os.listdir(out)) == [2, 200, 200]
+def test_an_outside_store_follows_the_collection(spark, tmp_path):
+    folder, root, work, shelf = (str(tmp_path / n) for n in ("in", "collection", "work", "shelf"))
+    os.makedirs(shelf)
+    put(folder, a_md="A. " * 900, b_md="Poison.", c_log="C.", d_md="D.")
+
+    class Shelf:
+        """A file for each chunk; the first call of every task fails, one text always does, and so does one deletion."""
+
+        def __init__(self):
+            self.fresh = True
+
+        def once(self):
+            if self.fresh:
+                self.fresh = False
+                raise ConnectionError("the first call")
+
+        def put(self, chunks):
+            assert len(chunks) <= 200
+            self.once()
+            for c in chunks:
+                if "Poison" in c["text"]:
+                    raise ValueError("poison")
+                with open(f"{shelf}/{c['chunk_id']}", "w") as f:
+                    f.write(f"{os.path.basename(c['source_path'])} {c['chunk_index']}")
+
+        def delete(self, chunk_id):
+            self.once()
+            if os.path.exists(f"{shelf}/{chunk_id}") and open(f"{shelf}/{chunk_id}").read().startswith("d.md"):
+                raise PermissionError("kept")
+            os.remove(f"{shelf}/{chunk_id}")
+
+    held = lambda: sorted(open(f"{shelf}/{n}").read() for n in os.listdir(shelf))
+    store = Collection(spark, root)
+    store.create()
+    versions = [store.manifest()]
+    sync_folder(spark, folder, root, work, chunker="simple")
+    versions.append(store.manifest())
+    n_a = store.read().filter("source_path like '%a.md'").count()
+    assert n_a > 3
+    assert outside.mirror(store, *versions, Shelf, str(tmp_path / "out1")) == {"deletes": 0, "puts": n_a + 2, "failed": 1}
+    assert held() == sorted([f"a.md {i}" for i in range(n_a)] + ["c.log 0", "d.md 0"])
+    assert outside.mirror(store, *versions, Shelf, str(tmp_path / "again"))["puts"] == n_a + 2 and len(held()) == n_a + 2  # a repeated run adds nothing
+
+    put(folder, a_md="Short.", b_md="Fine now.")
+    os.remove(f"{folder}/c.log"), os.remove(f"{folder}/d.md")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    versions.append(store.manifest())
+    run = outside.mirror(store, *versions[1:], Shelf, str(tmp_path / "out2"))
+    assert run == {"deletes": n_a + 1, "puts": 2, "failed": 2}  # b's old chunk was never there, d's is kept
+    bad = outside.failed(store, str(tmp_path / "out2")).collect()
+    assert {r.action for r in bad} == {"delete"} and {r.error.split(":")[0] for r in bad} == {"FileNotFoundError", "PermissionError"}
+    assert held() == ["a.md 0", "b.md 0", "d.md 0"]
+    assert outside.mirror(store, versions[2], versions[2], Shelf, str(tmp_path / "out3")) == {"deletes": 0, "puts": 0, "failed": 0}
 
 
 def test_streams(spark, tmp_path):
