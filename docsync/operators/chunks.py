@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsync.functions import text as T
@@ -237,6 +237,32 @@ def model_embedding(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Ca
     return embed
 
 
+class StoredVectors:
+    """An embedding whose vectors are kept below ``folder`` by the content of their contexts, so that only contexts not met before are embedded, each once, in batches
+    of like lengths. Vectors are appended, whole tables at a time; two jobs that embed the same context at once store it twice, and one of the two counts.
+    ``folder`` belongs to one model: another one needs a folder of its own."""
+
+    def __init__(self, embed: Callable[[Column], Column], folder: str):
+        self.embed, self.folder = embed, folder.rstrip("/")
+
+    def stored(self, spark: SparkSession) -> DataFrame:
+        """(key, vector) of the contexts embedded so far."""
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+        schema = "key string, vector array<double>"
+        return spark.read.schema(schema).parquet(self.folder) if there else spark.createDataFrame([], schema)
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (context, ...), a written table, with ``vector``; null where the model fails."""
+        key = F.sha2("context", 256)
+        contexts = rows.select(key.alias("key"), "context").dropDuplicates(["key"])
+        new = contexts.join(self.stored(rows.sparkSession).select("key"), "key", "left_anti").withColumn("size", F.length("context"))
+        alike = new.repartitionByRange("size", "key").sortWithinPartitions("size").withColumn("vector", self.embed(F.col("context")))
+        alike.filter("vector is not null").select("key", "vector").write.mode("append").parquet(self.folder)
+        vectors = self.stored(rows.sparkSession).dropDuplicates(["key"])
+        return rows.withColumn("key", key).join(vectors, "key", "left").drop("key")
+
+
 def inner(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
@@ -246,7 +272,7 @@ def cosine_distance(product: Column, norms: Column) -> Column:
     return F.round(1 - F.when(norms > 0, product / norms).otherwise(F.lit(0.0)), 9) + F.lit(0.0)
 
 
-def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callable[[Column], Column] | None = None, with_failed: bool = False) -> DataFrame:
+def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callable[[Column], Column] | StoredVectors | None = None, with_failed: bool = False) -> DataFrame:
     """Sentences with the distance of their context (one neighbour each side) to the next one's, and whether a chunk ends
     after them: where the distance exceeds the percentile of the paragraph's distances. A paragraph is the unit; files meet in no task.
     ``with_failed`` adds whether there is no vector for the context."""
@@ -260,6 +286,8 @@ def semantic_breaks(paragraphs: DataFrame, percentile: float = 70, embed: Callab
     if hasattr(embed, "code"):
         rows = rows.withColumn("code", embed.code(F.col("sentence"))).withColumn("context", around("code"))
         rows = rows.withColumn("vector", embed.vector(F.col("context")))
+    elif isinstance(embed, StoredVectors):
+        rows = embed.attach(written(rows.withColumn("context", around("sentence")), "contexts"))
     else:
         rows = rows.withColumn("context", around("sentence")).withColumn("vector", embed(F.col("context")))
     rows = rows.withColumn("norm", F.sqrt(inner(F.col("vector"), F.col("vector"))))
@@ -313,7 +341,7 @@ def repair_sentences(nodes: DataFrame) -> DataFrame:
     return homes.unionByName(alone.join(first, "source_path").select("source_path", "f.*", "text").select(columns))
 
 
-def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool = True, embed: Callable[[Column], Column] | None = None, failed: Failed | None = None) -> DataFrame:
+def semantic_chunks(paragraphs: DataFrame, percentile: float = 70, repair: bool = True, embed: Callable[[Column], Column] | StoredVectors | None = None, failed: Failed | None = None) -> DataFrame:
     """Semantic chunks, by default with repaired sentence ends; stripped, empty ones dropped, numbered over the file."""
     nodes = semantic_nodes(semantic_breaks(paragraphs, percentile, embed, failed is not None), failed)
     nodes = repair_sentences(nodes) if repair else nodes

@@ -52,13 +52,6 @@ def key_of(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def described(found: DataFrame) -> DataFrame:
-    """(path, source_path, source_name, suffix, size, mtime_ns, file_signature) of ``binaryFile`` rows with a supported suffix."""
-    mtime = F.unix_micros("modificationTime") * 1000
-    rows = found.withColumns({"source_path": key_of(F.col("path")), "size": F.col("length"), "mtime_ns": mtime})
-    return signed(rows)
-
-
 def signed(files: DataFrame) -> DataFrame:
     """``files`` (source_path, size, mtime_ns, ...) with a supported suffix, with name, suffix and signature."""
     rows = files.withColumns({"source_name": name_of(F.col("source_path")), "suffix": suffix_of(F.col("source_path"))})
@@ -151,6 +144,33 @@ def walk(spark: SparkSession, folder: str, place: str) -> tuple[DataFrame, DataF
     return files.select(*columns), entries.filter("kind = 'error'").select("path", "error")
 
 
+def described_now(found: DataFrame) -> DataFrame:
+    """A listing as ``walk`` gives it, of files named by ``path``: each is looked up in a task; those that are gone are left out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for path in frame["path"]:
+                local = _local(path)
+                try:
+                    if local is not None:
+                        stat = os.stat(local)
+                        rows.append(("file", local, os.path.realpath(local), stat.st_size, stat.st_mtime_ns, None))
+                    else:
+                        from pyarrow import fs
+
+                        store, inside = fs.FileSystem.from_uri(path)
+                        info = store.get_file_info(inside)
+                        if info.type == fs.FileType.File:
+                            rows.append(("file", path, path, info.size, info.mtime_ns, None))
+                except FileNotFoundError:
+                    continue
+            yield _frame(rows, ENTRIES)
+
+    files = signed(found.select("path").mapInPandas(run, ENTRIES).select("path", "source_path", "size", "mtime_ns"))
+    return files.select("path", "source_path", "source_name", "suffix", "size", "mtime_ns", "file_signature")
+
+
 def under(paths: DataFrame, directories: DataFrame) -> DataFrame:
     """The rows of ``paths`` (source_path, ...) that lie below one of ``directories`` (path)."""
     parts = F.split("source_path", "/")

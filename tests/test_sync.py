@@ -10,7 +10,7 @@ from docsync.jobs.sync_folder import sync_folder
 from docsync.operators import sync
 from docsync.sources import outside
 from docsync.sources.collection import Collection, Conflict, buckets_for
-from docsync.streaming.incremental import append_new_files, reconcile_on_timer
+from docsync.streaming.incremental import reconcile_on_timer, take_new_files
 
 STORED = "chunk_id string, source_path string, file_signature string"
 
@@ -413,14 +413,54 @@ def test_an_outside_store_follows_the_collection(spark, tmp_path):
     assert outside.mirror(store, versions[2], versions[2], Shelf, str(tmp_path / "out3")) == {"deletes": 0, "puts": 0, "failed": 0}
 
 
-def test_streams(spark, tmp_path):
-    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    os.makedirs(folder)
-    for n in (1, 2):
-        with open(f"{folder}/{n}.md", "w") as f:
-            f.write(f"text {n}.")
-        append_new_files(spark, folder, out, str(tmp_path / "state"), chunker="simple").awaitTermination(120)
-        assert sorted(r.text for r in spark.read.parquet(f"{out}/batch=*").collect()) == [f"text {i}. " for i in range(1, n + 1)]
+def test_new_files_stream_into_the_collection(spark, tmp_path):
+    folder, root, work, state = (str(tmp_path / n) for n in ("in", "collection", "work", "state"))
+    store = Collection(spark, root)
+    texts = lambda: {r.source_name: r.text for r in store.read().collect()}
+    put(folder, **{"1_md": "text 1.", "a_log": "t | [I] | one.", "later_pdf": "no text yet"})
+    take_new_files(spark, folder, root, work, state, chunker="simple").awaitTermination(300)
+    assert texts() == {"1.md": "text 1. ", "a.log": "t [I] one. "}
+    assert {(os.path.basename(r.source_path), r.stage) for r in store.quarantine().collect()} == {("later.pdf", "text")}
+    put(folder, **{"2_md": "text 2.", "1_md": "changed text 1."})
+    take_new_files(spark, folder, root, work, state, chunker="simple").awaitTermination(300)
+    assert texts()["2.md"] == "text 2. " and len(texts()) == 3
+    version = store.manifest()["version"]
+    take_new_files(spark, folder, root, work, str(tmp_path / "lost state"), chunker="simple").awaitTermination(300)  # all files come again
+    assert texts()["1.md"] == "changed text 1. " and store.manifest()["version"] == version + (1 if version == 2 else 0)
+    run = sync_folder(spark, folder, root, work, chunker="simple")  # stream and pass agree on signatures
+    assert (run["added_or_updated_files"], run["removed_paths"]) == (0, 0)
+
+
+def test_vectors_are_reused_by_content(spark, tmp_path):
+    from docsync.operators import chunks
+
+    seen = str(tmp_path / "seen")
+
+    def load():
+        def vectors(texts):
+            with open(seen, "a") as f:
+                f.writelines(f"{t}\n" for t in texts)
+            return [[float(sum(map(ord, t)) % 97), float(len(t)), 1.0] for t in texts]
+
+        return vectors
+
+    def rows(text):
+        return spark.createDataFrame([("/a", 1, 1, text), ("/b", 1, 1, "Same one. Same two. Same three.")], "source_path string, paragraph_num int, page_num int, text string")
+
+    text = " ".join(f"Sentence number {i} says something." for i in range(20))
+    plain = chunks.model_embedding(load)
+    stored = chunks.StoredVectors(plain, str(tmp_path / "vectors"))
+    cuts = lambda embed, t: sorted(map(tuple, chunks.semantic_breaks(rows(t), embed=embed).collect()))
+    want, want_changed = cuts(plain, text), cuts(plain, text.replace("number 7 ", "number seven "))
+    os.remove(seen)
+    assert cuts(stored, text) == want and len(open(seen).read().splitlines()) == 23
+    os.remove(seen)
+    assert cuts(stored, text.replace("number 7 ", "number seven ")) == want_changed and len(open(seen).read().splitlines()) == 3
+    os.remove(seen)
+    assert cuts(stored, text) == want and not os.path.exists(seen)
+
+
+def test_reconcile_goes_on_after_errors(spark, tmp_path):
     passes = []
 
     def once(number):
