@@ -140,6 +140,15 @@ SELECT source_path, row_number() OVER (PARTITION BY source_path ORDER BY pos) AS
   concat_ws(' ', CASE WHEN title <> '' THEN 'Title: ' || title || '.' END, CASE WHEN heading_path <> '' THEN 'Section: ' || heading_path || '.' END, block_text) AS text FROM pathed
 """
 
+_PAGE = path("'.html'")
+_PAGE_LINES = exploded(f"(SELECT *, {_PAGE} AS source_path FROM documents WHERE text IS NOT NULL)", LINES, keep="doc_id, source,")
+_PAGE_TITLE = f"CASE WHEN doc_id % 2 = 0 THEN {collapse("coalesce(source, '')")} ELSE '' END AS title"
+VARIED = f"""
+WITH found AS (SELECT source_path, pos, ['h2', 'p', 'li', 'td', 'blockquote', 'figcaption'][pos % 9 + 1] AS tag, {collapse("text")} AS block_text, {_PAGE_TITLE} FROM ({_PAGE_LINES}) WHERE pos % 9 < 6),
+blocks AS (SELECT source_path, row_number() OVER (PARTITION BY source_path ORDER BY pos) - 1 AS pos, tag, block_text, title FROM found WHERE length(block_text) > 0)
+SELECT source_path, pos::BIGINT AS pos, tag, block_text, title FROM blocks
+UNION ALL SELECT {_PAGE}, 0, NULL, NULL, {_PAGE_TITLE} FROM documents WHERE text IS NOT NULL AND {_PAGE} NOT IN (SELECT source_path FROM blocks)
+"""
 DOC_LINES = f"(SELECT source_path, pos + 1 AS paragraph_num, text FROM ({exploded(f'(SELECT *, {path(MD)} AS source_path FROM documents)', LINES)}))"
 _SENTENCES = rf"list_filter(string_split(regexp_replace({collapse('text')}, '([.!?]) +', '\1' || chr(1), 'g'), chr(1)), lambda s: length(s) > 0)"
 SENTENCES = f"SELECT source_path, paragraph_num::BIGINT AS paragraph_num, 1::BIGINT AS page_num, (generate_subscripts(arr, 1) - 1)::BIGINT AS sent_idx, unnest(arr) AS sentence FROM (SELECT *, {_SENTENCES} AS arr FROM {DOC_LINES})"
@@ -264,6 +273,7 @@ def oracle_sql() -> dict[str, str]:
         "msg_metadata": MSG_METADATA,
         "html_paragraphs": HTML_PARAGRAPHS,
         "html_titles": HTML_TITLES,
+        "html_varied_blocks": VARIED,
         "heading_path": HEADING_PATH,
         "sentences": SENTENCES,
         "token_chunks": TOKEN_CHUNKS,

@@ -70,6 +70,11 @@ def html_titles(spark, sf_dir):
     return blocks.filter("pos = 0").select("source_path", "title")
 
 
+def html_varied_blocks(spark, sf_dir):
+    """Blocks of pages with elements of all kinds, inside and outside ``main`` and of those that are no content."""
+    return html.html_blocks(A.varied_pages(_docs(spark, sf_dir))).select("source_path", "pos", "tag", "block_text", "title")
+
+
 def heading_path(spark, sf_dir):
     return html.html_paragraphs(A.heading_blocks(_docs(spark, sf_dir)))
 
@@ -249,7 +254,7 @@ def chunk_batches(spark, sf_dir):
 
 
 NAMES = (
-    md_paragraphs, log_paragraphs, log_fields, doc_paragraphs, docx_paragraphs, pdf_paragraphs, msg_paragraphs, msg_metadata, html_paragraphs, html_titles, heading_path,
+    md_paragraphs, log_paragraphs, log_fields, doc_paragraphs, docx_paragraphs, pdf_paragraphs, msg_paragraphs, msg_metadata, html_paragraphs, html_titles, html_varied_blocks, heading_path,
     sentences, token_chunks, md_token_chunks, semantic_breaks, semantic_chunks, repair_boundaries, file_signatures, sync_plan, sync_plan_in_order, sync_removed, sync_new, sync_changed, sync_apply,
     sync_summary, ingest_batches, chunk_batches, sync_pass, sync_pass_runs, sync_quarantine, walked_files, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
     doc_chunks, msg_chunks,

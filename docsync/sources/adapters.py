@@ -101,6 +101,22 @@ def html_files(pages: DataFrame) -> DataFrame:
     return pages.select(F.concat(F.lit("/pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("source_path"), "html")
 
 
+def varied_pages(docs: DataFrame) -> DataFrame:
+    """Documents as HTML pages, a line in an element of each kind in turn, some of them no content; even ones have a title and a ``main`` with more around it, odd ones a body only."""
+    kinds = [
+        "<h2>{}</h2>", "<p>{}</p>", "<ul><li>{}</li></ul>", "<table><tr><td>{}</td><th> </th></tr></table>", "<blockquote>{}</blockquote>", "<figure><img><figcaption>{}</figcaption></figure>",
+        "<aside><div><p>{}</p></div></aside>", "<nav><ul><li>{}</li></ul></nav>", "<div>{}</div><script>if (1 < 2) '<p>x</p>'</script><!-- <p>y</p> -->",
+    ]
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&#62;"))
+    kind = lambda pos: F.element_at(F.array(*map(F.lit, kinds)), (pos % len(kinds) + 1).cast("int"))
+    body = F.array_join(F.transform(_lines(), lambda line, pos: F.replace(kind(pos), F.lit("{}"), escaped(line))), "\n")
+    head = F.concat(F.lit("<html><head><title> "), escaped(F.coalesce("source", F.lit(""))), F.lit("</title><style>p {}</style></head><body><p>before</p>"))
+    around = F.concat(F.lit("<body><header><p>top</p></header>"), body, F.lit("<footer><p>foot</p></footer></body>"))
+    inside = F.concat(head, F.lit("<main>"), body, F.lit("</main><p>after</p></body></html>"))
+    page = F.when(F.col("doc_id") % 2 == 0, inside).otherwise(around)
+    return docs.filter("text is not null").select(doc_path(".html").alias("source_path"), page.alias("html"))
+
+
 def heading_blocks(docs: DataFrame) -> DataFrame:
     """Documents as HTML blocks, one per line; every third is a heading of a level that follows id and place."""
     rows = docs.select("doc_id", "source", doc_path(".html").alias("source_path"), F.posexplode(_lines()).alias("pos", "line"))
