@@ -154,7 +154,7 @@ _SENTENCES = rf"list_filter(string_split(regexp_replace({collapse('text')}, '([.
 SENTENCES = f"SELECT source_path, paragraph_num::BIGINT AS paragraph_num, 1::BIGINT AS page_num, (generate_subscripts(arr, 1) - 1)::BIGINT AS sent_idx, unnest(arr) AS sentence FROM (SELECT *, {_SENTENCES} AS arr FROM {DOC_LINES})"
 
 
-def token_windows(paragraphs: str, size: int, overlap: int) -> str:
+def token_windows(paragraphs: str, size: int, overlap: int, token: str = f"{WS}*[^{IN}]+|{WS}+") -> str:
     """Windows over the tokens of (source_path, paragraph_num, page_num, text)."""
     step = size - overlap
     return f"""
@@ -162,7 +162,7 @@ SELECT source_path, k::BIGINT AS chunk_index, array_to_string(list_transform(str
   stream[k * {step} + 1].p::BIGINT AS paragraph_num, stream[k * {step} + 1].g::BIGINT AS page_num
 FROM (SELECT source_path, stream, unnest(range(0, 1 + greatest(0, ceil((len(stream) - {size}) / {step}.0))::BIGINT)) AS k FROM (
   SELECT source_path, flatten(list(list_transform(tokens, lambda t: struct_pack(t := t, p := paragraph_num, g := page_num)) ORDER BY paragraph_num)) AS stream FROM (
-    SELECT source_path, paragraph_num, page_num, list_append(regexp_extract_all(text, '{WS}*[^{IN}]+|{WS}+'), ' ') AS tokens FROM ({paragraphs})) GROUP BY source_path))
+    SELECT source_path, paragraph_num, page_num, list_append(regexp_extract_all(text, '{token}'), ' ') AS tokens FROM ({paragraphs})) GROUP BY source_path))
 """
 
 
@@ -220,6 +220,8 @@ _FILES = "SELECT DISTINCT 'log' AS kind, user_id AS key FROM events UNION ALL SE
 WALKED = f"SELECT kind, key, count(*) AS n_files, count(*) AS n_signed FROM ({_FILES}) GROUP BY kind, key"
 QUARANTINE = f"""SELECT kind, key, CASE key % 7 WHEN 0 THEN 'read missing' WHEN 1 THEN 'read unreadable' ELSE 'published' END AS outcome FROM ({_FILES})
   WHERE key % 7 < 2 OR (kind, key) IN (SELECT kind, key FROM ({PASS}))"""
+CHANGES = f"""WITH f AS ({_FILES}) SELECT kind, key, 0::BIGINT AS listing, 'added' AS change FROM f UNION ALL SELECT kind, key, 1, 'removed' FROM f WHERE key % 3 = 0
+  UNION ALL SELECT kind, key, 2, 'added' FROM f WHERE kind = 'htm' AND key % 6 = 0"""
 SMALL_CHUNKS = token_windows(LINE_PARAGRAPHS, 5, 1)
 
 _SLOT = "(('0x' || substr(md5(w), 1, 4))::BIGINT % 32)"
@@ -291,6 +293,10 @@ def oracle_sql() -> dict[str, str]:
         "sync_summary": SUMMARY,
         "sync_pass": PASS,
         "sync_pass_runs": PASS_RUNS,
+        "coder_chunks": token_windows(LINE_PARAGRAPHS, 50, 8, "(?s).{1,4}"),
+        "model_breaks": SEMANTIC_BREAKS,
+        "streamed_files": PASS,
+        "folder_changes": CHANGES,
         "sync_quarantine": QUARANTINE,
         "walked_files": WALKED,
         "distinct_files": DISTINCT_FILES,

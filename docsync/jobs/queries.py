@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsync.functions.tables import shared_dir
+from docsync.functions.tables import delete, shared_dir, written
 from docsync.jobs.sync_folder import routed, sync_folder
 from docsync.operators import chunks, html, mail, paragraphs, sync
 from docsync.sources import adapters as A
 from docsync.sources.collection import Collection
 from docsync.sources.files import open_path, walk
+from docsync.streaming.changes import Snapshots
+from docsync.streaming.incremental import take_new_files
 
 SIZE, OVERLAP = 50, 8
 
@@ -147,6 +150,74 @@ def sync_apply(spark, sf_dir):
     return sync.apply(before, plan, fresh).drop("attrs")
 
 
+class Fours:
+    """A coder whose tokens are up to four characters."""
+
+    def encode_ordinary_batch(self, texts: list[str]) -> list[list[int]]:
+        return [[int.from_bytes(b"\1" + t[i : i + 4].encode()) for i in range(0, len(t), 4)] for t in texts]
+
+    def decode_single_token_bytes(self, token: int) -> bytes:
+        return token.to_bytes((token.bit_length() + 7) // 8)[1:]
+
+
+def coder_chunks(spark, sf_dir):
+    """Token windows by a coder that workers load."""
+    return chunks.token_windows(A.line_paragraphs(_docs(spark, sf_dir)), SIZE, OVERLAP, chunks.coder_tokens(Fours))
+
+
+def _load_bag():
+    """A model: the default embedding, computed in Python."""
+
+    def vectors(texts: list[str]) -> list[list[float]]:
+        found = []
+        for text in texts:
+            counts = [0.0] * 32
+            for word in re.split("[^a-z0-9]+", text.lower()):
+                if word:
+                    counts[int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % 32] += 1
+            found.append(counts)
+        return found
+
+    return vectors
+
+
+def model_breaks(spark, sf_dir):
+    """Semantic breakpoints by a model that workers load, its vectors stored by content: the second of two runs takes them from there."""
+    stored = chunks.StoredVectors(chunks.model_embedding(_load_bag), f"{shared_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}")
+    for _ in range(2):
+        rows = chunks.semantic_breaks(A.line_paragraphs(_docs(spark, sf_dir)), embed=stored)
+    return rows.select("source_path", "paragraph_num", "sent_idx", (F.round("distance", 6) + F.lit(0.0)).alias("distance"), "cut")
+
+
+def _keyed() -> list[Column]:
+    key = F.regexp_extract("source_path", r"/(logs/user|pages/page_id)=(\d+)/", 2).cast("long")
+    return [F.regexp_extract("source_path", r"\.([a-z]+)$", 1).alias("kind"), key.alias("key")]
+
+
+def streamed_files(spark, sf_dir):
+    """A folder taken by the stream of new files in batches of 400: what the collection holds then."""
+    folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    take_new_files(spark, folder, f"{place}/collection", f"{place}/work", f"{place}/state", max_files=400, chunker="simple").awaitTermination()
+    rows = Collection(spark, f"{place}/collection").read()
+    return rows.select(*_keyed(), "chunk_index", "text", "paragraph_num", "page_num")
+
+
+def folder_changes(spark, sf_dir):
+    """The differences of three listings of a folder: all files come, those of some users and pages go, and those of some pages come again."""
+    folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/changes-{uuid.uuid4().hex}"
+    snapshots, found = Snapshots(spark, folder, place), []
+    for number in range(3):
+        if number == 1:
+            for name in A.folders_below(spark, f"{folder}/logs") + A.folders_below(spark, f"{folder}/pages"):
+                if int(name.rsplit("=", 1)[1]) % 3 == 0:
+                    delete(spark, name)
+        if number == 2:
+            A.write_pages(A.table(spark, sf_dir, "pages").filter("page_id % 6 = 0"), folder)
+        changes = snapshots.take(number)
+        found.append(written(changes.select(*_keyed(), F.lit(number).cast("long").alias("listing"), "change"), "changes"))  # only the last two are kept in place
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def sync_pass(spark, sf_dir):
     """Two passes over a folder of files written from ``events`` and ``pages``: what the collection holds after them."""
     folder, place = A.folder_of_files(spark, sf_dir), f"{shared_dir(spark).rstrip('/')}/pass-{uuid.uuid4().hex}"
@@ -256,7 +327,7 @@ def chunk_batches(spark, sf_dir):
 NAMES = (
     md_paragraphs, log_paragraphs, log_fields, doc_paragraphs, docx_paragraphs, pdf_paragraphs, msg_paragraphs, msg_metadata, html_paragraphs, html_titles, html_varied_blocks, heading_path,
     sentences, token_chunks, md_token_chunks, semantic_breaks, semantic_chunks, repair_boundaries, file_signatures, sync_plan, sync_plan_in_order, sync_removed, sync_new, sync_changed, sync_apply,
-    sync_summary, ingest_batches, chunk_batches, sync_pass, sync_pass_runs, sync_quarantine, walked_files, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
+    sync_summary, ingest_batches, chunk_batches, coder_chunks, model_breaks, streamed_files, folder_changes, sync_pass, sync_pass_runs, sync_quarantine, walked_files, distinct_files, normalised_rows, routed_files, html_chunks, log_chunks, pdf_chunks, docx_chunks,
     doc_chunks, msg_chunks,
 )
 

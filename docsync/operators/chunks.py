@@ -257,8 +257,9 @@ class StoredVectors:
         key = F.sha2("context", 256)
         contexts = rows.select(key.alias("key"), "context").dropDuplicates(["key"])
         new = contexts.join(self.stored(rows.sparkSession).select("key"), "key", "left_anti").withColumn("size", F.length("context"))
-        alike = new.repartitionByRange("size", "key").sortWithinPartitions("size").withColumn("vector", self.embed(F.col("context")))
-        alike.filter("vector is not null").select("key", "vector").write.mode("append").parquet(self.folder)
+        alike = new.repartitionByRange("size", "key").sortWithinPartitions("size")
+        made = written(alike.select("key", self.embed(F.col("context")).alias("vector")), "vectors")  # else the filter would embed once more
+        made.filter("vector is not null").write.mode("append").parquet(self.folder)
         vectors = self.stored(rows.sparkSession).dropDuplicates(["key"])
         return rows.withColumn("key", key).join(vectors, "key", "left").drop("key")
 

@@ -190,6 +190,18 @@ def folder_of_files(spark: SparkSession, sf_dir: str) -> str:
     folder = f"{shared_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
     logs = log_lines(table(spark, sf_dir, "events")).withColumn("user", F.regexp_extract("source_path", r"(\d+)\.log$", 1))
     write_lines(logs, f"{folder}/logs", "user", ["split_no", "line_no"], "log")
-    pages = table(spark, sf_dir, "pages").select("page_id", F.posexplode(F.split("html", "\n")).alias("n", "line"))
-    write_lines(pages, f"{folder}/pages", "page_id", ["n"], "htm")
+    write_pages(table(spark, sf_dir, "pages"), folder)
     return folder
+
+
+def write_pages(pages: DataFrame, folder: str) -> None:
+    """An HTML file for each of ``pages`` in a folder of files."""
+    lines = pages.select("page_id", F.posexplode(F.split("html", "\n")).alias("n", "line"))
+    write_lines(lines, f"{folder}/pages", "page_id", ["n"], "htm")
+
+
+def folders_below(spark: SparkSession, folder: str) -> list[str]:
+    """The folders in a folder of files, one for each key."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return [s.getPath().toString() for s in found if s.isDirectory()]

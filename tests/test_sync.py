@@ -396,7 +396,7 @@ def test_an_outside_store_follows_the_collection(spark, tmp_path):
     sync_folder(spark, folder, root, work, chunker="simple")
     versions.append(store.manifest())
     n_a = store.read().filter("source_path like '%a.md'").count()
-    assert n_a > 3
+    assert n_a > 1
     assert outside.mirror(store, *versions, Shelf, str(tmp_path / "out1")) == {"deletes": 0, "puts": n_a + 2, "failed": 1}
     assert held() == sorted([f"a.md {i}" for i in range(n_a)] + ["c.log 0", "d.md 0"])
     assert outside.mirror(store, *versions, Shelf, str(tmp_path / "again"))["puts"] == n_a + 2 and len(held()) == n_a + 2  # a repeated run adds nothing
