@@ -7,7 +7,7 @@
    packing, those of MERGED partitions in one task, in rounds until one task is left.
 3. The last windows are cut at powers of two: sequences of such a length need no padding.
 
-Tokens are those of a public tokenizer file, whose path is a parameter (see word_ids), and ``end_id`` after each document.
+Tokens are those of a public tokenizer file (see word_ids), whose path is a parameter and which is read on the driver and broadcast, and ``end_id`` after each document.
 
 Every stage is written, so that a repeated task or a lost executor changes nothing. Which documents share a sequence follows from
 the order of rows in the input's partitions.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from docsync.llm.bpe import sliced
 from docsync.llm.common import bounded_batches, materialize, tidy
-from docsync.llm.word_ids import TokenIds
+from docsync.llm.word_ids import known_ids
 
 SIZE, OPEN_WINDOWS, MERGED = 4096, 16, 64
 #: Rows of an output batch.
@@ -101,10 +101,6 @@ def _rows(windows: Iterator[tuple[list[tuple], bool]], level: int, keep_ids: boo
         yield pd.DataFrame(rows, columns=columns)
 
 
-#: The tokenizer of this worker: its words are known to the next task too.
-_KNOWN: dict[str, TokenIds] = {}
-
-
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -120,17 +116,18 @@ def pack(
     have its length or a smaller power of two."""
     if size < 1 or size & (size - 1) or open_windows < 1:
         raise ValueError("size must be a power of two and open_windows at least 1")
+    with open(tokenizer_path, encoding="utf-8") as f:
+        file = docs.sparkSession.sparkContext.broadcast(f.read())  # of the size of a vocabulary
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, part int, open boolean, ids binary"
 
     def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        if tokenizer_path not in _KNOWN:
-            _KNOWN[tokenizer_path] = TokenIds(tokenizer_path)
+        known = known_ids(file.value)
         end = np.array([end_id], "<u4").tobytes()
         for frame in frames:
             texts = [(t or "").encode() for t in frame["text"]]
             for part in sliced(texts):
-                for doc, ids in zip(frame["id"].iloc[part], _KNOWN[tokenizer_path].of(texts[part]), strict=True):
+                for doc, ids in zip(frame["id"].iloc[part], known.of(texts[part]), strict=True):
                     ids += end
                     yield doc, 0, ids, len(ids) // 4
 

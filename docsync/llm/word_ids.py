@@ -99,14 +99,13 @@ class Merges:
 
 
 class TokenIds:
-    """Token ids of texts (bytes in UTF-8) as little-endian unsigned 32-bit numbers."""
+    """Token ids of texts (bytes in UTF-8) as little-endian unsigned 32-bit numbers, by the contents of a tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, contents: str):
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
-        self.tokenizer = Tokenizer.from_file(path)
+        file = json.loads(contents)
+        self.tokenizer = Tokenizer.from_str(contents)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
@@ -120,6 +119,11 @@ class TokenIds:
             #: 0 line end, 1 letter, 2 digit, 3 other mark.
             self.kinds = np.array([0 if c == 10 else 1 if letter.match(chr(c)) else 2 if digit.match(chr(c)) else 3 for c in range(0x530)], np.uint8)
 
+    @classmethod
+    def load(cls, path: str) -> TokenIds:
+        with open(path, encoding="utf-8") as f:
+            return cls(f.read())
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """By the library itself."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -186,3 +190,14 @@ class TokenIds:
         known.update([(w, old[w]) for w in new if w in old])
         self.learn([w for w in new if w not in known])
         return [b"".join([known[w] for w in words]) for words in split]
+
+
+#: The tokenizers of this worker process, by the contents of their files.
+_KNOWN: dict[str, TokenIds] = {}
+
+
+def known_ids(contents: str) -> TokenIds:
+    """The worker's tokenizer for a file, with the words it has met in earlier tasks."""
+    if contents not in _KNOWN:
+        _KNOWN[contents] = TokenIds(contents)
+    return _KNOWN[contents]

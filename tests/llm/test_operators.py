@@ -981,14 +981,14 @@ ALPHABET = [*"abcXYZ'sSdt.,!<|>0123 \n\t", "İ", "ı", "ß", "É", "é", "e\u030
 def test_word_ids_equal_the_library(word_tokenizer, monkeypatch):
     from docsync.llm import word_ids
 
-    known = TokenIds(queries.tokenizer_path("word_bpe_49k.json"))
+    known = TokenIds.load(queries.tokenizer_path("word_bpe_49k.json"))
     assert known.by_word
     monkeypatch.setattr(word_ids, "MAX_WORDS", 400)
     for seed in range(400):
         r = random.Random(seed)
         texts = ["".join(r.choice(ALPHABET) for _ in range(r.choice([0, 1, 3, 12, 60]))) for _ in range(4)]
         assert known.of([t.encode() for t in texts]) == [library_ids(word_tokenizer, t) for t in texts], texts
-    other = TokenIds(queries.tokenizer_path())
+    other = TokenIds.load(queries.tokenizer_path())
     assert not other.by_word and other.of([b"Some text"]) == [np.array(bpe_library().encode("Some text").ids, "<u4").tobytes()]
 
 
