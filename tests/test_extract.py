@@ -315,3 +315,28 @@ def test_outcomes_of_files(spark, tmp_path):
     assert [r.raw for r in sources.texts(contents).collect()] == ["first\nsecond"]
     assert sorted(r.line for r in sources.log_lines(contents).collect()) == ["first", "second"]
     assert sources.read_files(files.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_pages_of_many_blocks_go_out_in_small_batches(spark, monkeypatch):
+    """A worker holds a few thousand blocks, however many the pages of its batch have."""
+    import pandas as pd
+
+    from docsync.operators import html
+
+    taken = {}
+
+    class Given:
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, schema):  # noqa: N802  as Spark's
+            taken["run"] = run
+
+    html.html_blocks(Given())
+    page = "<title>t</title>" + "<p>some text</p>" * 1_000
+    frames = list(taken["run"](iter([pd.DataFrame({"source_path": [f"/{i}" for i in range(30)], "html": [page] * 30})])))
+    assert sum(map(len, frames)) == 30_000 and max(map(len, frames)) <= html.ROWS
+    rows = [(r.source_path, r.pos) for frame in frames for r in frame.itertuples()]
+    assert rows == [(f"/{i}", k) for i in range(30) for k in range(1_000)]
+    long = f"<p>{'x' * html.BATCH_CHARS}</p>"
+    assert max(map(len, taken["run"](iter([pd.DataFrame({"source_path": list("abc"), "html": [long] * 3})])))) == 1
