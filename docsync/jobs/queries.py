@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsync.functions.tables import delete, shared_dir, written
+from docsync.functions.tables import shared_dir, written
 from docsync.jobs.sync_folder import routed, sync_folder
 from docsync.operators import chunks, html, mail, paragraphs, sync
 from docsync.sources import adapters as A
@@ -208,9 +208,8 @@ def folder_changes(spark, sf_dir):
     snapshots, found = Snapshots(spark, folder, place), []
     for number in range(3):
         if number == 1:
-            for name in A.folders_below(spark, f"{folder}/logs") + A.folders_below(spark, f"{folder}/pages"):
-                if int(name.rsplit("=", 1)[1]) % 3 == 0:
-                    delete(spark, name)
+            A.delete_folders(A.table(spark, sf_dir, "events").filter("user_id % 3 = 0").select(F.col("user_id").alias("user")), f"{folder}/logs", "user")
+            A.delete_folders(A.table(spark, sf_dir, "pages").filter("page_id % 3 = 0").select("page_id"), f"{folder}/pages", "page_id")
         if number == 2:
             A.write_pages(A.table(spark, sf_dir, "pages").filter("page_id % 6 = 0"), folder)
         changes = snapshots.take(number)

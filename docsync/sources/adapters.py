@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsync.functions.tables import dealt_out, shared_dir
 from docsync.operators import sync
-from docsync.sources.files import SUFFIXES, name_of, suffix_of
+from docsync.sources.files import SUFFIXES, Store, name_of, suffix_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -179,10 +181,27 @@ def listed_twice(docs: DataFrame) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, folder: str, key: str, order: list[str], extension: str) -> None:
-    """Write (key, line, *order) as one file of lines for each value of ``key``, in ``order``, with the three letters of ``extension`` as suffix. Texts are written as they are."""
-    plain = {"sep": "\x01", "quote": "", "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "extension": extension}
-    rows = lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line")
-    rows.write.mode("append").partitionBy(key).options(**plain).csv(folder)
+    """Write (key, line, *order) as one file of lines for each value of ``key``, in ``order``, with the three letters of ``extension`` as suffix. Texts are written as they are.
+    Tasks write their files themselves: a commit by the driver moves one file after the other."""
+    spark, run_name = lines.sparkSession, uuid.uuid4().hex
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, now, file, n = Store(folder), None, None, 0
+        for frame in frames:
+            for value, line in zip(frame["key"], frame["line"], strict=True):
+                if value != now:
+                    if file:
+                        file.close()
+                    now, n = value, n + 1
+                    file = store.create(f"{key}={value}/part-{run_name}.{extension}")
+                file.write(line.encode() + b"\n")
+        if file:
+            file.close()
+        yield pd.DataFrame({"n": [n]})
+
+    rows = lines.repartition(tasks, key).sortWithinPartitions(key, *order).select(F.coalesce(F.col(key).cast("string"), F.lit("none")).alias("key"), F.coalesce("line", F.lit("")).alias("line"))
+    rows.mapInPandas(run, "n long").agg(F.sum("n")).collect()
 
 
 def folder_of_files(spark: SparkSession, sf_dir: str) -> str:
@@ -200,8 +219,16 @@ def write_pages(pages: DataFrame, folder: str) -> None:
     write_lines(lines, f"{folder}/pages", "page_id", ["n"], "htm")
 
 
-def folders_below(spark: SparkSession, folder: str) -> list[str]:
-    """The folders in a folder of files, one for each key."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
-    return [s.getPath().toString() for s in found if s.isDirectory()]
+def delete_folders(keys: DataFrame, folder: str, key: str) -> None:
+    """Delete the folders of ``keys`` (one column) in a folder of files, in tasks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, n = Store(folder), 0
+        for frame in frames:
+            for value in frame["key"]:
+                store.delete(f"{key}={value}")
+                n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    names = keys.select(F.col(key).cast("string").alias("key")).distinct()
+    names.mapInPandas(run, "n long").agg(F.sum("n")).collect()

@@ -100,3 +100,19 @@ def test_a_restarted_stream_loses_and_repeats_nothing(spark, tmp_path):
     assert until({"a.md", "c.log"}) == {"a.md", "c.log"}
     runs = [r.asDict() for r in Collection(spark, root).runs().orderBy("finished_at").collect()]
     assert [(r["added_or_updated_files"], r["removed_paths"]) for r in runs] == [(2, 0), (1, 1)]
+
+
+def test_folders_are_written_listed_and_deleted_by_few_tasks(spark, tmp_path):
+    from docsync.sources import adapters, files
+
+    assert files.list_tasks(4_000, 12) == 24 and files.list_tasks(3, 12) == 3 and files.list_tasks(10_000_000, 12) == files.LIST_TASKS
+    folder = f"file://{tmp_path}/top"
+    rows = spark.createDataFrame([(k, n, None if n == 1 else f' k{k} "{n}" ') for k in range(50) for n in range(3)], "key long, n int, line string")
+    adapters.write_lines(rows, folder, "key", ["n"], "log")
+    (name,) = os.listdir(tmp_path / "top" / "key=7")
+    assert name.endswith(".log") and (tmp_path / "top" / "key=7" / name).read_text() == ' k7 "0" \n\n k7 "2" \n'
+    adapters.write_lines(rows.filter("key < 2"), folder, "key", ["n"], "log")
+    assert [len(os.listdir(tmp_path / "top" / f"key={k}")) for k in range(4)] == [2, 2, 1, 1]
+    adapters.delete_folders(rows.filter("key % 2 = 0").select("key"), folder, "key")
+    adapters.delete_folders(spark.range(60, 61).withColumnRenamed("id", "key"), folder, "key")  # one that is not there
+    assert sorted(os.listdir(tmp_path / "top")) == sorted(f"key={k}" for k in range(1, 50, 2))
