@@ -196,3 +196,19 @@ def test_encodings_go_by_name(spark, monkeypatch):
 def test_one_shuffle_before_the_semantic_windows(spark):
     plan = chunks.semantic_breaks(paragraphs(spark, ["a. b."]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_windows_are_the_same_over_one_split_or_many_and_shuffle_texts_once(spark, monkeypatch):
+    from docsync.jobs.queries import Fours
+
+    rows = [(f"/{f}", n, 1, " ".join(f"w{f}x{n}y{i}." for i in range((f * n) % 7))) for f in range(3) for n in range(1, 40)]
+    df = spark.createDataFrame(rows, "source_path string, paragraph_num int, page_num int, text string")
+    for tokens in (chunks.regex_tokens, chunks.coder_tokens(Fours)):
+        found = []
+        for split in (10_000, 7):
+            monkeypatch.setattr(chunks, "SPLIT", split)
+            found.append(sorted(map(tuple, chunks.token_windows(df, 12, 3, tokens).collect())))
+        assert found[0] == found[1] and len(found[0]) > 20
+    monkeypatch.undo()
+    plan = chunks.token_windows(df, 12, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
