@@ -474,3 +474,15 @@ def test_reconcile_goes_on_after_errors(spark, tmp_path):
         query.awaitTermination(1)
     query.stop()
     assert len(passes) > 1  # the second pass comes although the first failed
+
+
+def test_a_pass_writes_the_paragraphs_of_all_formats_in_one_job(spark, tmp_path, monkeypatch):
+    from docsync.jobs import sync_folder as job
+
+    calls, add = [], job.Work.add
+    monkeypatch.setattr(job.Work, "add", lambda self, df, name: (calls.append(name), add(self, df, name))[1])
+    folder, root, work = (str(tmp_path / n) for n in ("in", "collection", "work"))
+    put(folder, a_md="text a.", b_log="t | [I] | one.", c_html="<p>text c.</p>")
+    sync_folder(spark, folder, root, work, chunker="simple")
+    assert {r.source_name: r.text for r in Collection(spark, root).read().collect()} == {"a.md": "text a. ", "b.log": "t [I] one. ", "c.html": "text c. "}
+    assert calls == ["paragraphs"]
