@@ -212,3 +212,16 @@ def test_windows_are_the_same_over_one_split_or_many_and_shuffle_texts_once(spar
     monkeypatch.undo()
     plan = chunks.token_windows(df, 12, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
+
+
+def test_white_space_classes_and_one_count_of_tokens(spark):
+    from pyspark.sql import functions as F
+
+    from docsync.functions import text as T
+
+    points = spark.range(0x11000).filter("id < 55296 or id > 57343").select("id", F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    found = points.select("id", F.col("c").rlike(f"^{T.WS}$").alias("white"), F.col("c").rlike(f"^{T.NOT_WS}$").alias("other")).collect()
+    assert {r.id for r in found if r.white} == set(map(ord, T.WS_CHARS))
+    assert all(r.white != r.other for r in found if r.id != 0xFEFF)  # which the decoder takes away
+    plan = chunks.token_windows(paragraphs(spark, ["a b"]), 12, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("regexp_extract_all") == 2, plan  # counted once and cut once
