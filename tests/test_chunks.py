@@ -225,3 +225,17 @@ def test_white_space_classes_and_one_count_of_tokens(spark):
     assert all(r.white != r.other for r in found if r.id != 0xFEFF)  # which the decoder takes away
     plan = chunks.token_windows(paragraphs(spark, ["a b"]), 12, 3)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("regexp_extract_all") == 2, plan  # counted once and cut once
+
+
+def test_a_coder_encodes_each_text_once(spark):
+    class Failing:
+        def encode_ordinary_batch(self, texts):
+            return [[1 // (t != "bad")] * len(t) for t in texts]
+
+        def decode_single_token_bytes(self, token):
+            return b"x"
+
+    made = chunks.token_windows(paragraphs(spark, ["ab", "bad", "c"]), 4, 0, chunks.coder_tokens(Failing))
+    assert [x[1] for x in out(made)] == ["xxxx", "x"]  # the text that fails is left out
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
