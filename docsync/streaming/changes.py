@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docsync.functions.tables import delete
+from docsync.functions.tables import delete, few_rows
 from docsync.jobs.sync_folder import sync_folder
 from docsync.sources import files
 
@@ -37,7 +37,7 @@ class Snapshots:
 
     def _table(self, kind: str, number: int | None, schema: str) -> DataFrame:
         if number is None:
-            return self.spark.createDataFrame([], schema)
+            return few_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(f"{self.place}/{kind}/{number:012d}")
 
     def take(self, number: int) -> DataFrame:

@@ -486,3 +486,27 @@ def test_a_pass_writes_the_paragraphs_of_all_formats_in_one_job(spark, tmp_path,
     sync_folder(spark, folder, root, work, chunker="simple")
     assert {r.source_name: r.text for r in Collection(spark, root).read().collect()} == {"a.md": "text a. ", "b.log": "t [I] one. ", "c.html": "text c. "}
     assert calls == ["paragraphs"]
+
+
+def test_a_pass_sends_no_rows_of_the_driver_through_python_workers(spark, tmp_path, monkeypatch):
+    """Rows of the driver need Python workers of another kind, which every executor would keep beside those that read files."""
+    from pyspark.sql import SparkSession
+
+    from docsync.functions.tables import few_rows
+    from docsync.jobs.sync_folder import sync_folder
+    from docsync.sources.collection import Collection
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.html").write_text("<p>one</p>")
+    (tmp_path / "in" / "b.log").write_text("two")
+
+    def refuse(*_, **__):
+        raise AssertionError("rows of the driver go through Python workers")
+
+    monkeypatch.setattr(SparkSession, "createDataFrame", refuse)
+    for _ in range(2):
+        sync_folder(spark, str(tmp_path / "in"), str(tmp_path / "collection"), str(tmp_path / "work"), chunker="simple")
+    store = Collection(spark, str(tmp_path / "collection"))
+    assert store.read().count() == 2 and store.quarantine().count() == 0
+    assert [r.added_chunks for r in store.runs().orderBy("finished_at").collect()] == [2, 0]
+    assert [tuple(r) for r in few_rows(spark, "a string, n long", ("x", None), (None, 2)).collect()] == [("x", None), (None, 2)]
