@@ -239,3 +239,30 @@ def test_a_coder_encodes_each_text_once(spark):
     assert [x[1] for x in out(made)] == ["xxxx", "x"]  # the text that fails is left out
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
+
+
+@pytest.mark.parametrize("repair", [True, False])
+def test_semantic_chunks_in_place_equal_those_by_splits(spark, monkeypatch, repair):
+    r = random.Random(7)
+    words = ["a", "cat", "b.", "sun!", "d?e", ".", " ", "x. y", "moon."]
+    rows = [(f"/{f:02}", n, n // 3, " ".join(r.choice(words[f % 3 :: 1 + f % 2]) for _ in range(r.randint(0, 9)))) for f in range(40) for n in range(1, r.randint(2, 9))]
+    rows += [("/none", 1, 1, ""), ("/none", 2, 1, " "), ("/open", 1, 1, ""), ("/open", 2, 1, "no end"), ("/null", 1, 1, None), ("/tail", 1, 1, "One. two"), ("/tail", 2, 1, " "), ("/tail", 3, 1, "three")]
+    df = spark.createDataFrame(rows, PARAGRAPHS)
+    made = chunks.semantic_chunks(df, repair=repair)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan  # the one by which the texts are dealt
+    here = sorted(map(tuple, made.collect()))
+    monkeypatch.setattr(chunks, "SPLIT", 0)
+    monkeypatch.setattr(chunks.sums_before, "__defaults__", (3,))
+    assert here == sorted(map(tuple, chunks.semantic_chunks(df, repair=repair).collect())) and len(here) > 40
+
+
+def test_contexts_are_not_written(spark, tmp_path, monkeypatch):
+    tables, before = [], chunks.written
+    monkeypatch.setattr(chunks, "written", lambda df, *a: tables.append(df.columns) or before(df, *a))
+    df = paragraphs(spark, ["a b. c d. e f.", "a b. c d. g h."])
+    load = lambda: lambda texts: [[float(len(t)), 1.0] for t in texts]
+    stored = chunks.StoredVectors(chunks.model_embedding(load), str(tmp_path / "vectors"))
+    found = [sorted(map(tuple, chunks.semantic_breaks(df, embed=stored).collect())) for _ in range(2)]
+    assert found[0] == found[1] == sorted(map(tuple, chunks.semantic_breaks(df, embed=chunks.model_embedding(load)).collect()))
+    assert tables and not any("context" in columns for columns in tables)
