@@ -1,6 +1,6 @@
 """Keeping an outside store of chunks in step with the collection.
 
-Two versions of the collection differ in the buckets whose folders differ; only these are read, and give the chunks to delete and to add. Tasks
+Two versions of the collection differ in the buckets and layers whose folders differ; only these are read, and give the chunks to delete and to add. Tasks
 send them in batches to the store, and every chunk gets a row with its outcome, so that one failing chunk stops neither its batch nor the job, and a later run can take up
 what is left. Chunks are put by their id: a repeated task, or a repeated run, puts the same again and adds nothing.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docsync.functions.tables import Counts
 from docsync.operators.sync import BATCH, usable
-from docsync.sources.collection import Collection
+from docsync.sources.collection import Collection, layers_of
 
 OUTCOMES = "chunk_id string, action string, error string"
 #: Chunks that a task has in hand when a store answers slowly: tasks are of this size at most.
@@ -40,7 +40,8 @@ def changes(collection: Collection, old: dict, new: dict) -> tuple[DataFrame, Da
         touched = [int(b) for b in {*old["buckets"], *new["buckets"]} if old["buckets"].get(b) != new["buckets"].get(b)]
     else:
         touched = None
-    before, after = (collection.read(touched, m).filter(usable("chunk_id")) for m in (old, new))
+    alone = lambda m, other: [where for where in layers_of(m) if where not in layers_of(other)]
+    before, after = (collection.read(touched, m, alone(m, other)).filter(usable("chunk_id")) for m, other in ((old, new), (new, old)))
     gone = before.select("chunk_id").join(after.select("chunk_id"), "chunk_id", "left_anti").distinct()
     return gone, after.join(before.select("chunk_id"), "chunk_id", "left_anti")
 

@@ -510,3 +510,38 @@ def test_a_pass_sends_no_rows_of_the_driver_through_python_workers(spark, tmp_pa
     assert store.read().count() == 2 and store.quarantine().count() == 0
     assert [r.added_chunks for r in store.runs().orderBy("finished_at").collect()] == [2, 0]
     assert [tuple(r) for r in few_rows(spark, "a string, n long", ("x", None), (None, 2)).collect()] == [("x", None), (None, 2)]
+
+
+def test_a_stream_adds_layers_and_rewrites_no_bucket(spark, tmp_path, monkeypatch):
+    from docsync.sources import collection
+
+    monkeypatch.setattr(collection, "MERGED", 2)
+    folder, root, work, state = (str(tmp_path / n) for n in ("in", "collection", "work", "state"))
+    os.makedirs(folder)
+    store = Collection(spark, root)
+    take_new_files(spark, folder, root, work, state, max_files=2, chunker="simple").awaitTermination(300)  # an empty folder
+    assert store._versions() == []
+    put(folder, **{f"{i}_md": f"text {i}." for i in range(7)}, late_pdf="no text yet")
+    take_new_files(spark, folder, root, work, state, max_files=2, chunker="simple").awaitTermination(300)
+    now = store.manifest()
+    assert now["version"] == 4 and now["buckets"] == {} and [rank for _, rank in now["layers"]] == [2]
+    assert sorted(r.text for r in store.read().collect()) == [f"text {i}. " for i in range(7)]
+    rows = lambda df: sorted(map(tuple, df.select("source_path", "old_chunks", "lowest", "highest").collect()))
+    assert rows(store.index()) == rows(sync.stored_files(store.read()))
+    assert [r.stage for r in store.quarantine().collect()] == ["text"]
+    put(folder, new_md="a new text.")
+    take_new_files(spark, folder, root, work, state, max_files=2, chunker="simple").awaitTermination(300)  # the others don't come again
+    then = store.manifest()
+    assert [rank for _, rank in then["layers"]] == [2, 0] and store.runs().count() == 5
+    gone, added = outside.changes(store, now, then)
+    assert gone.count() == 0 and [r.source_name for r in added.collect()] == ["new.md"]
+    assert len(store.clean()) == 6 and store.read().count() == 8
+
+    put(folder, **{"1_md": "another text."})
+    os.remove(f"{folder}/2.md")
+    run = sync_folder(spark, folder, root, work, chunker="simple")  # a pass takes all layers into the buckets
+    last = store.manifest()
+    assert (run["added_or_updated_files"], run["removed_paths"], last.get("layers", [])) == (1, 1, []) and len(last["buckets"]) > 1
+    assert sorted(r.text for r in store.read().collect()) == sorted([f"text {i}. " for i in (0, 3, 4, 5, 6)] + ["a new text. ", "another text. "])
+    gone, added = outside.changes(store, then, last)
+    assert gone.count() == 2 and [r.text for r in added.collect()] == ["another text. "]
