@@ -340,3 +340,9 @@ def test_pages_of_many_blocks_go_out_in_small_batches(spark, monkeypatch):
     assert rows == [(f"/{i}", k) for i in range(30) for k in range(1_000)]
     long = f"<p>{'x' * html.BATCH_CHARS}</p>"
     assert max(map(len, taken["run"](iter([pd.DataFrame({"source_path": list("abc"), "html": [long] * 3})])))) == 1
+
+
+@pytest.mark.parametrize("given, want", [("x &copyright y", "x &copyright y"), ("?a=1&regional=2", "?a=1&regional=2"), ("token = &quot", 'token = "'), ("a &amp", "a &")])
+def test_names_of_characters_are_whole(given, want):
+    """A name that only begins with a known one is text; a known one needs no semicolon, as in a title that was cut in its middle."""
+    assert html.parse_blocks(page(f"<h1>{given}</h1>", given)) == (want, [("h1", want)])
